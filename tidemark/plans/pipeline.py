@@ -1,0 +1,64 @@
+"""Wiring of the layers over one set of raw tables.
+
+``Pipeline`` builds each layer lazily from the raw views (by default the
+fixture bindings over the driver tables). Layers are plain DataFrames; a
+caller that materialises a layer writes it with ``sinks.tables`` and reads it
+back, which also cuts the lineage.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+from typing import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..settings import Settings, fixture_settings
+from ..sources import bindings as B
+from . import metrics as M
+from . import rankings as R
+from . import staging as S
+from . import universe as U
+
+
+@dataclass
+class Pipeline:
+    spark: SparkSession
+    sf_dir: str
+    settings: Settings = field(default_factory=fixture_settings)
+    _memo: dict = field(default_factory=dict)
+
+    def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self._memo:
+            self._memo[name] = build()
+        return self._memo[name]
+
+    def raw(self, name: str) -> DataFrame:
+        return self._get(name, lambda: B.BINDINGS[name](self.spark, self.sf_dir))
+
+    # staging
+    def quotes(self) -> DataFrame:
+        return self._get("quotes", lambda: S.clean_quotes(self.raw("fx_inf_diario")))
+
+    def registry(self) -> DataFrame:
+        return self._get("registry", lambda: S.stage_registry(self.raw("fx_registro_classe"), self.raw("fx_registro_subclasse")))
+
+    def fees(self) -> DataFrame:
+        return self._get("fees", lambda: S.clean_fees(self.raw("fx_taxa_adm"), self.raw("fx_taxa_perfm"), self.raw("fx_extrato")))
+
+    def characteristics(self) -> DataFrame:
+        return self._get("characteristics", lambda: S.clean_characteristics(self.raw("fx_anbima")))
+
+    def cdi(self) -> DataFrame:
+        return self._get("cdi", lambda: S.clean_benchmark(self.raw("fx_cdi")))
+
+    # marts
+    def universe(self) -> DataFrame:
+        return self._get("universe", lambda: U.build_universe(
+            self.registry(), self.fees(), self.quotes(), self.characteristics(), self.settings))
+
+    def metrics(self) -> DataFrame:
+        return self._get("metrics", lambda: M.build_metrics(self.quotes(), self.universe(), self.cdi(), self.settings))
+
+    def rankings(self) -> DataFrame:
+        return self._get("rankings", lambda: R.build_rankings(self.metrics(), self.settings))
