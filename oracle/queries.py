@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from tidemark.plans.serving import COHORT_COLS, COHORT_METRICS, HEADER_M, HEADER_U, TOP_COLS
 
+from dateutil.relativedelta import relativedelta
+
 from .sql import FEATS, LABELS, METRICS_COLS, QUOTES_START, RANKING_COLS, REF, ST, WINDOWS, compose, d, dbl
 
 DOUBLE_COLS = set(
@@ -142,3 +144,82 @@ _top = f"""(
     USING (purpose, profile, investor_type)
   WHERE position <= {ST.top_n})"""
 ORACLE["top_n_per_segment"] = compose(final(SEG + TOP_COLS + ["position", "eligible_funds"], _top), "rankings")
+
+SEGW = "purpose = 'income' AND profile = 'balanced' AND investor_type = 'qualified'"
+_FTN = ["rank", "fund_name", "fund_cnpj", "subclass_id", "score", "return_12m_net", "alpha_12m_net", "sharpe_excess",
+        "volatility", "max_drawdown", "pct_months_above_cdi", "redemption_days", "min_investment"]
+ORACLE["filtered_top_n"] = compose(final(_FTN, f"""(
+  SELECT {', '.join(_FTN)} FROM rankings WHERE reference_date = {d(REF)} AND {SEGW}
+  ORDER BY rank ASC, fund_cnpj ASC, subclass_id ASC NULLS FIRST LIMIT {ST.top_n})"""), "rankings")
+ORACLE["filtered_top_n_name"] = compose(final(_FTN, f"""(
+  SELECT {', '.join(_FTN)} FROM rankings WHERE reference_date = {d(REF)} AND {SEGW} AND fund_name ILIKE '%PLIER#00000001%'
+  ORDER BY rank ASC, fund_cnpj ASC, subclass_id ASC NULLS FIRST LIMIT {ST.top_n})"""), "rankings")
+
+ORACLE["universe_summary"] = compose(final(["n_funds", "median_aum", "median_holders", "median_annualized_return"], f"""(
+  SELECT COUNT(u.fund_cnpj) AS n_funds, MEDIAN(u.median_aum) AS median_aum, MEDIAN(u.median_holders) AS median_holders,
+         MEDIAN(m.return_annualized_net) AS median_annualized_return
+  FROM universe u LEFT JOIN metrics m
+    ON m.fund_cnpj = u.fund_cnpj AND m.subclass_id IS NOT DISTINCT FROM u.subclass_id AND m.reference_date = u.reference_date
+  WHERE u.reference_date = {d(REF)})"""), "universe", "metrics")
+
+_HDR = SK + list(HEADER_U) + list(HEADER_M)
+ORACLE["fund_header"] = compose(final(_HDR, f"""(
+  SELECT u.fund_cnpj, u.subclass_id, {', '.join('u.' + c for c in HEADER_U)}, {', '.join('m.' + c for c in HEADER_M)}
+  FROM universe u LEFT JOIN metrics m
+    ON m.fund_cnpj = u.fund_cnpj AND m.subclass_id IS NOT DISTINCT FROM u.subclass_id AND m.reference_date = u.reference_date
+  WHERE u.reference_date = {d(REF)})"""), "universe", "metrics")
+
+ORACLE["fund_rank_row"] = q(SK + SEG + ["rank", "score"], "rankings", "rankings", where=f"reference_date = {d(REF)}")
+ORACLE["cohort_returns"] = q(SEG + list(COHORT_COLS), "rankings", "rankings", where=f"reference_date = {d(REF)}")
+
+_cm_union = " UNION ALL ".join(
+    f"SELECT purpose, profile, investor_type, fund_cnpj, subclass_id, '{m}' AS metric, CAST({m} AS DOUBLE) AS value, "
+    f"{'1' if hib else '-1'} AS dir FROM rankings WHERE reference_date = {d(REF)}" for m, hib in COHORT_METRICS)
+ORACLE["cohort_percentile"] = compose(final(SEG + SK + ["metric", "value", "percentile"], f"""(
+  SELECT *, CASE WHEN value IS NULL THEN NULL ELSE
+           (RANK() OVER (PARTITION BY purpose, profile, investor_type, metric, value IS NULL ORDER BY dir * value) - 1)
+           / COUNT(value) OVER (PARTITION BY purpose, profile, investor_type, metric) * 100e0 END AS percentile
+  FROM ({_cm_union}))"""), "rankings")
+
+ORACLE["histogram"] = compose(final(SEG + ["bin", "bin_lo", "n"], f"""(
+  SELECT purpose, profile, investor_type, bin, lo + (bin - 1) * (hi - lo) / 40e0 AS bin_lo, COUNT(*) AS n FROM (
+    SELECT c.*, b.lo, b.hi,
+           CAST(CASE WHEN (b.hi - b.lo) / 40e0 > 0 THEN least(floor((c.v - b.lo) / ((b.hi - b.lo) / 40e0)) + 1, 40) ELSE 1 END AS INTEGER) AS bin
+    FROM (SELECT purpose, profile, investor_type, return_12m_net AS v FROM rankings
+          WHERE reference_date = {d(REF)} AND return_12m_net IS NOT NULL) c
+    JOIN (SELECT purpose, profile, investor_type, MIN(return_12m_net) AS lo, MAX(return_12m_net) AS hi FROM rankings
+          WHERE reference_date = {d(REF)} AND return_12m_net IS NOT NULL GROUP BY ALL) b
+    USING (purpose, profile, investor_type))
+  GROUP BY purpose, profile, investor_type, bin, lo, hi)"""), "rankings")
+
+ORACLE["ranking_dims"] = compose(f"""
+SELECT DISTINCT 'purpose' AS dim, purpose AS value FROM rankings WHERE reference_date = {d(REF)} AND purpose IS NOT NULL
+UNION ALL SELECT DISTINCT 'profile', profile FROM rankings WHERE reference_date = {d(REF)} AND profile IS NOT NULL
+UNION ALL SELECT DISTINCT 'investor_type', investor_type FROM rankings WHERE reference_date = {d(REF)} AND investor_type IS NOT NULL""",
+    "rankings")
+
+_H12 = REF - relativedelta(months=12)
+ORACLE["fund_history_12m"] = compose(final(
+    SK + ["date", "cdi_rate", "nav", "fund_ret", "cdi_ret", "fund_cum", "cdi_cum", "drawdown"], f"""(
+  SELECT fund_cnpj, subclass_id, date, cdi_rate, nav, fund_ret, cdi_ret, level - 1e0 AS fund_cum, cdi_level - 1e0 AS cdi_cum,
+         level / NULLIF(max(level) OVER w, 0) - 1e0 AS drawdown
+  FROM (
+    SELECT *, product(1e0 + fund_ret) OVER w AS level, product(1e0 + cdi_ret) OVER w AS cdi_level FROM (
+      SELECT *, COALESCE(nav / NULLIF(LAG(nav) OVER (PARTITION BY fund_cnpj, subclass_id ORDER BY date), 0) - 1e0, 0e0) AS fund_ret,
+             COALESCE(cdi_rate, 0e0) AS cdi_ret
+      FROM (
+        SELECT g.fund_cnpj, g.subclass_id, g.date, g.cdi_rate,
+               LAST_VALUE(q.nav IGNORE NULLS) OVER (PARTITION BY g.fund_cnpj, g.subclass_id ORDER BY g.date
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nav
+        FROM (SELECT k.fund_cnpj, k.subclass_id, c.date, c.rate AS cdi_rate
+              FROM (SELECT DISTINCT fund_cnpj, subclass_id FROM universe) k
+              CROSS JOIN (SELECT date, rate FROM fx_cdi WHERE date >= {d(_H12)} AND date <= {d(REF)}) c) g
+        LEFT JOIN stg_quotes q ON q.fund_cnpj = g.fund_cnpj AND q.subclass_id IS NOT DISTINCT FROM g.subclass_id
+              AND q.date = g.date AND q.date >= {d(_H12)} AND q.date <= {d(REF)}))
+    WINDOW w AS (PARTITION BY fund_cnpj, subclass_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+  WINDOW w AS (PARTITION BY fund_cnpj, subclass_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""),
+    "universe", "stg_quotes", "fx_cdi")
+
+from .gates_sql import GATES  # noqa: E402
+
+ORACLE.update(GATES)

@@ -18,6 +18,9 @@ from .plans import metrics as M
 from .plans import rankings as R
 from .plans import staging as S
 from .plans import universe as U
+from .operators import checks as V
+from .plans import gates as G
+from .plans import serving as SV
 from .plans.pipeline import Pipeline
 from .settings import fixture_settings
 
@@ -25,8 +28,13 @@ SK = ["fund_cnpj", "subclass_id"]
 SPLIT_DATE = date(2000, 1, 1)  # batch boundary for the incremental fill check
 
 
-def _p(spark: SparkSession, sf_dir: str) -> Pipeline:
-    return Pipeline(spark, sf_dir, fixture_settings())
+def _p(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Pipeline:
+    return Pipeline(spark, sf_dir, fixture_settings(), materialize)
+
+
+def _pm(spark: SparkSession, sf_dir: str) -> Pipeline:
+    """A pipeline whose layers are stored once (for queries that read several layers)."""
+    return _p(spark, sf_dir, True)
 
 
 # ------------------------------------------------------------------ staging / cleaning
@@ -125,7 +133,7 @@ def q_drawdown_series(spark, sf):
 
 
 def _series_metrics(spark, sf):
-    p = _p(spark, sf)
+    p = _pm(spark, sf)
     st = p.settings
     bench = p.cdi().where(
         (F.col("date") >= F.lit(M.cdi_start(st)).cast("date")) & (F.col("date") <= F.lit(st.reference_date).cast("date")))
@@ -160,7 +168,7 @@ def q_pct_months_above(spark, sf):
 
 
 def q_monthly_compound(spark, sf):
-    p = _p(spark, sf)
+    p = _pm(spark, sf)
     ri = M.return_rows(M.universe_quotes(p.quotes(), p.universe(), p.settings))
     return ri.groupBy(*SK, X.month_floor(F.col("date")).alias("month")).agg(
         (F.product(F.lit(1.0) + F.col("return_daily")) - F.lit(1.0)).alias("r_fund"))
@@ -175,25 +183,152 @@ def q_benchmark_window_returns(spark, sf):
 
 
 def q_build_metrics(spark, sf):
-    return _p(spark, sf).metrics()
+    return _pm(spark, sf).metrics()
 
 
 # ------------------------------------------------------------------ ranking
 
 
 def q_average_rank_pct(spark, sf):
-    p = _p(spark, sf)
+    p = _pm(spark, sf)
     return R.feature_percentiles(R.expand_access(p.metrics()), p.settings)
 
 
 def q_build_rankings(spark, sf):
-    return _p(spark, sf).rankings()
+    return _pm(spark, sf).rankings()
 
 
 def q_top_n_per_segment(spark, sf):
-    from .plans import serving
+    return SV.top_n_per_segment(_pm(spark, sf).rankings(), fixture_settings().top_n)
+
+
+def q_display_table(spark, sf):
+    return SV.display_table(q_top_n_per_segment(spark, sf))
+
+
+def q_segment_payload(spark, sf):
+    p = _pm(spark, sf)
+    st = p.settings
+    top = SV.top_n_per_segment(p.rankings(), st.top_n)
+    segs = spark.createDataFrame(
+        [(i, s.purpose, s.profile, s.investor_type) for i, s in enumerate(st.segments)],
+        "seg_order int, purpose string, profile string, investor_type string")
+    return SV.segment_payload(top, p.universe(), segs, st.reference_date)
+
+
+# Fixed parameters of the serving checks: one segment, a case-insensitive name needle.
+SERVE_SEGMENT = ("income", "balanced", "qualified")
+SERVE_NAME = "PLIER#00000001"
+HIST_METRIC = "return_12m_net"
+
+
+def q_filtered_top_n(spark, sf):
+    st = fixture_settings()
+    return SV.filtered_top_n(_pm(spark, sf).rankings(), st.reference_date, *SERVE_SEGMENT, st.top_n)
+
+
+def q_filtered_top_n_name(spark, sf):
+    st = fixture_settings()
+    return SV.filtered_top_n(_pm(spark, sf).rankings(), st.reference_date, *SERVE_SEGMENT, st.top_n, SERVE_NAME)
+
+
+def q_universe_summary(spark, sf):
+    p = _pm(spark, sf)
+    return SV.universe_summary(p.universe(), p.metrics(), p.settings.reference_date)
+
+
+def q_fund_header(spark, sf):
+    p = _pm(spark, sf)
+    return SV.fund_header(p.universe(), p.metrics(), p.settings.reference_date)
+
+
+def q_fund_rank_row(spark, sf):
+    p = _pm(spark, sf)
+    return SV.fund_rank_row(p.rankings(), p.settings.reference_date)
+
+
+def q_cohort_returns(spark, sf):
+    p = _pm(spark, sf)
+    return SV.cohort_returns(p.rankings(), p.settings.reference_date)
+
+
+def q_cohort_percentile(spark, sf):
+    p = _pm(spark, sf)
+    return SV.cohort_percentiles(p.rankings(), p.settings.reference_date)
+
+
+def q_histogram(spark, sf):
+    p = _pm(spark, sf)
+    return SV.histogram(p.rankings(), p.settings.reference_date, HIST_METRIC)
+
+
+def q_ranking_dims(spark, sf):
+    p = _pm(spark, sf)
+    return SV.ranking_dims(p.rankings(), p.settings.reference_date)
+
+
+def q_fund_history_12m(spark, sf):
+    p = _pm(spark, sf)
+    return SV.fund_history_12m(p.quotes(), p.cdi(), p.universe(), p.settings.reference_date)
+
+
+# ------------------------------------------------------------------ checks
+
+
+GATE_COLS = ["reference_date", "task", "dataset", "check_name", "severity", "passed", "value", "threshold"]
+
+
+def _snap(df: DataFrame) -> DataFrame:
+    """Stamp a fixture view as the run's snapshot (reference_date = run date)."""
+    return df.withColumn("reference_date", F.lit(fixture_settings().reference_date).cast("date"))
+
+
+def ingestion_results(spark, sf, p: Pipeline | None = None):
+    p = p or _pm(spark, sf)
+    raw = {
+        "inf_diario": p.raw("fx_inf_diario"), "cdi_daily": p.raw("fx_cdi"),
+        "registro_classe": _snap(p.raw("fx_registro_classe")), "registro_subclasse": _snap(p.raw("fx_registro_subclasse")),
+        "taxa_adm": _snap(p.raw("fx_taxa_adm")), "taxa_perfm": _snap(p.raw("fx_taxa_perfm")),
+        "extrato_fi": _snap(p.raw("fx_extrato")), "anbima": _snap(p.raw("fx_anbima")),
+    }
+    return G.ingestion_checks(raw, p.settings)
+
+
+def staging_results(spark, sf, p: Pipeline | None = None):
+    p = p or _pm(spark, sf)
+    stg = {"daily_quotes": p.quotes(), "registry": _snap(p.registry()), "fees": _snap(p.fees()),
+           "cdi_rates": p.cdi(), "anbima": _snap(p.characteristics())}
+    return G.staging_checks(stg, p.settings, M.quotes_start(p.settings))
+
+
+def marts_results(spark, sf, p: Pipeline | None = None):
+    p = p or _pm(spark, sf)
+    return G.marts_checks({"universe": p.universe(), "metrics": p.metrics(), "rankings": p.rankings()}, p.settings)
+
+
+def q_ingestion_gate(spark, sf):
+    return ingestion_results(spark, sf).select(*GATE_COLS)
+
+
+def q_staging_gate(spark, sf):
+    return staging_results(spark, sf).select(*GATE_COLS)
+
+
+def q_marts_gate(spark, sf):
+    return marts_results(spark, sf).select(*GATE_COLS)
+
+
+def _all_results(spark, sf):
+    p = _pm(spark, sf)
+    return ingestion_results(spark, sf, p).unionByName(staging_results(spark, sf, p)).unionByName(marts_results(spark, sf, p))
+
+
+def q_check_summary(spark, sf):
+    return SV.check_summary(_all_results(spark, sf))
+
 
-    return serving.top_n_per_segment(_p(spark, sf).rankings(), fixture_settings().top_n)
+def q_ordered_detail(spark, sf):
+    return SV.ordered_detail(_all_results(spark, sf), "validate_staging")
 
 
 QUERIES = {
@@ -226,4 +361,21 @@ QUERIES = {
     "average_rank_pct": q_average_rank_pct,
     "build_rankings": q_build_rankings,
     "top_n_per_segment": q_top_n_per_segment,
+    "display_table": q_display_table,
+    "segment_payload": q_segment_payload,
+    "filtered_top_n": q_filtered_top_n,
+    "filtered_top_n_name": q_filtered_top_n_name,
+    "universe_summary": q_universe_summary,
+    "fund_header": q_fund_header,
+    "fund_rank_row": q_fund_rank_row,
+    "cohort_returns": q_cohort_returns,
+    "cohort_percentile": q_cohort_percentile,
+    "histogram": q_histogram,
+    "ranking_dims": q_ranking_dims,
+    "fund_history_12m": q_fund_history_12m,
+    "ingestion_gate": q_ingestion_gate,
+    "staging_gate": q_staging_gate,
+    "marts_gate": q_marts_gate,
+    "check_summary": q_check_summary,
+    "ordered_detail": q_ordered_detail,
 }

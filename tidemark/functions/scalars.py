@@ -23,14 +23,11 @@ def format_key(c: Column) -> Column:
     NULL renders as all zeros; more than 14 digits spill into the last part
     (``lpad`` would truncate, so padding is applied only when shorter).
     """
-    d = digits_only(F.coalesce(c.cast("string"), F.lit("")))
-    d = F.when(F.length(d) < 14, F.lpad(d, 14, "0")).otherwise(d)
+    d = F.regexp_replace(F.coalesce(c.cast("string"), F.lit("")), r"[^0-9]", "")
+    p = F.when(F.length(d) < 14, F.lpad(d, 14, "0")).otherwise(d)
     return F.concat(
-        F.substring(d, 1, 2), F.lit("."),
-        F.substring(d, 3, 3), F.lit("."),
-        F.substring(d, 6, 3), F.lit("/"),
-        F.substring(d, 9, 4), F.lit("-"),
-        F.substr(d, F.lit(13)),  # rest of the string: more than 14 digits spill here
+        F.substring(p, 1, 2), F.lit("."), F.substring(p, 3, 3), F.lit("."), F.substring(p, 6, 3), F.lit("/"),
+        F.substring(p, 9, 4), F.lit("-"), F.substr(p, F.lit(13)),
     )
 
 

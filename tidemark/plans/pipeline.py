@@ -1,9 +1,12 @@
 """Wiring of the layers over one set of raw tables.
 
 ``Pipeline`` builds each layer lazily from the raw views (by default the
-fixture bindings over the driver tables). Layers are plain DataFrames; a
-caller that materialises a layer writes it with ``sinks.tables`` and reads it
-back, which also cuts the lineage.
+fixture bindings over the driver tables). With ``materialize=True`` every
+layer that has more than one consumer (staged quotes, universe, metrics,
+rankings) is written once with a reliable ``checkpoint()`` into the shared
+``spark.checkpoint.dir`` and read back: downstream plans and the many small
+check passes then scan the stored layer instead of recomputing its lineage,
+and a lost executor only recomputes from the last stored layer.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ensure_checkpoint_dir
 from ..settings import Settings, fixture_settings
 from ..sources import bindings as B
 from . import metrics as M
@@ -26,31 +30,38 @@ class Pipeline:
     spark: SparkSession
     sf_dir: str
     settings: Settings = field(default_factory=fixture_settings)
+    materialize: bool = False
     _memo: dict = field(default_factory=dict)
 
-    def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    def _get(self, name: str, build: Callable[[], DataFrame], layer: bool = True) -> DataFrame:
         if name not in self._memo:
-            self._memo[name] = build()
+            df = build()
+            if self.materialize and layer:
+                ensure_checkpoint_dir(self.spark)
+                df = df.checkpoint(eager=True)
+            self._memo[name] = df
         return self._memo[name]
 
     def raw(self, name: str) -> DataFrame:
-        return self._get(name, lambda: B.BINDINGS[name](self.spark, self.sf_dir))
+        return self._get(name, lambda: B.BINDINGS[name](self.spark, self.sf_dir), layer=False)
 
     # staging
     def quotes(self) -> DataFrame:
         return self._get("quotes", lambda: S.clean_quotes(self.raw("fx_inf_diario")))
 
     def registry(self) -> DataFrame:
-        return self._get("registry", lambda: S.stage_registry(self.raw("fx_registro_classe"), self.raw("fx_registro_subclasse")))
+        return self._get("registry", lambda: S.stage_registry(self.raw("fx_registro_classe"), self.raw("fx_registro_subclasse")),
+                         layer=False)
 
     def fees(self) -> DataFrame:
-        return self._get("fees", lambda: S.clean_fees(self.raw("fx_taxa_adm"), self.raw("fx_taxa_perfm"), self.raw("fx_extrato")))
+        return self._get("fees", lambda: S.clean_fees(self.raw("fx_taxa_adm"), self.raw("fx_taxa_perfm"), self.raw("fx_extrato")),
+                         layer=False)
 
     def characteristics(self) -> DataFrame:
-        return self._get("characteristics", lambda: S.clean_characteristics(self.raw("fx_anbima")))
+        return self._get("characteristics", lambda: S.clean_characteristics(self.raw("fx_anbima")), layer=False)
 
     def cdi(self) -> DataFrame:
-        return self._get("cdi", lambda: S.clean_benchmark(self.raw("fx_cdi")))
+        return self._get("cdi", lambda: S.clean_benchmark(self.raw("fx_cdi")), layer=False)
 
     # marts
     def universe(self) -> DataFrame:

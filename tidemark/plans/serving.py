@@ -67,7 +67,7 @@ def display_table(top: DataFrame) -> DataFrame:
     )
 
 
-def segment_payload(top: DataFrame, universe_size: DataFrame, segments: DataFrame, ref: date) -> DataFrame:
+def segment_payload(top: DataFrame, universe: DataFrame, segments: DataFrame, ref: date) -> DataFrame:
     """The nested ranking document: one row with segments[...funds[...]].
 
     Funds are gathered per segment (at most n each), then segments in
@@ -89,8 +89,12 @@ def segment_payload(top: DataFrame, universe_size: DataFrame, segments: DataFram
         F.coalesce(F.col("eligible_funds"), F.lit(0)).alias("eligible_funds"),
         F.coalesce(F.col("funds"), F.array()).alias("funds"),
     )
-    doc = segs.agg(F.array_sort(F.collect_list(seg_struct)).alias("segments"))
-    return doc.join(F.broadcast(universe_size), how="inner").select(
+    # Both sides are one-row aggregates over bounded inputs (the configured
+    # segments; the universe count), joined on a constant key.
+    doc = segs.agg(F.array_sort(F.collect_list(seg_struct)).alias("segments")).withColumn("__k", F.lit(1))
+    size = universe.where(F.col("reference_date") == F.lit(ref).cast("date")).agg(
+        F.count(F.lit(1)).alias("universe_size")).withColumn("__k", F.lit(1))
+    return doc.join(size, "__k").select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
         F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("generated_at"),
         F.lit(ref.isoformat()).alias("reference_date"),
@@ -234,3 +238,27 @@ def fund_history_12m(quotes: DataFrame, cdi: DataFrame, keys: DataFrame, ref: da
         (F.col("cdi_level") - F.lit(1.0)).alias("cdi_cum"),
         (F.try_divide(F.col("level"), F.col("peak")) - F.lit(1.0)).alias("drawdown"),
     )
+
+
+def check_summary(results: DataFrame) -> DataFrame:
+    """Per task and dataset: total, passed, failed, errors, warnings, last log time."""
+    failed = ~F.col("passed")
+    aggs = [
+        F.count(F.lit(1)).alias("total"),
+        F.count_if(F.col("passed")).alias("passed"),
+        F.count_if(failed).alias("failed"),
+        F.count_if(failed & (F.col("severity") == "error")).alias("errors"),
+        F.count_if(failed & (F.col("severity") == "warning")).alias("warnings"),
+    ]
+    if "logged_at" in results.columns:
+        aggs.append(F.max("logged_at").alias("last_logged_at"))
+    return results.groupBy("reference_date", "task", "dataset").agg(*aggs)
+
+
+def ordered_detail(results: DataFrame, task: str) -> DataFrame:
+    """T4: one task's checks, failures first, then severity descending, then name."""
+    return (
+        results.where(F.col("task") == task)
+        .select("check_name", "severity", "passed", "value", "threshold")
+        .orderBy(F.col("passed").asc(), F.col("severity").desc(), F.col("check_name").asc())
+    )

@@ -22,6 +22,7 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
     if master:

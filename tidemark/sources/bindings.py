@@ -3,49 +3,48 @@
 Each function reads the parquet tables under ``sf_dir`` and projects them into
 the raw layout of one source table of the fund pipeline. Only the columns a
 view needs are read (the parquet scan prunes the rest). The matching DuckDB
-text for the oracle lives in ``oracle/fixtures_sql.py``.
+text for the oracle lives in ``oracle/sql.py``.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_READS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """One lazily-read DataFrame per (session, table file); reused by every view."""
+    key = (id(spark), os.path.join(sf_dir, f"{name}.parquet"))
+    if key not in _READS:
+        _READS[key] = spark.read.parquet(key[1])
+    return _READS[key]
 
 
-def _dotted_key(c: Column) -> Column:
-    """Digits left-padded to 14 and rendered XX.XXX.XXX/XXXX-XX (source data already formatted)."""
-    d = F.lpad(c.cast("string"), 14, "0")
-    return F.concat(
-        F.substring(d, 1, 2), F.lit("."), F.substring(d, 3, 3), F.lit("."),
-        F.substring(d, 6, 3), F.lit("/"), F.substring(d, 9, 4), F.lit("-"), F.substring(d, 13, 2),
-    )
+def _dotted(col: str) -> str:
+    """SQL text: digits left-padded to 14 and rendered XX.XXX.XXX/XXXX-XX."""
+    p = f"lpad(CAST({col} AS STRING), 14, '0')"
+    return (f"concat(substring({p}, 1, 2), '.', substring({p}, 3, 3), '.', substring({p}, 6, 3), '/', "
+            f"substring({p}, 9, 4), '-', substring({p}, 13, 2))")
 
 
 def fx_inf_diario(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily quotes (raw.inf_diario) with tie-breakers tb1..tb3 for the ordered dedupe."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(
-        _dotted_key(F.col("l_suppkey")).alias("CNPJ_FUNDO_CLASSE"),
-        F.when(F.col("l_returnflag") == "N", F.lit(None).cast("string"))
-        .otherwise(F.col("l_returnflag")).alias("ID_SUBCLASSE"),
-        F.col("l_shipdate").cast("date").alias("DT_COMPTC"),
-        F.col("l_linestatus").alias("TP_FUNDO_CLASSE"),
-        F.when((F.col("l_linenumber") == 7) & (F.col("l_quantity") <= 10), F.lit(0.0))
-        .otherwise(F.lit(100.0) + F.col("l_extendedprice") / F.lit(1e3)).alias("VL_QUOTA"),
-        (F.col("l_extendedprice") * F.lit(1e3)).alias("VL_PATRIM_LIQ"),
-        (F.col("l_discount") * F.lit(1e3)).alias("CAPTC_DIA"),
-        (F.col("l_tax") * F.lit(1e3)).alias("RESG_DIA"),
-        F.when(F.col("l_quantity") <= 5, F.lit(0))
-        .otherwise((F.col("l_quantity") * 20).cast("int")).alias("NR_COTST"),
-        F.col("l_orderkey").alias("tb1"),
-        F.col("l_linenumber").alias("tb2"),
-        F.col("l_partkey").alias("tb3"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        f"{_dotted('l_suppkey')} AS CNPJ_FUNDO_CLASSE",
+        "CASE WHEN l_returnflag = 'N' THEN NULL ELSE l_returnflag END AS ID_SUBCLASSE",
+        "CAST(l_shipdate AS DATE) AS DT_COMPTC",
+        "l_linestatus AS TP_FUNDO_CLASSE",
+        "CASE WHEN l_linenumber = 7 AND l_quantity <= 10 THEN 0D ELSE 100D + l_extendedprice / 1000D END AS VL_QUOTA",
+        "l_extendedprice * 1000D AS VL_PATRIM_LIQ",
+        "l_discount * 1000D AS CAPTC_DIA",
+        "l_tax * 1000D AS RESG_DIA",
+        "CASE WHEN l_quantity <= 5 THEN 0 ELSE CAST(l_quantity * 20 AS INT) END AS NR_COTST",
+        "l_orderkey AS tb1", "l_linenumber AS tb2", "l_partkey AS tb3",
     )
 
 
@@ -53,7 +52,7 @@ def fx_cdi(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark daily rate (raw.cdi_daily): one rate per order date."""
     o = table(spark, sf_dir, "orders")
     return o.groupBy(F.col("o_orderdate").cast("date").alias("date")).agg(
-        ((F.lit(1) + F.min("o_orderkey") % 60) / F.lit(1e5)).alias("rate")
+        F.expr("(1 + min(o_orderkey) % 60) / 100000D").alias("rate")
     )
 
 
@@ -62,46 +61,34 @@ def fx_registro_classe(spark: SparkSession, sf_dir: str) -> DataFrame:
     a second time under a lower, cancelled registration id."""
     s = table(spark, sf_dir, "supplier")
 
-    def view(off: int) -> DataFrame:
-        base = s if off == 0 else s.where(F.col("s_suppkey") % 5 == 0)
-        k = F.col("s_suppkey")
-        n = F.col("s_nationkey")
-        cancelled = F.lit(off < 0) | (k % 11 == 5)
-        return base.select(
-            (k.cast("bigint") + F.lit(off)).alias("ID_Registro_Fundo"),
-            (k.cast("bigint") + F.lit(1000000)).alias("ID_Registro_Classe"),
-            k.cast("string").alias("CNPJ_Classe"),
-            F.concat(F.col("s_name"), F.when(n % 7 == 0, F.lit(" INCENTIVADO")).otherwise(F.lit("")))
-            .alias("Denominacao_Social"),
-            F.when(n == 24, F.lit(None).cast("date"))
-            .otherwise(F.date_add(F.lit("1994-01-01").cast("date"), n.cast("int") * 30)).alias("Data_Inicio"),
-            F.when(cancelled, F.lit("Cancelado")).otherwise(F.lit("Em Funcionamento Normal")).alias("Situacao"),
-            F.when(k % 13 == 7, F.lit("Acoes")).when(k % 17 == 9, F.lit(None).cast("string"))
-            .otherwise(F.lit("Renda Fixa Simples")).alias("Classificacao_Anbima"),
-            F.when(n % 3 == 0, F.lit("Publico Geral")).when(n % 3 == 1, F.lit("Qualificado"))
-            .otherwise(F.lit("Profissional")).alias("Publico_Alvo"),
-            F.lit("Classe").alias("Classe_Cotas"),
-            F.when(k % 23 == 3, F.lit("Fechado")).when(k % 23 == 4, F.lit(None).cast("string"))
-            .otherwise(F.lit("Aberto")).alias("Forma_Condominio"),
-            F.when(k % 19 == 6, F.lit("S")).otherwise(F.lit("N")).alias("Exclusivo"),
+    def view(off: int, base: DataFrame) -> DataFrame:
+        return base.selectExpr(
+            f"CAST(s_suppkey AS BIGINT) + {off} AS ID_Registro_Fundo",
+            "CAST(s_suppkey AS BIGINT) + 1000000 AS ID_Registro_Classe",
+            "CAST(s_suppkey AS STRING) AS CNPJ_Classe",
+            "s_name || CASE WHEN s_nationkey % 7 = 0 THEN ' INCENTIVADO' ELSE '' END AS Denominacao_Social",
+            "CASE WHEN s_nationkey = 24 THEN NULL ELSE date_add(DATE '1994-01-01', CAST(s_nationkey AS INT) * 30) END AS Data_Inicio",
+            f"CASE WHEN {off} < 0 OR s_suppkey % 11 = 5 THEN 'Cancelado' ELSE 'Em Funcionamento Normal' END AS Situacao",
+            "CASE WHEN s_suppkey % 13 = 7 THEN 'Acoes' WHEN s_suppkey % 17 = 9 THEN NULL ELSE 'Renda Fixa Simples' END AS Classificacao_Anbima",
+            "CASE s_nationkey % 3 WHEN 0 THEN 'Publico Geral' WHEN 1 THEN 'Qualificado' ELSE 'Profissional' END AS Publico_Alvo",
+            "'Classe' AS Classe_Cotas",
+            "CASE WHEN s_suppkey % 23 = 3 THEN 'Fechado' WHEN s_suppkey % 23 = 4 THEN NULL ELSE 'Aberto' END AS Forma_Condominio",
+            "CASE WHEN s_suppkey % 19 = 6 THEN 'S' ELSE 'N' END AS Exclusivo",
         )
 
-    return view(0).unionByName(view(-500000))
+    return view(0, s).unionByName(view(-500000, s.where("s_suppkey % 5 = 0")))
 
 
 def fx_registro_subclasse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Subclass registry (raw.registro_subclasse): subclasses A and R for two thirds of the classes."""
-    s = table(spark, sf_dir, "supplier").where(F.col("s_suppkey") % 3 != 0)
+    s = table(spark, sf_dir, "supplier").where("s_suppkey % 3 <> 0")
 
     def view(sub: str) -> DataFrame:
-        k = F.col("s_suppkey")
-        return s.select(
-            (k.cast("bigint") + F.lit(1000000)).alias("ID_Registro_Classe"),
-            F.lit(sub).alias("ID_Subclasse"),
-            F.when(k % 4 == 0, F.lit(None).cast("string"))
-            .otherwise(F.concat(F.col("s_name"), F.lit(" " + sub))).alias("Denominacao_Social"),
-            F.when(k % 29 == 8, F.lit("S")).when(k % 2 == 0, F.lit(None).cast("string"))
-            .otherwise(F.lit("N")).alias("Previdenciario"),
+        return s.selectExpr(
+            "CAST(s_suppkey AS BIGINT) + 1000000 AS ID_Registro_Classe",
+            f"'{sub}' AS ID_Subclasse",
+            f"CASE WHEN s_suppkey % 4 = 0 THEN NULL ELSE s_name || ' {sub}' END AS Denominacao_Social",
+            "CASE WHEN s_suppkey % 29 = 8 THEN 'S' WHEN s_suppkey % 2 = 0 THEN NULL ELSE 'N' END AS Previdenciario",
         )
 
     return view("A").unionByName(view("R"))
@@ -109,78 +96,50 @@ def fx_registro_subclasse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_taxa_adm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Administration-fee history (raw.cad_fi_hist_taxa_adm)."""
-    e = table(spark, sf_dir, "events").where(F.col("event_type").isin("view", "click"))
-    return e.select(
-        F.col("user_id").cast("string").alias("CNPJ_FUNDO"),
-        F.when(F.col("event_id") % 9 == 0, F.lit(None).cast("double")).otherwise(F.col("value")).alias("TAXA_ADM"),
-        F.when(F.col("event_id") % 97 == 0, F.lit(None).cast("date"))
-        .otherwise(F.col("ts").cast("date")).alias("DT_INI_TAXA_ADM"),
-        F.col("event_id").alias("tb1"),
+    return table(spark, sf_dir, "events").where("event_type IN ('view', 'click')").selectExpr(
+        "CAST(user_id AS STRING) AS CNPJ_FUNDO",
+        "CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS TAXA_ADM",
+        "CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS DT_INI_TAXA_ADM",
+        "event_id AS tb1",
     )
 
 
 def fx_taxa_perfm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Performance-fee history (raw.cad_fi_hist_taxa_perfm)."""
-    e = table(spark, sf_dir, "events").where(
-        (F.col("event_type") == "purchase") & (F.col("user_id") % 4 != 0)
-    )
-    return e.select(
-        F.col("user_id").cast("string").alias("CNPJ_FUNDO"),
-        F.when(F.col("event_id") % 7 == 0, F.lit(None).cast("double"))
-        .when(F.col("event_id") % 5 == 0, F.lit(0.0)).otherwise(F.col("value")).alias("VL_TAXA_PERFM"),
-        F.col("props").alias("DS_TAXA_PERFM"),
-        F.col("ts").cast("date").alias("DT_INI_TAXA_PERFM"),
-        F.col("event_id").alias("tb1"),
+    return table(spark, sf_dir, "events").where("event_type = 'purchase' AND user_id % 4 <> 0").selectExpr(
+        "CAST(user_id AS STRING) AS CNPJ_FUNDO",
+        "CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 0D ELSE value END AS VL_TAXA_PERFM",
+        "props AS DS_TAXA_PERFM", "CAST(ts AS DATE) AS DT_INI_TAXA_PERFM", "event_id AS tb1",
     )
 
 
 def fx_extrato(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fund extract (raw.extrato_fi), already carrying a formatted key."""
-    e = table(spark, sf_dir, "events").where(F.col("event_type") == "signup")
-    return e.select(
-        _dotted_key(F.col("user_id")).alias("CNPJ_FUNDO_CLASSE"),
-        F.col("ts").cast("date").alias("DT_COMPTC"),
-        (F.col("value") / F.lit(1e2)).alias("TAXA_ADM"),
-        F.when(F.col("event_id") % 3 == 0, F.lit("S")).when(F.col("event_id") % 3 == 1, F.lit("N"))
-        .otherwise(F.lit(None).cast("string")).alias("EXISTE_TAXA_PERFM"),
-        F.col("event_id").alias("tb1"),
+    return table(spark, sf_dir, "events").where("event_type = 'signup'").selectExpr(
+        f"{_dotted('user_id')} AS CNPJ_FUNDO_CLASSE",
+        "CAST(ts AS DATE) AS DT_COMPTC",
+        "value / 100D AS TAXA_ADM",
+        "CASE event_id % 3 WHEN 0 THEN 'S' WHEN 1 THEN 'N' ELSE NULL END AS EXISTE_TAXA_PERFM",
+        "event_id AS tb1",
     )
 
 
-_TAXATION_BY_TYPE = [
-    ("MEDIUM", "Longo Prazo"),
-    ("SMALL", "Curto Prazo"),
-    ("PROMO", "Isento"),
-    ("LARGE", "Outros"),
-    ("STANDARD", "Alíquota de 15%"),
-]
-
-
 def fx_anbima(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Characteristics extract (raw.anbima_caracteristicas): one Classe row and two
     Subclasse rows per part below 1000."""
-    p = table(spark, sf_dir, "part").where(F.col("p_partkey") < 1000)
-    taxation = None
-    for t, label in _TAXATION_BY_TYPE:
-        cond = F.col("p_type") == t
-        taxation = F.when(cond, F.lit(label)) if taxation is None else taxation.when(cond, F.lit(label))
-    taxation = taxation.otherwise(F.lit(None).cast("string"))
+    p = table(spark, sf_dir, "part").where("p_partkey < 1000")
 
     def view(est: str, code: str) -> DataFrame:
-        k = F.col("p_partkey")
-        code_col = F.lit(" " + code)
-        if code == "A":
-            code_col = F.when(k % 31 == 2, F.lit(None).cast("string")).otherwise(code_col)
-        return p.select(
-            k.cast("string").alias("Cnpj_Da_Classe"),
-            F.lit(est).alias("Estrutura"),
-            code_col.alias("Codigo_Cvm_Subclasse"),
-            F.col("p_name").alias("Nome_Comercial"),
-            taxation.alias("Tributacao_Alvo"),
-            F.when(k % 25 == 1, F.lit("n/d")).otherwise(F.col("p_size").cast("string"))
-            .alias("Prazo_Pagamento_Resgate_Em_Dias"),
-            F.when(k % 25 == 2, F.lit("n/d"))
-            .otherwise((F.col("p_retailprice") * 10).cast("int").cast("string")).alias("Aplicacao_Inicial_Minima"),
+        code_sql = f"' {code}'" if code != "A" else "CASE WHEN p_partkey % 31 = 2 THEN NULL ELSE ' A' END"
+        return p.selectExpr(
+            "CAST(p_partkey AS STRING) AS Cnpj_Da_Classe",
+            f"'{est}' AS Estrutura",
+            f"{code_sql} AS Codigo_Cvm_Subclasse",
+            "p_name AS Nome_Comercial",
+            "CASE p_type WHEN 'MEDIUM' THEN 'Longo Prazo' WHEN 'SMALL' THEN 'Curto Prazo' WHEN 'PROMO' THEN 'Isento' "
+            "WHEN 'LARGE' THEN 'Outros' WHEN 'STANDARD' THEN 'Alíquota de 15%' ELSE NULL END AS Tributacao_Alvo",
+            "CASE WHEN p_partkey % 25 = 1 THEN 'n/d' ELSE CAST(p_size AS STRING) END AS Prazo_Pagamento_Resgate_Em_Dias",
+            "CASE WHEN p_partkey % 25 = 2 THEN 'n/d' ELSE CAST(CAST(p_retailprice * 10 AS INT) AS STRING) END AS Aplicacao_Inicial_Minima",
         )
 
     return view("Classe", "X").unionByName(view("Subclasse", "A")).unionByName(view("Subclasse", "R"))
