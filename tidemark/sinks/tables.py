@@ -157,10 +157,18 @@ def upsert_timeseries(
     return spark.read.parquet(path).where(F.col("quote_month").isin(months)).drop("quote_month")
 
 
-def write_timeseries(df: DataFrame, path: str, date_col: str = "date") -> None:
-    """Full (re)build of a time-series table, month-partitioned for K1."""
-    (df.withColumn("quote_month", F.date_format(F.col(date_col), "yyyy-MM"))
-       .write.mode("overwrite").partitionBy("quote_month").parquet(path))
+def write_timeseries(df: DataFrame, path: str, date_col: str = "date", key: Sequence[str] = ("fund_cnpj", "subclass_id"),
+                     n_partitions: int | None = None) -> None:
+    """Full (re)build of a time-series table, month-partitioned for K1.
+
+    Rows are range-partitioned on (month, series key) first, so each task
+    writes a contiguous slice of one or two months: files per month stay near
+    (rows per month / rows per task) instead of one file per task per month.
+    """
+    n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = df.withColumn("quote_month", F.date_format(F.col(date_col), "yyyy-MM"))
+    (out.repartitionByRange(n, "quote_month", *[k for k in key if k in df.columns])
+        .write.mode("overwrite").partitionBy("quote_month").parquet(path))
 
 
 # ------------------------------------------------------------------ skip rules
