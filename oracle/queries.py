@@ -223,3 +223,59 @@ ORACLE["fund_history_12m"] = compose(final(
 from .gates_sql import GATES  # noqa: E402
 
 ORACLE.update(GATES)
+
+# ----------------------------------------------------------------- snapshots, sets, sources, tables, streaming
+from datetime import date as _date  # noqa: E402
+
+from .sql import cte as _cte  # noqa: E402
+
+_cte("snap_view", """
+SELECT *, CAST(DATE '2001-03-01' + to_months(CAST(ID_Registro_Classe % 4 AS INTEGER)) AS DATE) AS reference_date
+FROM fx_registro_classe""", "fx_registro_classe")
+_SNAP_COLS = ["ID_Registro_Fundo", "ID_Registro_Classe", "CNPJ_Classe", "Denominacao_Social", "Data_Inicio", "Situacao",
+              "Classificacao_Anbima", "Publico_Alvo", "Classe_Cotas", "Forma_Condominio", "Exclusivo", "reference_date"]
+
+
+def _as_of(ref: _date) -> str:
+    return compose(final(_SNAP_COLS, f"""snap_view WHERE reference_date = (
+  SELECT COALESCE(MAX(reference_date) FILTER (WHERE reference_date <= {d(ref)}),
+                  MIN(reference_date) FILTER (WHERE reference_date >= {d(ref)})) FROM snap_view)"""), "snap_view")
+
+
+ORACLE["as_of_snapshot"] = _as_of(_date(2001, 5, 10))
+ORACLE["as_of_snapshot_backfill"] = _as_of(_date(2001, 1, 1))
+ORACLE["latest_snapshot"] = compose(final(_SNAP_COLS, "snap_view WHERE reference_date = (SELECT MAX(reference_date) FROM snap_view)"),
+                                    "snap_view")
+ORACLE["snapshot_date"] = compose(
+    "SELECT MAX(reference_date) FILTER (WHERE reference_date <= DATE '2001-05-10') AS snapshot_date FROM snap_view", "snap_view")
+ORACLE["recent_dates"] = compose("SELECT DISTINCT reference_date FROM snap_view", "snap_view")
+ORACLE["distinct_keys"] = compose("SELECT DISTINCT fund_cnpj, subclass_id FROM stg_quotes", "stg_quotes")
+ORACLE["set_difference"] = compose("""
+SELECT e.fund_cnpj, e.subclass_id FROM elig e
+WHERE NOT EXISTS (SELECT 1 FROM universe u WHERE u.fund_cnpj = e.fund_cnpj AND u.subclass_id IS NOT DISTINCT FROM e.subclass_id)""",
+                                   "elig", "universe")
+ORACLE["month_range"] = compose("""
+SELECT strftime(m, '%Y%m') AS ym FROM (
+  SELECT unnest(generate_series(date_trunc('month', MIN(date)), date_trunc('month', MAX(date)), INTERVAL 1 MONTH)) AS m
+  FROM fx_cdi)""", "fx_cdi")
+ORACLE["read_delimited"] = compose("""
+SELECT CAST(ID_Registro_Fundo AS VARCHAR) AS ID_Registro_Fundo, CAST(ID_Registro_Classe AS VARCHAR) AS ID_Registro_Classe,
+       CNPJ_Classe, Denominacao_Social, CAST(Data_Inicio AS VARCHAR) AS Data_Inicio, Situacao, Classificacao_Anbima,
+       Publico_Alvo, Classe_Cotas, Forma_Condominio, Exclusivo
+FROM fx_registro_classe""", "fx_registro_classe")
+ORACLE["read_monthly_quotes"] = compose(final(RAW_Q, """(
+  SELECT TP_FUNDO_CLASSE, CNPJ_FUNDO_CLASSE,
+         CASE WHEN DT_COMPTC < DATE '1998-01-01' THEN NULL ELSE ID_SUBCLASSE END AS ID_SUBCLASSE,
+         DT_COMPTC, VL_QUOTA, VL_PATRIM_LIQ, CAPTC_DIA, RESG_DIA, NR_COTST
+  FROM fx_inf_diario)"""), "fx_inf_diario")
+ORACLE["read_benchmark_json"] = compose(final(["date", "rate"], "fx_cdi"), "fx_cdi")
+ORACLE["upsert_timeseries"] = compose(final(["CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", "DT_COMPTC", "VL_QUOTA"], """(
+  SELECT CNPJ_FUNDO_CLASSE, ID_SUBCLASSE, DT_COMPTC, VL_QUOTA FROM fx_inf_diario WHERE DT_COMPTC < DATE '1999-07-01'
+  UNION ALL
+  SELECT CNPJ_FUNDO_CLASSE, ID_SUBCLASSE, DT_COMPTC, VL_QUOTA * 2 FROM fx_inf_diario WHERE DT_COMPTC >= DATE '1999-07-01')"""),
+    "fx_inf_diario")
+ORACLE["quote_feed"] = compose(final(["CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", "DT_COMPTC", "VL_QUOTA", "NR_COTST"], "fx_inf_diario"),
+                               "fx_inf_diario")
+ORACLE["null_report"] = compose(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null FROM fx_inf_diario" for c in RAW_Q),
+    "fx_inf_diario")

@@ -23,6 +23,9 @@ from .plans import gates as G
 from .plans import serving as SV
 from .plans.pipeline import Pipeline
 from .settings import fixture_settings
+from .sinks import tables as T
+from .sources import readers as RD
+from .sources import snapshots as SN
 
 SK = ["fund_cnpj", "subclass_id"]
 SPLIT_DATE = date(2000, 1, 1)  # batch boundary for the incremental fill check
@@ -272,6 +275,133 @@ def q_fund_history_12m(spark, sf):
     return SV.fund_history_12m(p.quotes(), p.cdi(), p.universe(), p.settings.reference_date)
 
 
+# ------------------------------------------------------------------ snapshots, sets, sources, tables, streaming
+
+SNAP_REF = date(2001, 5, 10)      # run date for the snapshot-selection checks
+SNAP_EARLY = date(2001, 1, 1)     # before every snapshot: exercises the future fallback
+LAYOUT_SPLIT = date(1998, 1, 1)   # quote files before this date use the older header
+UPSERT_CUT = date(1999, 7, 1)     # first date of the upsert batch
+UPSERT_BASE_END = date(2000, 1, 1)
+
+
+def snapshot_view(spark, sf):
+    """fx_registro_classe spread over four monthly snapshots (2001-03-01 .. 2001-06-01)."""
+    r = _p(spark, sf).raw("fx_registro_classe")
+    return r.withColumn("reference_date", F.add_months(F.lit("2001-03-01").cast("date"),
+                                                       (F.col("ID_Registro_Classe") % 4).cast("int")))
+
+
+def q_as_of_snapshot(spark, sf):
+    return SN.as_of_snapshot(snapshot_view(spark, sf), SNAP_REF)
+
+
+def q_as_of_snapshot_backfill(spark, sf):
+    return SN.as_of_snapshot(snapshot_view(spark, sf), SNAP_EARLY)
+
+
+def q_latest_snapshot(spark, sf):
+    return SN.latest_snapshot(snapshot_view(spark, sf))
+
+
+def q_snapshot_date(spark, sf):
+    v = snapshot_view(spark, sf)
+    return v.agg(F.max(F.when(F.col("reference_date") <= F.lit(SNAP_REF).cast("date"), F.col("reference_date")))
+                 .alias("snapshot_date"))
+
+
+def q_recent_dates(spark, sf):
+    return SV.recent_dates(snapshot_view(spark, sf))
+
+
+def q_distinct_keys(spark, sf):
+    return _p(spark, sf).quotes().select(*SK).distinct()
+
+
+def q_set_difference(spark, sf):
+    """O3: eligible registry series that did not make the universe (null-safe anti-join)."""
+    p = _pm(spark, sf)
+    elig = U.eligible_registry(p.registry(), p.settings.reference_date).select(*SK)
+    return keyed.null_safe_join(elig, p.universe().select(*SK), SK, "left_anti")
+
+
+def q_month_range(spark, sf):
+    """U6 over the benchmark's own span."""
+    c = _p(spark, sf).cdi().agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    return c.select(F.explode(X.month_range(F.col("lo"), F.col("hi"))).alias("ym"))
+
+
+def _scratch(spark, name: str) -> str:
+    import uuid
+
+    from .session import shared_path
+
+    return shared_path(spark, "tidemark-queries", f"{name}-{uuid.uuid4().hex}")
+
+
+def q_read_delimited(spark, sf):
+    """S1 round trip: the class registry landed as ';'-separated Latin-1 text, read back as strings."""
+    path = _scratch(spark, "registro_classe")
+    src = _p(spark, sf).raw("fx_registro_classe")
+    src.write.options(sep=";", encoding="ISO-8859-1", header="true").csv(path)
+    return RD.read_delimited(spark, path)
+
+
+def q_read_monthly_quotes(spark, sf):
+    """Quote files in two header layouts (older files name the key CNPJ_FUNDO and
+    the type TP_FUNDO, and have no subclass column), read back into one table."""
+    root = _scratch(spark, "inf_diario")
+    raw = _p(spark, sf).raw("fx_inf_diario").drop("tb1", "tb2", "tb3")
+    cut = F.lit(LAYOUT_SPLIT).cast("date")
+    old = raw.where(F.col("DT_COMPTC") < cut).drop("ID_SUBCLASSE").withColumnsRenamed(
+        {"CNPJ_FUNDO_CLASSE": "CNPJ_FUNDO", "TP_FUNDO_CLASSE": "TP_FUNDO"})
+    opts = dict(sep=";", encoding="ISO-8859-1", header="true")
+    old.write.options(**opts).csv(root + "/old")
+    raw.where(F.col("DT_COMPTC") >= cut).write.options(**opts).csv(root + "/new")
+    files = [str(r[0]) for r in spark.read.text(root + "/*/*.csv").select(F.input_file_name()).distinct().collect()]
+    return RD.read_monthly_quotes(spark, files)
+
+
+def q_read_benchmark_json(spark, sf):
+    """The benchmark landed as one JSON array of {data: dd/MM/yyyy, valor: percent}.
+    The array is one document by format; its size is one entry per calendar day."""
+    path = _scratch(spark, "cdi_json")
+    c = _p(spark, sf).cdi()
+    doc = c.select(F.to_json(F.collect_list(F.struct(
+        F.date_format("date", "dd/MM/yyyy").alias("data"),
+        (F.col("rate") * F.lit(100.0)).cast("string").alias("valor")))).alias("value"))
+    doc.write.text(path)
+    return RD.read_benchmark_json(spark, path)
+
+
+def q_upsert_timeseries(spark, sf):
+    """K1: a base load up to 2000-01-01, then a batch from 1999-07-01 on with revised
+    (doubled) values; the overlap is replaced null-safely, repeated keys stay repeated."""
+    root = _scratch(spark, "upsert")
+    raw = _p(spark, sf).raw("fx_inf_diario").select("CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", "DT_COMPTC", "VL_QUOTA")
+    T.write_timeseries(raw.where(F.col("DT_COMPTC") < F.lit(UPSERT_BASE_END).cast("date")), root + "/t", "DT_COMPTC",
+                       key=["CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE"])
+    batch = raw.where(F.col("DT_COMPTC") >= F.lit(UPSERT_CUT).cast("date")).withColumn("VL_QUOTA", F.col("VL_QUOTA") * 2)
+    T.upsert_timeseries(spark, batch, root + "/t", ["CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", "DT_COMPTC"], "DT_COMPTC",
+                        root + "/stage")
+    return spark.read.parquet(root + "/t").drop("quote_month")
+
+
+def q_quote_feed(spark, sf):
+    """Streaming K1: quote files landed per year, consumed by an availableNow file
+    stream whose micro-batches upsert into the time-series table."""
+    from .streaming.quotes_feed import run_feed_once
+
+    root = _scratch(spark, "feed")
+    raw = _p(spark, sf).raw("fx_inf_diario").select("CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", "DT_COMPTC", "VL_QUOTA", "NR_COTST")
+    raw.withColumn("y", F.year("DT_COMPTC")).repartition("y").drop("y").write.parquet(root + "/landing")
+    run_feed_once(spark, root + "/landing", raw.schema, root + "/table", root + "/ckpt")
+    return spark.read.parquet(root + "/table").drop("quote_month")
+
+
+def q_null_report(spark, sf):
+    return T.null_report(_p(spark, sf).raw("fx_inf_diario").drop("tb1", "tb2", "tb3"))
+
+
 # ------------------------------------------------------------------ checks
 
 
@@ -373,6 +503,20 @@ QUERIES = {
     "histogram": q_histogram,
     "ranking_dims": q_ranking_dims,
     "fund_history_12m": q_fund_history_12m,
+    "as_of_snapshot": q_as_of_snapshot,
+    "as_of_snapshot_backfill": q_as_of_snapshot_backfill,
+    "latest_snapshot": q_latest_snapshot,
+    "snapshot_date": q_snapshot_date,
+    "recent_dates": q_recent_dates,
+    "distinct_keys": q_distinct_keys,
+    "set_difference": q_set_difference,
+    "month_range": q_month_range,
+    "read_delimited": q_read_delimited,
+    "read_monthly_quotes": q_read_monthly_quotes,
+    "read_benchmark_json": q_read_benchmark_json,
+    "upsert_timeseries": q_upsert_timeseries,
+    "quote_feed": q_quote_feed,
+    "null_report": q_null_report,
     "ingestion_gate": q_ingestion_gate,
     "staging_gate": q_staging_gate,
     "marts_gate": q_marts_gate,
