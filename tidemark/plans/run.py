@@ -48,8 +48,14 @@ class LayerRun:
         return out
 
     # ---------------------------------------------------------------- readers of stored layers
-    def quotes(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("staging", "daily_quotes")).drop("quote_month")
+    def quotes(self, lo: date | None = None, hi: date | None = None) -> DataFrame:
+        """Stored quotes; a date range also prunes the month partitions at the scan."""
+        df = self.spark.read.parquet(self.path("staging", "daily_quotes"))
+        if lo is not None:
+            df = df.where(F.col("quote_month") >= F.lit(lo.strftime("%Y-%m")))
+        if hi is not None:
+            df = df.where(F.col("quote_month") <= F.lit(hi.strftime("%Y-%m")))
+        return df.drop("quote_month")
 
     def snap(self, name: str) -> DataFrame:
         return SN.as_of_snapshot(self.spark.read.parquet(self.path("staging", name)), self.settings.reference_date)
@@ -86,11 +92,13 @@ class LayerRun:
 
     def build_universe(self) -> None:
         u = U.build_universe(self.snap("registry").drop("reference_date"), self.snap("fees").drop("reference_date"),
-                             self.quotes(), self.snap("anbima").drop("reference_date"), self.settings)
+                             self.quotes(hi=self.settings.reference_date), self.snap("anbima").drop("reference_date"),
+                             self.settings)
         T.replace_partition(u, self.path("marts", "universe"))
 
     def build_metrics(self) -> None:
-        m = M.build_metrics(self.quotes(), self.mart("universe"), self.cdi(), self.settings)
+        st = self.settings
+        m = M.build_metrics(self.quotes(M.quotes_start(st), st.reference_date), self.mart("universe"), self.cdi(), st)
         T.replace_partition(m, self.path("marts", "metrics"))
 
     def build_rankings(self) -> None:

@@ -71,10 +71,13 @@ def clean_quotes(raw: DataFrame) -> DataFrame:
 
 def clean_quotes_incremental(raw_batch: DataFrame, staged: DataFrame) -> DataFrame:
     """Clean a new batch of months, seeding the fill with the last staged
-    row of each series before the batch's first date."""
+    row of each series before the batch's first date (a scalar: the batch's
+    low-water mark, so the staged scan gets a pushed-down date filter)."""
     out = rename_quotes(mask_active_zero(drop_ghost_rows(dedupe_quotes(raw_batch))))
-    first = out.agg(F.min("date").alias("__first"))
-    before = staged.join(F.broadcast(first), F.col("date") < F.col("__first")).drop("__first")
+    first = out.agg(F.min("date").alias("m")).first()["m"]
+    if first is None:
+        return out.select(*QUOTE_COLS)
+    before = staged.where(F.col("date") < F.lit(first).cast("date"))
     seeds = keyed.latest_row_per_key(before.select(*SERIES_KEY, "date", "nav"), SERIES_KEY, "date")
     return ts.forward_fill_seeded(out, seeds, SERIES_KEY, "date", ["nav"]).select(*QUOTE_COLS)
 
@@ -286,5 +289,5 @@ def incremental_new_rows(raw: DataFrame, staged: DataFrame | None, force: bool =
     """Benchmark rows newer than the staged high-water mark (all rows when forced)."""
     if force or staged is None:
         return raw
-    hw = staged.agg(F.max("date").alias("__hw"))
-    return raw.join(F.broadcast(hw), (F.col("__hw").isNull()) | (F.col("date") > F.col("__hw"))).drop("__hw")
+    hw = staged.agg(F.max("date").alias("m")).first()["m"]
+    return raw if hw is None else raw.where(F.col("date") > F.lit(hw).cast("date"))
