@@ -2,7 +2,7 @@
 
 Reads the driver tables at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[$BENCH_CPUS] and prints ONE JSON line:
-{"metric": "pipeline_total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
+{"metric": "run_total_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 
 Each step is run on a fresh output folder per repetition; the reported time
 per step is the median of $BENCH_REPS runs (default 3), after one warm-up run
@@ -45,7 +45,7 @@ def main() -> None:
     queries = {k: round(statistics.median(r[k] for r in measured), 3) for k in measured[0]}
     m = re.search(r"sf([0-9.]+)", sf_dir)
     out = {
-        "metric": "pipeline_total_sec",
+        "metric": "run_total_sec",
         "value": round(sum(queries.values()), 3),
         "unit": "sec",
         "queries": queries,

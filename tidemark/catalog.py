@@ -21,7 +21,7 @@ from .plans import universe as U
 from .operators import checks as V
 from .plans import gates as G
 from .plans import serving as SV
-from .plans.pipeline import Pipeline
+from .plans.wiring import Layers
 from .settings import fixture_settings
 from .sinks import tables as T
 from .sources import readers as RD
@@ -31,11 +31,11 @@ SK = ["fund_cnpj", "subclass_id"]
 SPLIT_DATE = date(2000, 1, 1)  # batch boundary for the incremental fill check
 
 
-def _p(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Pipeline:
-    return Pipeline(spark, sf_dir, fixture_settings(), materialize)
+def _p(spark: SparkSession, sf_dir: str, materialize: bool = False) -> Layers:
+    return Layers(spark, sf_dir, fixture_settings(), materialize)
 
 
-def _pm(spark: SparkSession, sf_dir: str) -> Pipeline:
+def _pm(spark: SparkSession, sf_dir: str) -> Layers:
     """A pipeline whose layers are stored once (for queries that read several layers)."""
     return _p(spark, sf_dir, True)
 
@@ -413,7 +413,7 @@ def _snap(df: DataFrame) -> DataFrame:
     return df.withColumn("reference_date", F.lit(fixture_settings().reference_date).cast("date"))
 
 
-def ingestion_results(spark, sf, p: Pipeline | None = None):
+def ingestion_results(spark, sf, p: Layers | None = None):
     p = p or _pm(spark, sf)
     raw = {
         "inf_diario": p.raw("fx_inf_diario"), "cdi_daily": p.raw("fx_cdi"),
@@ -424,14 +424,14 @@ def ingestion_results(spark, sf, p: Pipeline | None = None):
     return G.ingestion_checks(raw, p.settings)
 
 
-def staging_results(spark, sf, p: Pipeline | None = None):
+def staging_results(spark, sf, p: Layers | None = None):
     p = p or _pm(spark, sf)
     stg = {"daily_quotes": p.quotes(), "registry": _snap(p.registry()), "fees": _snap(p.fees()),
            "cdi_rates": p.cdi(), "anbima": _snap(p.characteristics())}
     return G.staging_checks(stg, p.settings, M.quotes_start(p.settings))
 
 
-def marts_results(spark, sf, p: Pipeline | None = None):
+def marts_results(spark, sf, p: Layers | None = None):
     p = p or _pm(spark, sf)
     return G.marts_checks({"universe": p.universe(), "metrics": p.metrics(), "rankings": p.rankings()}, p.settings)
 

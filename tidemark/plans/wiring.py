@@ -1,6 +1,6 @@
 """Wiring of the layers over one set of raw tables.
 
-``Pipeline`` builds each layer lazily from the raw views (by default the
+``Layers`` builds each layer lazily from the raw views (by default the
 fixture bindings over the driver tables). With ``materialize=True`` every
 layer that has more than one consumer (staged quotes, universe, metrics,
 rankings) is written once with a reliable ``checkpoint()`` into the shared
@@ -26,7 +26,7 @@ from . import universe as U
 
 
 @dataclass
-class Pipeline:
+class Layers:
     spark: SparkSession
     sf_dir: str
     settings: Settings = field(default_factory=fixture_settings)
