@@ -96,7 +96,7 @@ def segment_payload(top: DataFrame, universe: DataFrame, segments: DataFrame, re
         F.count(F.lit(1)).alias("universe_size")).withColumn("__k", F.lit(1))
     return doc.join(size, "__k").select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("generated_at"),
+        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("generated_at"),
         F.lit(ref.isoformat()).alias("reference_date"),
         F.col("universe_size"),
         F.transform("segments", lambda s: s.dropFields("seg_order")).alias("segments"),

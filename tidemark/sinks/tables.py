@@ -205,7 +205,8 @@ Sink = Callable[[DataFrame], None]
 
 def json_dir_sink(path: str) -> Sink:
     """A sink writing the payload DataFrame as JSON (one document per line)."""
-    return lambda payload: payload.coalesce(1).write.mode("overwrite").json(path)
+    # one document (a single row by construction); NULL fields are written as null
+    return lambda payload: payload.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def publish(payload: DataFrame, sinks: Iterable[Sink]) -> None:
@@ -216,7 +217,8 @@ def publish(payload: DataFrame, sinks: Iterable[Sink]) -> None:
 
 def payload_to_dict(payload: DataFrame) -> dict:
     """The one-row payload as a Python document (bounded: segments x top_n funds)."""
-    return json.loads(payload.toJSON().first())
+    doc = F.to_json(F.struct(*[F.col(c) for c in payload.columns]), {"ignoreNullFields": "false"})
+    return json.loads(payload.select(doc.alias("j")).first()["j"])
 
 
 def write_check_log(results: DataFrame, path: str) -> None:
