@@ -16,13 +16,13 @@ import os
 import re
 import statistics
 import sys
-import tempfile
+import uuid
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tidemark.plans.run import LayerRun  # noqa: E402
-from tidemark.session import build_session, ensure_checkpoint_dir  # noqa: E402
+from tidemark.session import build_session, ensure_checkpoint_dir, shared_path  # noqa: E402
 from tidemark.settings import fixture_settings  # noqa: E402
 
 
@@ -33,7 +33,8 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
-    scratch = tempfile.mkdtemp(prefix="tidemark-bench-")
+    # outputs go under the session's shared checkpoint folder (never a machine-local temp dir)
+    scratch = shared_path(spark, f"tidemark-bench-{uuid.uuid4().hex}")
     settings = fixture_settings()
     runs = []
     t_all = time.perf_counter()

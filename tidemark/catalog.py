@@ -181,8 +181,7 @@ def q_benchmark_window_returns(spark, sf):
     p = _p(spark, sf)
     st = p.settings
     bench = p.cdi().where(F.col("date") >= F.lit(M.cdi_start(st)).cast("date"))
-    return ts.benchmark_window_returns(bench, st.reference_date, st.windows).crossJoin(
-        ts.benchmark_annualised(bench, st.reference_date))
+    return ts.benchmark_summary(bench, st.reference_date, st.windows)
 
 
 def q_build_metrics(spark, sf):
@@ -357,8 +356,7 @@ def q_read_monthly_quotes(spark, sf):
     opts = dict(sep=";", encoding="ISO-8859-1", header="true")
     old.write.options(**opts).csv(root + "/old")
     raw.where(F.col("DT_COMPTC") >= cut).write.options(**opts).csv(root + "/new")
-    files = [str(r[0]) for r in spark.read.text(root + "/*/*.csv").select(F.input_file_name()).distinct().collect()]
-    return RD.read_monthly_quotes(spark, files)
+    return RD.read_monthly_quotes(spark, RD.list_files(spark, root + "/*/*.csv"))
 
 
 def q_read_benchmark_json(spark, sf):

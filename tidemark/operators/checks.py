@@ -192,10 +192,17 @@ def known_values(df: DataFrame, name: str, column: str, known: Iterable[str], la
 
 def referential(child: DataFrame, parent: DataFrame, name: str, key: str, min_share: float, label: str) -> DataFrame:
     """Share of (non-NULL) child keys found among the distinct parent keys;
-    no child keys counts as 100%."""
+    no child keys counts as 100%.
+
+    Child rows are first counted per key (a map-side partial aggregate), so a
+    hot key crosses the shuffle as one counted row; the join then matches
+    distinct keys only.
+    """
     p = parent.select(F.col(key).alias("__k")).distinct().withColumn("__hit", F.lit(1))
-    j = child.where(F.col(key).isNotNull()).select(F.col(key).alias("__k")).join(p, "__k", "left")
-    agg = j.agg(F.coalesce(F.avg(F.col("__hit").isNotNull().cast("double")), F.lit(1.0)).alias("share"))
+    c = child.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__k")).agg(F.count(F.lit(1)).alias("__n"))
+    j = c.join(p, "__k", "left")
+    hit_rows = F.sum(F.when(F.col("__hit").isNotNull(), F.col("__n")).otherwise(F.lit(0)))
+    agg = j.agg(F.coalesce(hit_rows / F.sum("__n"), F.lit(1.0)).alias("share"))
     return _one(child.sparkSession, name, "warning", F.col("share") >= min_share, pct_text(F.col("share")),
                 f">= {min_share:.0%}", F.concat(pct_text(F.col("share")), F.lit(f" of {label} keys matched")), agg)
 

@@ -115,29 +115,40 @@ def date_gaps(dates: DataFrame, date_col: str = "date") -> DataFrame:
 # ------------------------------------------------------------------ benchmark (one small series)
 
 
-def benchmark_window_returns(cdi: DataFrame, ref: date, windows: Mapping[str, int]) -> DataFrame:
-    """A4: one row, one column per window: prod(1 + rate) - 1 over (ref - m months, ref];
-    an empty window gives 0.0."""
+def _window_return_cols(ref: date, windows: Mapping[str, int]) -> list[Column]:
     r = F.lit(ref).cast("date")
-    aggs = []
+    cols = []
     for label, m in windows.items():
         inside = (F.col("date") > X.months_back(r, m)) & (F.col("date") <= r)
-        aggs.append(
+        cols.append(
             F.coalesce(F.product(F.when(inside, F.lit(1.0) + F.col("rate"))) - F.lit(1.0), F.lit(0.0)).alias(f"cdi_{label}")
         )
-    return cdi.agg(*aggs)
+    return cols
+
+
+def _annualised_col(ref: date) -> Column:
+    r = F.lit(ref).cast("date")
+    upto = F.col("date") <= r
+    span = F.datediff(r, F.min(F.when(upto, F.col("date"))))
+    value = F.pow(F.product(F.when(upto, F.lit(1.0) + F.col("rate"))), F.lit(252.0) / span) - F.lit(1.0)
+    return F.coalesce(F.when(span > 0, value), F.lit(0.0)).alias("cdi_annualized")
+
+
+def benchmark_window_returns(cdi: DataFrame, ref: date, windows: Mapping[str, int]) -> DataFrame:
+    """A4: one row, one column per window: prod(1 + rate) - 1 over (ref - m months, ref];
+    an empty window gives 0.0."""
+    return cdi.agg(*_window_return_cols(ref, windows))
 
 
 def benchmark_annualised(cdi: DataFrame, ref: date) -> DataFrame:
     """prod(1 + rate)^(252 / calendar days from the first rate to ref) - 1 over
     dates <= ref; no rates or span <= 0 gives 0.0."""
-    r = F.lit(ref).cast("date")
-    s = cdi.where(F.col("date") <= r)
-    span = F.datediff(r, F.min("date"))
-    value = F.pow(F.product(F.lit(1.0) + F.col("rate")), F.lit(252.0) / span) - F.lit(1.0)
-    return s.agg(F.when(span > 0, value).otherwise(F.lit(0.0)).alias("cdi_annualized")).select(
-        F.coalesce(F.col("cdi_annualized"), F.lit(0.0)).alias("cdi_annualized")
-    )
+    return cdi.agg(_annualised_col(ref))
+
+
+def benchmark_summary(cdi: DataFrame, ref: date, windows: Mapping[str, int]) -> DataFrame:
+    """A4 + A13 in one pass over the benchmark: one row."""
+    return cdi.agg(*_window_return_cols(ref, windows), _annualised_col(ref))
 
 
 def benchmark_monthly(cdi: DataFrame) -> DataFrame:

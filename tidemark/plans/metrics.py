@@ -77,14 +77,10 @@ def return_rows(quotes: DataFrame) -> DataFrame:
 
 
 def benchmark_scalars(cdi: DataFrame, settings: Settings) -> dict[str, float]:
-    """A4 + A13 as driver scalars (one-row aggregates of the small benchmark)."""
-    ref = settings.reference_date
-    w = ts.benchmark_window_returns(cdi, ref, settings.windows)
-    a = ts.benchmark_annualised(cdi, ref)
-    wr = w.first().asDict()
-    ar = a.first().asDict()
-    out = {label: float(wr[f"cdi_{label}"]) for label in settings.windows}
-    out["annualized"] = float(ar["cdi_annualized"])
+    """A4 + A13 as driver scalars: one one-row aggregate of the small benchmark."""
+    row = ts.benchmark_summary(cdi, settings.reference_date, settings.windows).first().asDict()
+    out = {label: float(row[f"cdi_{label}"]) for label in settings.windows}
+    out["annualized"] = float(row["cdi_annualized"])
     return out
 
 

@@ -30,10 +30,30 @@ def _string_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType(), True) for c in columns])
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def list_files(spark: SparkSession, pattern: str) -> list[str]:
+    """File names matching a glob, from the file system's metadata (no data read)."""
+    _, fs, p = _fs(spark, pattern)
+    found = fs.globStatus(p) or []
+    return sorted(str(st.getPath().toString()) for st in found if st.isFile())
+
+
 def read_header(spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1") -> list[str]:
-    """The header line of one delimited file (reads the first line only)."""
-    first = spark.read.option("encoding", encoding).text(path).limit(1).collect()
-    return first[0][0].split(sep) if first else []
+    """The header line of one delimited file: the first line only, read through the
+    file system API (no Spark job)."""
+    jvm, fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
+        line = reader.readLine()
+    finally:
+        stream.close()
+    return line.split(sep) if line else []
 
 
 def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str] | None = None,
