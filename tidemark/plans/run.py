@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import date
 from typing import Callable
@@ -72,14 +73,22 @@ class LayerRun:
         T.write_timeseries(S.clean_quotes(B.fx_inf_diario(self.spark, self.sf_dir)), self.path("staging", "daily_quotes"))
 
     def stage_dimensions(self) -> None:
+        """Registry, fees and characteristics snapshots plus the benchmark: four
+        independent jobs, submitted concurrently (Spark runs jobs from several
+        driver threads side by side)."""
         ref = self.settings.reference_date
         sp, sf = self.spark, self.sf_dir
-        T.append_snapshot(S.stage_registry(B.fx_registro_classe(sp, sf), B.fx_registro_subclasse(sp, sf)),
-                          self.path("staging", "registry"), ref)
-        T.append_snapshot(S.clean_fees(B.fx_taxa_adm(sp, sf), B.fx_taxa_perfm(sp, sf), B.fx_extrato(sp, sf)),
-                          self.path("staging", "fees"), ref)
-        T.append_snapshot(S.clean_characteristics(B.fx_anbima(sp, sf)), self.path("staging", "anbima"), ref)
-        S.clean_benchmark(B.fx_cdi(sp, sf)).write.mode("overwrite").parquet(self.path("staging", "cdi_rates"))
+        writes = [
+            lambda: T.append_snapshot(S.stage_registry(B.fx_registro_classe(sp, sf), B.fx_registro_subclasse(sp, sf)),
+                                      self.path("staging", "registry"), ref),
+            lambda: T.append_snapshot(S.clean_fees(B.fx_taxa_adm(sp, sf), B.fx_taxa_perfm(sp, sf), B.fx_extrato(sp, sf)),
+                                      self.path("staging", "fees"), ref),
+            lambda: T.append_snapshot(S.clean_characteristics(B.fx_anbima(sp, sf)), self.path("staging", "anbima"), ref),
+            lambda: S.clean_benchmark(B.fx_cdi(sp, sf)).write.mode("overwrite").parquet(self.path("staging", "cdi_rates")),
+        ]
+        with ThreadPoolExecutor(max_workers=len(writes)) as pool:
+            for f in [pool.submit(w) for w in writes]:
+                f.result()
 
     def staging_gate(self) -> DataFrame:
         stg = {"daily_quotes": self.quotes(),
