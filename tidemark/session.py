@@ -30,19 +30,25 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     return builder.getOrCreate()
 
 
+_CHOSEN: dict[int, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a scratch folder set.
+    The cluster's setting is always used when present. Only when the session
+    names none (local tests) is a scratch folder chosen, through
+    ``SparkContext.setCheckpointDir`` (the conf key itself is not settable at
+    runtime).
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = spark.sparkContext.getCheckpointDir() or None
-    if not current:
-        current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or _CHOSEN.get(id(sc))
+    if not base:
+        base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
+        _CHOSEN[id(sc)] = base
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(base)
+    return base
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
