@@ -12,7 +12,7 @@ import os
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import date
+from datetime import date, timedelta
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +71,25 @@ class LayerRun:
     # ---------------------------------------------------------------- steps
     def stage_quotes(self) -> None:
         T.write_timeseries(S.clean_quotes(B.fx_inf_diario(self.spark, self.sf_dir)), self.path("staging", "daily_quotes"))
+        # per (series, month) span and count, partitioned like the quotes
+        (U.quote_month_summary(self.quotes()).write.mode("overwrite").partitionBy("quote_month")
+         .parquet(self.path("staging", "quote_month_summary")))
+
+    def load_quotes_increment(self, raw_batch: DataFrame) -> list[str]:
+        """C6/C7 incremental load: clean a batch of raw quotes seeded from the stored
+        rows before it (W5), upsert it into the touched month partitions (K1), then
+        refresh those months of the monthly summary. Returns the touched months."""
+        qpath = self.path("staging", "daily_quotes")
+        clean = S.clean_quotes_incremental(raw_batch, self.quotes())
+        months = sorted(r[0] for r in clean.select(F.date_format("date", "yyyy-MM")).distinct().collect())
+        if not months:
+            return []
+        T.upsert_timeseries(self.spark, clean, qpath, [*S.SERIES_KEY, "date"], "date",
+                            staging_root=self.path("staging", "_upsert_stage"))
+        touched = self.spark.read.parquet(qpath).where(F.col("quote_month").isin(months)).drop("quote_month")
+        (U.quote_month_summary(touched).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("quote_month").parquet(self.path("staging", "quote_month_summary")))
+        return months
 
     def stage_dimensions(self) -> None:
         """Registry, fees and characteristics snapshots plus the benchmark: four
@@ -99,10 +118,18 @@ class LayerRun:
         res = G.staging_checks(stg, self.settings, M.quotes_start(self.settings))
         return V.gate(res, "validate_staging", lambda r: T.write_check_log(r, self.path("logs", "validation_log")))
 
+    def universe_stats(self) -> DataFrame:
+        """A1 from the monthly summary plus only the months of the medians' look-back."""
+        st = self.settings
+        ref = st.reference_date
+        lo = ref - timedelta(days=st.universe.aum_lookback_days)
+        summary = self.spark.read.parquet(self.path("staging", "quote_month_summary"))
+        return U.quote_stats_from_summary(summary, self.quotes(lo, ref), ref, st.universe.aum_lookback_days)
+
     def build_universe(self) -> None:
         u = U.build_universe(self.snap("registry").drop("reference_date"), self.snap("fees").drop("reference_date"),
                              self.quotes(hi=self.settings.reference_date), self.snap("anbima").drop("reference_date"),
-                             self.settings)
+                             self.settings, stats=self.universe_stats())
         T.replace_partition(u, self.path("marts", "universe"))
 
     def build_metrics(self) -> None:

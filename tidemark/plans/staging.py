@@ -1,6 +1,7 @@
 """Staging layer: raw source tables -> clean, keyed tables.
 
-Each cleaner is ``DataFrame(s) -> DataFrame``; none collects. Keys, NULL
+Each cleaner is ``DataFrame(s) -> DataFrame``; none collects data (the incremental
+steps read one scalar low- or high-water mark). Keys, NULL
 handling and de-duplication order follow the semantics ledger (SURVEY §8).
 """
 

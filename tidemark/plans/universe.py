@@ -62,6 +62,41 @@ def quote_stats(quotes: DataFrame, ref: date, lookback_days: int) -> DataFrame:
     )
 
 
+def quote_month_summary(quotes: DataFrame) -> DataFrame:
+    """Per (series, calendar month): first date, last date, row count. Written next
+    to the staged quotes (and refreshed for the months an upsert touches), it lets
+    the universe read full-history span and density from series x months rows
+    instead of scanning every quote."""
+    return quotes.groupBy(*SERIES_KEY, F.date_format("date", "yyyy-MM").alias("quote_month")).agg(
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count(F.lit(1)).alias("n_rows"))
+
+
+def quote_stats_from_summary(summary: DataFrame, recent_quotes: DataFrame, ref: date, lookback_days: int) -> DataFrame:
+    """A1 from the monthly summary: whole months before ref's month come from the
+    summary, ref's own month (rows dated <= ref) and the medians' look-back window
+    come from ``recent_quotes`` (which must cover [ref - lookback, ref]). Same
+    result as ``quote_stats`` over the full history."""
+    r = F.lit(ref).cast("date")
+    ref_month = ref.strftime("%Y-%m")
+    start = F.lit(ref - timedelta(days=lookback_days)).cast("date")
+    old = summary.where(F.col("quote_month") < F.lit(ref_month)).select(*SERIES_KEY, "first_date", "last_date", "n_rows")
+    cur = (
+        recent_quotes.where((F.date_format("date", "yyyy-MM") == F.lit(ref_month)) & (F.col("date") <= r))
+        .groupBy(*SERIES_KEY)
+        .agg(F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count(F.lit(1)).alias("n_rows"))
+    )
+    span = old.unionByName(cur).groupBy(*SERIES_KEY).agg(
+        F.min("first_date").alias("first_quote_date"), F.max("last_date").alias("last_quote_date"),
+        F.sum("n_rows").alias("quote_count"))
+    med = (
+        recent_quotes.where((F.col("date") >= start) & (F.col("date") <= r))
+        .groupBy(*SERIES_KEY)
+        .agg(F.median("aum").alias("median_aum"), F.median(F.col("shareholders").cast("double")).alias("median_holders"))
+    )
+    return keyed.null_safe_join(span, med, SERIES_KEY, "left").select(
+        *SERIES_KEY, "median_aum", "median_holders", "first_quote_date", "last_quote_date", "quote_count")
+
+
 def quote_quality_filter(df: DataFrame, ref: date, p: UniverseParams) -> DataFrame:
     """Fresh, long enough, dense enough; zero business days fails."""
     r = F.lit(ref).cast("date")
@@ -90,20 +125,26 @@ def build_universe(
     quotes: DataFrame,
     characteristics: DataFrame,
     settings: Settings,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
-    """C1 over already-chosen snapshots (see ``sources.snapshots.as_of_snapshot``)."""
+    """C1 over already-chosen snapshots (see ``sources.snapshots.as_of_snapshot``).
+
+    ``stats`` may carry precomputed A1 statistics (``quote_stats_from_summary``);
+    otherwise they are aggregated from ``quotes``.
+    """
     ref = settings.reference_date
     p = settings.universe
     eligible = eligible_registry(registry, ref)
     # Registry LEFT JOIN fees on the fund key (fees are one row per fund).
     eligible = eligible.join(fees.select("fund_cnpj", "adm_fee", "has_perf_fee"), "fund_cnpj", "left")
     # J5 + P11: attach quote stats; only series of eligible funds are aggregated.
-    keys = eligible.select(*SERIES_KEY).distinct()
-    q = keyed.null_safe_join(
-        quotes.select(*SERIES_KEY, "date", "aum", "shareholders").where(F.col("date") <= F.lit(ref).cast("date")),
-        keys, SERIES_KEY, "left_semi",
-    )
-    stats = quote_stats(q, ref, p.aum_lookback_days)
+    if stats is None:
+        keys = eligible.select(*SERIES_KEY).distinct()
+        q = keyed.null_safe_join(
+            quotes.select(*SERIES_KEY, "date", "aum", "shareholders").where(F.col("date") <= F.lit(ref).cast("date")),
+            keys, SERIES_KEY, "left_semi",
+        )
+        stats = quote_stats(q, ref, p.aum_lookback_days)
     out = keyed.null_safe_join(eligible, stats, SERIES_KEY, "left").where(F.col("median_aum").isNotNull())
     out = quote_quality_filter(out, ref, p)
     # Characteristics on (fund, subclass), null-safe.
