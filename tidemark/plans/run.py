@@ -80,7 +80,12 @@ class LayerRun:
         rows before it (W5), upsert it into the touched month partitions (K1), then
         refresh those months of the monthly summary. Returns the touched months."""
         qpath = self.path("staging", "daily_quotes")
-        clean = S.clean_quotes_incremental(raw_batch, self.quotes())
+        first = raw_batch.agg(F.min("DT_COMPTC").alias("m")).first()["m"]
+        if first is None:
+            return []
+        seeds = S.seed_rows(self.spark.read.parquet(qpath),
+                            self.spark.read.parquet(self.path("staging", "quote_month_summary")), first)
+        clean = S.clean_quotes_incremental(raw_batch, self.quotes(), seeds)
         months = sorted(r[0] for r in clean.select(F.date_format("date", "yyyy-MM")).distinct().collect())
         if not months:
             return []

@@ -70,17 +70,40 @@ def clean_quotes(raw: DataFrame) -> DataFrame:
     return ts.forward_fill(out, SERIES_KEY, "date", ["nav"])
 
 
-def clean_quotes_incremental(raw_batch: DataFrame, staged: DataFrame) -> DataFrame:
+def clean_quotes_incremental(raw_batch: DataFrame, staged: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
     """Clean a new batch of months, seeding the fill with the last staged
     row of each series before the batch's first date (a scalar: the batch's
-    low-water mark, so the staged scan gets a pushed-down date filter)."""
+    low-water mark, so the staged scan gets a pushed-down date filter).
+    ``seeds`` may be given precomputed (see ``seed_rows``)."""
     out = rename_quotes(mask_active_zero(drop_ghost_rows(dedupe_quotes(raw_batch))))
-    first = out.agg(F.min("date").alias("m")).first()["m"]
-    if first is None:
-        return out.select(*QUOTE_COLS)
-    before = staged.where(F.col("date") < F.lit(first).cast("date"))
-    seeds = keyed.latest_row_per_key(before.select(*SERIES_KEY, "date", "nav"), SERIES_KEY, "date")
-    return ts.forward_fill_seeded(out, seeds, SERIES_KEY, "date", ["nav"]).select(*QUOTE_COLS)
+    if seeds is None:
+        first = out.agg(F.min("date").alias("m")).first()["m"]
+        if first is None:
+            return out.select(*QUOTE_COLS)
+        before = staged.where(F.col("date") < F.lit(first).cast("date"))
+        seeds = keyed.latest_row_per_key(before.select(*SERIES_KEY, "date", "nav"), SERIES_KEY, "date")
+    return ts.forward_fill_seeded(out, seeds.select(*SERIES_KEY, "date", "nav"), SERIES_KEY, "date", ["nav"]).select(*QUOTE_COLS)
+
+
+def seed_rows(staged_by_month: DataFrame, summary: DataFrame, first) -> DataFrame:
+    """Last stored row of every series before ``first``, reading only the month
+    partitions that hold those rows.
+
+    ``staged_by_month`` is the stored quotes table with its ``quote_month``
+    partition column; ``summary`` the per (series, month) first/last/count table.
+    Whole months before ``first``'s month give each series' last date from the
+    summary; ``first``'s own month is read for rows before ``first``. The months
+    of the seed dates (bounded by the calendar) become a partition filter.
+    """
+    first_month = first.strftime("%Y-%m")
+    f = F.lit(first).cast("date")
+    from_summary = summary.where(F.col("quote_month") < F.lit(first_month)).select(*SERIES_KEY, F.col("last_date").alias("d"))
+    same_month = (staged_by_month.where((F.col("quote_month") == F.lit(first_month)) & (F.col("date") < f))
+                  .select(*SERIES_KEY, F.col("date").alias("d")))
+    last = from_summary.unionByName(same_month).groupBy(*SERIES_KEY).agg(F.max("d").alias("date"))
+    months = sorted({r[0] for r in last.select(F.date_format("date", "yyyy-MM")).distinct().collect()})
+    rows = staged_by_month.where(F.col("quote_month").isin(months)).drop("quote_month")
+    return keyed.null_safe_join(rows, last, [*SERIES_KEY, "date"], "left_semi")
 
 
 # ------------------------------------------------------------------ registry
