@@ -279,3 +279,7 @@ ORACLE["quote_feed"] = compose(final(["CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", "DT_C
 ORACLE["null_report"] = compose(" UNION ALL ".join(
     f"SELECT '{c}' AS \"column\", COUNT(*) FILTER (WHERE {c} IS NULL) AS n_null FROM fx_inf_diario" for c in RAW_Q),
     "fx_inf_diario")
+
+_TAX_COLS = SK + ["ir_rate"] + [f"return_{l}_net" for l in LABELS] + [f"alpha_{l}_net" for l in LABELS]
+ORACLE["tax_layer"] = compose(final(_TAX_COLS, "(SELECT *, " + ", ".join(
+    f"return_{l}_net - bn_{l} AS alpha_{l}_net" for l in LABELS) + " FROM fm_net)"), "fm_net")

@@ -184,6 +184,19 @@ def q_benchmark_window_returns(spark, sf):
     return ts.benchmark_summary(bench, st.reference_date, st.windows)
 
 
+def q_tax_layer(spark, sf):
+    """X9-X12 on the series metrics with their metadata, before P12's fills and drops."""
+    p = _pm(spark, sf)
+    st = p.settings
+    bench = p.cdi().where(
+        (F.col("date") >= F.lit(M.cdi_start(st)).cast("date")) & (F.col("date") <= F.lit(st.reference_date).cast("date")))
+    cw = M.benchmark_scalars(bench, st)
+    ri = M.return_rows(M.universe_quotes(p.quotes(), p.universe(), st))
+    m = M.tax_layer(M.attach_metadata(M.series_metrics(ri, bench, st, cw), p.universe()), st, cw)
+    labels = list(st.windows) + ["annualized"]
+    return m.select(*SK, "ir_rate", *[f"return_{l}_net" for l in labels], *[f"alpha_{l}_net" for l in labels])
+
+
 def q_build_metrics(spark, sf):
     return _pm(spark, sf).metrics()
 
@@ -485,6 +498,7 @@ QUERIES = {
     "pct_months_above": q_pct_months_above,
     "monthly_compound": q_monthly_compound,
     "benchmark_window_returns": q_benchmark_window_returns,
+    "tax_layer": q_tax_layer,
     "build_metrics": q_build_metrics,
     "average_rank_pct": q_average_rank_pct,
     "build_rankings": q_build_rankings,
