@@ -124,3 +124,14 @@ def test_slice_exists_skip_rule(spark, tmp_dir):
     T.replace_partition(df, path)
     assert not T.should_run(spark, path, date(2024, 1, 1))
     assert T.should_run(spark, path, date(2024, 1, 1), force=True)
+
+
+def test_lazy_as_of_snapshot_matches(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "snaps")
+    s = spark.createDataFrame([(date(2025, m, 1), m) for m in (3, 4, 5, 6)], "reference_date date, v int")
+    s.write.partitionBy("reference_date").parquet(path)
+    t = spark.read.parquet(path)
+    for ref in (date(2025, 5, 10), date(2025, 1, 1), date(2026, 1, 1)):
+        assert sorted(r["v"] for r in SN.as_of_snapshot_lazy(t, ref).collect()) == \
+            sorted(r["v"] for r in SN.as_of_snapshot(t, ref).collect())
+    assert SN.as_of_snapshot_lazy(t.where(F.lit(False)), date(2025, 5, 10)).count() == 0

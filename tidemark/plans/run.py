@@ -59,7 +59,7 @@ class LayerRun:
         return df.drop("quote_month")
 
     def snap(self, name: str) -> DataFrame:
-        return SN.as_of_snapshot(self.spark.read.parquet(self.path("staging", name)), self.settings.reference_date)
+        return SN.as_of_snapshot_lazy(self.spark.read.parquet(self.path("staging", name)), self.settings.reference_date)
 
     def cdi(self) -> DataFrame:
         return self.spark.read.parquet(self.path("staging", "cdi_rates"))

@@ -42,6 +42,16 @@ def as_of_snapshot(df: DataFrame, ref: date, col: str = RD) -> DataFrame:
     return df.where(F.lit(False)) if s is None else df.where(F.col(col) == F.lit(s).cast("date"))
 
 
+def as_of_snapshot_lazy(df: DataFrame, ref: date, col: str = RD) -> DataFrame:
+    """S8 without a driver round trip: the snapshot date is a scalar subquery
+    (evaluated with the query, before the scan that it prunes)."""
+    r = F.lit(ref).cast("date")
+    snap = df.select(
+        F.coalesce(F.max(F.when(F.col(col) <= r, F.col(col))), F.min(F.when(F.col(col) >= r, F.col(col))))
+    ).scalar()
+    return df.where(F.col(col) == snap)
+
+
 def latest_snapshot_date(df: DataFrame, col: str = RD) -> date | None:
     row = df.agg(F.max(col).alias("s")).first()
     return row["s"] if row else None
