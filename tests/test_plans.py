@@ -83,3 +83,11 @@ def test_rankings_rank_windows_are_partitioned(layers, no_aqe):
     # percentile ranks partition by (investor_type, feature), segment ranks by segment
     assert re.search(r"Window \[.*\], \[investor_type#\d+, feature#\d+\]", plan)
     assert re.search(r"Window \[.*\], \[purpose#\d+, profile#\d+, investor_type#\d+\]", plan)
+
+
+def test_top_n_uses_group_limit_before_shuffle(spark, layers, no_aqe):
+    from tidemark.plans import serving as SV
+
+    layers.build_rankings()
+    plan = _plan(SV.top_n_per_segment(layers.mart("rankings"), layers.settings.top_n))
+    assert "WindowGroupLimit" in plan
