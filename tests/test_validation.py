@@ -126,3 +126,24 @@ def test_gate_raises_only_on_errors_and_logs(spark):
     with pytest.raises(V.GateError, match="e"):
         V.gate(err, "t", logged.append)
     assert len(logged) == 2  # written before raising
+
+
+def test_lazy_slice_and_no_snapshot_branches(spark, snapshot_table):
+    sl, snap = V.as_of_slice_lazy(snapshot_table, REF)
+    assert sl.count() == 1
+    r = _one(V.snapshot_exists(spark, "x", snap, REF, "t"))
+    assert r["passed"] and r["value"] == "2025-05-01"
+    early = date(2025, 1, 1)
+    sl0, snap0 = V.as_of_slice_lazy(snapshot_table, early)
+    assert sl0.count() == 0
+    r = _one(V.snapshot_exists(spark, "x", snap0, early, "t"))
+    assert not r["passed"] and r["value"] is None
+    nr = _one(V.evaluate(sl0, [V.null_rate("nr", "v", 0.05, "warning", "< 5%", requires=snap0)]))
+    assert not nr["passed"] and nr["value"] is None  # no snapshot fails
+    ok = _one(V.evaluate(sl, [V.null_rate("nr", "v", 0.05, "warning", "< 5%", requires=snap)]))
+    assert ok["passed"] and ok["value"] == "0.0%"
+    child = spark.createDataFrame([(1,)], "k int")
+    ref_missing = _one(V.referential(child, child, "ri", "k", 0.95, "t", requires=F.when(snap0.isNotNull(), F.lit(1))))
+    assert not ref_missing["passed"] and ref_missing["threshold"] == ">= 95% matched" and ref_missing["value"] is None
+    ref_ok = _one(V.referential(child, child, "ri", "k", 0.95, "t", requires=F.when(snap.isNotNull(), F.lit(1))))
+    assert ref_ok["passed"] and ref_ok["threshold"] == ">= 95%" and ref_ok["value"] == "100.0%"

@@ -102,16 +102,22 @@ def freshness(name: str, date_col: str, ref: date, label: str, max_lag_days: int
 
 
 def null_rate(name: str, column: str, bound: float, severity: str, threshold: str, inclusive: bool = False,
-              message: str = "") -> AggRule:
-    """V7: share of NULLs below (or at most) a bound; an empty table counts as 0."""
+              message: str = "", requires: Column | None = None) -> AggRule:
+    """V7: share of NULLs below (or at most) a bound; an empty table counts as 0.
+    With ``requires`` (e.g. a snapshot date), the rule fails without a value when it is NULL."""
     rate = lambda a: F.coalesce(a("r"), F.lit(0.0))
-    return AggRule(
-        name, severity, threshold,
-        {"r": F.avg(F.when(F.col(column).isNull(), F.lit(1.0)).otherwise(F.lit(0.0)))},
-        (lambda a: rate(a) <= bound) if inclusive else (lambda a: rate(a) < bound),
-        lambda a: pct_text(rate(a)),
-        lambda a: F.concat(pct_text(rate(a)), F.lit(message or f" of {column} is null")),
-    )
+    cmp = (lambda a: rate(a) <= bound) if inclusive else (lambda a: rate(a) < bound)
+    if requires is None:
+        passed, value = cmp, (lambda a: pct_text(rate(a)))
+        msg = lambda a: F.concat(pct_text(rate(a)), F.lit(message or f" of {column} is null"))
+    else:
+        passed = lambda a: F.when(requires.isNull(), F.lit(False)).otherwise(cmp(a))
+        value = lambda a: F.when(requires.isNotNull(), pct_text(rate(a)))
+        msg = lambda a: F.when(requires.isNull(), F.lit("no snapshot")).otherwise(
+            F.concat(pct_text(rate(a)), F.lit(message or f" of {column} is null")))
+    return AggRule(name, severity, threshold,
+                   {"r": F.avg(F.when(F.col(column).isNull(), F.lit(1.0)).otherwise(F.lit(0.0)))},
+                   passed, value, msg)
 
 
 def count_where(name: str, cond: Column, severity: str, threshold: str = "0", what: str = "rows") -> AggRule:
@@ -157,6 +163,13 @@ def snapshot_date(table: DataFrame, ref: date, col: str = "reference_date") -> d
     return row["s"] if row else None
 
 
+def as_of_slice_lazy(table: DataFrame, ref: date, col: str = "reference_date") -> tuple[DataFrame, Column]:
+    """The as-of slice and its snapshot date as a scalar-subquery column (NULL when
+    there is no snapshot <= ref); nothing runs until the checks run."""
+    snap = table.select(F.max(F.when(F.col(col) <= F.lit(ref).cast("date"), F.col(col)))).scalar()
+    return table.where(F.col(col) == snap), snap
+
+
 def as_of_slice(table: DataFrame, ref: date, col: str = "reference_date") -> tuple[DataFrame, date | None]:
     snap = snapshot_date(table, ref, col)
     if snap is None:
@@ -164,11 +177,14 @@ def as_of_slice(table: DataFrame, ref: date, col: str = "reference_date") -> tup
     return table.where(F.col(col) == F.lit(snap).cast("date")), snap
 
 
-def snapshot_exists(spark: SparkSession, name: str, snap: date | None, ref: date, label: str) -> DataFrame:
-    """V1: a snapshot at or before the run date exists."""
-    ok = snap is not None
-    return _one(spark, name, "error", F.lit(ok), F.lit(snap.isoformat() if snap else None).cast("string"),
-                f"<= {ref.isoformat()}", F.lit(f"no snapshot in {label} on or before {ref.isoformat()}"))
+def snapshot_exists(spark: SparkSession, name: str, snap: date | Column | None, ref: date, label: str) -> DataFrame:
+    """V1: a snapshot at or before the run date exists (``snap`` a date or a scalar column)."""
+    if isinstance(snap, Column):
+        ok, value = snap.isNotNull(), snap.cast("string")
+    else:
+        ok, value = F.lit(snap is not None), F.lit(snap.isoformat() if snap else None).cast("string")
+    return _one(spark, name, "error", ok, value, f"<= {ref.isoformat()}",
+                F.lit(f"no snapshot in {label} on or before {ref.isoformat()}"))
 
 
 def pk_unique(df: DataFrame, name: str, columns: Sequence[str], label: str) -> DataFrame:
@@ -190,7 +206,8 @@ def known_values(df: DataFrame, name: str, column: str, known: Iterable[str], la
                 F.concat(F.lit(f"unknown values in {label}.{column}: "), F.array_join("u", ", ")), agg)
 
 
-def referential(child: DataFrame, parent: DataFrame, name: str, key: str, min_share: float, label: str) -> DataFrame:
+def referential(child: DataFrame, parent: DataFrame, name: str, key: str, min_share: float, label: str,
+                requires: Column | None = None) -> DataFrame:
     """Share of (non-NULL) child keys found among the distinct parent keys;
     no child keys counts as 100%.
 
@@ -203,8 +220,20 @@ def referential(child: DataFrame, parent: DataFrame, name: str, key: str, min_sh
     j = c.join(p, "__k", "left")
     hit_rows = F.sum(F.when(F.col("__hit").isNotNull(), F.col("__n")).otherwise(F.lit(0)))
     agg = j.agg(F.coalesce(hit_rows / F.sum("__n"), F.lit(1.0)).alias("share"))
-    return _one(child.sparkSession, name, "warning", F.col("share") >= min_share, pct_text(F.col("share")),
-                f">= {min_share:.0%}", F.concat(pct_text(F.col("share")), F.lit(f" of {label} keys matched")), agg)
+    ok, value, thr = F.col("share") >= min_share, pct_text(F.col("share")), f">= {min_share:.0%}"
+    msg = F.concat(pct_text(F.col("share")), F.lit(f" of {label} keys matched"))
+    if requires is not None:
+        missing = requires.isNull()
+        ok = F.when(missing, F.lit(False)).otherwise(ok)
+        value = F.when(~missing, value)
+        msg = F.when(missing, F.lit("cannot check referential integrity without snapshots for both tables")).otherwise(msg)
+        # the threshold text differs when the check cannot run
+        thr_col = F.when(missing, F.lit(f"{thr} matched")).otherwise(F.lit(thr))
+        return agg.select(F.struct(
+            F.lit(name).alias("check_name"), F.lit("warning").alias("severity"), F.coalesce(ok, F.lit(False)).alias("passed"),
+            value.cast("string").alias("value"), thr_col.alias("threshold"),
+            F.when(~F.coalesce(ok, F.lit(False)), msg).cast("string").alias("message")).alias("r")).select("r.*")
+    return _one(child.sparkSession, name, "warning", ok, value, thr, msg, agg)
 
 
 def max_gap(dates: DataFrame, name: str, date_col: str, max_days: int, label: str) -> DataFrame:

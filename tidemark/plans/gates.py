@@ -59,9 +59,10 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def _snapshot_block(spark: SparkSession, table: DataFrame, ref: date, prefix: str, label: str,
-                    freshness_days: int | None) -> tuple[DataFrame, date | None, list[DataFrame]]:
-    """snapshot_exists (+ freshness on reference_date) for a snapshot table; returns the as-of slice."""
-    sl, snap = V.as_of_slice(table, ref)
+                    freshness_days: int | None):
+    """snapshot_exists (+ freshness on reference_date) for a snapshot table; returns the
+    as-of slice and its snapshot date as a scalar-subquery column (all lazy)."""
+    sl, snap = V.as_of_slice_lazy(table, ref)
     parts = [V.snapshot_exists(spark, f"{prefix}_snapshot_exists", snap, ref, label)]
     if freshness_days is not None:
         parts.append(V.evaluate(table, [V.freshness(f"{prefix}_snapshot_freshness", "reference_date", ref, label, freshness_days)]))
@@ -102,13 +103,9 @@ def ingestion_checks(raw: Mapping[str, DataFrame], settings: Settings) -> DataFr
         V.min_count("registro_classe_renda_fixa_coverage",
                     F.count_if(F.coalesce(F.col("Classificacao_Anbima").startswith("Renda Fixa"), F.lit(False))),
                     FIXED_INCOME_MIN_CLASSES, "warning", f">= {FIXED_INCOME_MIN_CLASSES}"),
+        V.null_rate("registro_classe_inception_date_null_rate", "Data_Inicio", 0.05, "warning", "< 5%", requires=snap_c),
     ]
-    if snap_c is not None:
-        rules.append(V.null_rate("registro_classe_inception_date_null_rate", "Data_Inicio", 0.05, "warning", "< 5%"))
     parts.append(V.evaluate(cls, rules))
-    if snap_c is None:
-        parts.append(V._one(spark, "registro_classe_inception_date_null_rate", "warning", F.lit(False), F.lit(None),
-                            "< 5%", F.lit("no snapshot")))
     parts.append(V.known_values(cls, "registro_classe_situacao_known", "Situacao", KNOWN_SITUACAO, "raw.registro_classe"))
     parts.append(V.known_values(cls, "registro_classe_exclusivo_yn", "Exclusivo", KNOWN_YN, "raw.registro_classe"))
     parts.append(V.known_values(cls, "registro_classe_forma_condominio_known", "Forma_Condominio", KNOWN_FORMA_CONDOMINIO,
@@ -121,13 +118,10 @@ def ingestion_checks(raw: Mapping[str, DataFrame], settings: Settings) -> DataFr
         V.no_nulls("registro_subclasse_merge_key_not_null", "ID_Registro_Classe", "raw.registro_subclasse"),
         V.no_nulls("registro_subclasse_id_not_null", "ID_Subclasse", "raw.registro_subclasse", "warning"),
     ]))
-    if snap_s is None or snap_c is None:
-        parts.append(V._one(spark, "registro_subclasse_referential_integrity", "warning", F.lit(False), F.lit(None),
-                            ">= 95% matched", F.lit("cannot check referential integrity without snapshots for both tables")))
-    else:
-        parts.append(V.referential(sub.where(F.col("ID_Registro_Classe").isNotNull()), cls,
-                                   "registro_subclasse_referential_integrity", "ID_Registro_Classe", 0.95,
-                                   "raw.registro_subclasse"))
+    both = F.when(snap_s.isNotNull() & snap_c.isNotNull(), F.lit(1))
+    parts.append(V.referential(sub.where(F.col("ID_Registro_Classe").isNotNull()), cls,
+                               "registro_subclasse_referential_integrity", "ID_Registro_Classe", 0.95,
+                               "raw.registro_subclasse", requires=both))
     parts.append(V.known_values(sub, "registro_subclasse_previdenciario_yn", "Previdenciario", KNOWN_YN, "raw.registro_subclasse"))
 
     adm, _, p = _snapshot_block(spark, raw["taxa_adm"], ref, "taxa_adm", "raw.cad_fi_hist_taxa_adm", None)
@@ -210,16 +204,11 @@ def staging_checks(stg: Mapping[str, DataFrame], settings: Settings, quotes_star
 
     anb, snap_a, p = _snapshot_block(spark, stg["anbima"], ref, "anbima_staging", "staging.anbima", 14)
     parts += p
-    rules = [
+    parts.append(V.evaluate(anb, [
         V.row_count("anbima_staging_row_count", "staging.anbima"),
         V.no_nulls("anbima_fund_cnpj_not_null", "fund_cnpj", "staging.anbima"),
-    ]
-    if snap_a is not None:
-        rules.append(V.null_rate("anbima_redemption_days_null_rate", "redemption_days", 0.5, "warning", "< 50%"))
-    parts.append(V.evaluate(anb, rules))
-    if snap_a is None:
-        parts.append(V._one(spark, "anbima_redemption_days_null_rate", "warning", F.lit(False), F.lit(None), "< 50%",
-                            F.lit("no snapshot")))
+        V.null_rate("anbima_redemption_days_null_rate", "redemption_days", 0.5, "warning", "< 50%", requires=snap_a),
+    ]))
     parts.append(V.pk_unique(anb, "anbima_pk_unique", ["fund_cnpj", "subclass_id"], "staging.anbima"))
     return V.with_context(_union(parts), "validate_staging", "staging", ref)
 
