@@ -94,7 +94,7 @@ def test_incremental_quote_load_equals_full_rebuild(spark, tmp_path_factory):
     raw = B.fx_inf_diario(spark, sf)
     cut = F.lit(date(2000, 1, 1)).cast("date")
     T.write_timeseries(S.clean_quotes(raw.where(F.col("DT_COMPTC") < cut)), r.path("staging", "daily_quotes"))
-    (U.quote_month_summary(r.quotes()).write.partitionBy("quote_month")
+    (U.quote_month_summary(r.quotes()).write.partitionBy("quote_year")
      .parquet(r.path("staging", "quote_month_summary")))
     months = r.load_quotes_increment(raw.where(F.col("DT_COMPTC") >= cut))
     assert months and months[0] == "2000-01"

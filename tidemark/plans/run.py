@@ -72,7 +72,7 @@ class LayerRun:
     def stage_quotes(self) -> None:
         T.write_timeseries(S.clean_quotes(B.fx_inf_diario(self.spark, self.sf_dir)), self.path("staging", "daily_quotes"))
         # per (series, month) span and count, partitioned like the quotes
-        (U.quote_month_summary(self.quotes()).write.mode("overwrite").partitionBy("quote_month")
+        (U.quote_month_summary(self.quotes()).write.mode("overwrite").partitionBy("quote_year")
          .parquet(self.path("staging", "quote_month_summary")))
 
     def load_quotes_increment(self, raw_batch: DataFrame) -> list[str]:
@@ -91,9 +91,18 @@ class LayerRun:
             return []
         T.upsert_timeseries(self.spark, clean, qpath, [*S.SERIES_KEY, "date"], "date",
                             staging_root=self.path("staging", "_upsert_stage"))
+        # refresh the summary: the touched years keep their other months' rows and get
+        # the touched months recomputed; staged first, then swapped in by partition
+        spath = self.path("staging", "quote_month_summary")
+        years = sorted({int(m[:4]) for m in months})
         touched = self.spark.read.parquet(qpath).where(F.col("quote_month").isin(months)).drop("quote_month")
-        (U.quote_month_summary(touched).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("quote_month").parquet(self.path("staging", "quote_month_summary")))
+        kept = (self.spark.read.parquet(spath).where(F.col("quote_year").isin(years))
+                .where(~F.col("quote_month").isin(months)))
+        fresh = U.quote_month_summary(touched)
+        stage = self.path("staging", "_summary_stage")
+        kept.unionByName(fresh.select(*kept.columns)).write.mode("overwrite").partitionBy("quote_year").parquet(stage)
+        (self.spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("quote_year").parquet(spath))
         return months
 
     def stage_dimensions(self) -> None:

@@ -97,7 +97,8 @@ def seed_rows(staged_by_month: DataFrame, summary: DataFrame, first) -> DataFram
     """
     first_month = first.strftime("%Y-%m")
     f = F.lit(first).cast("date")
-    from_summary = summary.where(F.col("quote_month") < F.lit(first_month)).select(*SERIES_KEY, F.col("last_date").alias("d"))
+    from_summary = (summary.where(F.col("quote_year") <= F.lit(first.year))
+                    .where(F.col("quote_month") < F.lit(first_month)).select(*SERIES_KEY, F.col("last_date").alias("d")))
     same_month = (staged_by_month.where((F.col("quote_month") == F.lit(first_month)) & (F.col("date") < f))
                   .select(*SERIES_KEY, F.col("date").alias("d")))
     last = from_summary.unionByName(same_month).groupBy(*SERIES_KEY).agg(F.max("d").alias("date"))

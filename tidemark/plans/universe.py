@@ -64,11 +64,12 @@ def quote_stats(quotes: DataFrame, ref: date, lookback_days: int) -> DataFrame:
 
 def quote_month_summary(quotes: DataFrame) -> DataFrame:
     """Per (series, calendar month): first date, last date, row count. Written next
-    to the staged quotes (and refreshed for the months an upsert touches), it lets
-    the universe read full-history span and density from series x months rows
-    instead of scanning every quote."""
+    to the staged quotes, partitioned by year (and refreshed for the months an
+    upsert touches), it lets the universe read full-history span and density from
+    series x months rows instead of scanning every quote."""
     return quotes.groupBy(*SERIES_KEY, F.date_format("date", "yyyy-MM").alias("quote_month")).agg(
-        F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count(F.lit(1)).alias("n_rows"))
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"), F.count(F.lit(1)).alias("n_rows")
+    ).withColumn("quote_year", F.substring("quote_month", 1, 4).cast("int"))
 
 
 def quote_stats_from_summary(summary: DataFrame, recent_quotes: DataFrame, ref: date, lookback_days: int) -> DataFrame:
@@ -79,7 +80,8 @@ def quote_stats_from_summary(summary: DataFrame, recent_quotes: DataFrame, ref:
     r = F.lit(ref).cast("date")
     ref_month = ref.strftime("%Y-%m")
     start = F.lit(ref - timedelta(days=lookback_days)).cast("date")
-    old = summary.where(F.col("quote_month") < F.lit(ref_month)).select(*SERIES_KEY, "first_date", "last_date", "n_rows")
+    old = (summary.where(F.col("quote_year") <= F.lit(ref.year))   # partition pruning
+           .where(F.col("quote_month") < F.lit(ref_month)).select(*SERIES_KEY, "first_date", "last_date", "n_rows"))
     cur = (
         recent_quotes.where((F.date_format("date", "yyyy-MM") == F.lit(ref_month)) & (F.col("date") <= r))
         .groupBy(*SERIES_KEY)
