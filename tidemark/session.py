@@ -12,8 +12,13 @@ import tempfile
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "tidemark") -> SparkSession:
-    """Session for tests and the local bench. On a cluster, use the cluster's own session."""
+def build_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "tidemark",
+                  driver_memory: str | None = None) -> SparkSession:
+    """Session for tests and the local bench. On a cluster, use the cluster's own session.
+
+    In local mode the driver JVM runs every task, so its heap is the engine's
+    memory: it is sized explicitly (default 1 GB would be far too small).
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -27,6 +32,9 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     )
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            builder = builder.config("spark.driver.memory",
+                                     driver_memory or os.environ.get("TIDEMARK_DRIVER_MEMORY", "12g"))
     return builder.getOrCreate()
 
 
