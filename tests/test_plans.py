@@ -78,11 +78,16 @@ def test_no_cross_products(layers, no_aqe, layer):
     assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
 
 
-def test_rankings_rank_windows_are_partitioned(layers, no_aqe):
+def test_rankings_rank_windows_are_split(layers, no_aqe):
     plan = _plan(R.build_rankings(layers.mart("metrics"), layers.settings))
-    # percentile ranks partition by (investor_type, feature), segment ranks by segment
-    assert re.search(r"Window \[.*\], \[investor_type#\d+, feature#\d+\]", plan)
-    assert re.search(r"Window \[.*\], \[purpose#\d+, profile#\d+, investor_type#\d+\]", plan)
+    # percentile ranks run per (investor_type, feature, value bucket), segment ranks per
+    # (segment, value bucket): no window partition holds a whole investor type or segment
+    assert re.search(r"Window \[.*\], \[investor_type#\d+, feature#\d+, __b#\d+\]", plan)
+    assert re.search(r"Window \[.*\], \[purpose#\d+, profile#\d+, investor_type#\d+, __b#\d+\]", plan)
+    # a window on (investor_type, feature) alone only runs over the per-bucket totals (<= 32 rows a group)
+    for line in plan.splitlines():
+        if re.search(r"Window \[.*\], \[investor_type#\d+, feature#\d+\], \[", line):
+            assert "__tot" in line
 
 
 def test_top_n_uses_group_limit_before_shuffle(spark, layers, no_aqe):
