@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +35,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, step: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` after handing this package to the executors, which need not have it installed."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        base = os.path.join(tempfile.mkdtemp(prefix="tidemark-package-"), os.path.basename(package))
+        sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(sc.applicationId)
+    return df.mapInArrow(step, schema)
+
+
 def texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """A text column as one large_string array, nulls as empty texts."""
     if isinstance(column, pa.ChunkedArray):

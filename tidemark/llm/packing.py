@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import map_arrow, stored
 from .tokens import VOCABULARY, crc, encoder
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -47,7 +47,7 @@ def pieces(docs: DataFrame, capacity: int, end_id: int, vocabulary: str = VOCABU
                      pa.array(length, pa.int64()), pa.array(crcs, pa.int64())],
                     ["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(cut, PIECES)
+    return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), cut, PIECES)
 
 
 def enumerate_patterns(counts: np.ndarray, capacity: int, grid: int = 24) -> np.ndarray:
@@ -208,4 +208,4 @@ def pack(docs: DataFrame, capacity: int = 4096, end_id: int = 1, vocabulary: str
             yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array(sequence, pa.int64()), pa.array(offset, pa.int64())],
                                              ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"])
 
-    return ranked.mapInArrow(look_up, PACKED)
+    return map_arrow(ranked, look_up, PACKED)

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, range_coder
+from . import language, mixing, packing, range_coder
 from .common import table
 
 
@@ -15,10 +15,18 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
 
 
+def op7_weighted_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0)
+
+
 def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_coder.round_trip(table(spark, sf_dir, "documents"), end_id=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op8_token_blocks)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op7_weighted_fair_mixing, op8_token_blocks, op10_language_id)}
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op7_weighted_fair_mixing": mixing.ORACLE}

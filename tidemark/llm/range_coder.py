@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import map_arrow, stored
 from .tokens import VOCABULARY, crc, encoder
 
 MAGIC, VERSION = b"TIDC", 1
@@ -268,7 +268,7 @@ def encode_documents(docs: DataFrame, end_id: int = 2, vocabulary: str = VOCABUL
             yield close()
 
     ordered = docs.select(F.col("doc_id").cast("long"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return ordered.mapInArrow(blocks, BLOCKS)
+    return map_arrow(ordered, blocks, BLOCKS)
 
 
 def decode_documents(blocks: DataFrame) -> DataFrame:
@@ -293,7 +293,7 @@ def decode_documents(blocks: DataFrame) -> DataFrame:
     parts = parts.select("part", running(Window.orderBy("part"), "n").alias("part_start"))  # one row per file
     starts = sizes.join(parts, "part").select(
         "part", "block", (F.col("part_start") + running(Window.partitionBy("part").orderBy("block"), "n_ids")).alias("block_start"))
-    decoded = blocks.select("part", "block", "payload").mapInArrow(documents, DOCUMENTS)
+    decoded = map_arrow(blocks.select("part", "block", "payload"), documents, DOCUMENTS)
     return decoded.join(starts, ["part", "block"]).select(
         "doc_id", (F.col("block_start") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
