@@ -11,7 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, GroupedData, SparkSession
 
 from ..session import shared_path
 
@@ -38,17 +38,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
-def map_arrow(df: DataFrame, step: Callable, schema) -> DataFrame:
-    """``df.mapInArrow`` after handing this package to the executors, which need not have it installed."""
-    sc = df.sparkSession.sparkContext
+def _ship_package(spark: SparkSession) -> None:
+    """Hand this package to the executors, which need not have it installed."""
+    sc = spark.sparkContext
     if sc.applicationId not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         base = os.path.join(tempfile.mkdtemp(prefix="tidemark-package-"), os.path.basename(package))
         sc.addPyFile(shutil.make_archive(base, "zip", os.path.dirname(package), os.path.basename(package)))
         _shipped.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, step: Callable, schema) -> DataFrame:
+    """``df.mapInArrow`` with this package on the executors."""
+    _ship_package(df.sparkSession)
     return df.mapInArrow(step, schema)
 
 
+def group_arrow(groups: GroupedData, step: Callable, schema) -> DataFrame:
+    """``groups.applyInArrow`` with this package on the executors."""
+    _ship_package(groups.session)
+    return groups.applyInArrow(step, schema)
+
+
 def texts(column: pa.Array | pa.ChunkedArray) -> pa.Array:
     """A text column as one large_string array, nulls as empty texts."""
     if isinstance(column, pa.ChunkedArray):

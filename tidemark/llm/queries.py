@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import language, mixing, packing, range_coder
+from . import collision_search, language, max_score, mixing, packing, range_coder, url_filter
 from .common import table
 
 
@@ -15,6 +15,18 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
 
 
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.classify(table(spark, sf_dir, "pages"))
+
+
+def op4_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collision_search.nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op5_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return max_score.top_scores(table(spark, sf_dir, "embeddings"))
+
+
 def op7_weighted_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0)
 
@@ -27,6 +39,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_best_fit_packing, op7_weighted_fair_mixing, op8_token_blocks, op10_language_id)}
+QUERIES = {f.__name__: f for f in (
+    op1_best_fit_packing, op3_url_filter, op4_collision_search, op5_max_score, op7_weighted_fair_mixing, op8_token_blocks,
+    op10_language_id)}
 
-ORACLE: dict[str, str] = {"op7_weighted_fair_mixing": mixing.ORACLE}
+ORACLE: dict[str, str] = {"op5_max_score": max_score.ORACLE, "op7_weighted_fair_mixing": mixing.ORACLE}
