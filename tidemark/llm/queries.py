@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import collision_search, language, max_score, mixing, packing, range_coder, url_filter
+from . import collision_search, language, max_score, mixing, near_copies, packing, range_coder, url_filter
 from .common import table
 
 
@@ -35,12 +35,16 @@ def op8_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return range_coder.round_trip(table(spark, sf_dir, "documents"), end_id=2)
 
 
+def op9_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_copies.near_copies(table(spark, sf_dir, "documents"), words=2)
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op3_url_filter, op4_collision_search, op5_max_score, op7_weighted_fair_mixing, op8_token_blocks,
-    op10_language_id)}
+    op9_signature_join, op10_language_id)}
 
 ORACLE: dict[str, str] = {"op5_max_score": max_score.ORACLE, "op7_weighted_fair_mixing": mixing.ORACLE}
