@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import shutil
 import tempfile
@@ -32,6 +33,9 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, "tidemark-llm", f"{label}-{uuid.uuid4().hex}")
     df.write.parquet(path)
+    # shuffle files of finished steps go when the driver's JVM collects their handles; a long job must not wait for that
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

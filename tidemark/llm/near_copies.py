@@ -80,10 +80,10 @@ def shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
         if b - a >= words:
             pieces.append(np.unique(rolled[a : b - words + 1]))
         elif b > a:
-            whole = np.uint64(b - a)
-            for h in hashes[a:b]:
-                whole = mix64(np.array([whole * _BASE + h]))[0]
-            pieces.append(np.array([whole]))
+            whole = np.full(1, b - a, np.uint64)
+            for k in range(a, b):
+                whole = mix64(whole * _BASE + hashes[k : k + 1])
+            pieces.append(whole)
         else:
             pieces.append(np.zeros(0, np.uint64))
     ends = np.concatenate([[0], np.cumsum([len(p) for p in pieces])]).astype(np.int64)

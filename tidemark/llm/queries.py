@@ -6,8 +6,9 @@ Every query applies its operator to the whole of its table and returns the whole
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import collision_search, language, max_score, mixing, near_copies, packing, range_coder, url_filter
+from . import collision_search, fuzzy_lines, language, max_score, mixing, near_copies, packing, range_coder, url_filter
 from .common import table
 
 
@@ -27,6 +28,11 @@ def op5_max_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return max_score.top_scores(table(spark, sf_dir, "embeddings"))
 
 
+def op6_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fuzzy_lines.dedup_lines(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op7_weighted_fair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, cap=2.0)
 
@@ -44,7 +50,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_url_filter, op4_collision_search, op5_max_score, op7_weighted_fair_mixing, op8_token_blocks,
+    op1_best_fit_packing, op3_url_filter, op4_collision_search, op5_max_score, op6_fuzzy_lines, op7_weighted_fair_mixing, op8_token_blocks,
     op9_signature_join, op10_language_id)}
 
 ORACLE: dict[str, str] = {"op5_max_score": max_score.ORACLE, "op7_weighted_fair_mixing": mixing.ORACLE}
