@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collision_search, fuzzy_lines, language, max_score, mixing, near_copies, packing, range_coder, url_filter
+from . import collision_search, column_dedup, fuzzy_lines, language, max_score, mixing, near_copies, packing, range_coder, url_filter
 from .common import table
 
 
@@ -16,6 +16,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), capacity=4096, end_id=1)
 
 
+def op2_column_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return column_dedup.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.classify(table(spark, sf_dir, "pages"))
 
@@ -50,7 +54,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_best_fit_packing, op3_url_filter, op4_collision_search, op5_max_score, op6_fuzzy_lines, op7_weighted_fair_mixing, op8_token_blocks,
+    op1_best_fit_packing, op2_column_dedup, op3_url_filter, op4_collision_search, op5_max_score, op6_fuzzy_lines, op7_weighted_fair_mixing, op8_token_blocks,
     op9_signature_join, op10_language_id)}
 
 ORACLE: dict[str, str] = {"op5_max_score": max_score.ORACLE, "op7_weighted_fair_mixing": mixing.ORACLE}
