@@ -2,10 +2,13 @@
 
 Items are posted under keys (shared signature values); items under one key are candidates of each other. Two passes:
 
-1. Star: under every key each item is compared with the key's smallest item. Pairs that match and are confirmed join.
+1. Star: under every key each item is compared with the key's center, the item of the greatest ``weight`` (then the smallest).
+   Pairs that match and are confirmed join. The weight should favour the original of a group of copies.
 2. Rest: only keys whose items still lie in different components are looked at again; there every item outside the
    key's largest component is compared with all items of other components. So no matching pair between components
-   goes unchecked, while a large group of copies, one component after the first pass, costs one pair per copy.
+   goes unchecked, while a large group of copies, one component after the first pass, costs one pair per copy. First all
+   items of such a key are confirmed against the hub of its largest component, the item of the greatest weight; what that
+   tells of two items' differences from it can rule out the pair (``near``).
 
 Components come from repeated minimum labels over stored tables. All steps are DataFrame operations; keys with very many
 items are joins that Spark splits where skewed, or aggregates with partial sums.
@@ -41,33 +44,43 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("id", "component")
 
 
-def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm: Callable[[DataFrame], DataFrame]) -> DataFrame:
+def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm: Callable[[DataFrame], DataFrame],
+           near: Callable[[Column, Column, Column, Column], Column] | None = None) -> DataFrame:
     """id, component of items that are linked with another one.
 
-    ``posts`` has key, id and a struct ``item`` that ``match`` compares; it is read several times, so it should come
-    from a stored table. ``confirm`` keeps those of the pairs (a, b), a < b, that are links.
+    ``posts`` has key, id, weight and a struct ``item`` that ``match`` compares; it is read several times, so it should come
+    from a stored table. ``confirm`` returns every pair (a, b), a < b, that it is given with ``linked`` and ``gap``, anything
+    about the difference of the two. ``near(item, gap, other item, other gap)`` may say false for two items that their gaps
+    to a common center show to be no link.
     """
-    centers = posts.groupBy("key").agg(F.min(F.struct("id", "item")).alias("center"), F.count("*").alias("n"))
+    centers = posts.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "id", "item")).alias("center"), F.count("*").alias("n"))
     centers = stored(centers.where(F.col("n") > 1).select("key", "center"), "centers")
     star = posts.join(centers, "key").where((F.col("id") != F.col("center.id")) & match(F.col("item"), F.col("center.item")))
-    star = stored(star.select(F.col("center.id").alias("a"), F.col("id").alias("b")).distinct(), "star")
-    first = stored(confirm(star), "links")
-    found = components(first)
+    star = stored(star.select(F.least("id", "center.id").alias("a"), F.greatest("id", "center.id").alias("b")).distinct(), "star")
+    judged = stored(confirm(star), "star-judged")
+    found = components(judged.where("linked").select("a", "b"))
 
     tagged = posts.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     per = tagged.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
-    mixed = stored(mixed.where(F.col("kinds") > 1).select("key", F.col("most.component").alias("main")), "mixed")
-    open_posts = stored(tagged.join(mixed, "key"), "open-posts")
-    few = open_posts.where(F.col("component") != F.col("main")).select(
-        "key", F.col("id").alias("a"), F.col("item").alias("a_item"), F.col("component").alias("a_component"))
+    mixed = mixed.where(F.col("kinds") > 1).select("key", F.col("most.component").alias("main"))
+    hubs = tagged.groupBy("component").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub"))
+    mixed = stored(mixed.join(hubs.withColumnRenamed("component", "main"), "main"), "mixed")
+    open_posts = stored(tagged.join(mixed, "key").select(
+        "key", "id", "item", "component", "main", F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")), "open-posts")
+    again = open_posts.where(F.col("a") != F.col("b")).select("a", "b").distinct().join(judged, ["a", "b"], "left_anti")
+    judged = stored(judged.unionByName(confirm(stored(again, "hubs"))), "judged")
+    open_posts = stored(open_posts.join(judged.drop("linked"), ["a", "b"], "left").drop("a", "b"), "open-posts")
+    few = open_posts.where(F.col("component") != F.col("main")).select("key", *[F.col(c).alias(f"a_{c}") for c in ("id", "item", "component", "gap")])
+    apart = F.lit(False)
+    if near is not None:
+        apart = F.coalesce(~near(F.col("a_item"), F.col("a_gap"), F.col("item"), F.col("gap")), F.lit(False))
     pairs = few.join(open_posts, "key").where(
-        (F.col("a_component") != F.col("component"))
-        & ((F.col("component") == F.col("main")) | (F.col("a") < F.col("id")))
-        & match(F.col("a_item"), F.col("item")))
-    pairs = pairs.select(F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")).distinct()
-    rest = stored(pairs.join(star, ["a", "b"], "left_anti"), "rest")
+        (F.col("a_component") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("a_id") < F.col("id")))
+        & ~apart & match(F.col("a_item"), F.col("item")))
+    pairs = pairs.select(F.least("a_id", "id").alias("a"), F.greatest("a_id", "id").alias("b")).distinct()
+    rest = stored(pairs.join(judged, ["a", "b"], "left_anti"), "rest")
     if rest.isEmpty():
-        return found
-    more = confirm(rest)
-    return components(first.unionByName(more))
+        return components(judged.where("linked").select("a", "b"))
+    more = judged.unionByName(confirm(rest)).where("linked").select("a", "b")
+    return components(more)

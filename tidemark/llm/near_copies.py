@@ -1,14 +1,18 @@
 """Near copies of whole documents by a signature-coordinate inverted join.
 
-1. One pass over the texts makes each document's set of word shingles, its size, a 128-bit fingerprint of the set, and a
-   MinHash signature of ``COORDINATES`` values. Documents with equal sets are one class from here on.
-2. Every class is posted under (coordinate, value) pairs. Of ``COORDINATES`` values at least ``MATCHES`` must collide, so
-   two such classes share one of the first ``COORDINATES`` - ``MATCHES`` + 1 coordinates: only that prefix is posted.
-   Under a key the collisions of two signatures are counted; counting is skipped where set sizes alone rule a link out.
-3. Pairs above the threshold are confirmed on the full shingle sets of their texts, with integers.
-4. Linked classes form components (``links.py``); a document's component is named after its smallest doc_id.
-
-The signature test misses a pair of similarity 0.8 with a probability of about 1 in 20,000 and closer ones far more rarely.
+1. One pass over the texts makes each document's set of word shingles, its size, a 128-bit fingerprint of the set, and
+   ``COUNTED`` MinHash values. Documents with equal sets are one class from here on.
+2. Every class has ``COORDINATES`` keys, its first (coordinate, value) pairs. At least ``MATCHES`` of them must collide, so with
+   all keys ordered by how many classes have them, two such classes share one of their ``COORDINATES`` - ``MATCHES`` + 1
+   rarest: only that prefix is posted, and keys that one class alone has are not posted at all. Values that very common
+   shingles lend to very many documents thus never gather postings. Under a key the collisions of two whole signatures
+   are counted (of one byte per value, seven to a long); counting is skipped where set sizes alone rule a link out.
+3. Pairs with ``COLLISIONS`` or more are confirmed on the full shingle sets of their texts, with integers.
+4. Linked classes form components (``links.py``); a document's component is named after its smallest doc_id. In a large
+   group of near copies, two that are no link are told apart by their differences from the group's center: a link's
+   differences must overlap (``_near``), and MinHash values of the differences show whether they do.
+
+The tests on signatures miss a pair of similarity 0.8 with a probability of about 1 in 10,000, closer ones far more rarely.
 
 Cases: a null or empty text, or one of white space only, has an empty set and is linked with nothing; fewer words than
 a shingle's count as one shingle; repeated rows share a class; a null doc_id is an item of its own class's component
@@ -28,6 +32,8 @@ from .links import linked
 
 COORDINATES, MATCHES = 32, 16
 PREFIX = COORDINATES - MATCHES + 1
+COUNTED, COLLISIONS = 126, 84
+_BYTES_LOW, _BYTES_TOP = 0x007F7F7F7F7F7F7F, 0x0080808080808080
 #: Links have 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 80
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -91,17 +97,23 @@ def shingle_sets(column: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _signatures(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """COORDINATES minima per non-empty set, as unsigned 32-bit values."""
-    seeds = np.random.default_rng(9).integers(1, 2**63, (2, COORDINATES), dtype=np.uint64) | np.uint64(1)
-    out = np.zeros((len(ends) - 1, COORDINATES), np.uint32)
+    """COUNTED minima per non-empty set, as unsigned 32-bit values."""
+    seeds = np.random.default_rng(9).integers(1, 2**63, (2, COUNTED), dtype=np.uint64) | np.uint64(1)
+    out = np.zeros((len(ends) - 1, COUNTED), np.uint32)
     full = np.flatnonzero(np.diff(ends))
     if len(full):
-        for j in range(COORDINATES):
+        for j in range(COUNTED):
             out[full, j] = np.minimum.reduceat(((sets ^ seeds[1, j]) * seeds[0, j]) >> np.uint64(32), ends[full]).astype(np.uint32)
     return out
 
 
-PRINTS = "doc_id long, n_shingles long, print binary, signature array<int>"
+def _packed(signatures: np.ndarray) -> np.ndarray:
+    """The values' low bytes, seven to a long."""
+    low = (signatures & np.uint32(255)).astype(np.int64).reshape(len(signatures), -1, 7)
+    return (low << (8 * np.arange(7))).sum(2)
+
+
+PRINTS = "doc_id long, n_shingles long, print binary, signature array<int>, packed array<long>"
 
 
 def prints(docs: DataFrame, words: int) -> DataFrame:
@@ -119,17 +131,21 @@ def prints(docs: DataFrame, words: int) -> DataFrame:
                     other = mix64(sets ^ _BASE)
                     sums[full, 0] = np.add.reduceat(sets, ends[full])
                     sums[full, 1] = np.bitwise_xor.reduceat(other, ends[full]) + np.add.reduceat(other >> np.uint64(7), ends[full])
-                signature = _signatures(sets, ends).view(np.int32)
+                signature = _signatures(sets, ends)
+                packed = _packed(signature)
+                lists = lambda x, kind: pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(np.ascontiguousarray(x).ravel(), kind))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).slice(a, b - a), pa.array(n, pa.int64()), pa.array([r.tobytes() for r in sums], pa.binary()),
-                     pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * COORDINATES, pa.int32()), pa.array(signature.ravel()))],
-                    ["doc_id", "n_shingles", "print", "signature"])
+                     lists(np.ascontiguousarray(signature[:, :COORDINATES]).view(np.int32), pa.int32()), lists(packed, pa.int64())],
+                    ["doc_id", "n_shingles", "print", "signature", "packed"])
 
     return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), one, PRINTS)
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """Those of the pairs (a, b) of doc_ids whose full shingle sets are similar enough.
+    """a, b, linked, gap of every pair (a, b) of doc_ids, judged on the full shingle sets.
+
+    The gap holds the number of shingles that one of the two alone has, and their packed MinHash values.
 
     The texts of a pair meet in one row group: each smaller document goes once to every share of its partners, a share
     holding some hundreds of them, so a document with very many partners is spread over tasks.
@@ -156,31 +172,68 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
                         key, center = (a[i], share[i]), one
                         continue
                     both = len(np.intersect1d(center, one, assume_unique=True))
-                    if 100 * both >= SIMILARITY * (len(center) + len(one) - both):
-                        found.append((a[i], own[i]))
-                yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([x for _, x in found], pa.int64())], ["a", "b"])
+                    union = len(center) + len(one) - both
+                    alone = np.setxor1d(center, one, assume_unique=True)
+                    packed = _packed(_signatures(alone, np.array([0, len(alone)])))[0].tolist()
+                    found.append((a[i], own[i], 100 * both >= SIMILARITY * union, {"n": len(alone), "packed": packed}))
+                columns = zip(*found) if found else ([], [], [], [])
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "linked", "gap"])
 
-    return map_arrow(carried, judge, "a long, b long").distinct()
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.struct([("n", pa.int64()), ("packed", pa.list_(pa.int64()))]))
+    judged = map_arrow(carried, judge, "a long, b long, linked boolean, gap struct<n:long,packed:array<long>>")
+    return judged.dropDuplicates(["a", "b"])
+
+
+def _collisions(one: Column, other: Column) -> Column:
+    """Equal bytes of two packed signatures."""
+    low, top = F.lit(_BYTES_LOW), F.lit(_BYTES_TOP)
+    apart = [F.get(one, i).bitwiseXOR(F.get(other, i)) for i in range(COUNTED // 7)]
+    return F.lit(COUNTED) - sum((F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(top)) for x in apart), F.lit(0))
 
 
 def _match(one: Column, other: Column) -> Column:
     """Set sizes that allow a link, and enough colliding coordinates."""
     small, large = F.least(one.n, other.n), F.greatest(one.n, other.n)
-    same = F.aggregate(F.zip_with(one.signature, other.signature, lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-    return (small * 100 >= large * SIMILARITY) & (same >= MATCHES)
+    return (small * 100 >= large * SIMILARITY) & (_collisions(one.packed, other.packed) >= COLLISIONS)
+
+
+def _near(one: Column, one_gap: Column, other: Column, other_gap: Column) -> Column:
+    """Whether two sets may be a link, by their differences A and B from a common center.
+
+    The sets differ in A xor B, of which a link has at most (n + m) * (1 - s) / (1 + s) elements; so A and B share at least
+    half of |A| + |B| less that, and their similarity has a least value. Collisions four deviations below it rule it out.
+    """
+    most = (one.n + other.n) * ((100 - SIMILARITY) / (100 + SIMILARITY))
+    shared = (one_gap.n + other_gap.n - most) / 2
+    least = F.greatest(F.lit(0.0), shared / F.greatest(F.lit(1.0), one_gap.n + other_gap.n - shared))
+    bound = COUNTED * least - 4 * F.sqrt(COUNTED * least * F.greatest(F.lit(0.0), 1 - least))
+    return (shared <= F.least(one_gap.n, other_gap.n)) & (_collisions(one_gap.packed, other_gap.packed) >= bound)
+
+
+def _postings(classes: DataFrame) -> DataFrame:
+    """key, id, weight, item: every class under those of its rarest keys that another class has as well.
+
+    The weight is the number of posts that all of a class's keys have: copies differ from their original in keys of
+    their own, so the original of a group has the greatest.
+    """
+    pairs = classes.select("id", F.posexplode("signature").alias("coordinate", "value"))
+    keys = pairs.select("id", (F.col("coordinate") * F.lit(1 << 32) + F.col("value")).alias("key"))
+    shared = stored(keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1), "shared-keys")
+    ordered = F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(1)).alias("n"), "key")))  # COORDINATES entries
+    rarest = keys.join(shared, "key", "left").groupBy("id").agg(
+        F.filter(F.slice(ordered, 1, PREFIX), lambda k: k.n > 1).alias("keys"), F.sum(F.coalesce("n", F.lit(1))).alias("weight"))
+    posts = rarest.where(F.size("keys") > 0).join(classes, "id").select("id", "weight", "keys.key", F.struct("n", "packed").alias("item"))
+    return stored(posts, "posts").select("id", "weight", F.explode("key").alias("key"), "item")
 
 
 def near_copies(docs: DataFrame, words: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row."""
     made = stored(prints(docs, words), "prints")
     classes = made.where(F.col("n_shingles") > 0).groupBy("print", "n_shingles").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "signature")).alias("first"))
-    classes = stored(classes.select("print", F.col("first.doc_id").alias("id"), F.col("n_shingles").alias("n"), "first.signature"), "classes")
-    key = F.posexplode(F.slice("signature", 1, PREFIX)).alias("coordinate", "value")
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "signature", "packed")).alias("first"))
+    classes = stored(classes.select("print", F.col("first.doc_id").alias("id"), F.col("n_shingles").alias("n"), "first.signature", "first.packed"), "classes")
     named = classes.where(F.col("id").isNotNull())
-    posts = named.select("id", F.struct("n", "signature").alias("item"), key).select(
-        (F.col("coordinate") * F.lit(1 << 32) + F.col("value")).alias("key"), "id", "item")
-    found = linked(posts, _match, lambda pairs: confirmed(pairs, docs, words))
+    found = linked(_postings(named), _match, lambda pairs: confirmed(pairs, docs, words), _near)
     groups = classes.join(found, "id", "left").select("print", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     groups = stored(groups, "groups")
     return made.select("doc_id", "n_shingles", "print").join(groups, ["print", "n_shingles"], "left").select(

@@ -122,16 +122,25 @@ def _shifted(slots: tuple, bins: int) -> tuple:
 
 
 def pack_plan(histogram: dict[int, int], capacity: int) -> dict[str, np.ndarray]:
-    """Slots (length, lo, hi, copies, base, offset): ranks lo..hi of a length, ``copies`` to a sequence from ``base``."""
+    """Slots (length, lo, hi, copies, base, offset): ranks lo..hi of a length, ``copies`` to a sequence from ``base``.
+
+    With few documents rounding costs more than patterns gain, so the fit is rounded in full, by half and not at all,
+    and the plan with the fewest sequences is taken.
+    """
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in histogram.items():
         counts[length] = n
-    bins, left, rank = _Bins(capacity), counts.copy(), np.zeros(capacity + 1, np.int64)
-
     patterns = enumerate_patterns(counts, capacity) if counts.any() else np.zeros((0, 4), np.int64)
-    fitted = fit_counts(patterns, counts) if len(patterns) else []
+    fitted = fit_counts(patterns, counts) if len(patterns) else np.zeros(0)
+    plans = [_rounded_plan(counts, patterns, fitted * share) for share in (1.0, 0.5, 0.0)]
+    return min(plans, key=lambda plan: int(plan["sequences"][0]))
+
+
+def _rounded_plan(counts: np.ndarray, patterns: np.ndarray, fitted: np.ndarray) -> dict[str, np.ndarray]:
+    capacity = len(counts) - 1
+    bins, left, rank = _Bins(capacity), counts.copy(), np.zeros(capacity + 1, np.int64)
     carry, longest = 0.0, -1
-    for pattern, x in zip(patterns.tolist(), fitted):
+    for pattern, x in zip(patterns.tolist(), fitted.tolist()) if fitted.any() else ():
         if pattern[0] != longest:
             carry, longest = 0.0, pattern[0]
         lengths = [n for n in pattern if n]
