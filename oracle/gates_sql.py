@@ -131,7 +131,7 @@ cte("ingestion_results", _ctx("validate_ingestion", "raw", union([
     kv("registro_subclasse_previdenciario_yn", "Previdenciario", G.KNOWN_YN, slice_of("raw_registro_subclasse")),
     snap_exists("taxa_adm_snapshot_exists", "raw_taxa_adm"),
     rc("taxa_adm_row_count", slice_of("raw_taxa_adm")),
-    cw("taxa_adm_no_ambiguous_values", "TAXA_ADM > 5 AND TAXA_ADM < 20", "warning", slice_of("raw_taxa_adm")),
+    cw("taxa_adm_no_ambiguous_values", "TRY_CAST(TAXA_ADM AS DOUBLE) > 5 AND TRY_CAST(TAXA_ADM AS DOUBLE) < 20", "warning", slice_of("raw_taxa_adm")),
     snap_exists("taxa_perfm_snapshot_exists", "raw_taxa_perfm"),
     rc("taxa_perfm_row_count", slice_of("raw_taxa_perfm")),
     snap_exists("extrato_fi_snapshot_exists", "raw_extrato"),
@@ -142,8 +142,9 @@ cte("ingestion_results", _ctx("validate_ingestion", "raw", union([
     kv("anbima_estrutura_known", "Estrutura", G.KNOWN_ESTRUTURA, slice_of("raw_anbima")),
     kv("anbima_tributacao_alvo_known", "Tributacao_Alvo", G.KNOWN_TRIBUTACAO_ALVO, slice_of("raw_anbima")),
     # schema rule: the characteristics view lacks Categoria_Anbima and Tipo_De_Investidor
-    row("anbima_required_columns_present", "error", "FALSE", "'Categoria_Anbima, Tipo_De_Investidor'",
-        "all required columns present", "(SELECT 1)"),
+    row("anbima_required_columns_present", "error", "n = 0", "NULL", "all required columns present",
+        "(SELECT COUNT(Cnpj_Da_Classe || Estrutura || Categoria_Anbima || Tipo_De_Investidor || Tributacao_Alvo || "
+        "Codigo_Cvm_Subclasse) FILTER (WHERE FALSE) AS n FROM raw_anbima)"),
 ])), "fx_inf_diario", "fx_cdi", "raw_registro_classe", "raw_registro_subclasse", "raw_taxa_adm", "raw_taxa_perfm",
     "raw_extrato", "raw_anbima")
 
@@ -187,7 +188,6 @@ cte("staging_results", _ctx("validate_staging", "staging", union([
     pk("anbima_pk_unique", ["fund_cnpj", "subclass_id"], slice_of("snap_anbima")),
 ])), "snap_registry", "stg_quotes", "snap_fees", "fx_cdi", "snap_anbima")
 
-_AT = f"reference_date = {REFD}"
 _combos = ", ".join(f"('{s.purpose}', '{s.profile}', '{s.investor_type}')" for s in ST.segments)
 cte("marts_results", _ctx("validate_marts", "marts", union([
     snap_exists("universe_snapshot_exists", "universe"),
@@ -201,29 +201,29 @@ cte("marts_results", _ctx("validate_marts", "marts", union([
     nn("metrics_fund_cnpj_not_null", "fund_cnpj", slice_of("metrics")),
     nn("metrics_ir_rate_not_null", "ir_rate", slice_of("metrics")),
     row("metrics_fund_count_reasonable", "warning", f"n >= {G.METRICS_MIN_FUNDS}", "n", f">= {G.METRICS_MIN_FUNDS} distinct funds",
-        f"(SELECT COUNT(DISTINCT fund_cnpj) FILTER (WHERE {_AT}) AS n FROM metrics)"),
-    cw("metrics_ir_rate_in_range", f"{_AT} AND (ir_rate < 0 OR ir_rate > 1)", "warning", "metrics"),
-    cw("metrics_investor_level_valid", f"{_AT} AND (investor_level IS NULL OR investor_level NOT IN (0, 1, 2))", "warning", "metrics"),
-    cw("metrics_no_negative_volatility", f"{_AT} AND volatility < 0", "error", "metrics"),
-    cw("metrics_max_drawdown_sign", f"{_AT} AND max_drawdown > 0", "error", "metrics"),
-    cw("metrics_pct_months_in_range", f"{_AT} AND (pct_months_above_cdi < 0 OR pct_months_above_cdi > 1)", "error", "metrics"),
-    cw("metrics_return_12m_bounds", f"{_AT} AND return_12m IS NOT NULL AND (return_12m < -0.9 OR return_12m > 1.0)",
-       "warning", "metrics", "0 outside (-90%, +100%)"),
-    cw("metrics_alpha_12m_net_extreme", f"{_AT} AND alpha_12m_net IS NOT NULL AND abs(alpha_12m_net) > 0.3",
-       "warning", "metrics", "0 with |alpha| > 30pp"),
-    cw("metrics_volatility_bounds", f"{_AT} AND volatility IS NOT NULL AND volatility > 5", "warning", "metrics",
+        f"(SELECT COUNT(DISTINCT fund_cnpj) AS n FROM {slice_of('metrics')})"),
+    cw("metrics_ir_rate_in_range", "ir_rate < 0 OR ir_rate > 1", "warning", slice_of("metrics")),
+    cw("metrics_investor_level_valid", "investor_level IS NULL OR investor_level NOT IN (0, 1, 2)", "warning", slice_of("metrics")),
+    cw("metrics_no_negative_volatility", "volatility < 0", "error", slice_of("metrics")),
+    cw("metrics_max_drawdown_sign", "max_drawdown > 0", "error", slice_of("metrics")),
+    cw("metrics_pct_months_in_range", "pct_months_above_cdi < 0 OR pct_months_above_cdi > 1", "error", slice_of("metrics")),
+    cw("metrics_return_12m_bounds", "return_12m IS NOT NULL AND (return_12m < -0.9 OR return_12m > 1.0)",
+       "warning", slice_of("metrics"), "0 outside (-90%, +100%)"),
+    cw("metrics_alpha_12m_net_extreme", "alpha_12m_net IS NOT NULL AND abs(alpha_12m_net) > 0.3",
+       "warning", slice_of("metrics"), "0 with |alpha| > 30pp"),
+    cw("metrics_volatility_bounds", "volatility IS NOT NULL AND volatility > 5", "warning", slice_of("metrics"),
        "0 with vol > 500%"),
-    cw("metrics_sharpe_not_extreme", f"{_AT} AND sharpe_excess IS NOT NULL AND abs(sharpe_excess) > 100", "warning",
-       "metrics", "0 with |Sharpe| > 100"),
+    cw("metrics_sharpe_not_extreme", "sharpe_excess IS NOT NULL AND abs(sharpe_excess) > 100", "warning",
+       slice_of("metrics"), "0 with |Sharpe| > 100"),
     pk("metrics_pk_unique", ["fund_cnpj", "subclass_id"], slice_of("metrics")),
     snap_exists("rankings_snapshot_exists", "rankings"),
     rc("rankings_row_count", slice_of("rankings")),
-    cw("rankings_score_in_range", f"{_AT} AND (score < 0 OR score > 1)", "warning", "rankings"),
+    cw("rankings_score_in_range", "score < 0 OR score > 1", "warning", slice_of("rankings")),
     pk("rankings_pk_unique", ["fund_cnpj", "subclass_id", "purpose", "profile", "investor_type"], slice_of("rankings")),
     row("rankings_combo_coverage", "warning", f"n = {len(ST.segments)}", f"CAST(n AS VARCHAR) || '/{len(ST.segments)}'",
         f"all {len(ST.segments)} combos present",
         f"(SELECT COUNT(*) AS n FROM (VALUES {_combos}) AS e(purpose, profile, investor_type) WHERE EXISTS "
-        f"(SELECT 1 FROM rankings r WHERE r.{_AT} AND r.purpose = e.purpose AND r.profile = e.profile "
+        f"(SELECT 1 FROM {slice_of('rankings')} r WHERE r.purpose = e.purpose AND r.profile = e.profile "
         f"AND r.investor_type = e.investor_type))"),
 ])), "universe", "metrics", "rankings")
 

@@ -145,6 +145,33 @@ _top = f"""(
   WHERE position <= {ST.top_n})"""
 ORACLE["top_n_per_segment"] = compose(final(SEG + TOP_COLS + ["position", "eligible_funds"], _top), "rankings")
 
+
+
+def _shown(fmt: str, col: str, factor: str = "1e0") -> str:
+    return f"CASE WHEN {col} IS NOT NULL THEN printf('{fmt}', {col} * {factor}) END"
+
+
+ORACLE["display_table"] = compose(f"""
+SELECT {', '.join(SEG)}, position, fund_cnpj, fund_name,
+       {_shown('%+.2f%%', 'return_annualized_net', '100e0')} AS return_annualized, {_shown('%+.2f%%', 'alpha_12m_net', '100e0')} AS alpha_12m,
+       {_shown('%+.2f%%', 'return_12m_net', '100e0')} AS return_12m, {_shown('%.2f', 'sharpe_excess')} AS sharpe,
+       {_shown('%.0f%%', 'pct_months_above_cdi', '100e0')} AS months_above, {_shown('%.2f%%', 'max_drawdown', '100e0')} AS max_drawdown,
+       {_shown('D+%.0f', 'redemption_days')} AS redemption, {_shown('%.2f%%', 'volatility', '100e0')} AS volatility
+FROM {_top}""", "rankings")
+
+_PAY = ["return_annualized_net", "alpha_12m_net", "return_12m_net", "sharpe_excess", "pct_months_above_cdi", "max_drawdown", "volatility"]
+_segments = ", ".join(f"('{x.purpose}', '{x.profile}', '{x.investor_type}')" for x in ST.segments)
+ORACLE["segment_payload"] = compose(final(
+    ["schema_version", "generated_at", "reference_date", "universe_size", *SEG, "eligible_funds", "rank", "cnpj", "subclass_id", "fund_name",
+     *_PAY, "redemption_days"], f"""(
+  SELECT '1.1' AS schema_version, '2001-06-30T00:00:00.000000+00:00' AS generated_at, '{REF.isoformat()}' AS reference_date,
+         (SELECT COUNT(*) FROM universe WHERE reference_date = {d(REF)}) AS universe_size,
+         s.purpose, s.profile, s.investor_type, COALESCE(t.eligible_funds, 0) AS eligible_funds, t.position AS rank, t.fund_cnpj AS cnpj,
+         t.subclass_id, CASE WHEN t.position IS NOT NULL THEN COALESCE(t.fund_name, '') END AS fund_name,
+         {', '.join('t.' + c for c in _PAY)}, CAST(t.redemption_days AS INTEGER) AS redemption_days
+  FROM (VALUES {_segments}) AS s(purpose, profile, investor_type) LEFT JOIN {_top} t USING (purpose, profile, investor_type))""",
+    doubles=set(_PAY)), "rankings", "universe")
+
 SEGW = "purpose = 'income' AND profile = 'balanced' AND investor_type = 'qualified'"
 _FTN = ["rank", "fund_name", "fund_cnpj", "subclass_id", "score", "return_12m_net", "alpha_12m_net", "sharpe_excess",
         "volatility", "max_drawdown", "pct_months_above_cdi", "redemption_days", "min_investment"]
@@ -192,11 +219,9 @@ ORACLE["histogram"] = compose(final(SEG + ["bin", "bin_lo", "n"], f"""(
     USING (purpose, profile, investor_type))
   GROUP BY purpose, profile, investor_type, bin, lo, hi)"""), "rankings")
 
-ORACLE["ranking_dims"] = compose(f"""
-SELECT DISTINCT 'purpose' AS dim, purpose AS value FROM rankings WHERE reference_date = {d(REF)} AND purpose IS NOT NULL
-UNION ALL SELECT DISTINCT 'profile', profile FROM rankings WHERE reference_date = {d(REF)} AND profile IS NOT NULL
-UNION ALL SELECT DISTINCT 'investor_type', investor_type FROM rankings WHERE reference_date = {d(REF)} AND investor_type IS NOT NULL""",
-    "rankings")
+ORACLE["ranking_dims"] = compose(" UNION ALL ".join(
+    f"SELECT '{c}' AS dim, {c} AS value, CAST(ROW_NUMBER() OVER (ORDER BY {c}) - 1 AS INTEGER) AS ord "
+    f"FROM (SELECT DISTINCT {c} FROM rankings WHERE reference_date = {d(REF)} AND {c} IS NOT NULL)" for c in SEG), "rankings")
 
 _H12 = REF - relativedelta(months=12)
 ORACLE["fund_history_12m"] = compose(final(

@@ -109,16 +109,17 @@ WHERE s_suppkey % 3 <> 0""")
 
 cte("fx_taxa_adm", """
 SELECT CAST(user_id AS VARCHAR) AS CNPJ_FUNDO,
-       CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS TAXA_ADM,
+       CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'n/d' ELSE 'NaN' END
+            WHEN event_id % 9 = 0 THEN NULL ELSE CAST(value AS VARCHAR) END AS TAXA_ADM,
        CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS DT_INI_TAXA_ADM,
        event_id AS tb1
-FROM events WHERE event_type IN ('view', 'click')""")
+FROM events WHERE event_type IN ('view', 'click', 'error')""")
 
 cte("fx_taxa_perfm", """
 SELECT CAST(user_id AS VARCHAR) AS CNPJ_FUNDO,
-       CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 0e0 ELSE value END AS VL_TAXA_PERFM,
+       CASE WHEN user_id % 4 = 0 OR event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 0e0 ELSE value END AS VL_TAXA_PERFM,
        props AS DS_TAXA_PERFM, CAST(ts AS DATE) AS DT_INI_TAXA_PERFM, event_id AS tb1
-FROM events WHERE event_type = 'purchase' AND user_id % 4 <> 0""")
+FROM events WHERE event_type = 'purchase'""")
 
 cte("fx_extrato", f"""
 SELECT {_dotted('user_id')} AS CNPJ_FUNDO_CLASSE, CAST(ts AS DATE) AS DT_COMPTC,
@@ -131,12 +132,13 @@ cte("fx_anbima", """
 SELECT CAST(p_partkey AS VARCHAR) AS Cnpj_Da_Classe, v.est AS Estrutura,
        CASE WHEN v.code = 'A' AND p_partkey % 31 = 2 THEN NULL ELSE ' ' || v.code END AS Codigo_Cvm_Subclasse,
        p_name AS Nome_Comercial,
+       CASE p_partkey % 3 WHEN 0 THEN 'Renda Fixa' WHEN 1 THEN 'Multimercados' ELSE NULL END AS Categoria_Anbima,
+       CASE p_partkey % 4 WHEN 0 THEN 'Varejo' WHEN 1 THEN 'Private' ELSE NULL END AS Tipo_De_Investidor,
        CASE p_type WHEN 'MEDIUM' THEN 'Longo Prazo' WHEN 'SMALL' THEN 'Curto Prazo' WHEN 'PROMO' THEN 'Isento'
             WHEN 'LARGE' THEN 'Outros' WHEN 'STANDARD' THEN 'Alíquota de 15%' ELSE NULL END AS Tributacao_Alvo,
        CASE WHEN p_partkey % 25 = 1 THEN 'n/d' ELSE CAST(p_size AS VARCHAR) END AS Prazo_Pagamento_Resgate_Em_Dias,
        CASE WHEN p_partkey % 25 = 2 THEN 'n/d' ELSE CAST(CAST(p_retailprice * 10 AS INT) AS VARCHAR) END AS Aplicacao_Inicial_Minima
-FROM part CROSS JOIN (VALUES ('Classe', 'X'), ('Subclasse', 'A'), ('Subclasse', 'R')) AS v(est, code)
-WHERE p_partkey < 1000""")
+FROM part CROSS JOIN (VALUES ('Classe', 'X'), ('Subclasse', 'A'), ('Subclasse', 'R')) AS v(est, code)""")
 
 # ----------------------------------------------------------------- staging
 
@@ -182,7 +184,7 @@ FROM reg_class c LEFT JOIN fx_registro_subclasse s ON c.ID_Registro_Classe = s.I
 cte("fee_adm", f"""
 SELECT fund_cnpj, MAX(adm_fee_date) AS adm_fee_date,
        arg_max(adm_fee, row(COALESCE(adm_fee_date, DATE '9999-12-31'), tb1)) FILTER (WHERE adm_fee IS NOT NULL) AS adm_fee
-FROM (SELECT {fmt_key('CNPJ_FUNDO')} AS fund_cnpj, TAXA_ADM AS adm_fee, DT_INI_TAXA_ADM AS adm_fee_date, tb1 FROM fx_taxa_adm)
+FROM (SELECT {fmt_key('CNPJ_FUNDO')} AS fund_cnpj, NULLIF(TRY_CAST(TAXA_ADM AS DOUBLE), 'NaN'::DOUBLE) AS adm_fee, DT_INI_TAXA_ADM AS adm_fee_date, tb1 FROM fx_taxa_adm)
 GROUP BY fund_cnpj""", "fx_taxa_adm")
 
 cte("fee_perf", f"""
@@ -224,7 +226,8 @@ FROM fee_filled""", "fee_filled")
 
 cte("stg_anbima", f"""
 SELECT * EXCLUDE (rn) FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY fund_cnpj, subclass_id ORDER BY structure) AS rn FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY fund_cnpj, subclass_id ORDER BY structure NULLS FIRST, commercial_name NULLS FIRST,
+    target_taxation NULLS FIRST, redemption_days NULLS FIRST, min_initial_investment NULLS FIRST) AS rn FROM (
     SELECT {fmt_key('Cnpj_Da_Classe')} AS fund_cnpj,
            NULLIF(trim(CASE WHEN Estrutura = 'Subclasse' THEN Codigo_Cvm_Subclasse END), '') AS subclass_id,
            Estrutura AS structure, Nome_Comercial AS commercial_name, Tributacao_Alvo AS target_taxation,

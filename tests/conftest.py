@@ -15,17 +15,10 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark() -> SparkSession:
-    s = (
-        SparkSession.builder.master("local[4]")
-        .appName("tidemark-tests")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .getOrCreate()
-    )
+    from tidemark.session import build_session, ensure_checkpoint_dir
+
+    s = build_session("local[4]", shuffle_partitions=8, app="tidemark-tests", driver_memory="6g")
     s.sparkContext.setLogLevel("ERROR")
-    from tidemark.session import ensure_checkpoint_dir
 
     ensure_checkpoint_dir(s)
     yield s

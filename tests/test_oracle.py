@@ -1,7 +1,4 @@
-"""Registered queries against their DuckDB oracle on the smallest driver tables.
-
-A representative subset runs by default; TIDEMARK_FULL_ORACLE=1 runs every key.
-"""
+"""Every registered query of the library against its DuckDB oracle on the smallest driver tables."""
 
 from __future__ import annotations
 
@@ -10,15 +7,11 @@ import os
 import pytest
 
 import __spark_entry__ as E
+from tidemark import catalog
 from tools.oracle_check import compare, open_oracle
 
 SF = "/root/testdata/sf0.001"
-SUBSET = [
-    "clean_quotes", "forward_fill_seeded", "class_subclass", "clean_fees", "clean_characteristics", "build_universe",
-    "build_metrics", "build_rankings", "top_n_per_segment", "staging_gate", "as_of_snapshot", "read_monthly_quotes",
-    "upsert_timeseries", "quote_feed", "fund_history_12m",
-]
-KEYS = list(E.queries()) if os.environ.get("TIDEMARK_FULL_ORACLE") else SUBSET
+KEYS = list(catalog.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -34,9 +27,8 @@ def test_query_matches_oracle(spark, con, name):
     assert not problems, problems
 
 
-def test_every_query_has_an_oracle_or_is_nested():
-    missing = set(E.queries()) - set(E.oracle_sql())
-    assert missing <= {"segment_payload", "display_table"}
+def test_every_query_has_an_oracle():
+    assert set(catalog.QUERIES) <= set(E.oracle_sql())
 
 
 def test_entry_smoke(spark):

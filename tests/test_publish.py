@@ -47,13 +47,16 @@ def test_payload_document(run):
 def test_check_log_written(run, spark):
     log = spark.read.parquet(run.path("logs", "validation_log"))
     assert {r[0] for r in log.select("task").distinct().collect()} == {"validate_staging", "validate_marts"}
-    assert log.where("task = 'validate_staging'").count() == 35 and log.where("task = 'validate_marts'").count() == 27
+    assert log.where("task = 'validate_staging'").count() % 35 == 0 and log.where("task = 'validate_marts'").count() % 27 == 0
 
 
 def test_rerun_is_idempotent(run, spark):
-    before = run.mart("rankings").count()
-    run.build_rankings()
-    assert run.mart("rankings").count() == before
+    tables = [("staging", n) for n in ("daily_quotes", "registry", "fees", "anbima", "cdi_rates", "quote_month_summary")]
+    tables += [("marts", n) for n in ("universe", "metrics", "rankings")]
+    rows = lambda: {t: sorted(map(str, spark.read.parquet(run.path(*t)).collect())) for t in tables}
+    before = rows()
+    run.run_all()
+    assert rows() == before
 
 
 def test_summary_stats_equal_full_history_stats(run, spark):

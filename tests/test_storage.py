@@ -20,7 +20,7 @@ def test_upsert_null_safe_replaces_value(spark, tmp_dir):
     first = spark.createDataFrame([("00.000.000/0001-91", None, date(2024, 1, 2), 1.0)], Q_SCHEMA)
     T.write_timeseries(first, path, "DT_COMPTC", key=["CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE"])
     second = spark.createDataFrame([("00.000.000/0001-91", None, date(2024, 1, 2), 2.0)], Q_SCHEMA)
-    T.upsert_timeseries(spark, second, path, KEY, "DT_COMPTC", os.path.join(tmp_dir, "stage1"))
+    T.upsert_timeseries(spark, second, path, KEY, "DT_COMPTC")
     rows = spark.read.parquet(path).collect()
     assert len(rows) == 1 and rows[0]["VL_QUOTA"] == 2.0
 
@@ -31,7 +31,7 @@ def test_upsert_touches_only_batch_months_and_keeps_batch_duplicates(spark, tmp_
         [("A", None, date(2024, 1, 2), 1.0), ("A", None, date(2024, 2, 1), 1.5), ("B", "x", date(2024, 2, 1), 9.0)], Q_SCHEMA)
     T.write_timeseries(base, path, "DT_COMPTC", key=["CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE"])
     batch = spark.createDataFrame([("A", None, date(2024, 2, 1), 3.0), ("A", None, date(2024, 2, 1), 4.0)], Q_SCHEMA)
-    T.upsert_timeseries(spark, batch, path, KEY, "DT_COMPTC", os.path.join(tmp_dir, "stage2"))
+    T.upsert_timeseries(spark, batch, path, KEY, "DT_COMPTC")
     got = sorted((r["CNPJ_FUNDO_CLASSE"], str(r["DT_COMPTC"]), r["VL_QUOTA"]) for r in spark.read.parquet(path).collect())
     assert got == [("A", "2024-01-02", 1.0), ("A", "2024-02-01", 3.0), ("A", "2024-02-01", 4.0), ("B", "2024-02-01", 9.0)]
 
@@ -41,7 +41,7 @@ def test_upsert_equals_full_rebuild(spark, tmp_dir):
     full = spark.createDataFrame(rows, Q_SCHEMA)
     path = os.path.join(tmp_dir, "inc")
     T.write_timeseries(full.where(F.month("DT_COMPTC") < 3), path, "DT_COMPTC", key=["CNPJ_FUNDO_CLASSE"])
-    T.upsert_timeseries(spark, full.where(F.month("DT_COMPTC") >= 2), path, KEY, "DT_COMPTC", os.path.join(tmp_dir, "st"))
+    T.upsert_timeseries(spark, full.where(F.month("DT_COMPTC") >= 2), path, KEY, "DT_COMPTC")
     got = sorted(tuple(r) for r in spark.read.parquet(path).drop("quote_month").collect())
     assert got == sorted(tuple(r) for r in full.collect())
 
@@ -135,3 +135,43 @@ def test_lazy_as_of_snapshot_matches(spark, tmp_dir):
         assert sorted(r["v"] for r in SN.as_of_snapshot_lazy(t, ref).collect()) == \
             sorted(r["v"] for r in SN.as_of_snapshot(t, ref).collect())
     assert SN.as_of_snapshot_lazy(t.where(F.lit(False)), date(2025, 5, 10)).count() == 0
+
+
+def _months(spark, path):
+    return sorted((r["DT_COMPTC"].month, r["VL_QUOTA"]) for r in spark.read.parquet(path).collect())
+
+
+def test_upsert_after_rebuild_keeps_rebuilt_months(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "rebuilt")
+    month = lambda m, v: spark.createDataFrame([("A", None, date(2024, m, 2), v)], Q_SCHEMA)
+    T.upsert_timeseries(spark, month(1, 1.0), path, KEY, "DT_COMPTC")
+    T.write_timeseries(month(1, 2.0), path, "DT_COMPTC", key=["CNPJ_FUNDO_CLASSE"])
+    T.upsert_timeseries(spark, month(2, 3.0), path, KEY, "DT_COMPTC")
+    assert _months(spark, path) == [(1, 2.0), (2, 3.0)]
+    assert os.listdir(tmp_dir) == ["rebuilt"]  # staging folders are gone
+
+
+def test_rebuild_removes_stale_months(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "stale")
+    rows = [("A", None, date(2024, m, 2), float(m)) for m in (1, 2)]
+    T.write_timeseries(spark.createDataFrame(rows, Q_SCHEMA), path, "DT_COMPTC", key=["CNPJ_FUNDO_CLASSE"])
+    T.write_timeseries(spark.createDataFrame(rows[1:], Q_SCHEMA), path, "DT_COMPTC", key=["CNPJ_FUNDO_CLASSE"])
+    assert _months(spark, path) == [(2, 2.0)]
+
+
+def test_upsert_writes_few_files_per_month(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "files")
+    rows = [(str(i), None, date(2024, m, 2), 1.0) for m in range(1, 13) for i in range(50)]
+    T.upsert_timeseries(spark, spark.createDataFrame(rows, Q_SCHEMA).repartition(16), path, KEY, "DT_COMPTC")
+    for month in os.listdir(path):
+        if month.startswith("quote_month"):
+            assert len([f for f in os.listdir(os.path.join(path, month)) if f.endswith(".parquet")]) <= T.FILES_PER_MONTH
+
+
+def test_snapshot_replace_is_idempotent(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "snapshot")
+    df = spark.createDataFrame([("A", 1)], "fund_cnpj string, n int")
+    for _ in range(2):
+        T.replace_snapshot(df, path, date(2024, 1, 1))
+    T.replace_snapshot(df, path, date(2024, 2, 1))
+    assert spark.read.parquet(path).count() == 2

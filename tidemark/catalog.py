@@ -228,9 +228,11 @@ def q_segment_payload(spark, sf):
     segs = spark.createDataFrame(
         [(i, s.purpose, s.profile, s.investor_type) for i, s in enumerate(st.segments)],
         "seg_order int, purpose string, profile string, investor_type string")
-    return SV.segment_payload(top, p.universe(), segs, st.reference_date)
+    return SV.payload_rows(SV.segment_payload(top, p.universe(), segs, st.reference_date, PAYLOAD_TIME))
 
 
+PAYLOAD_TIME = "2001-06-30T00:00:00.000000+00:00"
+
 # Fixed parameters of the serving checks: one segment, a case-insensitive name needle.
 SERVE_SEGMENT = ("income", "balanced", "qualified")
 SERVE_NAME = "PLIER#00000001"
@@ -317,8 +319,7 @@ def q_latest_snapshot(spark, sf):
 
 def q_snapshot_date(spark, sf):
     v = snapshot_view(spark, sf)
-    return v.agg(F.max(F.when(F.col("reference_date") <= F.lit(SNAP_REF).cast("date"), F.col("reference_date")))
-                 .alias("snapshot_date"))
+    return v.limit(1).select(F.lit(SN.snapshot_date(v, SNAP_REF)).cast("date").alias("snapshot_date"))
 
 
 def q_recent_dates(spark, sf):
@@ -392,8 +393,7 @@ def q_upsert_timeseries(spark, sf):
     T.write_timeseries(raw.where(F.col("DT_COMPTC") < F.lit(UPSERT_BASE_END).cast("date")), root + "/t", "DT_COMPTC",
                        key=["CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE"])
     batch = raw.where(F.col("DT_COMPTC") >= F.lit(UPSERT_CUT).cast("date")).withColumn("VL_QUOTA", F.col("VL_QUOTA") * 2)
-    T.upsert_timeseries(spark, batch, root + "/t", ["CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", "DT_COMPTC"], "DT_COMPTC",
-                        root + "/stage")
+    T.upsert_timeseries(spark, batch, root + "/t", ["CNPJ_FUNDO_CLASSE", "ID_SUBCLASSE", "DT_COMPTC"], "DT_COMPTC")
     return spark.read.parquet(root + "/t").drop("quote_month")
 
 

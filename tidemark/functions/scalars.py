@@ -51,10 +51,11 @@ def digit_count(c: Column) -> Column:
 
 
 def to_number_or_null(c: Column, dtype=None) -> Column:
-    """Coercing numeric parse (NULL when it does not parse)."""
+    """Coercing numeric parse (NULL when it does not parse; the text NaN is no number)."""
     if dtype is not None and isinstance(dtype, NumericType):
         return c.cast("double")
-    return c.cast("string").try_cast("double")
+    number = c.cast("string").try_cast("double")
+    return F.when(~F.isnan(number), number)
 
 
 def to_date_or_null(c: Column, dtype=None) -> Column:
@@ -190,11 +191,6 @@ def weighted_sum(terms: list[tuple[Column, Column]]) -> Column:
 # ---------------------------------------------------------------- misc
 
 
-def safe_div(num: Column, den: Column) -> Column:
-    """x / y, NULL when y is 0 or NULL (ANSI-safe)."""
-    return F.try_divide(num, den)
-
-
 def nan_to_null(c: Column) -> Column:
     """Never store NaN: NaN -> NULL."""
     return F.nanvl(c, F.lit(None).cast("double"))
@@ -205,6 +201,3 @@ def name_search(name: Column, needle: str) -> Column:
     escaped = needle.replace("\\", "\\\\").replace("%", "\\%").replace("_", "\\_")
     return name.ilike(f"%{escaped}%")
 
-
-def is_date_type(dtype) -> bool:
-    return isinstance(dtype, DateType)

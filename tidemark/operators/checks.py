@@ -15,6 +15,8 @@ from typing import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+
+from ..sources import snapshots as SN
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 RESULT_SCHEMA = StructType([
@@ -139,11 +141,11 @@ def window_coverage(name: str, date_col: str, start: date | None, label: str) ->
     thr = f"<= {start.isoformat() if start else None}"
     if start is None:
         return AggRule(name, "warning", thr, {"mn": F.min(date_col)}, lambda a: F.lit(False),
-                       lambda a: _null_str(), lambda a: F.lit(f"{label} is empty — cannot verify window coverage"))
+                       lambda a: _null_str(), lambda a: F.lit(f"{label} has no dates to compare with the required start"))
     return AggRule(
         name, "warning", thr, {"mn": F.min(F.col(date_col).cast("date"))},
         lambda a: a("mn") <= F.lit(start).cast("date"), lambda a: a("mn").cast("string"),
-        lambda a: F.when(a("mn").isNull(), F.lit(f"{label} is empty — cannot verify window coverage")).otherwise(
+        lambda a: F.when(a("mn").isNull(), F.lit(f"{label} has no dates to compare with the required start")).otherwise(
             F.format_string(f"{label} starts at %s, after {start.isoformat()}", a("mn").cast("string"))),
     )
 
@@ -157,12 +159,6 @@ def _one(spark: SparkSession, name: str, severity: str, passed: Column, value: C
     return base.select(_result_struct(name, severity, passed, value, threshold, message).alias("r")).select("r.*")
 
 
-def snapshot_date(table: DataFrame, ref: date, col: str = "reference_date") -> date | None:
-    """Newest snapshot <= ref (a scalar over partition values), None when absent."""
-    row = table.agg(F.max(F.when(F.col(col) <= F.lit(ref).cast("date"), F.col(col))).alias("s")).first()
-    return row["s"] if row else None
-
-
 def as_of_slice_lazy(table: DataFrame, ref: date, col: str = "reference_date") -> tuple[DataFrame, Column]:
     """The as-of slice and its snapshot date as a scalar-subquery column (NULL when
     there is no snapshot <= ref); nothing runs until the checks run."""
@@ -171,7 +167,7 @@ def as_of_slice_lazy(table: DataFrame, ref: date, col: str = "reference_date") -
 
 
 def as_of_slice(table: DataFrame, ref: date, col: str = "reference_date") -> tuple[DataFrame, date | None]:
-    snap = snapshot_date(table, ref, col)
+    snap = SN.snapshot_date(table, ref, col)
     if snap is None:
         return table.where(F.lit(False)), None
     return table.where(F.col(col) == F.lit(snap).cast("date")), snap
@@ -198,9 +194,10 @@ def pk_unique(df: DataFrame, name: str, columns: Sequence[str], label: str) -> D
 def known_values(df: DataFrame, name: str, column: str, known: Iterable[str], label: str) -> DataFrame:
     """V6: distinct non-NULL values are a subset of the known set."""
     known = sorted(known)
-    unknown = F.array_sort(F.array_except(F.collect_set(F.col(column).cast("string")),
-                                          F.array(*[F.lit(k) for k in known])))
-    agg = df.agg(unknown.alias("u"))
+    value = F.col(column).cast("string")
+    # known values go first and each unknown one is kept once, so only distinct unknown values are gathered
+    rare = df.select(value.alias("u")).where(value.isNotNull() & ~value.isin(known)).distinct()
+    agg = rare.agg(F.array_sort(F.collect_list("u")).alias("u"))
     txt = F.when(F.size("u") > 0, F.array_join("u", ", "))
     return _one(df.sparkSession, name, "warning", F.size("u") == 0, txt, f"subset of {{{', '.join(known)}}}",
                 F.concat(F.lit(f"unknown values in {label}.{column}: "), F.array_join("u", ", ")), agg)
@@ -226,7 +223,7 @@ def referential(child: DataFrame, parent: DataFrame, name: str, key: str, min_sh
         missing = requires.isNull()
         ok = F.when(missing, F.lit(False)).otherwise(ok)
         value = F.when(~missing, value)
-        msg = F.when(missing, F.lit("cannot check referential integrity without snapshots for both tables")).otherwise(msg)
+        msg = F.when(missing, F.lit("one of the two tables has no snapshot to compare")).otherwise(msg)
         # the threshold text differs when the check cannot run
         thr_col = F.when(missing, F.lit(f"{thr} matched")).otherwise(F.lit(thr))
         return agg.select(F.struct(

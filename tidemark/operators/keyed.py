@@ -19,14 +19,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def null_safe_cond(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    cond = None
-    for k in keys:
-        c = left[k].eqNullSafe(right[k])
-        cond = c if cond is None else cond & c
-    return cond
-
-
 def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Join on keys treating NULL = NULL; the right side's key columns are dropped.
 

@@ -104,14 +104,6 @@ def pct_change_filled(df: DataFrame, key: Sequence[str], date_col: str, value_co
     )
 
 
-def date_gaps(dates: DataFrame, date_col: str = "date") -> DataFrame:
-    """Days between consecutive distinct dates. Runs on a date dimension
-    (bounded by the calendar), so the un-keyed window is small by construction."""
-    d = dates.select(F.col(date_col)).distinct()
-    w = Window.orderBy(date_col)
-    return d.withColumn("gap_days", F.datediff(F.col(date_col), F.lag(date_col).over(w)))
-
-
 # ------------------------------------------------------------------ benchmark (one small series)
 
 
@@ -164,7 +156,8 @@ def benchmark_prefix_calendar(cdi: DataFrame, lo: Column, hi: Column) -> DataFra
     lookups (no range join). Size = calendar days, bounded by the span, not by
     the data; the un-keyed running window runs on that small table only."""
     cal = cdi.sparkSession.range(1).select(F.explode(F.sequence(lo, hi)).alias("date"))
-    joined = cal.join(F.broadcast(cdi.select("date", "rate")), "date", "left")
+    one = cdi.groupBy("date").agg(F.max("rate").alias("rate"))  # a repeated date must not repeat the series
+    joined = cal.join(F.broadcast(one), "date", "left")
     w = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return joined.select(
         "date",

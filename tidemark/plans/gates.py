@@ -128,7 +128,7 @@ def ingestion_checks(raw: Mapping[str, DataFrame], settings: Settings) -> DataFr
     parts += p
     parts.append(V.evaluate(adm, [
         V.row_count("taxa_adm_row_count", "raw.cad_fi_hist_taxa_adm"),
-        V.count_where("taxa_adm_no_ambiguous_values", (F.col("TAXA_ADM") > 5) & (F.col("TAXA_ADM") < 20), "warning"),
+        V.count_where("taxa_adm_no_ambiguous_values", X.to_number_or_null(F.col("TAXA_ADM")).between(5, 20) & ~X.to_number_or_null(F.col("TAXA_ADM")).isin(5.0, 20.0), "warning"),
     ]))
     perf, _, p = _snapshot_block(spark, raw["taxa_perfm"], ref, "taxa_perfm", "raw.cad_fi_hist_taxa_perfm", None)
     parts += p
@@ -234,33 +234,31 @@ def marts_checks(marts: Mapping[str, DataFrame], settings: Settings, check_combo
     m_all = marts["metrics"]
     m, _, p = _snapshot_block(spark, m_all, ref, "metrics", "marts.metrics", None)
     parts += p
-    at_ref = F.col("reference_date") == F.lit(ref).cast("date")
-    mref = lambda cond: at_ref & cond  # noqa: E731  outlier counts use the run date itself
     parts.append(V.evaluate(m, [
         V.row_count("metrics_row_count", "marts.metrics"),
         V.no_nulls("metrics_fund_cnpj_not_null", "fund_cnpj", "marts.metrics"),
         V.no_nulls("metrics_ir_rate_not_null", "ir_rate", "marts.metrics"),
     ]))
-    parts.append(V.evaluate(m_all, [
-        V.min_count("metrics_fund_count_reasonable", F.count_distinct(F.when(at_ref, F.col("fund_cnpj"))),
+    parts.append(V.evaluate(m, [
+        V.min_count("metrics_fund_count_reasonable", F.count_distinct("fund_cnpj"),
                     METRICS_MIN_FUNDS, "warning", f">= {METRICS_MIN_FUNDS} distinct funds"),
-        V.count_where("metrics_ir_rate_in_range", mref((F.col("ir_rate") < 0) | (F.col("ir_rate") > 1)), "warning"),
+        V.count_where("metrics_ir_rate_in_range", ((F.col("ir_rate") < 0) | (F.col("ir_rate") > 1)), "warning"),
         V.count_where("metrics_investor_level_valid",
-                      mref(F.col("investor_level").isNull() | ~F.col("investor_level").isin(0, 1, 2)), "warning"),
-        V.count_where("metrics_no_negative_volatility", mref(F.col("volatility") < 0), "error"),
-        V.count_where("metrics_max_drawdown_sign", mref(F.col("max_drawdown") > 0), "error"),
+                      (F.col("investor_level").isNull() | ~F.col("investor_level").isin(0, 1, 2)), "warning"),
+        V.count_where("metrics_no_negative_volatility", (F.col("volatility") < 0), "error"),
+        V.count_where("metrics_max_drawdown_sign", (F.col("max_drawdown") > 0), "error"),
         V.count_where("metrics_pct_months_in_range",
-                      mref((F.col("pct_months_above_cdi") < 0) | (F.col("pct_months_above_cdi") > 1)), "error"),
+                      ((F.col("pct_months_above_cdi") < 0) | (F.col("pct_months_above_cdi") > 1)), "error"),
         V.count_where("metrics_return_12m_bounds",
-                      mref(F.col("return_12m").isNotNull() & ((F.col("return_12m") < -0.9) | (F.col("return_12m") > 1.0))),
+                      (F.col("return_12m").isNotNull() & ((F.col("return_12m") < -0.9) | (F.col("return_12m") > 1.0))),
                       "warning", "0 outside (-90%, +100%)"),
         V.count_where("metrics_alpha_12m_net_extreme",
-                      mref(F.col("alpha_12m_net").isNotNull() & (F.abs(F.col("alpha_12m_net")) > 0.3)),
+                      (F.col("alpha_12m_net").isNotNull() & (F.abs(F.col("alpha_12m_net")) > 0.3)),
                       "warning", "0 with |alpha| > 30pp"),
-        V.count_where("metrics_volatility_bounds", mref(F.col("volatility").isNotNull() & (F.col("volatility") > 5)),
+        V.count_where("metrics_volatility_bounds", (F.col("volatility").isNotNull() & (F.col("volatility") > 5)),
                       "warning", "0 with vol > 500%"),
         V.count_where("metrics_sharpe_not_extreme",
-                      mref(F.col("sharpe_excess").isNotNull() & (F.abs(F.col("sharpe_excess")) > 100)),
+                      (F.col("sharpe_excess").isNotNull() & (F.abs(F.col("sharpe_excess")) > 100)),
                       "warning", "0 with |Sharpe| > 100"),
     ]))
     parts.append(V.pk_unique(m, "metrics_pk_unique", ["fund_cnpj", "subclass_id"], "marts.metrics"))
@@ -269,11 +267,11 @@ def marts_checks(marts: Mapping[str, DataFrame], settings: Settings, check_combo
     r, _, p = _snapshot_block(spark, r_all, ref, "rankings", "marts.rankings", None)
     parts += p
     parts.append(V.evaluate(r, [V.row_count("rankings_row_count", "marts.rankings")]))
-    parts.append(V.evaluate(r_all, [
-        V.count_where("rankings_score_in_range", at_ref & ((F.col("score") < 0) | (F.col("score") > 1)), "warning")]))
+    parts.append(V.evaluate(r, [
+        V.count_where("rankings_score_in_range", (F.col("score") < 0) | (F.col("score") > 1), "warning")]))
     parts.append(V.pk_unique(r, "rankings_pk_unique", ["fund_cnpj", "subclass_id", "purpose", "profile", "investor_type"],
                              "marts.rankings"))
     if check_combos:
         expected = [(s.purpose, s.profile, s.investor_type) for s in settings.segments]
-        parts.append(V.combo_coverage(r_all.where(at_ref), "rankings_combo_coverage", expected))
+        parts.append(V.combo_coverage(r, "rankings_combo_coverage", expected))
     return V.with_context(_union(parts), "validate_marts", "marts", ref)

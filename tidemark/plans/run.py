@@ -72,8 +72,7 @@ class LayerRun:
     def stage_quotes(self) -> None:
         T.write_timeseries(S.clean_quotes(B.fx_inf_diario(self.spark, self.sf_dir)), self.path("staging", "daily_quotes"))
         # per (series, month) span and count, partitioned like the quotes
-        (U.quote_month_summary(self.quotes()).write.mode("overwrite").partitionBy("quote_year")
-         .parquet(self.path("staging", "quote_month_summary")))
+        T.overwrite_table(U.quote_month_summary(self.quotes()), self.path("staging", "quote_month_summary"), "quote_year")
 
     def load_quotes_increment(self, raw_batch: DataFrame) -> list[str]:
         """C6/C7 incremental load: clean a batch of raw quotes seeded from the stored
@@ -89,8 +88,7 @@ class LayerRun:
         months = sorted(r[0] for r in clean.select(F.date_format("date", "yyyy-MM")).distinct().collect())
         if not months:
             return []
-        T.upsert_timeseries(self.spark, clean, qpath, [*S.SERIES_KEY, "date"], "date",
-                            staging_root=self.path("staging", "_upsert_stage"))
+        T.upsert_timeseries(self.spark, clean, qpath, [*S.SERIES_KEY, "date"], "date")
         # refresh the summary: the touched years keep their other months' rows and get
         # the touched months recomputed; staged first, then swapped in by partition
         spath = self.path("staging", "quote_month_summary")
@@ -99,10 +97,8 @@ class LayerRun:
         kept = (self.spark.read.parquet(spath).where(F.col("quote_year").isin(years))
                 .where(~F.col("quote_month").isin(months)))
         fresh = U.quote_month_summary(touched)
-        stage = self.path("staging", "_summary_stage")
-        kept.unionByName(fresh.select(*kept.columns)).write.mode("overwrite").partitionBy("quote_year").parquet(stage)
-        (self.spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("quote_year").parquet(spath))
+        with T.staged(kept.unionByName(fresh.select(*kept.columns)), spath) as rows:
+            T.replace_partition(rows, spath, "quote_year")
         return months
 
     def stage_dimensions(self) -> None:
@@ -112,12 +108,12 @@ class LayerRun:
         ref = self.settings.reference_date
         sp, sf = self.spark, self.sf_dir
         writes = [
-            lambda: T.append_snapshot(S.stage_registry(B.fx_registro_classe(sp, sf), B.fx_registro_subclasse(sp, sf)),
+            lambda: T.replace_snapshot(S.stage_registry(B.fx_registro_classe(sp, sf), B.fx_registro_subclasse(sp, sf)),
                                       self.path("staging", "registry"), ref),
-            lambda: T.append_snapshot(S.clean_fees(B.fx_taxa_adm(sp, sf), B.fx_taxa_perfm(sp, sf), B.fx_extrato(sp, sf)),
+            lambda: T.replace_snapshot(S.clean_fees(B.fx_taxa_adm(sp, sf), B.fx_taxa_perfm(sp, sf), B.fx_extrato(sp, sf)),
                                       self.path("staging", "fees"), ref),
-            lambda: T.append_snapshot(S.clean_characteristics(B.fx_anbima(sp, sf)), self.path("staging", "anbima"), ref),
-            lambda: S.clean_benchmark(B.fx_cdi(sp, sf)).write.mode("overwrite").parquet(self.path("staging", "cdi_rates")),
+            lambda: T.replace_snapshot(S.clean_characteristics(B.fx_anbima(sp, sf)), self.path("staging", "anbima"), ref),
+            lambda: T.overwrite_table(S.clean_benchmark(B.fx_cdi(sp, sf)), self.path("staging", "cdi_rates")),
         ]
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
             for f in [pool.submit(w) for w in writes]:

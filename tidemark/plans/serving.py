@@ -55,19 +55,24 @@ def top_n_per_segment(rankings: DataFrame, n: int) -> DataFrame:
 
 
 def display_table(top: DataFrame) -> DataFrame:
-    """Display formats over T1 (+0.00 %, D+n, 0.00)."""
-    pct = lambda c: F.format_string("%+.2f%%", F.col(c) * F.lit(100.0))
+    """The report's table over T1: place, key, name and eight formatted measures; a NULL stays NULL."""
+    def shown(fmt: str, c: str, factor: float = 1.0) -> Column:
+        return F.when(F.col(c).isNotNull(), F.format_string(fmt, F.col(c) * F.lit(factor)))
+
     return top.select(
-        *SEG, "position", "fund_name",
-        pct("return_12m_net").alias("return_12m"),
-        pct("alpha_12m_net").alias("alpha_12m"),
-        F.format_string("%.2f", F.col("sharpe_excess")).alias("sharpe"),
-        pct("max_drawdown").alias("max_drawdown"),
-        F.concat(F.lit("D+"), F.col("redemption_days").cast("string")).alias("redemption"),
+        *SEG, "position", "fund_cnpj", "fund_name",
+        shown("%+.2f%%", "return_annualized_net", 100.0).alias("return_annualized"),
+        shown("%+.2f%%", "alpha_12m_net", 100.0).alias("alpha_12m"),
+        shown("%+.2f%%", "return_12m_net", 100.0).alias("return_12m"),
+        shown("%.2f", "sharpe_excess").alias("sharpe"),
+        shown("%.0f%%", "pct_months_above_cdi", 100.0).alias("months_above"),
+        shown("%.2f%%", "max_drawdown", 100.0).alias("max_drawdown"),
+        shown("D+%.0f", "redemption_days").alias("redemption"),
+        shown("%.2f%%", "volatility", 100.0).alias("volatility"),
     )
 
 
-def segment_payload(top: DataFrame, universe: DataFrame, segments: DataFrame, ref: date) -> DataFrame:
+def segment_payload(top: DataFrame, universe: DataFrame, segments: DataFrame, ref: date, generated_at: str | None = None) -> DataFrame:
     """The nested ranking document: one row with segments[...funds[...]].
 
     Funds are gathered per segment (at most n each), then segments in
@@ -96,13 +101,21 @@ def segment_payload(top: DataFrame, universe: DataFrame, segments: DataFrame, re
         F.count(F.lit(1)).alias("universe_size")).withColumn("__k", F.lit(1))
     return doc.join(size, "__k").select(
         F.lit(SCHEMA_VERSION).alias("schema_version"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx").alias("generated_at"),
+        (F.lit(generated_at) if generated_at else F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")).alias("generated_at"),
         F.lit(ref.isoformat()).alias("reference_date"),
         F.col("universe_size"),
         F.transform("segments", lambda s: s.dropFields("seg_order")).alias("segments"),
     )
 
 
+def payload_rows(payload: DataFrame) -> DataFrame:
+    """T3 flattened: one row per segment and fund, a segment without funds as one row with no fund."""
+    segs = payload.select("schema_version", "generated_at", "reference_date", "universe_size", F.explode("segments").alias("s"))
+    head = ["schema_version", "generated_at", "reference_date", "universe_size"]
+    funds = segs.select(*head, *[F.col(f"s.{c}") for c in (*SEG, "eligible_funds")], F.explode_outer("s.funds").alias("f"))
+    return funds.select(*head, *SEG, "eligible_funds", "f.*")
+
+
 def filtered_top_n(rankings: DataFrame, ref: date, purpose: str, profile: str, investor_type: str, n: int,
                    name_filter: str | None = None) -> DataFrame:
     """One segment of one slice, optional case-insensitive name search, by rank, first n."""
@@ -199,9 +212,11 @@ def histogram(rankings: DataFrame, ref: date, metric: str, bins: int = 40) -> Da
 def ranking_dims(rankings: DataFrame, ref: date) -> DataFrame:
     """Sorted distinct purposes, profiles and investor types of a slice, as (dim, value, ord)."""
     r = rankings.where(F.col("reference_date") == F.lit(ref).cast("date"))
-    parts = [r.select(F.lit(d).alias("dim"), F.col(d).alias("value")).distinct() for d in SEG]
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2]).where(F.col("value").isNotNull())
-    return out
+    # one pass; the dimensions' values are those of the configured segments
+    dims = r.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in SEG])
+    listed = F.array(*[F.struct(F.lit(c).alias("dim"), F.col(c).alias("vals")) for c in SEG])
+    out = dims.select(F.inline(listed)).select("dim", F.posexplode("vals").alias("ord", "value"))
+    return out.select("dim", "value", "ord").orderBy("dim", "ord")
 
 
 def recent_dates(df: DataFrame, col: str = "reference_date") -> DataFrame:

@@ -267,6 +267,9 @@ CHARACTERISTICS_RENAME = {
 }
 
 
+_TIE_FIRST = {"fund_cnpj", "subclass_id", "commercial_name", "target_taxation", "redemption_days", "min_initial_investment"}
+
+
 def clean_characteristics(raw: DataFrame, order: tuple[str, ...] = ("Estrutura",)) -> DataFrame:
     """Drop Subclasse rows without a code, blank the code on other rows,
     rename, format the key, normalise the code, parse numbers, keep the first
@@ -298,7 +301,10 @@ def clean_characteristics(raw: DataFrame, order: tuple[str, ...] = ("Estrutura",
             cols.append(F.lit(None).cast("string").alias(dst))
     tbs = [o for o in order if o in df.columns]
     out = df.select(*cols, *[F.col(o).alias(f"__o{i}") for i, o in enumerate(tbs)])
-    out = keyed.keep_first(out, ["fund_cnpj", "subclass_id"], [f"__o{i}" for i in range(len(tbs))] or ["fund_cnpj"])
+    # the kept columns break ties, so the choice does not depend on the input's order
+    ties = ["commercial_name", "target_taxation", "redemption_days", "min_initial_investment",
+            *[c for c in CHARACTERISTICS_RENAME.values() if c not in _TIE_FIRST]]
+    out = keyed.keep_first(out, ["fund_cnpj", "subclass_id"], [*[f"__o{i}" for i in range(len(tbs))], *ties])
     return out.select(*CHARACTERISTICS_RENAME.values())
 
 
@@ -306,8 +312,9 @@ def clean_characteristics(raw: DataFrame, order: tuple[str, ...] = ("Estrutura",
 
 
 def clean_benchmark(raw: DataFrame) -> DataFrame:
-    """Benchmark staging: one rate per date (latest load wins is the upsert's job)."""
-    return raw.select(F.col("date").cast("date").alias("date"), F.col("rate").cast("double").alias("rate"))
+    """Benchmark staging: one rate per date; of a repeated date the highest rate (which load wins is the upsert's job)."""
+    rates = raw.select(F.col("date").cast("date").alias("date"), F.col("rate").cast("double").alias("rate"))
+    return rates.groupBy("date").agg(F.max("rate").alias("rate"))
 
 
 def incremental_new_rows(raw: DataFrame, staged: DataFrame | None, force: bool = False) -> DataFrame:

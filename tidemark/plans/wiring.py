@@ -1,22 +1,23 @@
 """Wiring of the layers over one set of raw tables.
 
 ``Layers`` builds each layer lazily from the raw views (by default the
-fixture bindings over the driver tables). With ``materialize=True`` every
-layer that has more than one consumer (staged quotes, universe, metrics,
-rankings) is written once with a reliable ``checkpoint()`` into the shared
-``spark.checkpoint.dir`` and read back: downstream plans and the many small
-check passes then scan the stored layer instead of recomputing its lineage,
-and a lost executor only recomputes from the last stored layer.
+fixture bindings over the driver tables). With ``materialize=True`` the marts
+(universe, metrics, rankings) are written as Parquet into the shared folder once
+per application, input folder and settings, and all queries of the application
+read them back: serving queries scan a stored mart with pruning and pushdown
+instead of staging everything anew, and a lost executor only recomputes from the
+last stored mart. The staged quotes stay a plan.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import ensure_checkpoint_dir
+from ..session import shared_path
 from ..settings import Settings, fixture_settings
 from ..sources import bindings as B
 from . import metrics as M
@@ -25,6 +26,10 @@ from . import staging as S
 from . import universe as U
 
 
+#: Paths of stored marts by application, input, settings and name; paths only, no session objects.
+_MARTS: dict[tuple, str] = {}
+
+
 @dataclass
 class Layers:
     spark: SparkSession
@@ -37,17 +42,24 @@ class Layers:
         if name not in self._memo:
             df = build()
             if self.materialize and layer:
-                ensure_checkpoint_dir(self.spark)
-                df = df.checkpoint(eager=True)
+                df = self._stored(name, df)
             self._memo[name] = df
         return self._memo[name]
 
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, repr(self.settings), name)
+        if key not in _MARTS:
+            path = shared_path(self.spark, "tidemark-marts", f"{name}-{uuid.uuid4().hex}")
+            df.write.parquet(path)
+            _MARTS[key] = path
+        return self.spark.read.schema(df.schema).parquet(_MARTS[key])
+
     def raw(self, name: str) -> DataFrame:
         return self._get(name, lambda: B.BINDINGS[name](self.spark, self.sf_dir), layer=False)
 
     # staging
     def quotes(self) -> DataFrame:
-        return self._get("quotes", lambda: S.clean_quotes(self.raw("fx_inf_diario")))
+        return self._get("quotes", lambda: S.clean_quotes(self.raw("fx_inf_diario")), layer=False)
 
     def registry(self) -> DataFrame:
         return self._get("registry", lambda: S.stage_registry(self.raw("fx_registro_classe"), self.raw("fx_registro_subclasse")),

@@ -38,27 +38,29 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
     return builder.getOrCreate()
 
 
-_CHOSEN: dict[int, str] = {}
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """Return the shared checkpoint folder, setting it on the SparkContext if need be.
 
-    The cluster's setting is always used when present. Only when the session
-    names none (local tests) is a scratch folder chosen, through
-    ``SparkContext.setCheckpointDir`` (the conf key itself is not settable at
-    runtime).
+    ``spark.checkpoint.dir`` of the session comes first, then a folder that the
+    application has set through ``SparkContext.setCheckpointDir``. Only a local
+    master may go without: it gets a scratch folder, which every task can see.
     """
     sc = spark.sparkContext
-    base = spark.conf.get("spark.checkpoint.dir", None) or _CHOSEN.get(id(sc))
+    base = spark.conf.get("spark.checkpoint.dir", None) or _CHOSEN.get(sc.applicationId) or sc.getCheckpointDir()
     if not base:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        _CHOSEN[id(sc)] = base
+    _CHOSEN[sc.applicationId] = base
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     return base
 
 
+#: The chosen folder by application, so that its name does not depend on who asks first.
+_CHOSEN: dict[str, str] = {}
+
+
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the shared checkpoint folder (never a machine-local temp dir on a cluster)."""
     return os.path.join(ensure_checkpoint_dir(spark), *parts)

@@ -10,16 +10,18 @@ assumed, so there is no MERGE):
   dynamic partition overwrite (idempotent; an empty frame leaves the old
   slice in place, since no partition is written).
 
-Declared StructTypes are enforced before a write (K4/K5): extra columns are
-reported and refused, absent ones become typed NULLs.
+``align_columns`` and ``schema_contract`` (K4/K5) hold a frame against a declared
+StructType before a write: extra columns are refused, absent ones become typed NULLs.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import uuid
+from contextlib import contextmanager
 from datetime import date
-from typing import Callable, Iterable, Sequence
+from typing import Callable, Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -99,6 +101,9 @@ def null_report(df: DataFrame) -> DataFrame:
 
 # ------------------------------------------------------------------ write patterns (K1, K2, K3, K6)
 
+#: Files that one upsert writes to a month at most.
+FILES_PER_MONTH = 8
+
 
 def append_snapshot(df: DataFrame, path: str, ref: date, partition_col: str = "reference_date") -> None:
     """K2: stamp the load date and append; old snapshots are never touched."""
@@ -113,9 +118,33 @@ def replace_partition(df: DataFrame, path: str, partition_col: str = "reference_
        .partitionBy(partition_col).parquet(path))
 
 
+def replace_snapshot(df: DataFrame, path: str, ref: date, partition_col: str = "reference_date") -> None:
+    """K3 for derived tables: stamp the run date and replace its slice, so that a repeated run changes nothing."""
+    replace_partition(df.withColumn(partition_col, F.lit(ref).cast("date")), path, partition_col)
+
+
+def overwrite_table(df: DataFrame, path: str, *partition_cols: str) -> None:
+    """Replace a whole table: partitions that ``df`` lacks go too, whatever overwrite mode the session has."""
+    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (writer.partitionBy(*partition_cols) if partition_cols else writer).parquet(path)
+
+
+@contextmanager
+def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
+    """``df`` written to a folder of its own beside ``path`` and read back; the folder goes afterwards."""
+    spark = df.sparkSession
+    folder = f"{path.rstrip('/')}__staging-{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(folder)
+        yield spark.read.schema(df.schema).parquet(folder)
+    finally:
+        fs, p = _hadoop_fs(spark, folder)
+        fs.delete(p, True)
+
+
 def clear_table(spark: SparkSession, path: str, schema: StructType) -> None:
     """K6: replace the whole table by an empty one with the declared schema."""
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(path)
+    overwrite_table(spark.createDataFrame([], schema), path)
 
 
 def upsert_timeseries(
@@ -124,36 +153,34 @@ def upsert_timeseries(
     path: str,
     key: Sequence[str],
     date_col: str = "date",
-    staging_root: str | None = None,
 ) -> DataFrame:
     """K1: delete target rows whose key matches a batch key null-safely, insert
     every batch row (a key duplicated inside the batch stays duplicated).
 
     Only month partitions touched by the batch are rewritten: the untouched
-    months are never read. The touched months are computed into a staging
-    path first (a written table, which also cuts the lineage) and then swapped
-    in with a dynamic partition overwrite, because a job may not overwrite
-    the partitions it is reading. An empty batch is a no-op.
+    months are never read. The batch is stored once, the touched months are
+    computed into a second folder (a job may not overwrite the partitions it is
+    reading) and swapped in with a dynamic partition overwrite. Both folders are
+    new for every call and removed after it. An empty batch is a no-op.
     Returns the rows of the touched months as now stored.
     """
-    b = batch.withColumn("quote_month", F.date_format(F.col(date_col), "yyyy-MM"))
-    # the touched months: bounded by the batch's calendar span, read back as literals
-    months = [r["quote_month"] for r in b.select("quote_month").distinct().collect()]
-    if not months:
-        return batch.limit(0)
-    target = read_table(spark, path)
-    if target is None:
-        merged = b
-    else:
-        if "quote_month" not in target.columns:
-            raise SchemaContractError("time-series table must be partitioned by quote_month (see write_timeseries)")
-        old = target.where(F.col("quote_month").isin(months))  # partition pruning at the scan
-        kept = keyed.null_safe_join(old, b.select(*key).distinct(), key, "left_anti")
-        merged = kept.unionByName(b.select(*kept.columns))
-    stage = staging_root or (path.rstrip("/") + "__staging")
-    merged.write.mode("overwrite").partitionBy("quote_month").parquet(stage)
-    staged = spark.read.parquet(stage)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("quote_month").parquet(path)
+    with staged(batch.withColumn("quote_month", F.date_format(F.col(date_col), "yyyy-MM")), path) as b:
+        # the touched months: bounded by the batch's calendar span, read back as literals
+        months = [r["quote_month"] for r in b.select("quote_month").distinct().collect()]
+        if not months:
+            return batch.limit(0)
+        target = read_table(spark, path)
+        if target is None:
+            merged = b
+        else:
+            if "quote_month" not in target.columns:
+                raise SchemaContractError("time-series table must be partitioned by quote_month (see write_timeseries)")
+            old = target.where(F.col("quote_month").isin(months))  # partition pruning at the scan
+            kept = keyed.null_safe_join(old, b.select(*key).distinct(), key, "left_anti")
+            merged = kept.unionByName(b.select(*kept.columns))
+        with staged(merged, path) as rows:
+            by_month = rows.repartition("quote_month", F.pmod(F.xxhash64(*key), F.lit(FILES_PER_MONTH)))
+            replace_partition(by_month, path, "quote_month")
     return spark.read.parquet(path).where(F.col("quote_month").isin(months)).drop("quote_month")
 
 
@@ -167,8 +194,7 @@ def write_timeseries(df: DataFrame, path: str, date_col: str = "date", key: Sequ
     """
     n = n_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     out = df.withColumn("quote_month", F.date_format(F.col(date_col), "yyyy-MM"))
-    (out.repartitionByRange(n, "quote_month", *[k for k in key if k in df.columns])
-        .write.mode("overwrite").partitionBy("quote_month").parquet(path))
+    overwrite_table(out.repartitionByRange(n, "quote_month", *[k for k in key if k in df.columns]), path, "quote_month")
 
 
 # ------------------------------------------------------------------ skip rules

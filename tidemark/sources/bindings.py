@@ -14,15 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-_READS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One lazily-read DataFrame per (session, table file); reused by every view."""
-    key = (id(spark), os.path.join(sf_dir, f"{name}.parquet"))
-    if key not in _READS:
-        _READS[key] = spark.read.parquet(key[1])
-    return _READS[key]
+    """One driver table, lazily read; reading again costs a footer, so nothing is kept between calls."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def _dotted(col: str) -> str:
@@ -95,20 +89,21 @@ def fx_registro_subclasse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fx_taxa_adm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Administration-fee history (raw.cad_fi_hist_taxa_adm)."""
-    return table(spark, sf_dir, "events").where("event_type IN ('view', 'click')").selectExpr(
+    """Administration-fee history (raw.cad_fi_hist_taxa_adm), the fee as text: error events carry text that is no number."""
+    return table(spark, sf_dir, "events").where("event_type IN ('view', 'click', 'error')").selectExpr(
         "CAST(user_id AS STRING) AS CNPJ_FUNDO",
-        "CASE WHEN event_id % 9 = 0 THEN NULL ELSE value END AS TAXA_ADM",
+        "CASE WHEN event_type = 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'n/d' ELSE 'NaN' END "
+        "WHEN event_id % 9 = 0 THEN NULL ELSE CAST(value AS STRING) END AS TAXA_ADM",
         "CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS DT_INI_TAXA_ADM",
         "event_id AS tb1",
     )
 
 
 def fx_taxa_perfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Performance-fee history (raw.cad_fi_hist_taxa_perfm)."""
-    return table(spark, sf_dir, "events").where("event_type = 'purchase' AND user_id % 4 <> 0").selectExpr(
+    """Performance-fee history (raw.cad_fi_hist_taxa_perfm); a fourth of the funds state no fee."""
+    return table(spark, sf_dir, "events").where("event_type = 'purchase'").selectExpr(
         "CAST(user_id AS STRING) AS CNPJ_FUNDO",
-        "CASE WHEN event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 0D ELSE value END AS VL_TAXA_PERFM",
+        "CASE WHEN user_id % 4 = 0 OR event_id % 7 = 0 THEN NULL WHEN event_id % 5 = 0 THEN 0D ELSE value END AS VL_TAXA_PERFM",
         "props AS DS_TAXA_PERFM", "CAST(ts AS DATE) AS DT_INI_TAXA_PERFM", "event_id AS tb1",
     )
 
@@ -126,8 +121,8 @@ def fx_extrato(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_anbima(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Characteristics extract (raw.anbima_caracteristicas): one Classe row and two
-    Subclasse rows per part below 1000."""
-    p = table(spark, sf_dir, "part").where("p_partkey < 1000")
+    Subclasse rows per part."""
+    p = table(spark, sf_dir, "part")
 
     def view(est: str, code: str) -> DataFrame:
         code_sql = f"' {code}'" if code != "A" else "CASE WHEN p_partkey % 31 = 2 THEN NULL ELSE ' A' END"
@@ -136,6 +131,8 @@ def fx_anbima(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"'{est}' AS Estrutura",
             f"{code_sql} AS Codigo_Cvm_Subclasse",
             "p_name AS Nome_Comercial",
+            "CASE p_partkey % 3 WHEN 0 THEN 'Renda Fixa' WHEN 1 THEN 'Multimercados' ELSE NULL END AS Categoria_Anbima",
+            "CASE p_partkey % 4 WHEN 0 THEN 'Varejo' WHEN 1 THEN 'Private' ELSE NULL END AS Tipo_De_Investidor",
             "CASE p_type WHEN 'MEDIUM' THEN 'Longo Prazo' WHEN 'SMALL' THEN 'Curto Prazo' WHEN 'PROMO' THEN 'Isento' "
             "WHEN 'LARGE' THEN 'Outros' WHEN 'STANDARD' THEN 'Alíquota de 15%' ELSE NULL END AS Tributacao_Alvo",
             "CASE WHEN p_partkey % 25 = 1 THEN 'n/d' ELSE CAST(p_size AS STRING) END AS Prazo_Pagamento_Resgate_Em_Dias",

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -69,17 +69,21 @@ def read_delimited(spark: SparkSession, paths: str | Sequence[str], columns: Seq
     return reader.csv(list(paths) if not isinstance(paths, str) else paths)
 
 
-def _normalise_quote_layout(df: DataFrame) -> DataFrame:
-    """S2 header drift: any *CNPJ_FUNDO* column is the class key, TP_FUNDO is the
-    class type, a missing ID_SUBCLASSE is NULL."""
-    cnpj = next((c for c in df.columns if "CNPJ_FUNDO" in c), None)
-    if cnpj and cnpj != "CNPJ_FUNDO_CLASSE":
-        df = df.withColumnRenamed(cnpj, "CNPJ_FUNDO_CLASSE")
-    if "TP_FUNDO" in df.columns and "TP_FUNDO_CLASSE" not in df.columns:
-        df = df.withColumnRenamed("TP_FUNDO", "TP_FUNDO_CLASSE")
-    if "ID_SUBCLASSE" not in df.columns:
-        df = df.withColumn("ID_SUBCLASSE", F.lit(None).cast("string"))
-    return df
+# The kept quote columns and the header names that files of any year give them.
+QUOTE_ALIASES = {
+    "TP_FUNDO_CLASSE": ("TP_FUNDO_CLASSE", "TP_FUNDO"),
+    "CNPJ_FUNDO_CLASSE": ("CNPJ_FUNDO_CLASSE", "CNPJ_FUNDO"),
+    "ID_SUBCLASSE": ("ID_SUBCLASSE",),
+}
+
+
+def _in_quote_layout(df: DataFrame) -> DataFrame:
+    """One select from any year's header to the kept columns; a column that the year lacks is NULL."""
+    def source(target: str) -> Column:
+        found = [name for name in QUOTE_ALIASES.get(target, (target,)) if name in df.columns]
+        return (F.col(found[0]) if found else F.lit(None).cast("string")).alias(target)
+
+    return df.select(*[source(c) for c in QUOTE_COLUMNS])
 
 
 def read_monthly_quotes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -95,16 +99,15 @@ def read_monthly_quotes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
         groups.setdefault(tuple(read_header(spark, p)), []).append(p)
     parts = []
     for header, group in groups.items():
-        df = _normalise_quote_layout(read_delimited(spark, group, list(header)))
-        parts.append(df.select(*[c for c in QUOTE_COLUMNS if c in df.columns]))
+        parts.append(_in_quote_layout(read_delimited(spark, group, list(header))))
     out = parts[0]
     for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
+        out = out.unionByName(p)
     return out.select(
         F.col("TP_FUNDO_CLASSE"), F.col("CNPJ_FUNDO_CLASSE"), F.col("ID_SUBCLASSE"),
         F.try_to_date(F.col("DT_COMPTC")).alias("DT_COMPTC"),
         *[F.col(c).try_cast("double").alias(c) for c in QUOTE_NUMBERS],
-        F.col("NR_COTST").try_cast("int").alias("NR_COTST"),
+        F.col("NR_COTST").try_cast("double").try_cast("int").alias("NR_COTST"),  # written as 12 or 12.0
     )
 
 

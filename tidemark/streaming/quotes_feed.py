@@ -33,15 +33,16 @@ def start_quote_feed(
     date_col: str = "DT_COMPTC",
     fmt: str = "parquet",
     available_now: bool = True,
+    max_files: int = 64,
 ) -> StreamingQuery:
-    stream = spark.readStream.schema(schema).format(fmt)
+    """``max_files`` bounds a micro-batch, so what has landed is taken in portions."""
+    stream = spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", max_files)
     if fmt == "csv":
         stream = stream.options(**{"sep": ";", "encoding": "ISO-8859-1", "header": "true"})
     src = stream.load(source_dir)
 
     def upsert(batch: DataFrame, epoch_id: int) -> None:
-        T.upsert_timeseries(spark, batch, target_path, list(key), date_col,
-                            staging_root=f"{target_path.rstrip('/')}__staging_{epoch_id}")
+        T.upsert_timeseries(spark, batch, target_path, list(key), date_col)
 
     w = src.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint_location)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
