@@ -81,6 +81,11 @@ def anchors(column: pa.Array) -> tuple[np.ndarray, ...]:
     return row, place - offsets[row], place - start[last], place - start[first], hashes[place]
 
 
+def _tag(row: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """One hash for a row's number and a hash in it."""
+    return mix64(x ^ mix64(row.astype(np.uint64) + _BASE))
+
+
 def _anchor_pairs(docs: DataFrame) -> DataFrame:
     """anchor, t: each document's different anchors."""
 
@@ -89,8 +94,8 @@ def _anchor_pairs(docs: DataFrame) -> DataFrame:
             column, t = texts(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
             for a, b in slices(column):
                 row, *_, h = anchors(column[a:b])
-                one = np.unique(np.rec.fromarrays([row, h]))
-                yield pa.RecordBatch.from_arrays([pa.array(one.f1.view(np.int64)), pa.array(t[a + one.f0])], ["anchor", "t"])
+                _, one = np.unique(_tag(row, h), return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(h[one].view(np.int64)), pa.array(t[a + row[one]])], ["anchor", "t"])
 
     return map_arrow(docs.select("t", "text"), pairs, "anchor long, t long")
 
@@ -113,10 +118,9 @@ def _fragments(wanted: DataFrame, docs: DataFrame) -> DataFrame:
                 ends = lists.offsets.to_numpy().astype(np.int64)
                 items = lists.flatten()
                 owner = np.repeat(np.arange(b - a), np.diff(ends)).astype(np.uint64)
-                tag = lambda r, x: mix64(x ^ mix64(r.astype(np.uint64) + _BASE))
-                keys = tag(owner, items.field("anchor").to_numpy(zero_copy_only=False).view(np.uint64))
+                keys = _tag(owner, items.field("anchor").to_numpy(zero_copy_only=False).view(np.uint64))
                 by = np.argsort(keys, kind="stable")
-                mine = tag(row, h)
+                mine = _tag(row, h)
                 at = np.minimum(np.searchsorted(keys[by], mine), max(0, len(keys) - 1))
                 keep = np.flatnonzero(keys[by][at] == mine) if len(keys) else np.zeros(0, np.int64)
                 row, place, low, high, h = (x[keep] for x in (row, place, low, high, h))
@@ -297,11 +301,12 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
     wanted = pairs.join(shared, "anchor").groupBy("t").agg(F.collect_set(F.struct("anchor", split.alias("part"))).alias("wanted"))  # a document's
     firsts = stored(own.groupBy("t").agg(F.min("ord").alias("ord")), "first-of-text")
     wanted = stored(wanted.join(firsts, "t").select("ord", "t", "wanted"), "wanted")
-    fragments = stored(_fragments(wanted, own), "fragments")
-    covered = _covered(fragments.where(F.col("part") == 0))
-    large = fragments.where(F.col("part") > 0)
-    if not large.isEmpty():
-        covered = covered.unionByName(_merge_large(large))
+    fragments = _fragments(wanted, own)
+    if shared.where(F.col("n") > group).isEmpty():
+        covered = _covered(fragments)
+    else:
+        fragments = stored(fragments, "fragments")
+        covered = _covered(fragments.where(F.col("part") == 0)).unionByName(_merge_large(fragments.where(F.col("part") > 0)))
     marks = covered.groupBy("t").agg(F.collect_list(F.struct("place", "mask")).alias("marks"))  # bounded by a document's anchors
     marks = stored(firsts.join(marks, "t", "left"), "marks")
 

@@ -4,11 +4,11 @@ Items are posted under keys (shared signature values); items under one key are c
 
 1. Star: under every key each item is compared with the key's center, the item of the greatest ``weight`` (then the smallest).
    Pairs that match and are confirmed join. The weight should favour the original of a group of copies.
-2. Rest: only keys whose items still lie in different components are looked at again; there every item outside the
+2. Rest: only keys of three or more items that still lie in different components are looked at again; there every item outside the
    key's largest component is compared with all items of other components. So no matching pair between components
-   goes unchecked, while a large group of copies, one component after the first pass, costs one pair per copy. First all
-   items of such a key are confirmed against the hub of its largest component, the item of the greatest weight; what that
-   tells of two items' differences from it can rule out the pair (``near``).
+   goes unchecked, while a large group of copies, one component after the first pass, costs one pair per copy. With
+   ``near`` given, all items of such a key are first confirmed against the hub of its largest component, the item of the
+   greatest weight; what that tells of two items' differences from it can rule out the pair.
 
 Components come from repeated minimum labels over stored tables. All steps are DataFrame operations; keys with very many
 items are joins that Spark splits where skewed, or aggregates with partial sums.
@@ -62,15 +62,18 @@ def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm:
 
     tagged = posts.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     per = tagged.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"))
-    mixed = mixed.where(F.col("kinds") > 1).select("key", F.col("most.component").alias("main"))
-    hubs = tagged.groupBy("component").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub"))
-    mixed = stored(mixed.join(hubs.withColumnRenamed("component", "main"), "main"), "mixed")
-    open_posts = stored(tagged.join(mixed, "key").select(
-        "key", "id", "item", "component", "main", F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")), "open-posts")
-    again = open_posts.where(F.col("a") != F.col("b")).select("a", "b").distinct().join(judged, ["a", "b"], "left_anti")
-    judged = stored(judged.unionByName(confirm(stored(again, "hubs"))), "judged")
-    open_posts = stored(open_posts.join(judged.drop("linked"), ["a", "b"], "left").drop("a", "b"), "open-posts")
+    mixed = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"), F.sum("n").alias("n"))
+    mixed = mixed.where((F.col("kinds") > 1) & (F.col("n") > 2)).select("key", F.col("most.component").alias("main"))
+    if near is None:
+        open_posts = stored(tagged.join(stored(mixed, "mixed"), "key").withColumn("gap", F.lit(None).cast("boolean")), "open-posts")
+    else:
+        hubs = tagged.groupBy("component").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub"))
+        mixed = stored(mixed.join(hubs.withColumnRenamed("component", "main"), "main"), "mixed")
+        open_posts = stored(tagged.join(mixed, "key").select(
+            "key", "id", "item", "component", "main", F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")), "open-posts")
+        again = open_posts.where(F.col("a") != F.col("b")).select("a", "b").distinct().join(judged, ["a", "b"], "left_anti")
+        judged = stored(judged.unionByName(confirm(stored(again, "hubs"))), "judged")
+        open_posts = stored(open_posts.join(judged.drop("linked"), ["a", "b"], "left").drop("a", "b"), "open-posts")
     few = open_posts.where(F.col("component") != F.col("main")).select("key", *[F.col(c).alias(f"a_{c}") for c in ("id", "item", "component", "gap")])
     apart = F.lit(False)
     if near is not None:
