@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, mix64, raw_bytes, slices, stored, texts
+from .common import map_arrow, mix64, raw_bytes, release, slices, stored, texts
 
 LENGTH, KMER = 50, 18
 #: Windows that share an anchor at most, and so the columns left of it.
@@ -309,6 +309,7 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
         covered = _covered(fragments.where(F.col("part") == 0)).unionByName(_merge_large(fragments.where(F.col("part") > 0)))
     marks = covered.groupBy("t").agg(F.collect_list(F.struct("place", "mask")).alias("marks"))  # bounded by a document's anchors
     marks = stored(firsts.join(marks, "t", "left"), "marks")
+    release(docs.sparkSession)
 
     def remove(batches):
         for batch in batches:

@@ -24,6 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of finished steps.
+
+    They go when the driver's JVM collects the steps' handles; a job of many steps must not wait until it happens to.
+    Called before each stored step, when nothing refers to the earlier ones any more.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once under the cluster's shared checkpoint folder and read it back.
 
@@ -32,10 +42,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, "tidemark-llm", f"{label}-{uuid.uuid4().hex}")
+    release(spark)
     df.write.parquet(path)
-    # shuffle files of finished steps go when the driver's JVM collects their handles; a long job must not wait for that
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,7 @@ Items are posted under keys (shared signature values); items under one key are c
 2. Rest: only keys of three or more items that still lie in different components are looked at again; there every item outside the
    key's largest component is compared with all items of other components. So no matching pair between components
    goes unchecked, while a large group of copies, one component after the first pass, costs one pair per copy. With
-   ``near`` given, all items of such a key are first confirmed against the hub of its largest component, the item of the
+   ``near`` given, all items of such a key, if it has ``HUB_FROM`` or more, are first confirmed against the hub of its largest component, the item of the
    greatest weight; what that tells of two items' differences from it can rule out the pair.
 
 Components come from repeated minimum labels over stored tables. All steps are DataFrame operations; keys with very many
@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from .common import stored
 
+HUB_FROM = 64
+
 
 def components(links: DataFrame) -> DataFrame:
     """id, component for every item of links (a, b): the smallest item that it reaches.
@@ -44,36 +46,45 @@ def components(links: DataFrame) -> DataFrame:
         labels = new.select("id", "component")
 
 
+def _pairs(pairs: DataFrame, label: str, known: DataFrame | None = None) -> DataFrame:
+    """Each pair (one, other, hint) once, as stored columns a < b besides; without those already judged."""
+    ordered = pairs.withColumns({"a": F.least("one", "other"), "b": F.greatest("one", "other")})
+    once = ordered.groupBy("a", "b").agg(F.min(F.struct("hint", "one", "other")).alias("p")).select("a", "b", "p.*")
+    return stored(once if known is None else once.join(known.select("a", "b"), ["a", "b"], "left_anti"), label)
+
+
 def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm: Callable[[DataFrame], DataFrame],
            near: Callable[[Column, Column, Column, Column], Column] | None = None) -> DataFrame:
     """id, component of items that are linked with another one.
 
     ``posts`` has key, id, weight and a struct ``item`` that ``match`` compares; it is read several times, so it should come
     from a stored table. ``confirm`` returns every pair (a, b), a < b, that it is given with ``linked`` and ``gap``, anything
-    about the difference of the two. ``near(item, gap, other item, other gap)`` may say false for two items that their gaps
+    about the difference of the two; it is also given which of them is ``one`` and which ``other``, and a ``hint``: pairs of
+    equal hint have many items in common. ``near(item, gap, other item, other gap)`` may say false for two items that their gaps
     to a common center show to be no link.
     """
     centers = posts.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "id", "item")).alias("center"), F.count("*").alias("n"))
     centers = stored(centers.where(F.col("n") > 1).select("key", "center"), "centers")
     star = posts.join(centers, "key").where((F.col("id") != F.col("center.id")) & match(F.col("item"), F.col("center.item")))
-    star = stored(star.select(F.least("id", "center.id").alias("a"), F.greatest("id", "center.id").alias("b")).distinct(), "star")
-    judged = stored(confirm(star), "star-judged")
+    judged = stored(confirm(_pairs(star.select(F.col("center.id").alias("one"), F.col("id").alias("other"), F.col("center.id").alias("hint")), "star")), "star-judged")
     found = components(judged.where("linked").select("a", "b"))
 
     tagged = posts.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     per = tagged.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"), F.sum("n").alias("n"))
-    mixed = mixed.where((F.col("kinds") > 1) & (F.col("n") > 2)).select("key", F.col("most.component").alias("main"))
+    mixed = mixed.where((F.col("kinds") > 1) & (F.col("n") > 2)).select("key", "n", F.col("most.component").alias("main"))
     if near is None:
         open_posts = stored(tagged.join(stored(mixed, "mixed"), "key").withColumn("gap", F.lit(None).cast("boolean")), "open-posts")
     else:
         hubs = tagged.groupBy("component").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub"))
-        mixed = stored(mixed.join(hubs.withColumnRenamed("component", "main"), "main"), "mixed")
-        open_posts = stored(tagged.join(mixed, "key").select(
-            "key", "id", "item", "component", "main", F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")), "open-posts")
-        again = open_posts.where(F.col("a") != F.col("b")).select("a", "b").distinct().join(judged, ["a", "b"], "left_anti")
-        judged = stored(judged.unionByName(confirm(stored(again, "hubs"))), "judged")
-        open_posts = stored(open_posts.join(judged.drop("linked"), ["a", "b"], "left").drop("a", "b"), "open-posts")
+        mixed = mixed.join(hubs.withColumnRenamed("component", "main"), "main")
+        mixed = stored(mixed.withColumn("hub", F.when(F.col("n") >= HUB_FROM, F.col("hub"))).drop("n"), "mixed")
+        open_posts = stored(tagged.join(mixed, "key").select("key", "id", "item", "component", "main", "hub"), "open-posts")
+        to_hub = open_posts.where(F.col("id") != F.col("hub")).select(F.col("hub").alias("one"), F.col("id").alias("other"), F.col("hub").alias("hint"))
+        judged = stored(judged.unionByName(confirm(_pairs(to_hub, "hubs", judged))), "judged")
+        gaps = judged.select("a", "b", "gap").where(F.col("gap").isNotNull())
+        open_posts = stored(open_posts.withColumns({"a": F.least("id", "hub"), "b": F.greatest("id", "hub")}).join(gaps, ["a", "b"], "left").select(
+            "key", "id", "item", "component", "main", F.when(F.col("hub").isNotNull(), F.col("gap")).alias("gap")), "open-posts")
     few = open_posts.where(F.col("component") != F.col("main")).select("key", *[F.col(c).alias(f"a_{c}") for c in ("id", "item", "component", "gap")])
     apart = F.lit(False)
     if near is not None:
@@ -81,8 +92,7 @@ def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm:
     pairs = few.join(open_posts, "key").where(
         (F.col("a_component") != F.col("component")) & ((F.col("component") == F.col("main")) | (F.col("a_id") < F.col("id")))
         & ~apart & match(F.col("a_item"), F.col("item")))
-    pairs = pairs.select(F.least("a_id", "id").alias("a"), F.greatest("a_id", "id").alias("b")).distinct()
-    rest = stored(pairs.join(judged, ["a", "b"], "left_anti"), "rest")
+    rest = _pairs(pairs.select(F.col("a_id").alias("one"), F.col("id").alias("other"), F.col("main").alias("hint")), "rest", judged)
     if rest.isEmpty():
         return components(judged.where("linked").select("a", "b"))
     more = judged.unionByName(confirm(rest)).where("linked").select("a", "b")

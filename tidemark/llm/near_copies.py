@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, mix64, raw_bytes, slices, stored, texts
+from .common import map_arrow, mix64, raw_bytes, release, slices, stored, texts
 from .links import linked
 
 COORDINATES, MATCHES = 32, 16
@@ -142,40 +142,53 @@ def prints(docs: DataFrame, words: int) -> DataFrame:
     return map_arrow(docs.select(F.col("doc_id").cast("long"), "text"), one, PRINTS)
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """a, b, linked, gap of every pair (a, b) of doc_ids, judged on the full shingle sets.
+#: Documents of either side that meet in one row group.
+ONES, OTHERS = 256, 1024
 
-    The gap holds the number of shingles that one of the two alone has, and their packed MinHash values.
 
-    The texts of a pair meet in one row group: each smaller document goes once to every share of its partners, a share
-    holding some hundreds of them, so a document with very many partners is spread over tasks.
+def confirmed(pairs: DataFrame, docs: DataFrame, words: int, gaps: bool = True) -> DataFrame:
+    """a, b, linked, gap of every pair (one, other) of doc_ids, judged on the full shingle sets.
+
+    Pairs of one hint share documents, so texts travel by blocks and not by pairs: up to about ``ONES`` documents of one
+    side meet up to about ``OTHERS`` of the other, each text once, and the other side's rows name their partners.
+    The gap holds the number of shingles that one of the two alone has, and their packed MinHash values; it is null for
+    sets that have less than half in common.
     """
-    shares = F.pmod(F.xxhash64("b"), F.greatest(F.lit(1), F.ceil(F.col("n") / 256)).cast("long"))
-    counts = pairs.groupBy("a").agg(F.count("*").alias("n"))
-    meet = stored(pairs.join(counts, "a").select("a", "b", shares.alias("share")), "meet")
-    routes = meet.select(F.col("b").alias("doc_id"), "a", "share").union(meet.select(F.col("a").alias("doc_id"), "a", "share").distinct())
-    # one text per id: repeated rows of an id count once, by the smallest text
-    carried = routes.join(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id").select("a", "share", "doc_id", "text")
-    carried = carried.repartition("a", "share").sortWithinPartitions("a", "share", (F.col("doc_id") != F.col("a")), "doc_id")
+    sizes = pairs.groupBy("hint").agg(F.approx_count_distinct("one").alias("ones"), F.approx_count_distinct("other").alias("others"))
+    part = lambda c, n, most: F.pmod(F.xxhash64(c), F.greatest(F.lit(1), F.ceil(F.col(n) / most)).cast("long"))
+    group = ["hint", "block", "share"]
+    meet = stored(pairs.join(sizes, "hint").select(
+        "hint", part("one", "ones", ONES).alias("block"), part("other", "others", OTHERS).alias("share"), "one", "other"), "meet")
+    routes = meet.groupBy(*group, F.col("other").alias("doc_id")).agg(F.collect_set("one").alias("partners"))  # a block's
+    routes = routes.unionByName(meet.select(*group, F.col("one").alias("doc_id")).distinct().withColumn("partners", F.lit(None).cast("array<long>")))
+    # repeated rows of an id all travel; the last one counts
+    carried = routes.join(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id").select(*group, "doc_id", "partners", "text")
+    carried = carried.repartition(*group).sortWithinPartitions(*group, F.col("partners").isNotNull(), "doc_id", "text")
 
     def judge(batches):
-        key, center = None, None
+        key, held = None, {}
         for batch in batches:
-            column = texts(batch.column(3))
+            column = texts(batch.column(5))
             for first, last in slices(column):
                 sets, ends = shingle_sets(column[first:last], words)
                 found = []
-                a, share, own = (batch.column(k).slice(first, last - first).to_pylist() for k in (0, 1, 2))
+                hint, block, share, own, partners = (batch.column(k).slice(first, last - first).to_pylist() for k in range(5))
                 for i in range(last - first):
                     one = sets[ends[i] : ends[i + 1]]
-                    if (a[i], share[i]) != key:
-                        key, center = (a[i], share[i]), one
+                    if (hint[i], block[i], share[i]) != key:
+                        key, held = (hint[i], block[i], share[i]), {}
+                    if partners[i] is None:
+                        held[own[i]] = one.copy()
                         continue
-                    both = len(np.intersect1d(center, one, assume_unique=True))
-                    union = len(center) + len(one) - both
-                    alone = np.setxor1d(center, one, assume_unique=True)
-                    packed = _packed(_signatures(alone, np.array([0, len(alone)])))[0].tolist()
-                    found.append((a[i], own[i], 100 * both >= SIMILARITY * union, {"n": len(alone), "packed": packed}))
+                    for partner in partners[i]:
+                        center = held[partner]
+                        both = len(np.intersect1d(center, one, assume_unique=True))
+                        union = len(center) + len(one) - both
+                        gap = None
+                        if 2 * both > union:  # the difference of sets further apart tells nothing
+                            alone = np.setxor1d(center, one, assume_unique=True)
+                            gap = {"n": len(alone), "packed": _packed(_signatures(alone, np.array([0, len(alone)])))[0].tolist()} if gaps else None
+                        found.append((min(partner, own[i]), max(partner, own[i]), 100 * both >= SIMILARITY * union, gap))
                 columns = zip(*found) if found else ([], [], [], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "linked", "gap"])
 
@@ -236,6 +249,7 @@ def near_copies(docs: DataFrame, words: int = 5) -> DataFrame:
     found = linked(_postings(named), _match, lambda pairs: confirmed(pairs, docs, words), _near)
     groups = classes.join(found, "id", "left").select("print", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     groups = stored(groups, "groups")
+    release(docs.sparkSession)
     return made.select("doc_id", "n_shingles", "print").join(groups, ["print", "n_shingles"], "left").select(
         "doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))

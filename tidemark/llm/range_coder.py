@@ -44,7 +44,7 @@ def _chunks(steps: int) -> Iterator[tuple[int, int]]:
     at, size = 0, 1
     while at < steps:
         yield at, min(steps, at + size)
-        at, size = at + size, min(16, size * 2)
+        at, size = at + size, min(32, size * 2)
 
 
 class _Model:

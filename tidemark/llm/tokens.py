@@ -23,7 +23,7 @@ CACHE = 500_000
 #: Chunks longer than this are encoded but not remembered.
 LONGEST_KEPT = 64
 #: Text encoded together; more of it repeats more chunks.
-ENCODED_BYTES = 16 << 20
+ENCODED_BYTES = 24 << 20
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -51,11 +51,11 @@ class Encoder:
         self.used = self.known = 0
 
     def _learn(self, chunks: list[str]) -> None:
-        for at in range(0, len(chunks), 20_000):
-            part = chunks[at : at + 20_000]
-            got = [e.ids for e in self.model.encode_batch(part, add_special_tokens=False)]
-            flat = np.fromiter((i for ids in got for i in ids), np.uint32)
-            ends = np.cumsum([len(ids) for ids in got])
+        for at in range(0, len(chunks), 50_000):
+            part = chunks[at : at + 50_000]
+            got = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
+            flat = np.array(got.ids, np.uint32)
+            ends = np.cumsum(np.bincount(np.array(got.word_ids, np.int64), minlength=len(part)))
             while self.used + len(flat) > len(self.ids):
                 self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
             while self.known + len(part) + 1 > len(self.starts):
@@ -69,25 +69,33 @@ class Encoder:
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts one after the other, and n + 1 offsets of the texts."""
         column = texts(column)
-        odd = np.flatnonzero(pc.match_substring(column, "<|").to_numpy(zero_copy_only=False))
-        plain = pc.if_else(pc.match_substring(column, "<|"), "", column) if len(odd) else column
+        special = pc.match_substring(column, "<|")
+        odd = np.flatnonzero(special.to_numpy(zero_copy_only=False))
+        plain = pc.if_else(special, "", column) if len(odd) else column
         plain = pc.replace_substring_regex(pc.ascii_lower(plain), r"([a-zß-öø-ÿ])([.,;:!?])", r"\1 \2")
         lists = pc.ascii_split_whitespace(plain)
+        del plain
         bounds = lists.offsets.to_numpy().astype(np.int64)
         bounds = bounds - bounds[0]
         coded = lists.flatten().dictionary_encode()
+        del lists
         words = coded.dictionary.to_pylist()
         if self.known > CACHE:
             self._clear()
-        self._learn([w for w in words if w not in self.place])
-        place = np.fromiter((self.place[w] for w in words), np.int64, len(words))
-        for w in words:
-            if len(w) > LONGEST_KEPT:
-                del self.place[w]
-        codes = place[coded.indices.to_numpy(zero_copy_only=False)] if len(words) else np.zeros(0, np.int64)
-        lengths = self.starts[codes + 1] - self.starts[codes]
+        place = list(map(self.place.get, words))
+        new = [w for w, p in zip(words, place) if p is None]
+        if new:
+            self._learn(new)
+            place = list(map(self.place.__getitem__, words))
+            for w in new:
+                if len(w) > LONGEST_KEPT:
+                    del self.place[w]
+        codes = np.array(place, np.int64)[coded.indices.to_numpy(zero_copy_only=False)] if words else np.zeros(0, np.int64)
+        first = self.starts[codes]
+        lengths = self.starts[codes + 1] - first
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        flat = self.ids[np.repeat(self.starts[codes] - ends[:-1], lengths) + np.arange(ends[-1])]
+        kind = np.int32 if max(self.used, int(ends[-1])) < 2**31 else np.int64
+        flat = self.ids[np.repeat((first - ends[:-1]).astype(kind), lengths) + np.arange(ends[-1], dtype=kind)]
         offsets = ends[bounds]
         if len(odd):
             whole = {int(i): np.array(self.model.encode(column[int(i)].as_py(), add_special_tokens=False).ids, np.uint32) for i in odd}
