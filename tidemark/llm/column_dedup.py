@@ -42,6 +42,8 @@ GROUP = 1 << 19
 #: Fragments sorted together; whole groups only, so a larger group is taken alone.
 BATCH = 1 << 17
 NO_ID = 2**63 - 1
+#: Text looked at together; some twenty arrays of eight bytes for each of its bytes are alive at once.
+SLICE_BYTES = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
@@ -92,7 +94,7 @@ def _anchor_pairs(docs: DataFrame) -> DataFrame:
     def pairs(batches):
         for batch in batches:
             column, t = texts(batch.column(1)), batch.column(0).to_numpy(zero_copy_only=False)
-            for a, b in slices(column):
+            for a, b in slices(column, SLICE_BYTES):
                 row, *_, h = anchors(column[a:b])
                 _, one = np.unique(_tag(row, h), return_index=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h[one].view(np.int64)), pa.array(t[a + row[one]])], ["anchor", "t"])
@@ -110,7 +112,7 @@ def _fragments(wanted: DataFrame, docs: DataFrame) -> DataFrame:
         for batch in batches:
             column = texts(batch.column(2))
             ord_, t = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            for a, b in slices(column):
+            for a, b in slices(column, SLICE_BYTES):
                 part = column[a:b]
                 data, offsets = raw_bytes(part)
                 row, place, low, high, h = anchors(part)
@@ -315,7 +317,7 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
         for batch in batches:
             column = texts(batch.column(1))
             first = batch.column(2).to_numpy(zero_copy_only=False)
-            for a, b in slices(column):
+            for a, b in slices(column, SLICE_BYTES):
                 part = column[a:b]
                 data, offsets = raw_bytes(part)
                 lists = batch.column(3).slice(a, b - a)
