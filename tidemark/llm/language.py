@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices, stored, texts
 
 TRAIN_ROWS = 20_000
-WORDS = 100_000
-GRAMS = 100_000
+WORDS = 40_000
+GRAMS = 40_000
 LONGEST_GRAM = 5
 #: Words that count in full for the score; the evidence of a longer text is averaged down to so many.
 SCORE_WORDS = 12
