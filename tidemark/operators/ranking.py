@@ -17,15 +17,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rank_bounds(df: DataFrame, group: Sequence[str], value: str, descending: bool = False, buckets: int = 32) -> DataFrame:
+def rank_bounds(df: DataFrame, group: Sequence[str], value: str, descending: bool = False, buckets: int | None = None) -> DataFrame:
     """Per row with a non-NULL ``value``: ``__lo`` = 1 + number of values ordered
     strictly before it (the competition rank), ``__hi`` = number of values up to
     and including its ties, ``__n`` = non-NULL values in the group. Rows with a
     NULL value are returned with NULL bounds.
 
-    Work is split by (group, value bucket); no window partition holds a group.
+    Work is split by (group, value bucket); no window partition holds a group. A group gets as
+    many buckets as the session has shuffle partitions, unless told otherwise.
     """
     spark = df.sparkSession
+    buckets = max(2, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
     g = list(group)
     v = F.col(value).cast("double")
     key = (-v if descending else v)

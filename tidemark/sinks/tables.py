@@ -91,6 +91,12 @@ def schema_contract(df: DataFrame, schema: StructType) -> dict[str, list[str]]:
     return {"missing": sorted(want - have), "extra": sorted(have - want)}
 
 
+def require_columns(df: DataFrame, columns: Iterable[str], table: str) -> None:
+    """K5: raise unless ``df`` has all the columns that the next step reads."""
+    if lacking := sorted(set(columns) - set(df.columns)):
+        raise SchemaContractError(f"{table} lacks the columns {lacking}")
+
+
 def null_report(df: DataFrame) -> DataFrame:
     """K9: NULL count per column in one pass, as (column, n_null) rows."""
     cols = df.columns
