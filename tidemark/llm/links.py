@@ -53,20 +53,20 @@ def _pairs(pairs: DataFrame, label: str, known: DataFrame | None = None) -> Data
     return stored(once if known is None else once.join(known.select("a", "b"), ["a", "b"], "left_anti"), label)
 
 
-def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm: Callable[[DataFrame], DataFrame],
+def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm: Callable[[DataFrame, bool], DataFrame],
            near: Callable[[Column, Column, Column, Column], Column] | None = None) -> DataFrame:
     """id, component of items that are linked with another one.
 
     ``posts`` has key, id, weight and a struct ``item`` that ``match`` compares; it is read several times, so it should come
     from a stored table. ``confirm`` returns every pair (a, b), a < b, that it is given with ``linked`` and ``gap``, anything
-    about the difference of the two; it is also given which of them is ``one`` and which ``other``, and a ``hint``: pairs of
+    about the difference of the two (only if its second argument says so); it is also given which of them is ``one`` and which ``other``, and a ``hint``: pairs of
     equal hint have many items in common. ``near(item, gap, other item, other gap)`` may say false for two items that their gaps
     to a common center show to be no link.
     """
     centers = posts.groupBy("key").agg(F.min(F.struct(-F.col("weight"), "id", "item")).alias("center"), F.count("*").alias("n"))
     centers = stored(centers.where(F.col("n") > 1).select("key", "center"), "centers")
     star = posts.join(centers, "key").where((F.col("id") != F.col("center.id")) & match(F.col("item"), F.col("center.item")))
-    judged = stored(confirm(_pairs(star.select(F.col("center.id").alias("one"), F.col("id").alias("other"), F.col("center.id").alias("hint")), "star")), "star-judged")
+    judged = stored(confirm(_pairs(star.select(F.col("center.id").alias("one"), F.col("id").alias("other"), F.col("center.id").alias("hint")), "star"), near is not None), "star-judged")
     found = components(judged.where("linked").select("a", "b"))
 
     tagged = posts.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -81,7 +81,7 @@ def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm:
         mixed = stored(mixed.withColumn("hub", F.when(F.col("n") >= HUB_FROM, F.col("hub"))).drop("n"), "mixed")
         open_posts = stored(tagged.join(mixed, "key").select("key", "id", "item", "component", "main", "hub"), "open-posts")
         to_hub = open_posts.where(F.col("id") != F.col("hub")).select(F.col("hub").alias("one"), F.col("id").alias("other"), F.col("hub").alias("hint"))
-        judged = stored(judged.unionByName(confirm(_pairs(to_hub, "hubs", judged))), "judged")
+        judged = stored(judged.unionByName(confirm(_pairs(to_hub, "hubs", judged), True)), "judged")
         gaps = judged.select("a", "b", "gap").where(F.col("gap").isNotNull())
         open_posts = stored(open_posts.withColumns({"a": F.least("id", "hub"), "b": F.greatest("id", "hub")}).join(gaps, ["a", "b"], "left").select(
             "key", "id", "item", "component", "main", F.when(F.col("hub").isNotNull(), F.col("gap")).alias("gap")), "open-posts")
@@ -95,5 +95,5 @@ def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm:
     rest = _pairs(pairs.select(F.col("a_id").alias("one"), F.col("id").alias("other"), F.col("main").alias("hint")), "rest", judged)
     if rest.isEmpty():
         return components(judged.where("linked").select("a", "b"))
-    more = judged.unionByName(confirm(rest)).where("linked").select("a", "b")
+    more = judged.unionByName(confirm(rest, False)).where("linked").select("a", "b")
     return components(more)

@@ -143,7 +143,7 @@ def prints(docs: DataFrame, words: int) -> DataFrame:
 
 
 #: Documents of either side that meet in one row group.
-ONES, OTHERS = 256, 1024
+ONES, OTHERS = 128, 256
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, words: int, gaps: bool = True) -> DataFrame:
@@ -163,7 +163,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, gaps: bool = True)
     routes = routes.unionByName(meet.select(*group, F.col("one").alias("doc_id")).distinct().withColumn("partners", F.lit(None).cast("array<long>")))
     # repeated rows of an id all travel; the last one counts
     carried = routes.join(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id").select(*group, "doc_id", "partners", "text")
-    carried = carried.repartition(*group).sortWithinPartitions(*group, F.col("partners").isNotNull(), "doc_id", "text")
+    # a fixed number of partitions: the groups are small in bytes but not in work
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    carried = carried.repartition(tasks, *group).sortWithinPartitions(*group, F.col("partners").isNotNull(), "doc_id", "text")
 
     def judge(batches):
         key, held = None, {}
@@ -185,9 +187,9 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, gaps: bool = True)
                         both = len(np.intersect1d(center, one, assume_unique=True))
                         union = len(center) + len(one) - both
                         gap = None
-                        if 2 * both > union:  # the difference of sets further apart tells nothing
+                        if gaps and 2 * both > union:  # the difference of sets further apart tells nothing
                             alone = np.setxor1d(center, one, assume_unique=True)
-                            gap = {"n": len(alone), "packed": _packed(_signatures(alone, np.array([0, len(alone)])))[0].tolist()} if gaps else None
+                            gap = {"n": len(alone), "packed": _packed(_signatures(alone, np.array([0, len(alone)])))[0].tolist()}
                         found.append((min(partner, own[i]), max(partner, own[i]), 100 * both >= SIMILARITY * union, gap))
                 columns = zip(*found) if found else ([], [], [], [])
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["a", "b", "linked", "gap"])
@@ -246,7 +248,7 @@ def near_copies(docs: DataFrame, words: int = 5) -> DataFrame:
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "signature", "packed")).alias("first"))
     classes = stored(classes.select("print", F.col("first.doc_id").alias("id"), F.col("n_shingles").alias("n"), "first.signature", "first.packed"), "classes")
     named = classes.where(F.col("id").isNotNull())
-    found = linked(_postings(named), _match, lambda pairs: confirmed(pairs, docs, words), _near)
+    found = linked(_postings(named), _match, lambda pairs, gaps: confirmed(pairs, docs, words, gaps), _near)
     groups = classes.join(found, "id", "left").select("print", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
     groups = stored(groups, "groups")
     release(docs.sparkSession)
