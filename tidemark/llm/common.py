@@ -6,6 +6,7 @@ import gc
 import os
 import shutil
 import tempfile
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -24,14 +25,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def release(spark: SparkSession) -> None:
+def release(spark: SparkSession, thorough: bool = True) -> None:
     """Let Spark remove the shuffle files of finished steps.
 
     They go when the driver's JVM collects the steps' handles; a job of many steps must not wait until it happens to.
-    Called before each stored step, when nothing refers to the earlier ones any more.
+    ``thorough`` waits for Python's own handles of the last step to reach the JVM, too.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2 if thorough else 1):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(1.0 if thorough else 0)
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -42,7 +45,7 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = shared_path(spark, "tidemark-llm", f"{label}-{uuid.uuid4().hex}")
-    release(spark)
+    release(spark, thorough=False)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
