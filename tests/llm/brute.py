@@ -181,7 +181,7 @@ def mixed(rows, weights=(5, 2, 1), share=1.5, cap=2.0) -> list[tuple]:
     for *_, n, _, number in sorted(queue):
         taken[number] += max(0, min(n, int(budget) - used))
         used += n
-    return sorted((i, n, size[s], round(target[s], 6), taken[k]) for k, (_, i, n, s) in enumerate(shuffled))
+    return sorted(((i, n, size[s], round(target[s], 6), taken[k]) for k, (_, i, n, s) in enumerate(shuffled)), key=str)
 
 
 def best_fit_decreasing(lengths: list[int], capacity: int) -> int:

@@ -163,7 +163,7 @@ def test_components_of_long_chains(spark):
 
 def test_mixing(docs, rows, empty):
     found = mixing.mix(docs.withColumn("target", F.lit("clash")))
-    got_rows = sorted((r.doc_id, r["size"], r.source_size, round(r.target, 6), r.taken) for r in found.collect())
+    got_rows = sorted(((r.doc_id, r["size"], r.source_size, round(r.target, 6), r.taken) for r in found.collect()), key=str)
     assert got_rows == brute.mixed(rows)
     assert mixing.mix(empty).count() == 0
 

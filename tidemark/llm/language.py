@@ -30,7 +30,7 @@ LONGEST_GRAM = 5
 #: Words that count in full for the score; the evidence of a longer text is averaged down to so many.
 SCORE_WORDS = 12
 UNKNOWN = "und"
-CACHE = 500_000
+CACHE = 150_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -161,6 +161,7 @@ def predict(docs: DataFrame, model: WordFirst, keep: tuple[str, ...]) -> DataFra
                     got, share = [UNKNOWN] * (b - a), np.zeros(b - a)
                 names += got
                 scores.append(share)
+                pa.default_memory_pool().release_unused()
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
                 [*keep, "lang_pred", "score"])

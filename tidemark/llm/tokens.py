@@ -19,11 +19,11 @@ import pyarrow.compute as pc
 from .common import slices, texts
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 500_000
+CACHE = 250_000
 #: Chunks longer than this are encoded but not remembered.
 LONGEST_KEPT = 64
 #: Text encoded together; more of it repeats more chunks.
-ENCODED_BYTES = 24 << 20
+ENCODED_BYTES = 12 << 20
 
 _encoders: dict[str, "Encoder"] = {}
 
@@ -115,6 +115,7 @@ class Encoder:
             offsets = offsets + np.arange(n + 1)
             at[offsets[1:] - 1] = False
             out[at] = flat
+            pa.default_memory_pool().release_unused()
             yield a, out, offsets
 
 
