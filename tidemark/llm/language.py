@@ -95,12 +95,12 @@ class WordFirst:
         return out / max(1, seen)
 
 
-#: A Python worker's scorer of the model it last used, with the words it has met.
+#: A Python worker's scorer of the model it last used.
 _scorers: dict[str, "_Scorer"] = {}
 
 
 class _Scorer:
-    """Scores whole Arrow columns; every distinct word of a worker is scored once and remembered."""
+    """Scores whole Arrow columns; every distinct word of a task is scored once and remembered."""
 
     def __init__(self, model: WordFirst) -> None:
         self.model = model
@@ -165,6 +165,7 @@ def predict(docs: DataFrame, model: WordFirst, keep: tuple[str, ...]) -> DataFra
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
                 [*keep, "lang_pred", "score"])
+        scorer._clear()  # an idle worker should not keep them
 
     return map_arrow(docs.select(*keep, "text"), scored, schema)
 
