@@ -3,8 +3,8 @@ its character n-grams, from the longest known ones down to single letters.
 
 Training counts words (runs of letters, lower-cased) of the labelled documents per language in Spark. The classifier is
 fitted on at most about ``TRAIN_ROWS`` labelled documents, chosen by a hash of their id (all, if there are fewer), and
-keeps the ``WORDS`` most frequent words and ``GRAMS`` n-grams over all languages, so the model has a fixed bound and
-is sent to the tasks. Prediction covers every whole text; a text's language, source and id play no part in it.
+keeps ``WORDS`` words and ``GRAMS`` n-grams: each language's most frequent ones, in equal shares (what a language leaves
+goes to the others), so a large language does not crowd out a small one, the model has a fixed bound and is sent to the tasks. Prediction covers every whole text; a text's language, source and id play no part in it.
 
 Cases: a null text, or one without a letter, is ``und`` with score 0; letters of which nothing is known give the
 alphabetically first language with equal shares as score, as do ties; without labelled documents everything is ``und``;
@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 from .common import map_arrow, slices, stored, texts
 
 TRAIN_ROWS = 20_000
-WORDS = 40_000
-GRAMS = 40_000
+WORDS = 100_000
+GRAMS = 100_000
 LONGEST_GRAM = 5
 #: Words that count in full for the score; the evidence of a longer text is averaged down to so many.
 SCORE_WORDS = 12
@@ -50,37 +50,68 @@ def train(labelled: DataFrame, rows: int = TRAIN_ROWS, words: int = WORDS, grams
     cut = F.transform(F.sequence(F.lit(1), F.length("w") - F.col("k") + 1), lambda i: F.substring("w", i, F.col("k")))
     parts = edged.where(F.length("w") >= F.col("k")).select("lang", "n", F.explode(cut).alias("key"))
     parts = parts.groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    parts = stored(parts, "grams")
     totals = {r["lang"]: r["n"] for r in counted.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-
-    def kept(table: DataFrame, most: int) -> dict[str, dict[str, int]]:
-        by_key = table.groupBy("key").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("n"))
-        return {r["key"]: r["n"] for r in by_key.orderBy(F.desc("all"), "key").limit(most).collect()}
-
-    return WordFirst(totals, kept(counted.where(F.length("key") > 0), words), kept(parts, grams))
+    languages = sorted(totals)
+    return WordFirst(totals, _kept(counted.where(F.length("key") > 0), words, languages), _kept(parts, grams, languages))
+
+
+def _cutoffs(sizes: dict[str, dict[int, int]], most: int) -> dict[str, tuple[int, float]]:
+    """Per language the least count whose keys are all kept, and the share kept of the keys that have one count less.
+
+    ``sizes`` has the number of keys by count. All languages get equal shares of ``most``, smaller ones all they have.
+    """
+    have, left, share = {x: sum(n.values()) for x, n in sizes.items()}, most, {}
+    for i, x in enumerate(sorted(have, key=lambda x: (have[x], x))):
+        share[x] = min(have[x], left // (len(have) - i))
+        left -= share[x]
+    out = {}
+    for x, by_count in sizes.items():
+        room, least, part = share[x], max(by_count) + 1, 0.0
+        for count in sorted(by_count, reverse=True):
+            if by_count[count] > room:
+                least, part = count + 1, room / by_count[count]
+                break
+            room, least = room - by_count[count], count
+        out[x] = (least, part)
+    return out
+
+
+def _kept(table: DataFrame, most: int, languages: list[str]) -> tuple[list[str], np.ndarray]:
+    """The chosen keys in order, and their counts by language. The driver sees key counts by count, then about ``most`` rows."""
+    sizes: dict[str, dict[int, int]] = {}
+    for r in table.groupBy("lang", "n").agg(F.count("*").alias("keys")).toLocalIterator():
+        sizes.setdefault(r["lang"], {})[r["n"]] = r["keys"]
+    if not sizes:
+        return [], np.zeros((0, len(languages)))
+    cutoffs = [(x, least, int(part * 1_000_000)) for x, (least, part) in _cutoffs(sizes, most).items()]
+    cut = F.broadcast(table.sparkSession.createDataFrame(cutoffs, "lang string, least long, part long"))
+    some = (F.col("n") == F.col("least") - 1) & (F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < F.col("part"))
+    chosen = table.join(cut, "lang").where((F.col("n") >= F.col("least")) | some).select("key").distinct()
+    by_lang = [F.coalesce(F.sum(F.when(F.col("lang") == x, F.col("n"))), F.lit(0)).alias(f"n{i}") for i, x in enumerate(languages)]
+    rows = table.join(chosen, "key").groupBy("key").agg(*by_lang).toArrow().sort_by("key")
+    return rows.column("key").to_pylist(), np.stack([rows.column(f"n{i}").to_numpy() for i in range(len(languages))], 1).astype(float)
 
 
 class WordFirst:
     """Log frequencies per language of known words and n-grams; scores words of either kind."""
 
-    def __init__(self, totals: dict[str, int], words: dict[str, dict[str, int]], grams: dict[str, dict[str, int]]) -> None:
+    def __init__(self, totals: dict[str, int], words: tuple[list[str], np.ndarray], grams: tuple[list[str], np.ndarray]) -> None:
         self.languages = sorted(totals)
-        size = np.array([totals[x] for x in self.languages], float)
-        self.logs = np.zeros((0, len(size)), np.float32)
-        self.words = self._logs(words, size)
-        by_size: dict[int, np.ndarray] = {}
-        for key, n in grams.items():
-            by_size[len(key)] = by_size.get(len(key), 0) + np.array([n.get(x, 0) for x in self.languages], float)
+        self.logs = np.zeros((0, len(totals)), np.float32)
+        self.words = self._logs(*words, np.array([totals[x] for x in self.languages], float))
         self.grams = {}
-        for k, total in by_size.items():
-            self.grams |= self._logs({g: n for g, n in grams.items() if len(g) == k}, total)
+        sizes = np.array([len(g) for g in grams[0]], int)
+        for k in np.unique(sizes):
+            at = np.flatnonzero(sizes == k)
+            self.grams |= self._logs([grams[0][i] for i in at], grams[1][at], grams[1][at].sum(0))
 
-    def _logs(self, counts: dict[str, dict[str, int]], total: np.ndarray) -> dict[str, int]:
+    def _logs(self, keys: list[str], counts: np.ndarray, total: np.ndarray) -> dict[str, int]:
         """Places of the keys' rows in ``logs``."""
-        rows = np.array([[n.get(x, 0) for x in self.languages] for n in counts.values()], float).reshape(len(counts), len(total))
-        logs = np.log((rows + 0.1) / (total + 0.1 * max(1, len(counts))))
+        logs = np.log((counts + 0.1) / (total + 0.1 * max(1, len(keys))))
         first = len(self.logs)
         self.logs = np.concatenate([self.logs, (logs - logs.mean(1, keepdims=True)).astype(np.float32)])
-        return dict(zip(counts, range(first, first + len(counts))))
+        return dict(zip(keys, range(first, first + len(keys))))
 
     def score(self, word: str) -> np.ndarray:
         """A word's evidence for each language; the mean over languages is 0."""
