@@ -30,6 +30,8 @@ LONGEST_GRAM = 5
 #: Words that count in full for the score; the evidence of a longer text is averaged down to so many.
 SCORE_WORDS = 12
 UNKNOWN = "und"
+#: Length from which an n-gram, its word edges counted, is evidence that a word's letters are no chance.
+EVIDENCE_GRAM = 4
 CACHE = 150_000
 
 
@@ -126,6 +128,19 @@ class WordFirst:
         return out / max(1, seen)
 
 
+    def known(self, word: str) -> bool:
+        """Whether the word is known, or known n-grams of ``EVIDENCE_GRAM`` or more cover over half of its letters."""
+        if word in self.words:
+            return True
+        edged = f" {word} "
+        covered = [False] * len(edged)
+        for k in range(EVIDENCE_GRAM, LONGEST_GRAM + 1):
+            for i in range(len(edged) - k + 1):
+                if edged[i : i + k] in self.grams:
+                    covered[i : i + k] = [True] * k
+        return 2 * sum(covered[1:-1]) > len(word)
+
+
 #: A Python worker's scorer of the model it last used.
 _scorers: dict[str, "_Scorer"] = {}
 
@@ -139,9 +154,10 @@ class _Scorer:
 
     def _clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((1 << 12, len(self.model.languages)), np.float32)
+        self.rows = np.zeros((1 << 12, len(self.model.languages) + 1), np.float32)
 
-    def __call__(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
+    def __call__(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language, score and share of known words of every text."""
         lists = pc.ascii_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(column), r"[^\pL]+", " "))
         # a leading or trailing separator leaves an empty part; parts of length 0 are no words
         bounds = lists.offsets.to_numpy().astype(np.int64)
@@ -154,25 +170,29 @@ class _Scorer:
                 at = self.place[w] = len(self.place)
                 if at == len(self.rows):
                     self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                self.rows[at] = self.model.score(w) if w else 0
+                if w:
+                    self.rows[at, :-1], self.rows[at, -1] = self.model.score(w), self.model.known(w)
+                else:
+                    self.rows[at] = 0
         codes = np.fromiter((self.place[w] for w in words), np.int64, len(words))[coded.indices.to_numpy(zero_copy_only=False)] if words else np.zeros(0, np.int64)
         real = np.array([bool(w) for w in words], bool)[coded.indices.to_numpy(zero_copy_only=False)] if words else np.zeros(0, bool)
         doc = np.repeat(np.arange(len(column)), np.diff(bounds))
         n = np.bincount(doc, weights=real, minlength=len(column))
         total = np.stack([np.bincount(doc, weights=self.rows[codes, j], minlength=len(column)) for j in range(self.rows.shape[1])], 1)
+        total, known = total[:, :-1], total[:, -1] / np.maximum(n, 1)
         scaled = total * (np.minimum(n, SCORE_WORDS) / np.maximum(n, 1))[:, None]
         share = np.exp(scaled - scaled.max(1, keepdims=True))
         share /= share.sum(1, keepdims=True)
         best = np.argmax(np.round(scaled, 9), axis=1)
         found = n > 0
         names = [self.model.languages[b] if f else UNKNOWN for b, f in zip(best, found)]
-        return names, np.where(found, share[np.arange(len(best)), best], 0.0)
+        return names, np.where(found, share[np.arange(len(best)), best], 0.0), known
 
 
 def predict(docs: DataFrame, model: WordFirst, keep: tuple[str, ...]) -> DataFrame:
-    """The columns ``keep`` of every row with lang_pred and score."""
+    """The columns ``keep`` of every row with lang_pred, score and known (share of the text's words that are)."""
     fields = [docs.schema[c] for c in keep]
-    schema = type(docs.schema)(fields).add("lang_pred", "string").add("score", "double")
+    schema = type(docs.schema)(fields).add("lang_pred", "string").add("score", "double").add("known", "double")
 
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by WORDS and GRAMS
     key, languages = uuid.uuid4().hex, bool(model.languages)
@@ -184,18 +204,19 @@ def predict(docs: DataFrame, model: WordFirst, keep: tuple[str, ...]) -> DataFra
             scorer = _scorers[key] = _Scorer(sent.value)
         for batch in batches:
             column = texts(batch.column(batch.num_columns - 1))
-            names, scores = [], []
+            names, scores, shares = [], [], []
             for a, b in slices(column):
                 if languages:
-                    got, share = scorer(column[a:b])
+                    got, score, known = scorer(column[a:b])
                 else:
-                    got, share = [UNKNOWN] * (b - a), np.zeros(b - a)
+                    got, score, known = [UNKNOWN] * (b - a), np.zeros(b - a), np.zeros(b - a)
                 names += got
-                scores.append(share)
+                scores.append(score)
+                shares.append(known)
                 pa.default_memory_pool().release_unused()
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(np.concatenate(scores) if scores else [], pa.float64())],
-                [*keep, "lang_pred", "score"])
+                [*batch.columns[:-1], pa.array(names, pa.string()), *[pa.array(np.concatenate(x) if x else [], pa.float64()) for x in (scores, shares)]],
+                [*keep, "lang_pred", "score", "known"])
         scorer._clear()  # an idle worker should not keep them
 
     return map_arrow(docs.select(*keep, "text"), scored, schema)
@@ -209,4 +230,4 @@ def labelled(docs: DataFrame) -> DataFrame:
 def identify(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every document, learned from those that are not held out."""
     model = train(labelled(docs))
-    return predict(docs.withColumn("held_out", held_out(F.col("doc_id"))), model, ("doc_id", "held_out"))
+    return predict(docs.withColumn("held_out", held_out(F.col("doc_id"))), model, ("doc_id", "held_out")).drop("known")
