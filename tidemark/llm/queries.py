@@ -8,7 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collision_search, column_dedup, fuzzy_lines, language, max_score, mixing, near_copies, packing, range_coder, url_filter
+from . import collision_search, column_dedup, fuzzy_lines, jaccard_product, language, max_score, mixing, near_copies, packing, periodic_runs
+from . import range_coder, spelling, url_filter
 from .common import table
 
 
@@ -53,8 +54,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic_runs.digests(periodic_runs.find_runs(docs, least=12))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents"), least_length=6, least_count=5, damage=199), ratio=5)
+
+
+def op13_jaccard_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_product.jaccard_join(table(spark, sf_dir, "documents"), n=4)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_best_fit_packing, op2_column_dedup, op3_url_filter, op4_collision_search, op5_max_score, op6_fuzzy_lines, op7_weighted_fair_mixing, op8_token_blocks,
-    op9_signature_join, op10_language_id)}
+    op9_signature_join, op10_language_id, op11_periodic_runs, op12_spelling_variants, op13_jaccard_product)}
 
 ORACLE: dict[str, str] = {"op5_max_score": max_score.ORACLE, "op7_weighted_fair_mixing": mixing.ORACLE}
