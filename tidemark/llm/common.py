@@ -47,7 +47,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     path = shared_path(spark, "tidemark-llm", f"{label}-{uuid.uuid4().hex}")
     release(spark, thorough=False)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Remove a table that ``stored`` wrote and nothing reads any more."""
+    spark = df.sparkSession
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _shipped: set[str] = set()

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, mix64, release, slices, stored, texts
+from .common import discard, map_arrow, mix64, release, slices, stored, texts
 from .links import components
 from .near_copies import shingle_sets
 
@@ -248,12 +248,17 @@ def jaccard_join(docs: DataFrame, n: int = 4) -> DataFrame:
     classes = made.where(F.col("n_shingles") > 0).groupBy("print", "n_shingles").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"))
     classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "print", "n_shingles", "first.doc_id", "first.text_hash"), "classes")
-    posts = stored(blocks_of(docs, classes.select("id", "doc_id", "text_hash"), n), "posts")
+    # stored apart, so that Spark knows their size: small ones are broadcast, and no text is shuffled
+    posts = stored(blocks_of(docs, stored(classes.select("id", "doc_id", "text_hash"), "class-rows"), n), "posts")
+    release(docs.sparkSession)
     shared = stored(posts.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where(F.col("low") != F.col("high")).select("key"), "shared-keys")
+    release(docs.sparkSession)
     live = stored(posts.join(shared, "key").join(classes.select("id", F.col("n_shingles").alias("n")), "id").distinct(), "live-posts")
+    discard(posts)
     release(docs.sparkSession)
     wanted = classes.join(live.select("id").distinct(), "id").select("id", "doc_id", "text_hash")
-    matrix = stored(incidence(docs, wanted, n), "incidence")
+    matrix = stored(incidence(docs, stored(wanted, "wanted-rows"), n), "incidence")
+    release(docs.sparkSession)
     found = joined(live, matrix)
     groups = classes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
     names = groups.groupBy("component").agg(F.min("doc_id").alias("component_id"))
