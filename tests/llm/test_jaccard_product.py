@@ -45,6 +45,16 @@ def test_block_keys_lose_no_link():
     assert links > 500
 
 
+def test_parities_differ_in_no_more_buckets_than_the_sets_do():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2**64, 9000, dtype=np.uint64)
+    for size in (1, 50, 4000):
+        a, b = (np.unique(rng.choice(pool[: 2 * size], size)) for _ in range(2))
+        odd = jaccard_product.parities(np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]))
+        bits = sum(int(x).bit_count() for x in (odd[0] ^ odd[1]).view(np.uint64))
+        assert bits <= len(np.setxor1d(a, b))
+
+
 def test_product_counts_or_drops():
     rng = np.random.default_rng(1)
     for _ in range(200):

@@ -13,6 +13,9 @@ matrix with its transpose holds every pair's overlap. Only the part that can hol
 3. Rounds (``joined``). Under every block key a center (in later rounds up to ``GROWTH``, then its square, ... of them) meets the key's other rows, unless they are one
    component already or their sizes rule a link out; centers are done after their round, keys whose rows are one
    component are done altogether. A large group of copies thus costs one pair per copy and key, and no key's pairs are all written.
+   From the second round on two bounds drop most pairs of a loose group before they are written (``bounded``): a pair's overlap
+   is at most the number of columns that a row shares with any row still open, and two sets differ in at least as many
+   columns as parities of their columns' counts in ``64 * WORDS`` buckets.
 4. The product (``overlaps``) runs in tiles of one center by up to ``TILE`` rows, column range by column range: overlap counts add up, and
    rows whose count plus what is left can no longer reach ceil(s * (a + b) / (1 + s)) are dropped on the way.
 
@@ -40,6 +43,8 @@ from .near_copies import shingle_sets
 SIMILARITY = 85
 #: Rows of one tile beside its center, and ranges of columns.
 TILE, RANGES = 256, 8
+#: Longs of parities to a row, and of the same in fewer buckets, which are looked at first.
+WORDS, FEW = 32, 8
 #: Each round has so many times the centers of the round before.
 GROWTH = 64
 _SEED = np.uint64(0xD1B54A32D192ED03)
@@ -151,8 +156,16 @@ def blocks_of(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
     return map_arrow(_with_texts(docs, classes), post, "key long, id long")
 
 
+def parities(sets: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """For every row, ``WORDS`` longs of bits: whether an odd number of its columns falls into a bucket."""
+    n, buckets = len(ends) - 1, 64 * WORDS
+    row = np.repeat(np.arange(n), np.diff(ends))
+    odd = np.bincount(row * buckets + (sets & np.uint64(buckets - 1)).astype(np.int64), minlength=n * buckets) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).reshape(n, WORDS)
+
+
 def incidence(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
-    """id and its matrix row: the columns (n-gram hashes, in unsigned order) that it has."""
+    """id, its matrix row (the columns, n-gram hashes in unsigned order, that it has) and their parities."""
 
     def one(batches):
         for batch in batches:
@@ -160,9 +173,11 @@ def incidence(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
             for a, b in slices(column):
                 sets, ends = shingle_sets(column[a:b], n)
                 rows = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(sets.view(np.int64))).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), rows], ["id", "columns"])
+                odd = np.concatenate([parities(sets[ends[i] : ends[min(i + 256, b - a)]], ends[i : min(i + 256, b - a) + 1] - ends[i]) for i in range(0, b - a, 256)])
+                odd = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * WORDS, pa.int32()), pa.array(odd.ravel()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), rows, odd], ["id", "columns", "odd"])
 
-    return map_arrow(_with_texts(docs, classes), one, "id long, columns array<long>").dropDuplicates(["id"])
+    return map_arrow(_with_texts(docs, classes), one, "id long, columns array<long>, odd array<long>").dropDuplicates(["id"])
 
 
 def product(center: np.ndarray, columns: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -192,7 +207,7 @@ def overlaps(pairs: DataFrame, matrix: DataFrame) -> DataFrame:
     tiles = stored(pairs.join(sizes, "one").select("one", share.alias("share"), "other"), "tiles")
     routes = tiles.select("one", "share", "other").unionByName(tiles.select("one", "share", F.col("one").alias("other")).distinct())
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small in bytes, but not in work
-    carried = routes.join(matrix.withColumnRenamed("id", "other"), "other").select("one", "share", "other", "columns")
+    carried = routes.join(matrix.select(F.col("id").alias("other"), "columns"), "other").select("one", "share", "other", "columns")
     carried = carried.repartition(tasks, "one", "share").sortWithinPartitions("one", "share", F.col("one") != F.col("other"))
 
     def judge(batches):
@@ -216,17 +231,34 @@ def overlaps(pairs: DataFrame, matrix: DataFrame) -> DataFrame:
     return map_arrow(carried, judge, "one long, other long, linked boolean")
 
 
+def bounded(open_: DataFrame, matrix: DataFrame) -> DataFrame:
+    """The open posts (key, id, n ...) with the parities of their rows and ``common``, the number of columns that another open
+    row has as well; without rows that share too few to link with any."""
+    rows = stored(matrix.join(open_.select("id").distinct(), "id"), "open-rows")
+    columns = rows.select("id", F.explode("columns").alias("column")).groupBy("column").agg(F.min("id").alias("id"), F.max("id").alias("high"))
+    alone = columns.where(F.col("id") == F.col("high")).groupBy("id").agg(F.count("*").alias("alone"))
+    few = F.array(*[F.expr(" ^ ".join(f"get(odd, {i})" for i in range(k, WORDS, FEW))) for k in range(FEW)])
+    held = open_.join(rows.select("id", "odd", few.alias("few")), "id").join(alone, "id", "left")
+    held = held.withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
+    return held.where(F.col("common") * 100 >= F.col("n") * SIMILARITY)
+
+
 def joined(posts: DataFrame, matrix: DataFrame) -> DataFrame:
     """id, component of the linked classes; ``posts`` (key, id, n) and ``matrix`` are stored tables."""
     weights = posts.groupBy("id").agg(F.count("*").alias("weight"))
-    held = stored(posts.join(weights, "id"), "open-posts").withColumn("component", F.col("id"))
+    none = F.lit(None).cast("array<long>")
+    held = stored(posts.join(weights, "id"), "open-posts").withColumns({"component": F.col("id"), "common": F.col("n"), "odd": none, "few": none})
     judged, found, centers_of = None, posts.select("id", F.col("id").alias("component")).limit(0), 1
     while not held.isEmpty():
         salt = F.pmod(F.xxhash64("id"), F.lit(centers_of))
-        centers = held.groupBy("key", salt.alias("salt")).agg(F.min(F.struct(-F.col("weight"), "id", "n", "component")).alias("center"))
-        centers = stored(centers.select("key", F.col("center.id").alias("one"), F.col("center.n").alias("one_n"), F.col("center.component").alias("one_component")), "centers")
+        centers = held.groupBy("key", salt.alias("salt")).agg(F.min(F.struct(-F.col("weight"), "id", "n", "component", "common", "odd", "few")).alias("center"))
+        centers = stored(centers.select("key", F.col("center.id").alias("one"), *[F.col(f"center.{c}").alias(f"one_{c}") for c in ("n", "component", "common", "odd", "few")]), "centers")
         small, large = F.least("n", "one_n"), F.greatest("n", "one_n")
-        pairs = held.join(centers, "key").where((F.col("component") != F.col("one_component")) & (small * 100 >= large * SIMILARITY))
+        apart = lambda x, k: sum((F.bit_count(F.get(x, i).bitwiseXOR(F.get(f"one_{x}", i))) for i in range(k)), F.lit(0))
+        may = lambda differ: differ * (100 + SIMILARITY) <= (small + large) * (100 - SIMILARITY)
+        near = F.col("odd").isNull() | (may(apart("few", FEW)) & may(apart("odd", WORDS)))
+        enough = F.least("common", "one_common") * (100 + SIMILARITY) >= (small + large) * SIMILARITY
+        pairs = held.join(centers, "key").where((F.col("component") != F.col("one_component")) & (small * 100 >= large * SIMILARITY) & enough & near)
         pairs = pairs.select("one", F.col("id").alias("other")).distinct()
         if judged is not None:
             pairs = pairs.join(judged.select("one", "other"), ["one", "other"], "left_anti")
@@ -234,10 +266,11 @@ def joined(posts: DataFrame, matrix: DataFrame) -> DataFrame:
         judged = new if judged is None else judged.unionByName(new)
         if not new.where("linked").isEmpty():
             found = components(judged.where("linked").select(F.col("one").alias("a"), F.col("other").alias("b")))
-        rest = held.drop("component").join(centers.select("key", F.col("one").alias("id")), ["key", "id"], "left_anti")
+        rest = held.drop("component", "common", "odd", "few").join(centers.select("key", F.col("one").alias("id")), ["key", "id"], "left_anti")
         rest = stored(rest.join(found, "id", "left").withColumn("component", F.coalesce("component", "id")), "rest")
         several = rest.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(F.col("low") != F.col("high"))
-        held = stored(rest.join(several.select("key"), "key").select("key", "id", "n", "weight", "component"), "open-posts")
+        several = rest.join(several.select("key"), "key").select("key", "id", "n", "weight", "component")
+        held = stored(bounded(several, matrix), "open-posts")
         centers_of *= GROWTH
     return found
 
