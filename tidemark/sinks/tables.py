@@ -48,7 +48,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame | None:
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, p = _hadoop_fs(spark, path)
+    fs.delete(p, True)
+
+
+def partition_values(spark: SparkSession, path: str, column: str) -> list[str]:
+    """The values of a table's first partition column, from the folder names alone (no data, no footers)."""
+    fs, p = _hadoop_fs(spark, path)
+    if not fs.exists(p):
+        return []
+    names = [str(f.getPath().getName()) for f in fs.listStatus(p) if f.isDirectory()]
+    return sorted(n.split("=", 1)[1] for n in names if n.startswith(f"{column}="))
+
+
+def read_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame | None:
     """The table at ``path`` or None when it does not exist."""
     if not path_exists(spark, path):
         return None
@@ -144,8 +158,7 @@ def staged(df: DataFrame, path: str) -> Iterator[DataFrame]:
         df.write.parquet(folder)
         yield spark.read.schema(df.schema).parquet(folder)
     finally:
-        fs, p = _hadoop_fs(spark, folder)
-        fs.delete(p, True)
+        remove_path(spark, folder)
 
 
 def clear_table(spark: SparkSession, path: str, schema: StructType) -> None:

@@ -43,6 +43,19 @@ def list_files(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(st.getPath().toString()) for st in found if st.isFile())
 
 
+def landed_files(spark: SparkSession, pattern: str) -> list[tuple[str, str]]:
+    """(path, mark) of the files matching a glob; the mark changes with the file's size or time (metadata only)."""
+    _, fs, p = _fs(spark, pattern)
+    found = [st for st in fs.globStatus(p) or [] if st.isFile()]
+    return sorted((str(st.getPath().toString()), f"{st.getLen()}-{st.getModificationTime()}") for st in found)
+
+
+def _coerced(name: str) -> Column:
+    """A text column as a finite number, else NULL: text that means no number or infinity is no value."""
+    number = F.col(name).try_cast("double")
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
+
+
 def read_header(spark: SparkSession, path: str, sep: str = ";", encoding: str = "ISO-8859-1") -> list[str]:
     """The header line of one delimited file: the first line only, read through the
     file system API (no Spark job)."""
@@ -97,17 +110,14 @@ def read_monthly_quotes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     groups: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
         groups.setdefault(tuple(read_header(spark, p)), []).append(p)
-    parts = []
+    out = spark.createDataFrame([], _string_schema(QUOTE_COLUMNS))  # all there is, if no file has landed
     for header, group in groups.items():
-        parts.append(_in_quote_layout(read_delimited(spark, group, list(header))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        out = out.unionByName(_in_quote_layout(read_delimited(spark, group, list(header))))
     return out.select(
         F.col("TP_FUNDO_CLASSE"), F.col("CNPJ_FUNDO_CLASSE"), F.col("ID_SUBCLASSE"),
         F.try_to_date(F.col("DT_COMPTC")).alias("DT_COMPTC"),
-        *[F.col(c).try_cast("double").alias(c) for c in QUOTE_NUMBERS],
-        F.col("NR_COTST").try_cast("double").try_cast("int").alias("NR_COTST"),  # written as 12 or 12.0
+        *[_coerced(c).alias(c) for c in QUOTE_NUMBERS],
+        _coerced("NR_COTST").try_cast("int").alias("NR_COTST"),  # written as 12 or 12.0
     )
 
 
@@ -127,7 +137,7 @@ def read_benchmark_json(spark: SparkSession, path: str) -> DataFrame:
     raw = spark.read.schema("data string, valor string").option("multiLine", True).json(path)
     return raw.select(
         F.try_to_date(F.col("data"), "dd/MM/yyyy").alias("date"),
-        (F.col("valor").try_cast("double") / F.lit(100.0)).alias("rate"),
+        (_coerced("valor") / F.lit(100.0)).alias("rate"),
     )
 
 
