@@ -308,3 +308,34 @@ ORACLE["null_report"] = compose(" UNION ALL ".join(
 _TAX_COLS = SK + ["ir_rate"] + [f"return_{l}_net" for l in LABELS] + [f"alpha_{l}_net" for l in LABELS]
 ORACLE["tax_layer"] = compose(final(_TAX_COLS, "(SELECT *, " + ", ".join(
     f"return_{l}_net - bn_{l} AS alpha_{l}_net" for l in LABELS) + " FROM fm_net)"), "fm_net")
+
+# ------------------------------------------------------------------ load lifecycle
+
+_REVISED = "DT_COMPTC >= DATE '1999-07-01'"
+_LANDED = "DT_COMPTC < DATE '1999-07-15'"
+ORACLE["load_series"] = compose(final(RAW_Q, f"""(
+  SELECT * REPLACE (CASE WHEN {_REVISED} THEN VL_QUOTA * 2 ELSE VL_QUOTA END AS VL_QUOTA) FROM fx_inf_diario)"""), "fx_inf_diario")
+ORACLE["load_ledger"] = compose(f"""
+SELECT 1 AS run, 'load' AS action, CAST(NULL AS DATE) AS from_date, MAX(DT_COMPTC) FILTER (WHERE {_LANDED}) AS high_water,
+       COUNT(*) FILTER (WHERE {_LANDED}) AS n_rows FROM fx_inf_diario
+UNION ALL SELECT 2, 'skip', NULL, MAX(DT_COMPTC) FILTER (WHERE {_LANDED}), 0 FROM fx_inf_diario
+UNION ALL SELECT 3, 'load', DATE '1999-07-01', MAX(DT_COMPTC), COUNT(*) FILTER (WHERE {_REVISED}) FROM fx_inf_diario
+UNION ALL SELECT 4, 'skip', NULL, MAX(DT_COMPTC), 0 FROM fx_inf_diario
+UNION ALL SELECT 5, 'replace', NULL, MAX(DT_COMPTC), COUNT(*) FROM fx_inf_diario""", "fx_inf_diario")
+ORACLE["load_snapshots"] = compose("""
+SELECT ID_Registro_Fundo, CNPJ_Classe, Situacao, DATE '2001-02-01' AS reference_date FROM fx_registro_classe
+UNION ALL SELECT ID_Registro_Fundo, CNPJ_Classe, upper(Situacao), DATE '2001-03-01' FROM fx_registro_classe""", "fx_registro_classe")
+_RESTAGED = """(
+  SELECT fund_cnpj, subclass_id, date,
+         LAST_VALUE(CASE WHEN date >= DATE '1999-07-01' THEN nav_raw * 2 ELSE nav_raw END IGNORE NULLS) OVER (
+           PARTITION BY fund_cnpj, subclass_id ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS nav,
+         aum, inflows, outflows, shareholders
+  FROM dq_clean)"""
+ORACLE["restage_quotes"] = compose(final(QUOTE_COLS, _RESTAGED), "dq_clean")
+ORACLE["last_value_state"] = compose(f"""
+SELECT fund_cnpj, subclass_id, MAX(date) AS date, round(arg_max_null(nav, date), 6) + 0e0 AS nav, any_value(as_of) AS as_of
+FROM (SELECT *, strftime((SELECT MAX(date) FROM dq_clean), '%Y-%m') AS as_of FROM {_RESTAGED})
+WHERE strftime(date, '%Y-%m') < as_of GROUP BY fund_cnpj, subclass_id""", "dq_clean")
+ORACLE["restage_benchmark"] = compose(final(["date", "rate"], "fx_cdi"), "fx_cdi")
+_FEE_COLS = ["fund_cnpj", "adm_fee", "adm_fee_date", "perf_fee", "perf_fee_desc", "perf_fee_date", "has_perf_fee"]
+ORACLE["restage_fees"] = q([*_FEE_COLS, "reference_date"], "(SELECT *, DATE '2001-05-01' AS reference_date FROM stg_fees)", "stg_fees")

@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions import scalars as X
 from .operators import keyed, ranking as RK, timeseries as ts
+from .plans import loads as LD
 from .plans import metrics as M
 from .plans import rankings as R
 from .plans import staging as S
@@ -409,6 +410,114 @@ def q_quote_feed(spark, sf):
     return spark.read.parquet(root + "/table").drop("quote_month")
 
 
+# ------------------------------------------------------------------ load lifecycle
+
+
+FIRST_LOAD_END = date(1999, 7, 15)   # what has landed by the first load
+REVISED_FROM = date(1999, 7, 1)      # the last month of the first load comes again, with doubled quotas
+SNAPSHOT_DAYS = [date(2001, m, 1) for m in range(2, 7)]
+
+
+def _landing(raw, folder):
+    """One file per month; a month that lands again replaces its file."""
+    by_month = raw.withColumn("month", F.date_format("DT_COMPTC", "yyyy-MM")).repartition("month")
+    by_month.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(folder)
+
+
+def _revised(raw):
+    """Raw quotes from the revised month on, their quotas doubled."""
+    return raw.where(F.col("DT_COMPTC") >= F.lit(REVISED_FROM).cast("date")).withColumn("VL_QUOTA", F.col("VL_QUOTA") * 2)
+
+
+def _loaded(spark, sf, force=False):
+    """Quote loads: a first one, its repeat, one after a revision and new months, its repeat, and a forced one if asked for."""
+    root = _scratch(spark, "loads")
+    raw = _p(spark, sf).raw("fx_inf_diario").drop("tb1", "tb2", "tb3")
+    ledger, target, landing = LD.Ledger(spark, root + "/ledger"), root + "/inf_diario", root + "/landed"
+
+    def run(forced=False):
+        LD.load_series(ledger, "inf_diario", target, landing + "/*/*.parquet", lambda paths: spark.read.parquet(*paths),
+                       S.RAW_QUOTE_KEY, "DT_COMPTC", FIRST_LOAD_END, forced)
+
+    _landing(raw.where(F.col("DT_COMPTC") < F.lit(FIRST_LOAD_END).cast("date")), landing)
+    run()
+    run()
+    _landing(_revised(raw), landing)
+    run()
+    run()
+    if force:
+        run(True)
+    return ledger, target
+
+
+def q_load_series(spark, sf):
+    """The raw quotes after first load, repeat, revision and repeat."""
+    return spark.read.parquet(_loaded(spark, sf)[1]).drop("quote_month")
+
+
+def q_load_ledger(spark, sf):
+    """What each of five loads did; the last one is forced."""
+    rows = _loaded(spark, sf, force=True)[0].rows()
+    run = F.row_number().over(Window.orderBy("logged_at"))  # one row a load
+    return rows.select(run.alias("run"), "action", "from_date", "high_water", "n_rows")
+
+
+def q_load_snapshots(spark, sf):
+    """Two days of registry snapshots: the first day loaded and then skipped, the second loaded and then replaced by force."""
+    root = _scratch(spark, "snapshot-loads")
+    raw = _p(spark, sf).raw("fx_registro_classe").select("ID_Registro_Fundo", "CNPJ_Classe", "Situacao")
+    ledger, one, two = LD.Ledger(spark, root + "/ledger"), *SNAPSHOT_DAYS[:2]
+    for frame, day, force in ((raw, one, False), (raw.limit(0), one, False), (raw.where("ID_Registro_Fundo > 0"), two, False),
+                              (raw.withColumn("Situacao", F.upper("Situacao")), two, True)):
+        LD.load_snapshots(ledger, {"registro_classe": frame}, root, day, force)
+    return spark.read.parquet(root + "/registro_classe")
+
+
+def _restaged(spark, sf):
+    root = _scratch(spark, "restage")
+    raw = _p(spark, sf).raw("fx_inf_diario")
+    before = raw.where(F.col("DT_COMPTC") < F.lit(REVISED_FROM).cast("date"))
+    first = raw.where(F.col("DT_COMPTC") < F.lit(FIRST_LOAD_END).cast("date"))
+    for rows in (first, before.unionByName(_revised(raw))):
+        LD.restage_quotes(spark, rows, root + "/quotes", root + "/state")
+    return root
+
+
+def q_restage_quotes(spark, sf):
+    """Staged quotes after a first staging and one from the last staged month on, that month revised."""
+    return spark.read.parquet(_restaged(spark, sf) + "/quotes").drop("quote_month")
+
+
+def q_last_value_state(spark, sf):
+    """The newest last-value state after the same two stagings."""
+    state = spark.read.schema(LD.STATE).parquet(_restaged(spark, sf) + "/state")
+    return state.where(F.col("as_of") == state.select(F.max("as_of")).scalar())
+
+
+def q_restage_benchmark(spark, sf):
+    """Rates staged up to a date, then the newer ones; older rates that changed meanwhile stay as they were staged."""
+    path = _scratch(spark, "restage-cdi")
+    cdi = _p(spark, sf).raw("fx_cdi")
+    old = F.col("date") < F.lit(FIRST_LOAD_END).cast("date")
+    LD.restage_benchmark(spark, cdi.where(old), path)
+    LD.restage_benchmark(spark, cdi.withColumn("rate", F.when(old, F.col("rate") * 3).otherwise(F.col("rate"))), path)
+    return spark.read.parquet(path).drop("quote_month")
+
+
+def q_restage_fees(spark, sf):
+    """Staged fees from three raw tables whose newest snapshots have different dates; older ones hold other values."""
+    root, p = _scratch(spark, "restage-fees"), _p(spark, sf)
+    adm, perf, ext = p.raw("fx_taxa_adm"), p.raw("fx_taxa_perfm"), p.raw("fx_extrato")
+    days = SNAPSHOT_DAYS
+    for name, frame, day in (
+            ("cad_fi_hist_taxa_adm", adm.withColumn("TAXA_ADM", F.lit("4")), days[1]), ("cad_fi_hist_taxa_adm", adm, days[3]),
+            ("cad_fi_hist_taxa_perfm", perf, days[2]), ("extrato_fi", ext.withColumn("TAXA_ADM", F.lit(3.0)), days[0]), ("extrato_fi", ext, days[4])):
+        T.append_snapshot(frame, f"{root}/raw/{name}", day)
+    for _ in range(2):  # the second one has nothing to do
+        LD.restage_fees(spark, root + "/raw", root + "/fees")
+    return spark.read.parquet(root + "/fees")
+
+
 def q_null_report(spark, sf):
     return T.null_report(_p(spark, sf).raw("fx_inf_diario").drop("tb1", "tb2", "tb3"))
 
@@ -534,4 +643,11 @@ QUERIES = {
     "marts_gate": q_marts_gate,
     "check_summary": q_check_summary,
     "ordered_detail": q_ordered_detail,
+    "load_series": q_load_series,
+    "load_ledger": q_load_ledger,
+    "load_snapshots": q_load_snapshots,
+    "restage_quotes": q_restage_quotes,
+    "last_value_state": q_last_value_state,
+    "restage_benchmark": q_restage_benchmark,
+    "restage_fees": q_restage_fees,
 }

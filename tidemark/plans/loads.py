@@ -10,6 +10,8 @@ write here can be repeated without harm (an upsert by key, or the replacement of
 * ``restage_quotes``: staged months from the last staged one on are cleaned anew and replaced, seeded from the
   last-value state, so no earlier month of quotes is read.
 * ``restage_benchmark``: rates newer than the staged mark, upserted by date.
+* ``restage_snapshot``: a staged snapshot from raw tables that each have a newest slice of their own, if there is a newer one.
+* ``ingest_all``, ``restage_all``: every source that has landed, and every staged table after it.
 """
 
 from __future__ import annotations
@@ -24,12 +26,19 @@ from pyspark.sql import functions as F
 
 from ..operators import keyed, timeseries as ts
 from ..sinks import tables as T
+from ..sources import readers as RD
+from ..sources import snapshots as SN
 from ..sources.readers import landed_files
 from . import staging as S
 
 LEDGER = ("dataset string, run_date date, action string, from_date date, high_water date, snapshot_date date, n_rows long, "
           "files array<struct<path:string,mark:string>>, logged_at timestamp")
 SKIP, LOAD, REPLACE = "skip", "load", "replace"
+#: The raw tables by the names that the ingestion gate gives them.
+RAW_TABLES = {
+    "inf_diario": "inf_diario", "cdi_daily": "cdi_daily", "registro_classe": "registro_classe", "registro_subclasse": "registro_subclasse",
+    "taxa_adm": "cad_fi_hist_taxa_adm", "taxa_perfm": "cad_fi_hist_taxa_perfm", "extrato_fi": "extrato_fi", "anbima": "anbima_caracteristicas",
+}
 
 
 @dataclass
@@ -149,7 +158,7 @@ def restage_quotes(spark: SparkSession, raw: DataFrame, staged: str, state: str,
     else:
         seeds = spark.read.schema(STATE).parquet(state).where(F.col("as_of") == month).drop("as_of")
         batch = raw.where(F.col("DT_COMPTC") >= F.lit(f"{month}-01").cast("date"))
-    months = _replace_months(clean_from(batch, seeds), staged, month)
+    months = _replace_months(clean_from(batch.where(F.col("DT_COMPTC").isNotNull()), seeds), staged, month)  # no date, no month
     if not months:
         return []
     new = months[-1]
@@ -173,3 +182,82 @@ def restage_benchmark(spark: SparkSession, raw: DataFrame, staged: str, force: b
         if n:
             T.upsert_timeseries(spark, rows, staged, ["date"], "date")
     return n
+
+
+# ------------------------------------------------------------------ snapshots of the staged layer
+
+
+def restage_snapshot(spark: SparkSession, raw: Mapping[str, str], staged: str, build: Callable[..., DataFrame], force: bool = False) -> str:
+    """Build a staged snapshot from raw snapshot tables (name -> path), each at its own newest slice, if the first one's newest
+    is newer than the staged one (or by ``force``); stamped with the first one's date. ``build`` takes the frames by name; a
+    table that has never been loaded is passed as None. One lazy plan: the newest dates are scalar subqueries.
+    """
+    first = next(iter(raw.values()))
+    if not T.path_exists(spark, first) or not (force or T.raw_newer_than_staged(spark, first, staged)):
+        return SKIP
+    frames = {name: SN.latest_snapshot_lazy(spark.read.parquet(path)).drop(SN.RD) if T.path_exists(spark, path) else None for name, path in raw.items()}
+    again = T.path_exists(spark, staged)
+    T.replace_snapshot(build(**frames), staged, T.max_date(spark, first, SN.RD))
+    return REPLACE if force and again else LOAD
+
+
+def restage_registry(spark: SparkSession, raw_root: str, staged: str, force: bool = False) -> str:
+    raw = {n: os.path.join(raw_root, n) for n in ("registro_classe", "registro_subclasse")}
+    return restage_snapshot(spark, raw, staged, lambda registro_classe, registro_subclasse: S.stage_registry(registro_classe, registro_subclasse), force)
+
+
+def restage_fees(spark: SparkSession, raw_root: str, staged: str, force: bool = False) -> str:
+    raw = {n: os.path.join(raw_root, n) for n in ("cad_fi_hist_taxa_adm", "cad_fi_hist_taxa_perfm", "extrato_fi")}
+    return restage_snapshot(spark, raw, staged, lambda cad_fi_hist_taxa_adm, cad_fi_hist_taxa_perfm, extrato_fi: S.clean_fees(
+        cad_fi_hist_taxa_adm, cad_fi_hist_taxa_perfm, extrato_fi), force)
+
+
+def restage_characteristics(spark: SparkSession, raw_root: str, staged: str, force: bool = False) -> str:
+    raw = {"anbima": os.path.join(raw_root, "anbima_caracteristicas")}
+    return restage_snapshot(spark, raw, staged, lambda anbima: S.clean_characteristics(anbima), force)
+
+
+def restage_all(spark: SparkSession, raw_root: str, staged_root: str, force: bool = False) -> tuple[dict[str, str], list[str]]:
+    """Bring every staged table up to the raw layer; what was done, by table, and the months of quotes that were written."""
+    months: list[str] = []
+    staged = lambda name: os.path.join(staged_root, name)
+    done = {"registry": restage_registry(spark, raw_root, staged("registry"), force), "fees": restage_fees(spark, raw_root, staged("fees"), force),
+            "anbima": restage_characteristics(spark, raw_root, staged("anbima"), force)}
+    quotes, rates = (T.read_table(spark, os.path.join(raw_root, n)) for n in ("inf_diario", "cdi_daily"))
+    if quotes is not None:
+        months = restage_quotes(spark, quotes.drop("quote_month"), staged("daily_quotes"), staged("quote_state"), force)
+        done["daily_quotes"] = (REPLACE if force else LOAD) if months else SKIP
+    if rates is not None:
+        n = restage_benchmark(spark, rates, staged("cdi_rates"), force)
+        done["cdi_rates"] = (REPLACE if force else LOAD) if n else SKIP
+    return done, months
+
+
+# ------------------------------------------------------------------ everything that has landed
+
+
+def ingest_all(ledger: Ledger, landing: str, raw_root: str, run_date: date, force: bool = False) -> dict[str, str]:
+    """Load every source that has landed under ``landing``; what was done, by table. Sources without files are left out.
+
+    Layout: ``inf_diario/*.csv`` (monthly quotes), ``cdi/*.json`` (rates), ``registro/``, ``cad_fi_hist/`` and ``extrato/``
+    (tables as CSV; of the extract the run's year), ``anbima/*.csv``.
+    """
+    spark = ledger.spark
+    raw = lambda name: os.path.join(raw_root, name)
+    has = lambda pattern: bool(landed_files(spark, os.path.join(landing, pattern)))
+    done = {}
+    if has("inf_diario/*.csv"):
+        done["inf_diario"] = load_series(ledger, "inf_diario", raw("inf_diario"), os.path.join(landing, "inf_diario/*.csv"),
+                                         lambda paths: RD.read_monthly_quotes(spark, paths), S.RAW_QUOTE_KEY, "DT_COMPTC", run_date, force)
+    if has("cdi/*.json"):
+        done["cdi_daily"] = load_series(ledger, "cdi_daily", raw("cdi_daily"), os.path.join(landing, "cdi/*.json"),
+                                        lambda paths: RD.read_benchmark_json(spark, paths), ["date"], "date", run_date, force)
+    frames = {}
+    for folder, names in {"registro": ("registro_classe", "registro_subclasse"), "cad_fi_hist": ("cad_fi_hist_taxa_adm", "cad_fi_hist_taxa_perfm")}.items():
+        frames |= RD.read_members(spark, os.path.join(landing, folder), [n for n in names if has(f"{folder}/{n}.csv")])
+    year = f"extrato/extrato_fi_{run_date.year}.csv"
+    if has(year):
+        frames["extrato_fi"] = RD.read_year_extract(spark, os.path.join(landing, year))
+    if has("anbima/*.csv"):
+        frames["anbima_caracteristicas"] = RD.read_characteristics(spark, os.path.join(landing, "anbima/*.csv"), {})
+    return done | load_snapshots(ledger, frames, raw_root, run_date, force)

@@ -24,6 +24,7 @@ from ..sinks import tables as T
 from ..sources import bindings as B
 from ..sources import snapshots as SN
 from . import gates as G
+from . import loads as LD
 from . import metrics as M
 from . import rankings as R
 from . import serving as SV
@@ -62,7 +63,7 @@ class LayerRun:
         return SN.as_of_snapshot_lazy(self.spark.read.parquet(self.path("staging", name)), self.settings.reference_date)
 
     def cdi(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("staging", "cdi_rates"))
+        return self.spark.read.parquet(self.path("staging", "cdi_rates")).select("date", "rate")
 
     def mart(self, name: str) -> DataFrame:
         return SN.scan_where(self.spark.read.parquet(self.path("marts", name)), "reference_date",
@@ -89,17 +90,41 @@ class LayerRun:
         if not months:
             return []
         T.upsert_timeseries(self.spark, clean, qpath, [*S.SERIES_KEY, "date"], "date")
-        # refresh the summary: the touched years keep their other months' rows and get
-        # the touched months recomputed; staged first, then swapped in by partition
-        spath = self.path("staging", "quote_month_summary")
+        self._refresh_summary(months)
+        return months
+
+    def _refresh_summary(self, months: list[str]) -> None:
+        """The touched years of the summary keep their other months' rows and get the touched months recomputed;
+        staged first, then swapped in by partition."""
+        qpath, spath = self.path("staging", "daily_quotes"), self.path("staging", "quote_month_summary")
         years = sorted({int(m[:4]) for m in months})
         touched = self.spark.read.parquet(qpath).where(F.col("quote_month").isin(months)).drop("quote_month")
+        fresh = U.quote_month_summary(touched)
+        if not T.path_exists(self.spark, spath):
+            T.overwrite_table(fresh, spath, "quote_year")
+            return
         kept = (self.spark.read.parquet(spath).where(F.col("quote_year").isin(years))
                 .where(~F.col("quote_month").isin(months)))
-        fresh = U.quote_month_summary(touched)
         with T.staged(kept.unionByName(fresh.select(*kept.columns)), spath) as rows:
             T.replace_partition(rows, spath, "quote_year")
-        return months
+
+    def refresh(self, landing: str, run_date: date, force: bool = False) -> dict[str, str]:
+        """Load what has landed, gate the raw layer if anything came in, bring the staged tables up to it.
+        Returns what was done, by raw and staged table (``raw.`` and ``staging.`` names)."""
+        raw_root = self.path("raw")
+        ledger = LD.Ledger(self.spark, self.path("logs", "load_ledger"))
+        loaded = LD.ingest_all(ledger, landing, raw_root, run_date, force)
+        if set(loaded.values()) - {LD.SKIP}:
+            raw = {name: T.read_table(self.spark, os.path.join(raw_root, folder)) for name, folder in LD.RAW_TABLES.items()}
+            if all(df is not None for df in raw.values()):
+                res = G.ingestion_checks(raw, self.settings)
+                V.gate(res, "validate_ingestion", lambda r: T.write_check_log(r, self.path("logs", "validation_log")))
+        staged, months = LD.restage_all(self.spark, raw_root, self.path("staging"), force)
+        if months:
+            if force:
+                T.remove_path(self.spark, self.path("staging", "quote_month_summary"))
+            self._refresh_summary(months)
+        return {f"raw.{k}": v for k, v in loaded.items()} | {f"staging.{k}": v for k, v in staged.items()}
 
     def stage_dimensions(self) -> None:
         """Registry, fees and characteristics snapshots plus the benchmark: four

@@ -132,7 +132,7 @@ def read_year_extract(spark: SparkSession, path: str) -> DataFrame:
     return df.select("CNPJ_FUNDO_CLASSE", "DT_COMPTC", "TAXA_ADM", "EXISTE_TAXA_PERFM")
 
 
-def read_benchmark_json(spark: SparkSession, path: str) -> DataFrame:
+def read_benchmark_json(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """A rate series as a JSON array of {data, valor}: day-first date, percent -> decimal."""
     raw = spark.read.schema("data string, valor string").option("multiLine", True).json(path)
     return raw.select(

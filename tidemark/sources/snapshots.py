@@ -63,6 +63,11 @@ def latest_snapshot(df: DataFrame, col: str = RD) -> DataFrame:
     return df.where(F.lit(False)) if s is None else df.where(F.col(col) == F.lit(s).cast("date"))
 
 
+def latest_snapshot_lazy(df: DataFrame, col: str = RD) -> DataFrame:
+    """S9 without a driver round trip: the newest date is a scalar subquery, so several tables resolve in one plan."""
+    return df.where(F.col(col) == df.select(F.max(col)).scalar())
+
+
 def snapshot_date(df: DataFrame, ref: date, col: str = RD) -> date | None:
     """Newest snapshot <= ref, no future fallback."""
     row = df.agg(F.max(F.when(F.col(col) <= F.lit(ref).cast("date"), F.col(col))).alias("s")).first()
