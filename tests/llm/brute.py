@@ -9,7 +9,6 @@ import zlib
 from collections import Counter
 
 import regex
-import xxhash
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, size int, score int, gone int, id int, key int, h int, t int"
 
@@ -102,11 +101,6 @@ def normalised(line: str) -> str:
     return regex.sub(r"[^\p{L}\p{N}]+", " ", line.lower()).strip().translate(str.maketrans("123456789", "000000000"))
 
 
-def simhash(words: list[str]) -> int:
-    hashes = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in words]
-    return sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(words))
-
-
 def edits(a: str, b: str) -> int:
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
@@ -117,22 +111,33 @@ def edits(a: str, b: str) -> int:
     return row[-1]
 
 
-def deduped_lines(rows, least: int = 5, bits: int = 3, share: float = 0.1) -> dict[int, tuple]:
-    """doc_id -> (lines, removed, text)."""
+def within(a: str, b: str, most: int) -> bool:
+    """Whether at most ``most`` edits lead from one text to the other (only cells that near the diagonal are looked at)."""
+    if abs(len(a) - len(b)) > most:
+        return False
+    far, row = most + 1, {j: j for j in range(min(most, len(b)) + 1)}
+    for i, x in enumerate(a, 1):
+        new = {}
+        for j in range(max(0, i - most), min(len(b), i + most) + 1):
+            new[j] = min(row.get(j, far) + 1, new.get(j - 1, far) + 1, row.get(j - 1, far) + (j == 0 or x != b[j - 1]))
+        row = new
+    return row[len(b)] <= most
+
+
+def deduped_lines(rows, share: float = 0.1) -> dict[int, tuple]:
+    """doc_id -> (lines, removed, text), by plain edit similarity of all pairs of normalised lines."""
     first: dict[str, tuple] = {}
     own = {}
     for r in rows:
         for k, line in enumerate((r[1] or "").split("\n")):
-            n = normalised(line)
-            if len(n.split(" ")) >= least:
+            if n := normalised(line):
                 own[r[0], k] = n
                 first[n] = min(first.get(n, (r[0], k)), (r[0], k))
-    lines, sims = list(first), {n: simhash(n.split(" ")) for n in first}
+    lines = list(first)
     groups = Groups(range(len(lines)))
     for i in range(len(lines)):
         for j in range(i):
-            a, b = lines[i], lines[j]
-            if (sims[a] ^ sims[b]).bit_count() <= bits and edits(a, b) <= int(share * max(len(a), len(b))):
+            if groups.find(i) != groups.find(j) and within(lines[i], lines[j], int(share * max(len(lines[i]), len(lines[j])))):
                 groups.join(i, j)
     keep: dict[int, tuple] = {}
     for i, n in enumerate(lines):
