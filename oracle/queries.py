@@ -11,7 +11,7 @@ from tidemark.plans.serving import COHORT_COLS, COHORT_METRICS, HEADER_M, HEADER
 
 from dateutil.relativedelta import relativedelta
 
-from .sql import FEATS, LABELS, METRICS_COLS, QUOTES_START, RANKING_COLS, REF, ST, WINDOWS, compose, d, dbl
+from .sql import FEATS, LABELS, METRICS_COLS, QUOTES_START, RANKING_COLS, REF, ST, WINDOWS, _dotted, compose, d, dbl
 
 DOUBLE_COLS = set(
     """nav aum inflows outflows VL_QUOTA VL_PATRIM_LIQ CAPTC_DIA RESG_DIA adm_fee perf_fee median_aum median_holders
@@ -339,3 +339,12 @@ WHERE strftime(date, '%Y-%m') < as_of GROUP BY fund_cnpj, subclass_id""", "dq_cl
 ORACLE["restage_benchmark"] = compose(final(["date", "rate"], "fx_cdi"), "fx_cdi")
 _FEE_COLS = ["fund_cnpj", "adm_fee", "adm_fee_date", "perf_fee", "perf_fee_desc", "perf_fee_date", "has_perf_fee"]
 ORACLE["restage_fees"] = q([*_FEE_COLS, "reference_date"], "(SELECT *, DATE '2001-05-01' AS reference_date FROM stg_fees)", "stg_fees")
+ORACLE["asof_join"] = compose(f"""
+SELECT p.probe_id, p.fund_cnpj, p.subclass_id, p.probe_date,
+       CASE WHEN date_diff('day', q.date, p.probe_date) <= 30 THEN q.date END AS date,
+       CASE WHEN date_diff('day', q.date, p.probe_date) <= 30 THEN round(q.nav, 6) + 0e0 END AS nav
+FROM (SELECT o_orderkey AS probe_id, {_dotted('1 + o_custkey % 40')} AS fund_cnpj,
+             CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'A' ELSE 'R' END AS subclass_id, CAST(o_orderdate AS DATE) AS probe_date,
+             COALESCE(CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'A' ELSE 'R' END, '-') AS k FROM orders) p
+ASOF LEFT JOIN (SELECT fund_cnpj, COALESCE(subclass_id, '-') AS k, date, nav FROM stg_quotes WHERE nav IS NOT NULL) q
+  ON p.fund_cnpj = q.fund_cnpj AND p.k = q.k AND p.probe_date >= q.date""", "stg_quotes")

@@ -25,6 +25,7 @@ from .plans import serving as SV
 from .plans.wiring import Layers
 from .settings import fixture_settings
 from .sinks import tables as T
+from .sources import bindings as B
 from .sources import readers as RD
 from .sources import snapshots as SN
 
@@ -410,6 +411,15 @@ def q_quote_feed(spark, sf):
     return spark.read.parquet(root + "/table").drop("quote_month")
 
 
+def q_asof_join(spark, sf):
+    """J17 for arbitrary dates: the newest NAV of a series on or before each order's date, unless it is over 30 days old."""
+    probes = B.table(spark, sf, "orders").selectExpr(
+        "o_orderkey AS probe_id", f"{B._dotted('1 + o_custkey % 40')} AS fund_cnpj",
+        "CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'A' ELSE 'R' END AS subclass_id", "CAST(o_orderdate AS DATE) AS probe_date")
+    quotes = _p(spark, sf).quotes().select(*SK, "date", "nav")
+    return ts.asof_join(probes, quotes, SK, "probe_date", "date", ["nav"], max_days=30)
+
+
 # ------------------------------------------------------------------ load lifecycle
 
 
@@ -465,12 +475,12 @@ def q_load_ledger(spark, sf):
 def q_load_snapshots(spark, sf):
     """Two days of registry snapshots: the first day loaded and then skipped, the second loaded and then replaced by force."""
     root = _scratch(spark, "snapshot-loads")
-    raw = _p(spark, sf).raw("fx_registro_classe").select("ID_Registro_Fundo", "CNPJ_Classe", "Situacao")
+    raw = _p(spark, sf).raw("fx_registro_classe").select("ID_Registro_Fundo", "ID_Registro_Classe", "CNPJ_Classe", "Situacao")
     ledger, one, two = LD.Ledger(spark, root + "/ledger"), *SNAPSHOT_DAYS[:2]
     for frame, day, force in ((raw, one, False), (raw.limit(0), one, False), (raw.where("ID_Registro_Fundo > 0"), two, False),
                               (raw.withColumn("Situacao", F.upper("Situacao")), two, True)):
         LD.load_snapshots(ledger, {"registro_classe": frame}, root, day, force)
-    return spark.read.parquet(root + "/registro_classe")
+    return spark.read.parquet(root + "/registro_classe").drop("ID_Registro_Classe")
 
 
 def _restaged(spark, sf):
@@ -650,4 +660,5 @@ QUERIES = {
     "last_value_state": q_last_value_state,
     "restage_benchmark": q_restage_benchmark,
     "restage_fees": q_restage_fees,
+    "asof_join": q_asof_join,
 }

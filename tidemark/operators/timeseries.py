@@ -18,6 +18,8 @@ from typing import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import keyed
+
 from ..functions import scalars as X
 
 
@@ -57,6 +59,29 @@ def forward_fill_seeded(
     return filled.where(~F.col("__seed")).drop("__seed")
 
 
+def asof_join(probes: DataFrame, quotes: DataFrame, key: Sequence[str], probe_date: str, date_col: str,
+              values: Sequence[str], max_days: int | None = None) -> DataFrame:
+    """J17 for arbitrary probe dates: every probe with the ``values`` and the date of the newest quote of its series on or
+    before it whose first value is not NULL; NULLs where there is none, or it is more than ``max_days`` older.
+
+    Probes of one series and date are one question, so a series has at most one question and (quotes being unique by
+    date) one quote a day: they are put in one line and answered by one last-non-NULL pass, in windows that the calendar bounds.
+    The answers are joined back to the probes, where a hot key is a skewed join that Spark splits. NULL keys are keys; a
+    probe without a date finds nothing. The probes' columns must not be named like the values or the quotes' date.
+    """
+    asked = probes.select(*key, F.col(probe_date).alias("__at")).where(F.col("__at").isNotNull()).distinct()
+    found = F.when(F.col(values[0]).isNotNull(), F.struct(date_col, *values))
+    told = quotes.where(F.col(date_col).isNotNull()).select(*key, F.col(date_col).alias("__at"), found.alias("__found"))
+    line = told.withColumn("__asks", F.lit(False)).unionByName(asked.withColumn("__asks", F.lit(True)), allowMissingColumns=True)
+    # a quote of the day itself comes before the question
+    w = Window.partitionBy(*key).orderBy("__at", "__asks").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    answers = line.withColumn("__found", F.last("__found", ignorenulls=True).over(w)).where("__asks").drop("__asks")
+    if max_days is not None:
+        answers = answers.withColumn("__found", F.when(F.date_diff("__at", f"__found.{date_col}") <= max_days, F.col("__found")))
+    joined = keyed.null_safe_join(probes.withColumn("__at", F.col(probe_date)), answers, [*key, "__at"], "left")
+    return joined.select(*probes.columns, *[F.col(f"__found.{c}").alias(c) for c in (date_col, *values)])
+
+
 # ------------------------------------------------------------------ returns
 
 

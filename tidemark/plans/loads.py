@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import keyed, timeseries as ts
+from ..schemas import KEYS, checked
 from ..sinks import tables as T
 from ..sources import readers as RD
 from ..sources import snapshots as SN
@@ -78,6 +79,8 @@ def load_series(ledger: Ledger, dataset: str, target: str, landing: str, read: C
         return ledger.add(dataset, run_date, SKIP, high_water=known["high_water"])
     start = None if again else known["high_water"].replace(day=1)
     batch = read(fresh)
+    if f"raw.{dataset}" in KEYS:
+        batch = checked(batch, f"raw.{dataset}")
     if start is not None:
         batch = batch.where(F.col(date_col) >= F.lit(start).cast("date"))
     if force:
@@ -103,7 +106,7 @@ def load_snapshots(ledger: Ledger, frames: Mapping[str, DataFrame], root: str, r
             done[name] = ledger.add(name, run_date, SKIP, snapshot_date=have)
             continue
         path = os.path.join(root, name)
-        T.replace_snapshot(frame, path, run_date)
+        T.replace_snapshot(checked(frame, f"raw.{name}"), path, run_date)
         n = ledger.spark.read.parquet(path).where(F.col("reference_date") == F.lit(run_date).cast("date")).count()
         again = have is not None and have >= run_date
         done[name] = ledger.add(name, run_date, REPLACE if again else LOAD, snapshot_date=run_date, n_rows=n)
@@ -129,7 +132,7 @@ def clean_from(raw: DataFrame, state: DataFrame) -> DataFrame:
 def _replace_months(rows: DataFrame, path: str, first: str | None) -> list[str]:
     """Make ``rows`` the table's months from ``first`` on (all months, if None); months that it no longer has go. Returns its months."""
     spark = rows.sparkSession
-    by_month = rows.withColumn("quote_month", F.date_format("date", "yyyy-MM"))
+    by_month = checked(rows, "staging.daily_quotes").withColumn("quote_month", F.date_format("date", "yyyy-MM"))
     with T.staged(by_month, path) as held:
         months = sorted(r[0] for r in held.select("quote_month").distinct().collect())  # bounded by the calendar
         if first is None:
@@ -177,7 +180,7 @@ def restage_benchmark(spark: SparkSession, raw: DataFrame, staged: str, force: b
     if force and T.path_exists(spark, staged):
         T.remove_path(spark, staged)
     held = T.read_table(spark, staged)
-    with T.staged(S.clean_benchmark(S.incremental_new_rows(raw, held, force)), staged) as rows:
+    with T.staged(checked(S.clean_benchmark(S.incremental_new_rows(raw, held, force)), "staging.cdi_rates"), staged) as rows:
         n = rows.count()
         if n:
             T.upsert_timeseries(spark, rows, staged, ["date"], "date")
@@ -197,7 +200,7 @@ def restage_snapshot(spark: SparkSession, raw: Mapping[str, str], staged: str, b
         return SKIP
     frames = {name: SN.latest_snapshot_lazy(spark.read.parquet(path)).drop(SN.RD) if T.path_exists(spark, path) else None for name, path in raw.items()}
     again = T.path_exists(spark, staged)
-    T.replace_snapshot(build(**frames), staged, T.max_date(spark, first, SN.RD))
+    T.replace_snapshot(checked(build(**frames), f"staging.{os.path.basename(staged)}"), staged, T.max_date(spark, first, SN.RD))
     return REPLACE if force and again else LOAD
 
 

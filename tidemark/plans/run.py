@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import checks as V
+from ..schemas import checked
 from ..settings import Settings
 from ..sinks import tables as T
 from ..sources import bindings as B
@@ -71,9 +72,9 @@ class LayerRun:
 
     # ---------------------------------------------------------------- steps
     def stage_quotes(self) -> None:
-        T.write_timeseries(S.clean_quotes(B.fx_inf_diario(self.spark, self.sf_dir)), self.path("staging", "daily_quotes"))
+        T.write_timeseries(checked(S.clean_quotes(B.fx_inf_diario(self.spark, self.sf_dir)), "staging.daily_quotes"), self.path("staging", "daily_quotes"))
         # per (series, month) span and count, partitioned like the quotes
-        T.overwrite_table(U.quote_month_summary(self.quotes()), self.path("staging", "quote_month_summary"), "quote_year")
+        T.overwrite_table(checked(U.quote_month_summary(self.quotes()), "staging.quote_month_summary"), self.path("staging", "quote_month_summary"), "quote_year")
 
     def load_quotes_increment(self, raw_batch: DataFrame) -> list[str]:
         """C6/C7 incremental load: clean a batch of raw quotes seeded from the stored
@@ -89,7 +90,7 @@ class LayerRun:
         months = sorted(r[0] for r in clean.select(F.date_format("date", "yyyy-MM")).distinct().collect())
         if not months:
             return []
-        T.upsert_timeseries(self.spark, clean, qpath, [*S.SERIES_KEY, "date"], "date")
+        T.upsert_timeseries(self.spark, checked(clean, "staging.daily_quotes"), qpath, [*S.SERIES_KEY, "date"], "date")
         self._refresh_summary(months)
         return months
 
@@ -99,7 +100,7 @@ class LayerRun:
         qpath, spath = self.path("staging", "daily_quotes"), self.path("staging", "quote_month_summary")
         years = sorted({int(m[:4]) for m in months})
         touched = self.spark.read.parquet(qpath).where(F.col("quote_month").isin(months)).drop("quote_month")
-        fresh = U.quote_month_summary(touched)
+        fresh = checked(U.quote_month_summary(touched), "staging.quote_month_summary")
         if not T.path_exists(self.spark, spath):
             T.overwrite_table(fresh, spath, "quote_year")
             return
@@ -133,12 +134,12 @@ class LayerRun:
         ref = self.settings.reference_date
         sp, sf = self.spark, self.sf_dir
         writes = [
-            lambda: T.replace_snapshot(S.stage_registry(B.fx_registro_classe(sp, sf), B.fx_registro_subclasse(sp, sf)),
+            lambda: T.replace_snapshot(checked(S.stage_registry(B.fx_registro_classe(sp, sf), B.fx_registro_subclasse(sp, sf)), "staging.registry"),
                                       self.path("staging", "registry"), ref),
-            lambda: T.replace_snapshot(S.clean_fees(B.fx_taxa_adm(sp, sf), B.fx_taxa_perfm(sp, sf), B.fx_extrato(sp, sf)),
+            lambda: T.replace_snapshot(checked(S.clean_fees(B.fx_taxa_adm(sp, sf), B.fx_taxa_perfm(sp, sf), B.fx_extrato(sp, sf)), "staging.fees"),
                                       self.path("staging", "fees"), ref),
-            lambda: T.replace_snapshot(S.clean_characteristics(B.fx_anbima(sp, sf)), self.path("staging", "anbima"), ref),
-            lambda: T.overwrite_table(S.clean_benchmark(B.fx_cdi(sp, sf)), self.path("staging", "cdi_rates")),
+            lambda: T.replace_snapshot(checked(S.clean_characteristics(B.fx_anbima(sp, sf)), "staging.anbima"), self.path("staging", "anbima"), ref),
+            lambda: T.overwrite_table(checked(S.clean_benchmark(B.fx_cdi(sp, sf)), "staging.cdi_rates"), self.path("staging", "cdi_rates")),
         ]
         with ThreadPoolExecutor(max_workers=len(writes)) as pool:
             for f in [pool.submit(w) for w in writes]:
@@ -165,15 +166,15 @@ class LayerRun:
         u = U.build_universe(self.snap("registry").drop("reference_date"), self.snap("fees").drop("reference_date"),
                              self.quotes(hi=self.settings.reference_date), self.snap("anbima").drop("reference_date"),
                              self.settings, stats=self.universe_stats())
-        T.replace_partition(u, self.path("marts", "universe"))
+        T.replace_partition(checked(u, "marts.universe"), self.path("marts", "universe"))
 
     def build_metrics(self) -> None:
         st = self.settings
         m = M.build_metrics(self.quotes(M.quotes_start(st), st.reference_date), self.mart("universe"), self.cdi(), st)
-        T.replace_partition(m, self.path("marts", "metrics"))
+        T.replace_partition(checked(m, "marts.metrics"), self.path("marts", "metrics"))
 
     def build_rankings(self) -> None:
-        T.replace_partition(R.build_rankings(self.mart("metrics"), self.settings), self.path("marts", "rankings"))
+        T.replace_partition(checked(R.build_rankings(self.mart("metrics"), self.settings), "marts.rankings"), self.path("marts", "rankings"))
 
     def marts_gate(self) -> DataFrame:
         marts = {n: self.spark.read.parquet(self.path("marts", n)) for n in ("universe", "metrics", "rankings")}
