@@ -243,4 +243,14 @@ SELECT reference_date, task, dataset, COUNT(*) AS total, COUNT(*) FILTER (WHERE
 FROM all_results GROUP BY reference_date, task, dataset""", "all_results"),
     "ordered_detail": compose("""
 SELECT check_name, severity, passed, value, threshold FROM all_results WHERE task = 'validate_staging'""", "all_results"),
+    "log_detail": compose("""
+SELECT check_name, severity, passed, value, threshold, '2001-07-01 18:30:00' AS logged_at FROM staging_results""", "staging_results"),
+    "log_summary": compose("""
+SELECT reference_date, task, dataset, COUNT(*) AS total, COUNT(*) FILTER (WHERE passed) AS passed, COUNT(*) FILTER (WHERE NOT passed) AS failed,
+       COUNT(*) FILTER (WHERE NOT passed AND severity = 'error') AS errors,
+       COUNT(*) FILTER (WHERE NOT passed AND severity = 'warning') AS warnings, max(logged) AS last_logged_at
+FROM staging_results, (VALUES ('2001-07-01 06:00:00'), ('2001-07-01 18:30:00'), ('2001-07-02 06:00:00')) AS l(logged)
+WHERE logged < '2001-07-02' OR NOT contains(check_name, 'row_count')
+GROUP BY reference_date, task, dataset""", "staging_results"),
+    "logged_dates": "SELECT unnest([DATE '2001-07-01', DATE '2001-07-02']) AS logged_date",
 }

@@ -348,3 +348,8 @@ FROM (SELECT o_orderkey AS probe_id, {_dotted('1 + o_custkey % 40')} AS fund_cnp
              COALESCE(CASE o_orderkey % 3 WHEN 0 THEN NULL WHEN 1 THEN 'A' ELSE 'R' END, '-') AS k FROM orders) p
 ASOF LEFT JOIN (SELECT fund_cnpj, COALESCE(subclass_id, '-') AS k, date, nav FROM stg_quotes WHERE nav IS NOT NULL) q
   ON p.fund_cnpj = q.fund_cnpj AND p.k = q.k AND p.probe_date >= q.date""", "stg_quotes")
+ORACLE["quote_rejects"] = compose("""
+SELECT outcome, COUNT(*) AS n_lines, COUNT(nav) AS n_quotas, COUNT(*) FILTER (WHERE outcome <> 'accepted') AS n_kept_lines
+FROM (SELECT CASE tb1 % 40 WHEN 1 THEN 'date' WHEN 2 THEN 'key' WHEN 3 THEN 'fields' WHEN 4 THEN 'fields' ELSE 'accepted' END AS outcome,
+             CASE WHEN tb1 % 40 <> 5 THEN VL_QUOTA END AS nav FROM fx_inf_diario)
+GROUP BY outcome""", "fx_inf_diario")

@@ -142,3 +142,23 @@ def test_text_that_is_no_finite_number_is_null(spark, tmp_dir):
     with open(f"{tmp_dir}/r.json", "w") as f:
         f.write('[{"data": "02/01/2024", "valor": "NaN"}, {"data": "03/01/2024", "valor": "0.05"}]')
     assert sorted((r.date.day, r.rate) for r in RD.read_benchmark_json(spark, f"file:{tmp_dir}/r.json").collect()) == [(2, None), (3, 0.05 / 100)]
+
+
+def test_rejected_lines_are_kept_by_file_and_counted(spark, tmp_dir):
+    head = "TP_FUNDO;CNPJ_FUNDO;DT_COMPTC;VL_QUOTA;VL_PATRIM_LIQ;CAPTC_DIA;RESG_DIA;NR_COTST"
+    good = ["FI;1;2024-01-02;10;1;0;0;5", "FI;2;2024-01-02;NaN;1;0;0;5"]
+    bad = ["FI;1;2024-01-03;10", "FI;1;2024-01-03;10;1;0;0;5;9", "FI;1;soon;10;1;0;0;5", "FI;;2024-01-04;10;1;0;0;5"]
+
+    def land(name, lines):
+        with open(f"{tmp_dir}/{name}", "w", encoding="latin-1") as f:
+            f.write("\n".join([head, *lines]) + "\n")
+        return f"file:{tmp_dir}/{name}"
+
+    read, rejects = L.read_quotes(spark, f"{tmp_dir}/rejects"), lambda: spark.read.schema("reason string, line string, file string").parquet(f"{tmp_dir}/rejects")
+    paths = [land("a.csv", good + bad), land("b.csv", good + bad[:1])]
+    accepted = read(paths)
+    assert accepted.columns == RD.QUOTE_COLUMNS and accepted.count() == 4
+    assert sorted((r.file, r.reason) for r in rejects().collect()) == [("a.csv", "date"), ("a.csv", "fields"), ("a.csv", "fields"), ("a.csv", "key"), ("b.csv", "fields")]
+    assert {r.line for r in rejects().where("reason = 'fields'").collect()} == set(bad[:2])
+    assert read([land("a.csv", good)]).count() == 2
+    assert [r.file for r in rejects().collect()] == ["b.csv"]

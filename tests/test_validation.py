@@ -147,3 +147,26 @@ def test_lazy_slice_and_no_snapshot_branches(spark, snapshot_table):
     assert not ref_missing["passed"] and ref_missing["threshold"] == ">= 95% matched" and ref_missing["value"] is None
     ref_ok = _one(V.referential(child, child, "ri", "k", 0.95, "t", requires=F.when(snap.isNotNull(), F.lit(1))))
     assert ref_ok["passed"] and ref_ok["threshold"] == ">= 95%" and ref_ok["value"] == "100.0%"
+
+
+def test_log_is_read_back_by_day_and_by_newest_run(spark, tmp_dir):
+    from datetime import datetime
+
+    from tidemark.plans import serving as SV
+    from tidemark.sinks import tables as T
+
+    ref = date(2024, 1, 31)
+    rows = lambda ok: spark.createDataFrame(
+        [(ref, t, "d", n, s, ok or n == "b", "1", "2", None if ok or n == "b" else f"{n} failed") for t in ("one", "two") for n, s in (("a", "error"), ("b", "error"), ("c", "warning"))],
+        "reference_date date, task string, dataset string, check_name string, severity string, passed boolean, value string, threshold string, message string")
+    times = [datetime(2024, 2, 1, 6), datetime(2024, 2, 1, 9), datetime(2024, 2, 2, 6)]
+    for at, ok in zip(times, (True, False, True)):
+        T.write_check_log(rows(ok), f"{tmp_dir}/log", at)
+    log = spark.read.parquet(f"{tmp_dir}/log")
+    assert [r[0] for r in SV.logged_dates(log, ref).collect()] == [date(2024, 2, 2), date(2024, 2, 1)]
+    assert SV.logged_dates(log, date(2024, 1, 1)).count() == 0
+    detail = [tuple(r) for r in SV.log_detail(log, ref, "one", date(2024, 2, 1), latest=True).collect()]
+    assert detail == [("c", "warning", False, "1", "2", "c failed", times[1]), ("a", "error", False, "1", "2", "a failed", times[1]), ("b", "error", True, "1", "2", None, times[1])]
+    assert SV.log_detail(log, ref, "two").count() == 9 and SV.log_detail(log, ref, "two", latest=True).where("passed").count() == 3
+    summary = {r.task: (r.total, r.failed, r.errors, r.last_logged_at) for r in SV.check_summary(SV.log_slice(log, ref, date(2024, 2, 1))).collect()}
+    assert summary == {"one": (6, 2, 1, times[1]), "two": (6, 2, 1, times[1])}

@@ -7,7 +7,7 @@ tables (through the fixture bindings). The DuckDB twin of each lives in
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -411,6 +411,59 @@ def q_quote_feed(spark, sf):
     return spark.read.parquet(root + "/table").drop("quote_month")
 
 
+def _check_log(spark, sf):
+    """The staging gate's results logged twice on one day and once on the next, the last time without its row counts."""
+    path = _scratch(spark, "check-log")
+    results = T.read_table(spark, _stored_results(spark, sf))
+    for at in LOG_TIMES[:2]:
+        T.write_check_log(results, path, at)
+    T.write_check_log(results.where(~F.col("check_name").contains("row_count")), path, LOG_TIMES[2])
+    return spark.read.parquet(path)
+
+
+def _stored_results(spark, sf):
+    path = _scratch(spark, "check-results")
+    staging_results(spark, sf).write.parquet(path)
+    return path
+
+
+LOG_TIMES = [datetime(2001, 7, 1, 6, 0), datetime(2001, 7, 1, 18, 30), datetime(2001, 7, 2, 6, 0)]
+
+
+def q_log_detail(spark, sf):
+    """T4 over the log: the newest run of one day, with its log time."""
+    found = SV.log_detail(_check_log(spark, sf), fixture_settings().reference_date, "validate_staging", date(2001, 7, 1), latest=True)
+    return found.drop("message").withColumn("logged_at", F.date_format("logged_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_log_summary(spark, sf):
+    """A15 over the log: all runs of a run date, with the last log time."""
+    rows = SV.log_slice(_check_log(spark, sf), fixture_settings().reference_date)
+    return SV.check_summary(rows).withColumn("last_logged_at", F.date_format("last_logged_at", "yyyy-MM-dd HH:mm:ss"))
+
+
+def q_logged_dates(spark, sf):
+    return SV.logged_dates(_check_log(spark, sf), fixture_settings().reference_date)
+
+
+def q_quote_rejects(spark, sf):
+    """Quote lines of which some are cut short, too long, undated or without a key; what was accepted and rejected."""
+    path = _scratch(spark, "rejects")
+    raw = _p(spark, sf).raw("fx_inf_diario")
+    kind = F.col("tb1") % 40
+    broken = {"DT_COMPTC": (1, "n/d"), "CNPJ_FUNDO_CLASSE": (2, ""), "VL_QUOTA": (5, "NaN")}
+    fields = []
+    for c in RD.QUOTE_COLUMNS:
+        text = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        fields.append(F.when(kind == broken[c][0], broken[c][1]).otherwise(text) if c in broken else text)
+    line = F.when(kind == 3, F.concat_ws(";", *fields[:-2])).when(kind == 4, F.concat_ws(";", *fields, F.lit("x"))).otherwise(F.concat_ws(";", *fields))
+    # a column named like the header line makes Spark write that line first in every file; no field needs quoting
+    raw.select(line.alias(";".join(RD.QUOTE_COLUMNS))).write.options(header="true", sep="\t", quote="").csv(path)
+    found = RD.read_quotes_or_reasons(spark, RD.list_files(spark, path + "/*.csv"))
+    return found.groupBy(F.coalesce("reason", F.lit("accepted")).alias("outcome")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count("VL_QUOTA").alias("n_quotas"), F.count("line").alias("n_kept_lines"))
+
+
 def q_asof_join(spark, sf):
     """J17 for arbitrary dates: the newest NAV of a series on or before each order's date, unless it is over 30 days old."""
     probes = B.table(spark, sf, "orders").selectExpr(
@@ -661,4 +714,8 @@ QUERIES = {
     "restage_benchmark": q_restage_benchmark,
     "restage_fees": q_restage_fees,
     "asof_join": q_asof_join,
+    "quote_rejects": q_quote_rejects,
+    "log_detail": q_log_detail,
+    "log_summary": q_log_summary,
+    "logged_dates": q_logged_dates,
 }

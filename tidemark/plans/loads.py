@@ -239,6 +239,20 @@ def restage_all(spark: SparkSession, raw_root: str, staged_root: str, force: boo
 # ------------------------------------------------------------------ everything that has landed
 
 
+def read_quotes(spark: SparkSession, rejects: str) -> Callable[[list[str]], DataFrame]:
+    """A reader for ``load_series`` that stores the lines that are no quotes (reason, line) by file; a file that is read again
+    replaces its rejects."""
+
+    def read(paths: list[str]) -> DataFrame:
+        lines = RD.read_quotes_or_reasons(spark, paths)
+        for path in paths:
+            T.remove_path(spark, os.path.join(rejects, f"file={os.path.basename(path)}"))
+        T.replace_partition(lines.where(F.col("reason").isNotNull()).select("reason", "line", "file"), rejects, "file")
+        return lines.where(F.col("reason").isNull()).select(*RD.QUOTE_COLUMNS)
+
+    return read
+
+
 def ingest_all(ledger: Ledger, landing: str, raw_root: str, run_date: date, force: bool = False) -> dict[str, str]:
     """Load every source that has landed under ``landing``; what was done, by table. Sources without files are left out.
 
@@ -251,7 +265,7 @@ def ingest_all(ledger: Ledger, landing: str, raw_root: str, run_date: date, forc
     done = {}
     if has("inf_diario/*.csv"):
         done["inf_diario"] = load_series(ledger, "inf_diario", raw("inf_diario"), os.path.join(landing, "inf_diario/*.csv"),
-                                         lambda paths: RD.read_monthly_quotes(spark, paths), S.RAW_QUOTE_KEY, "DT_COMPTC", run_date, force)
+                                         read_quotes(spark, raw("inf_diario_rejects")), S.RAW_QUOTE_KEY, "DT_COMPTC", run_date, force)
     if has("cdi/*.json"):
         done["cdi_daily"] = load_series(ledger, "cdi_daily", raw("cdi_daily"), os.path.join(landing, "cdi/*.json"),
                                         lambda paths: RD.read_benchmark_json(spark, paths), ["date"], "date", run_date, force)

@@ -277,3 +277,30 @@ def ordered_detail(results: DataFrame, task: str) -> DataFrame:
         .select("check_name", "severity", "passed", "value", "threshold")
         .orderBy(F.col("passed").asc(), F.col("severity").desc(), F.col("check_name").asc())
     )
+
+
+# ------------------------------------------------------------------ the append-only check log (K10 read back)
+
+
+def log_slice(log: DataFrame, ref: date, logged_on: date | None = None, latest: bool = False) -> DataFrame:
+    """The log's rows of a run date (a pruned partition), of one log day if given. With ``latest`` only the newest run of every
+    task counts: a repeated run appends its results again, and each run has one log time."""
+    rows = log.where(F.col("reference_date") == F.lit(ref).cast("date"))
+    if logged_on is not None:
+        rows = rows.where(F.to_date("logged_at") == F.lit(logged_on).cast("date"))
+    if latest:
+        newest = rows.groupBy("task").agg(F.max("logged_at").alias("logged_at"))  # one row a task
+        rows = rows.join(F.broadcast(newest), ["task", "logged_at"], "left_semi")
+    return rows
+
+
+def logged_dates(log: DataFrame, ref: date) -> DataFrame:
+    """T5: the days on which results of a run date were logged, newest first."""
+    return log_slice(log, ref).select(F.to_date("logged_at").alias("logged_date")).distinct().orderBy(F.col("logged_date").desc())
+
+
+def log_detail(log: DataFrame, ref: date, task: str, logged_on: date | None = None, latest: bool = False) -> DataFrame:
+    """T4: one task's logged checks with message and log time, failures first, then severity descending, then name, newest first."""
+    rows = log_slice(log, ref, logged_on, latest).where(F.col("task") == task)
+    return rows.select("check_name", "severity", "passed", "value", "threshold", "message", "logged_at").orderBy(
+        F.col("passed").asc(), F.col("severity").desc(), F.col("check_name").asc(), F.col("logged_at").desc())

@@ -20,7 +20,7 @@ import json
 import os
 import uuid
 from contextlib import contextmanager
-from datetime import date
+from datetime import date, datetime
 from typing import Callable, Iterable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -266,7 +266,8 @@ def payload_to_dict(payload: DataFrame) -> dict:
     return json.loads(payload.select(doc.alias("j")).first()["j"])
 
 
-def write_check_log(results: DataFrame, path: str) -> None:
-    """Append check results with the log time, partitioned by run date."""
-    (results.withColumn("logged_at", F.current_timestamp())
+def write_check_log(results: DataFrame, path: str, logged_at: datetime | None = None) -> None:
+    """Append check results with the log time (now, unless given), partitioned by run date."""
+    at = F.current_timestamp() if logged_at is None else F.lit(logged_at).cast("timestamp")
+    (results.withColumn("logged_at", at)
        .write.mode("append").partitionBy("reference_date").parquet(path))

@@ -90,13 +90,13 @@ QUOTE_ALIASES = {
 }
 
 
-def _in_quote_layout(df: DataFrame) -> DataFrame:
-    """One select from any year's header to the kept columns; a column that the year lacks is NULL."""
+def _in_quote_layout(df: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """One select from any year's header to the kept columns (and ``more``); a column that the year lacks is NULL."""
     def source(target: str) -> Column:
         found = [name for name in QUOTE_ALIASES.get(target, (target,)) if name in df.columns]
         return (F.col(found[0]) if found else F.lit(None).cast("string")).alias(target)
 
-    return df.select(*[source(c) for c in QUOTE_COLUMNS])
+    return df.select(*[source(c) for c in QUOTE_COLUMNS], *more)
 
 
 def read_monthly_quotes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -121,6 +121,35 @@ def read_monthly_quotes(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
+CORRUPT = "corrupt_line"
+
+
+def read_quotes_or_reasons(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """S2 with every landed line accounted for: the kept columns, ``file``, and for lines that cannot be a quote ``reason`` and
+    ``line``, else NULLs. Accepted and rejected rows add up to the landed data lines (blank lines are none).
+
+    A line is rejected for its shape (more or fewer fields than the header), for lacking a date or for lacking a key; a
+    number that is none is no reason, it becomes NULL.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for p in paths:
+        groups.setdefault(tuple(read_header(spark, p)), []).append(p)
+    extra = StructType([StructField("file", StringType(), True), StructField(CORRUPT, StringType(), True)])
+    out = spark.createDataFrame([], StructType(_string_schema(QUOTE_COLUMNS).fields + extra.fields))
+    for header, group in groups.items():
+        # all fields of a line are parsed, whatever is selected of them, so that its shape is known
+        rows = read_delimited(spark, group, [*header, CORRUPT], columnNameOfCorruptRecord=CORRUPT, columnPruning="false")
+        rows = rows.withColumn("file", F.element_at(F.split("_metadata.file_path", "/"), -1))
+        out = out.unionByName(_in_quote_layout(rows, ("file", CORRUPT)))
+    dated = F.try_to_date(F.col("DT_COMPTC"))
+    reason = F.when(F.col(CORRUPT).isNotNull(), "fields").when(dated.isNull(), "date").when(F.col("CNPJ_FUNDO_CLASSE").isNull(), "key")
+    whole = F.coalesce(F.col(CORRUPT), F.concat_ws(";", *[F.coalesce(c, F.lit("")) for c in QUOTE_COLUMNS]))
+    return out.select(
+        F.col("TP_FUNDO_CLASSE"), F.col("CNPJ_FUNDO_CLASSE"), F.col("ID_SUBCLASSE"), dated.alias("DT_COMPTC"),
+        *[_coerced(c).alias(c) for c in QUOTE_NUMBERS], _coerced("NR_COTST").try_cast("int").alias("NR_COTST"),
+        "file", reason.alias("reason"), F.when(reason.isNotNull(), whole).alias("line"))
+
+
 def read_members(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
     """S3: a chosen set of named delimited tables in an unpacked folder, read lazily."""
     return {n: read_delimited(spark, f"{folder.rstrip('/')}/{n}.csv") for n in names}
