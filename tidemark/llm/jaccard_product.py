@@ -140,7 +140,8 @@ def block_keys(sets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def _with_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
     """id and text of classes (id, doc_id, text_hash); rows that repeat are there more than once."""
     held = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_hash"), "text")
-    return held.join(classes, held.own_id.eqNullSafe(classes.doc_id) & (held.own_hash == classes.text_hash)).select("id", "text")
+    # a merge join at every size: what is small here would be large on more data
+    return held.join(classes.hint("merge"), held.own_id.eqNullSafe(classes.doc_id) & (held.own_hash == classes.text_hash)).select("id", "text")
 
 
 def blocks_of(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
@@ -281,7 +282,6 @@ def jaccard_join(docs: DataFrame, n: int = 4) -> DataFrame:
     classes = made.where(F.col("n_shingles") > 0).groupBy("print", "n_shingles").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first"))
     classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "print", "n_shingles", "first.doc_id", "first.text_hash"), "classes")
-    # stored apart, so that Spark knows their size: small ones are broadcast, and no text is shuffled
     posts = stored(blocks_of(docs, stored(classes.select("id", "doc_id", "text_hash"), "class-rows"), n), "posts")
     release(docs.sparkSession)
     shared = stored(posts.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where(F.col("low") != F.col("high")).select("key"), "shared-keys")
