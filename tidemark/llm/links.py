@@ -1,10 +1,12 @@
 """Connected groups of similar items, without ever pairing all members of a group of candidates.
 
-Items are posted under keys (shared signature values); items under one key are candidates of each other. Two passes:
+Items are posted under keys (shared signature values); items under one key are candidates of each other. Three passes:
 
 1. Star: under every key each item is compared with the key's center, the item of the greatest ``weight`` (then the smallest).
    Pairs that match and are confirmed join. The weight should favour the original of a group of copies.
-2. Rest: only keys of three or more items that still lie in different components are looked at again; there every item outside the
+2. Rounds: keys of ``HUB_FROM`` or more items that still lie in different components draw about ``CENTERS`` of their items by hash,
+   and every item is compared with those of other components. Rounds go on while each joins a quarter or more of what was left.
+3. Rest: only keys of three or more items that still lie in different components are looked at again; there every item outside the
    key's largest component is compared with all items of other components. So no matching pair between components
    goes unchecked, while a large group of copies, one component after the first pass, costs one pair per copy. With
    ``near`` given, all items of such a key, if it has ``HUB_FROM`` or more, are first confirmed against the hub of its largest component, the item of the
@@ -24,6 +26,7 @@ from pyspark.sql import functions as F
 from .common import stored
 
 HUB_FROM = 64
+CENTERS = 16
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -53,6 +56,15 @@ def _pairs(pairs: DataFrame, label: str, known: DataFrame | None = None) -> Data
     return stored(once if known is None else once.join(known.select("a", "b"), ["a", "b"], "left_anti"), label)
 
 
+def _open(posts: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The posts with their components; and stored those of keys that hold several, with n (items) and main (largest component) of the key."""
+    tagged = posts.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    per = tagged.groupBy("key", "component").agg(F.count("*").alias("n"))
+    mixed = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"), F.sum("n").alias("n"))
+    mixed = stored(mixed.where((F.col("kinds") > 1) & (F.col("n") > 2)).select("key", "n", F.col("most.component").alias("main")), "mixed")
+    return tagged, stored(tagged.join(mixed, "key").select("key", "id", "item", "component", "main", "n"), "open-posts")
+
+
 def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm: Callable[[DataFrame, bool], DataFrame],
            near: Callable[[Column, Column, Column, Column], Column] | None = None) -> DataFrame:
     """id, component of items that are linked with another one.
@@ -69,17 +81,27 @@ def linked(posts: DataFrame, match: Callable[[Column, Column], Column], confirm:
     judged = stored(confirm(_pairs(star.select(F.col("center.id").alias("one"), F.col("id").alias("other"), F.col("center.id").alias("hint")), "star"), near is not None), "star-judged")
     found = components(judged.where("linked").select("a", "b"))
 
-    tagged = posts.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    per = tagged.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("most"), F.count("*").alias("kinds"), F.sum("n").alias("n"))
-    mixed = mixed.where((F.col("kinds") > 1) & (F.col("n") > 2)).select("key", "n", F.col("most.component").alias("main"))
+    before = None
+    while True:
+        tagged, open_posts = _open(posts, found)
+        large = open_posts.where(F.col("n") >= HUB_FROM)
+        left = large.where(F.col("component") != F.col("main")).count()
+        if left == 0 or (before is not None and left > 0.75 * before):
+            break
+        before = left
+        drawn = large.where(F.pmod(F.xxhash64("id", F.lit(left)), F.col("n")) < CENTERS).select(
+            "key", F.col("id").alias("one"), F.col("item").alias("one_item"), F.col("component").alias("one_component"))
+        pairs = large.join(drawn, "key").where((F.col("component") != F.col("one_component")) & match(F.col("one_item"), F.col("item")))
+        pairs = _pairs(pairs.select("one", F.col("id").alias("other"), F.col("one").alias("hint")), "round", judged)
+        judged = stored(judged.unionByName(confirm(pairs, near is not None)), "judged")
+        found = components(judged.where("linked").select("a", "b"))
+
     if near is None:
-        open_posts = stored(tagged.join(stored(mixed, "mixed"), "key").withColumn("gap", F.lit(None).cast("boolean")), "open-posts")
+        open_posts = open_posts.withColumn("gap", F.lit(None).cast("boolean"))
     else:
         hubs = tagged.groupBy("component").agg(F.max_by("id", F.struct("weight", -F.col("id"))).alias("hub"))
-        mixed = mixed.join(hubs.withColumnRenamed("component", "main"), "main")
-        mixed = stored(mixed.withColumn("hub", F.when(F.col("n") >= HUB_FROM, F.col("hub"))).drop("n"), "mixed")
-        open_posts = stored(tagged.join(mixed, "key").select("key", "id", "item", "component", "main", "hub"), "open-posts")
+        open_posts = open_posts.join(hubs.withColumnRenamed("component", "main"), "main")
+        open_posts = stored(open_posts.withColumn("hub", F.when(F.col("n") >= HUB_FROM, F.col("hub"))).drop("n"), "open-posts")
         to_hub = open_posts.where(F.col("id") != F.col("hub")).select(F.col("hub").alias("one"), F.col("id").alias("other"), F.col("hub").alias("hint"))
         judged = stored(judged.unionByName(confirm(_pairs(to_hub, "hubs", judged), True)), "judged")
         gaps = judged.select("a", "b", "gap").where(F.col("gap").isNotNull())
