@@ -39,6 +39,30 @@ def test_stages_on_awkward_documents(spark):
     assert taken == {i: t for i, *_, t in plan if t}
 
 
+CLASHES = ("n_lines", "n_removed", "kept_row", "kept_id", "kept", "mix_size", "mix_id", "of", "taken", "size", "c0", "number", "known", "text_hash")
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    texts = ["the first line of a text\nthe second line of it", "another text that is quite different from it", "the first line of a text\nand more of it"]
+    rows = [(i, t, "en", "s1", len(t), *[100 * i + k for k in range(len(CLASHES))]) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} long" for c in CLASHES))
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SMALL)
+        assert out.columns == docs.columns
+        found = out.collect()
+        assert {r.doc_id for r in found} == {0, 1, 2}, name
+        assert all(tuple(r)[5:] == rows[r.doc_id][5:] for r in found), name
+
+
+def test_near_dedup_keeps_every_text_of_an_id(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(40)) for x in "ab")
+    rows = [(1, a), (1, b), (1, b), (2, a), (3, None), (3, None), (4, "")]
+    docs = spark.createDataFrame([(*r, None, None, 0) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = P.near_dedup(spark, docs, SMALL).collect()
+    own = sorted((r.doc_id, r.text or "") for r in found if r.doc_id != 2)
+    assert own == sorted([(1, a), (1, b), (3, ""), (4, "")])
+
+
 def test_stages_on_no_rows(spark):
     docs = spark.createDataFrame([], brute.DOCS)
     for name, stage in P.STAGES:
