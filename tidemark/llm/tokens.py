@@ -2,8 +2,8 @@
 
 The public word-level BPE vocabulary drops white space and splits words from punctuation before it merges, so the
 ids of a text are the ids of its white-space chunks one after the other. Every distinct chunk is encoded by the
-library once per worker and remembered (at most ``CACHE`` chunks, then the memory starts anew); the rest is Arrow
-and numpy. ASCII letters are lower-cased first and a mark after a plain letter is set apart, which the vocabulary's
+library and remembered by the worker; beyond ``CACHE`` chunks it forgets those that few slices of text had. The rest is Arrow
+and numpy. Chunks of plain ASCII letters go to the library's model at once, as its normalizer and splitters leave them as they are. ASCII letters are lower-cased first and a mark after a plain letter is set apart, which the vocabulary's
 own normalizer and splitter do as well. Texts holding ``<|`` could name a special token and are encoded whole.
 """
 
@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +20,7 @@ import pyarrow.compute as pc
 from .common import slices, texts
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 250_000
+CACHE = 500_000
 #: Chunks longer than this are encoded but not remembered.
 LONGEST_KEPT = 64
 #: Text encoded together; more of it repeats more chunks.
@@ -35,6 +36,11 @@ def encoder(name: str = VOCABULARY) -> "Encoder":
     return _encoders[name]
 
 
+def _room(array: np.ndarray, n: int) -> np.ndarray:
+    """The array with at least n places."""
+    return array if n <= len(array) else np.concatenate([array, np.zeros(max(n, 2 * len(array)) - len(array), array.dtype)])
+
+
 class Encoder:
     def __init__(self, name: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -42,26 +48,51 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(name if os.path.sep in name else public_tokenizers.path(name))
-        self._clear()
-
-    def _clear(self) -> None:
         self.place: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
+        #: Slices of text that had a chunk, fewer for those of long ago.
+        self.seen = np.zeros(1 << 14, np.int32)
         self.used = self.known = 0
 
+    def _forget(self) -> None:
+        """Keep at most half of ``CACHE`` chunks: those that most slices had, and at least two."""
+        seen, least = self.seen[: self.known], 2
+        while np.count_nonzero(seen >= least) > CACHE // 2:
+            least += 1
+        kept = seen >= least
+        number = np.cumsum(kept) - 1
+        self.place = {w: int(number[p]) for w, p in self.place.items() if kept[p]}
+        lengths = np.diff(self.starts[: self.known + 1])
+        self.ids = self.ids[: self.used][np.repeat(kept, lengths)]
+        self.used, self.known = len(self.ids), int(kept.sum())
+        self.starts = np.concatenate([[0], np.cumsum(lengths[kept])])
+        self.seen = seen[kept] >> 1
+
+    def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks one after the other, and how many each has."""
+        plain = np.array([w.isascii() and w.isalpha() for w in chunks], bool)
+        tokens = [[t.id for t in self.model.model.tokenize(w)] for w, p in zip(chunks, plain) if p]
+        got = self.model.encode([w for w, p in zip(chunks, plain) if not p], is_pretokenized=True, add_special_tokens=False)
+        sizes = np.zeros(len(chunks), np.int64)
+        sizes[plain] = list(map(len, tokens))
+        sizes[~plain] = np.bincount(np.array(got.word_ids, np.int64), minlength=len(chunks) - len(tokens))
+        flat, of_plain = np.zeros(int(sizes.sum()), np.uint32), np.repeat(plain, sizes)
+        flat[of_plain] = list(chain.from_iterable(tokens))
+        flat[~of_plain] = got.ids
+        return flat, sizes
+
     def _learn(self, chunks: list[str]) -> None:
         for at in range(0, len(chunks), 50_000):
             part = chunks[at : at + 50_000]
-            got = self.model.encode(part, is_pretokenized=True, add_special_tokens=False)
-            flat = np.array(got.ids, np.uint32)
-            ends = np.cumsum(np.bincount(np.array(got.word_ids, np.int64), minlength=len(part)))
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            while self.known + len(part) + 1 > len(self.starts):
-                self.starts = np.concatenate([self.starts, np.zeros_like(self.starts)])
+            flat, sizes = self._encoded(part)
+            ends = np.cumsum(sizes)
+            self.ids = _room(self.ids, self.used + len(flat))
+            self.starts = _room(self.starts, self.known + len(part) + 1)
+            self.seen = _room(self.seen, self.known + len(part))
             self.ids[self.used : self.used + len(flat)] = flat
             self.starts[self.known + 1 : self.known + 1 + len(part)] = self.used + ends
+            self.seen[self.known : self.known + len(part)] = 0
             self.place.update(zip(part, range(self.known, self.known + len(part))))
             self.used += len(flat)
             self.known += len(part)
@@ -81,7 +112,7 @@ class Encoder:
         del lists
         words = coded.dictionary.to_pylist()
         if self.known > CACHE:
-            self._clear()
+            self._forget()
         place = list(map(self.place.get, words))
         new = [w for w, p in zip(words, place) if p is None]
         if new:
@@ -90,6 +121,7 @@ class Encoder:
             for w in new:
                 if len(w) > LONGEST_KEPT:
                     del self.place[w]
+        self.seen[place] += 1  # every chunk of a slice is in ``place`` once
         codes = np.array(place, np.int64)[coded.indices.to_numpy(zero_copy_only=False)] if words else np.zeros(0, np.int64)
         first = self.starts[codes]
         lengths = self.starts[codes + 1] - first
