@@ -87,11 +87,10 @@ class _Model:
         if self.counts.sum() > 1 << 28:
             self.counts >>= 1
         for key, seen, guess, sure in ((last, one, self.next1, self.sure1), (slot, two, self.next2, self.sure2)):
-            hit = seen == ids
-            new = sure + np.bincount(key[hit], minlength=len(sure)) - np.bincount(key[~hit], minlength=len(sure))
-            lost = new[key] < 0
+            np.add.at(sure, key, np.where(seen == ids, np.int32(1), np.int32(-1)))
+            lost = np.flatnonzero(sure[key] < 0)
             guess[key[lost]] = ids[lost]  # of several, the last id counts
-            sure[:] = np.clip(new, 0, 3)
+            np.clip(sure, 0, 3, out=sure)
         self.hits += np.bincount(context * 3 + zone, minlength=96).reshape(32, 3)
         self.hits = np.where(self.hits.sum(1, keepdims=True) > 1 << 16, (self.hits + 1) >> 1, self.hits)
         self._frequencies()
@@ -155,8 +154,12 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[int, bytes]:
             lo += cum[k, :m] * part
             sp[:] = freq[k, :m] * part
             _settle(lo, sp, emit)
-        on = np.arange(lanes)[None, :] < np.array(live)[:, None]
-        model.adapt(cur[on], last[on], slot[on], two[on], one[on], context[on], zone[on])
+        step = (cur, last, slot, two, one, context, zone)
+        if live[0] == live[-1]:  # all but the run in which a lane ends
+            model.adapt(*(x[:, : live[0]].ravel() for x in step))
+        else:
+            on = np.arange(lanes)[None, :] < np.array(live)[:, None]
+            model.adapt(*(x[on] for x in step))
     for _ in range(4):
         emit(np.arange(lanes), low)
         low <<= _W
@@ -185,7 +188,7 @@ def decode_ids(body: bytes, lanes: int, n: int, alphabet: int) -> np.ndarray:
     history = np.zeros((steps + 2, lanes), np.uint32)
     top = np.uint64((1 << FREQ_BITS) - 1)
     for a, b in _chunks(steps):
-        seen = []
+        seen, first, second = [], model.share_at[:, 1].copy(), model.share_at[:, 2].copy()
         for s in range(a, b):
             m = -(-(n - s) // steps) if n > s else 0
             last, before = history[s + 1, :m], history[s, :m]
@@ -193,14 +196,17 @@ def decode_ids(body: bytes, lanes: int, n: int, alphabet: int) -> np.ndarray:
             lo, sp = low[:m], span[:m]
             part = sp >> np.uint64(SHARE_BITS)
             value = (code[:m] - lo) // part
-            zone = (value >= model.share_at[context, 1]).astype(np.int64) + (value >= model.share_at[context, 2])
+            plain = value >= second[context]
+            zone = (value >= first[context]).astype(np.int64) + plain
             lo += model.share_at[context, zone] * part
             part = model.share[context, zone] * part >> np.uint64(FREQ_BITS)
-            plain = zone == 2
             ids = np.where(zone == 0, two, one)
-            ids[plain] = model.symbol[np.minimum((code[:m][plain] - lo[plain]) // part[plain], top)]
-            lo += np.where(plain, model.cum[ids], np.uint64(0)) * part
-            sp[:] = np.where(plain, model.freq[ids], np.uint64(1 << FREQ_BITS)) * part
+            sp[:] = part << np.uint64(FREQ_BITS)
+            at = np.flatnonzero(plain)
+            small, base = part[at], lo[at]
+            ids[at] = coded = model.symbol[np.minimum((code[at] - base) // small, top)]
+            lo[at] = base + model.cum[coded] * small
+            sp[at] = model.freq[coded] * small
             _settle(lo, sp, emit)
             history[s + 2, :m] = ids
             seen.append((ids, last, slot, two, one, context, zone))
