@@ -66,7 +66,7 @@ class _Model:
         self.freq = freq.astype(np.uint64)
         self.cum = (np.cumsum(freq) - freq).astype(np.uint64)
         if self.decoding:
-            self.symbol = np.repeat(np.arange(self.size, dtype=np.uint32), freq)
+            self.symbol = np.repeat(np.arange(self.size, dtype=np.uint16 if self.size <= 1 << 16 else np.uint32), freq)
 
     def _shares(self) -> None:
         room = (1 << SHARE_BITS) - 3

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from .common import slices, texts
 
 VOCABULARY = "word_bpe_49k.json"
-CACHE = 500_000
+CACHE = 1_000_000
 #: Chunks longer than this are encoded but not remembered.
 LONGEST_KEPT = 64
 #: Text encoded together; more of it repeats more chunks.
@@ -114,17 +114,22 @@ class Encoder:
         if self.known > CACHE:
             self._forget()
         place = list(map(self.place.get, words))
-        new = [w for w, p in zip(words, place) if p is None]
-        if new:
+        unknown = [i for i, p in enumerate(place) if p is None]
+        if unknown:
+            new = [words[i] for i in unknown]
+            first_new = self.known
             self._learn(new)
-            place = list(map(self.place.__getitem__, words))
+            for i, p in zip(unknown, range(first_new, self.known)):
+                place[i] = p
             for w in new:
                 if len(w) > LONGEST_KEPT:
                     del self.place[w]
-        self.seen[place] += 1  # every chunk of a slice is in ``place`` once
-        codes = np.array(place, np.int64)[coded.indices.to_numpy(zero_copy_only=False)] if words else np.zeros(0, np.int64)
-        first = self.starts[codes]
-        lengths = self.starts[codes + 1] - first
+        at = np.array(place, np.int64)
+        self.seen[at] += 1  # every chunk of a slice is in ``place`` once
+        indices = coded.indices.to_numpy(zero_copy_only=False)
+        first = self.starts[at]
+        lengths = (self.starts[at + 1] - first)[indices]
+        first = first[indices]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         kind = np.int32 if max(self.used, int(ends[-1])) < 2**31 else np.int64
         flat = self.ids[np.repeat((first - ends[:-1]).astype(kind), lengths) + np.arange(ends[-1], dtype=kind)]
