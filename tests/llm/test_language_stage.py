@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
+from tidemark.llm import language, stages
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -29,3 +31,15 @@ def test_unknown_scripts_and_random_letters_go_and_clean_short_texts_stay(spark)
     kept = P.language_id(spark, docs, SMALL)
     assert sorted(r.doc_id for r in kept.where("doc_id < 0").collect()) == [-7, -6, -5, -4]
     assert kept.where("doc_id >= 0").count() == docs.where((F.col("doc_id") >= 0) & F.col("text").rlike(r"\p{L}")).count()
+
+
+def test_every_held_out_text_and_every_labelled_text_counts(spark):
+    """The bound is the mean over all held-out texts, and a word of any labelled text is learned."""
+    ids = spark.range(24_000).withColumn("held", language.held_out(F.col("id")))
+    last = ids.where("held").agg(F.max("id")).first()[0]
+    docs = ids.select(F.col("id").alias("doc_id"), F.when(F.col("id") == last, "zzqx").otherwise("the").alias("text"), F.lit("en").alias("lang"))
+    model = language.train(language.labelled(docs))
+    n = ids.where("held").count()
+    assert stages.usual_known(docs, model) == pytest.approx((n - 1) / n, abs=1e-9)
+    one = docs.where(~language.held_out(F.col("doc_id"))).withColumn("text", F.concat(F.lit("w"), F.translate(F.col("doc_id").cast("string"), "0123456789", "abcdefghij")))
+    assert len(language.train(one).words) == one.count()

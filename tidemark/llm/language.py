@@ -1,8 +1,7 @@
 """Language identification, words first: known words score by their log frequency in each language, an unseen word by
 its character n-grams, from the longest known ones down to single letters.
 
-Training counts words (runs of letters, lower-cased) of the labelled documents per language in Spark. The classifier is
-fitted on at most about ``TRAIN_ROWS`` labelled documents, chosen by a hash of their id (all, if there are fewer), and
+Training counts words (runs of letters, lower-cased) of all labelled documents per language in Spark. The classifier
 keeps ``WORDS`` words and ``GRAMS`` n-grams: each language's most frequent ones, in equal shares (what a language leaves
 goes to the others), so a large language does not crowd out a small one, the model has a fixed bound and is sent to the tasks. Prediction covers every whole text; a text's language, source and id play no part in it.
 
@@ -23,7 +22,6 @@ from pyspark.sql import functions as F
 
 from .common import map_arrow, slices, stored, texts
 
-TRAIN_ROWS = 20_000
 WORDS = 100_000
 GRAMS = 100_000
 LONGEST_GRAM = 5
@@ -40,12 +38,9 @@ def held_out(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 == 2
 
 
-def train(labelled: DataFrame, rows: int = TRAIN_ROWS, words: int = WORDS, grams: int = GRAMS) -> "WordFirst":
+def train(labelled: DataFrame, words: int = WORDS, grams: int = GRAMS) -> "WordFirst":
     """Fit on (doc_id, text, lang) rows."""
-    n = labelled.count()
-    share = F.lit(int(min(1.0, rows / max(1, n)) * 1_000_000))
-    sample = labelled.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
-    counted = sample.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("key"))
+    counted = labelled.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("key"))
     counted = stored(counted.groupBy("lang", "key").agg(F.count("*").alias("n")), "words")
     size = F.explode(F.sequence(F.lit(1), F.lit(LONGEST_GRAM)))
     edged = counted.select("lang", "n", F.concat(F.lit(" "), "key", F.lit(" ")).alias("w"), size.alias("k"))
@@ -189,7 +184,7 @@ class _Scorer:
         return names, np.where(found, share[np.arange(len(best)), best], 0.0), known
 
 
-def predict(docs: DataFrame, model: WordFirst, keep: tuple[str, ...]) -> DataFrame:
+def predict(docs: DataFrame, model: WordFirst, keep: tuple[str, ...], text: str = "text") -> DataFrame:
     """The columns ``keep`` of every row with lang_pred, score and known (share of the text's words that are)."""
     fields = [docs.schema[c] for c in keep]
     schema = type(docs.schema)(fields).add("lang_pred", "string").add("score", "double").add("known", "double")
@@ -203,7 +198,7 @@ def predict(docs: DataFrame, model: WordFirst, keep: tuple[str, ...]) -> DataFra
             _scorers.clear()
             scorer = _scorers[key] = _Scorer(sent.value)
         for batch in batches:
-            column = texts(batch.column(batch.num_columns - 1))
+            column = texts(batch.column(batch.schema.get_field_index(text)))
             names, scores, shares = [], [], []
             for a, b in slices(column):
                 if languages:
@@ -215,11 +210,12 @@ def predict(docs: DataFrame, model: WordFirst, keep: tuple[str, ...]) -> DataFra
                 shares.append(known)
                 pa.default_memory_pool().release_unused()
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), *[pa.array(np.concatenate(x) if x else [], pa.float64()) for x in (scores, shares)]],
+                [*batch.columns[: len(keep)], pa.array(names, pa.string()), *[pa.array(np.concatenate(x) if x else [], pa.float64()) for x in (scores, shares)]],
                 [*keep, "lang_pred", "score", "known"])
         scorer._clear()  # an idle worker should not keep them
 
-    return map_arrow(docs.select(*keep, "text"), scored, schema)
+    # a text that is kept is sent once
+    return map_arrow(docs.select(*keep, *([] if text in keep else [text])), scored, schema)
 
 
 def labelled(docs: DataFrame) -> DataFrame:
