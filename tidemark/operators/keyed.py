@@ -13,7 +13,7 @@ ever sorts the whole group.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,31 +46,28 @@ def _order_struct(order: Sequence[Column | str]) -> Column:
     return F.struct(*[c.alias(f"o{i}") for i, c in enumerate(cols)])
 
 
+def _kept(df: DataFrame, key: Sequence[str], order: Sequence[Column | str], best: Callable[[Column, Column], Column]) -> DataFrame:
+    """One row per key. The key columns are those grouped by: they stay out of the moved row, and what follows by the
+    same key needs no further shuffle."""
+    rest = [c for c in df.columns if c not in key]
+    row = F.struct(*[F.col(c) for c in rest]) if rest else F.struct(F.lit(True))
+    grouped = df.groupBy(*key).agg(best(row, _order_struct(order)).alias("__row"))
+    return grouped.select(*[F.col(f"__row.{c}").alias(c) if c in rest else F.col(c) for c in df.columns])
+
+
 def keep_first(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep, per key, the row that sorts first by ``order`` (ascending, NULLs first).
 
     ``order`` must be a total order within a key for a deterministic result;
     append tie-breaker columns when the data has none.
     """
-    cols = df.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    return (
-        df.groupBy(*key)
-        .agg(F.min_by(row, _order_struct(order)).alias("__row"))
-        .select(*[F.col(f"__row.{c}").alias(c) for c in cols])
-    )
+    return _kept(df, key, order, F.min_by)
 
 
 def keep_last(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """Keep, per key, the row that sorts last by ``order`` (ascending, NULLs first,
     so NULL order values lose against any value)."""
-    cols = df.columns
-    row = F.struct(*[F.col(c) for c in cols])
-    return (
-        df.groupBy(*key)
-        .agg(F.max_by(row, _order_struct(order)).alias("__row"))
-        .select(*[F.col(f"__row.{c}").alias(c) for c in cols])
-    )
+    return _kept(df, key, order, F.max_by)
 
 
 def dedupe_first(df: DataFrame, key: Sequence[str], by: str, tie_breakers: Sequence[str] = ()) -> DataFrame:
