@@ -50,7 +50,7 @@ def rank_bounds(df: DataFrame, group: Sequence[str], value: str, descending: boo
         F.coalesce(F.sum("__tot").over(w_prev), F.lit(0)).alias("__off"),
         F.sum("__tot").over(Window.partitionBy(*g)).alias("__n"),
     )
-    bounds = local.join(totals, [*g, "__b"], "inner").select(
+    bounds = local.join(F.broadcast(totals), [*g, "__b"], "inner").select(
         *g, "__v",
         (F.col("__off") + F.col("__le_local") - F.col("__c") + F.lit(1)).alias("__lo"),
         (F.col("__off") + F.col("__le_local")).alias("__hi"),
@@ -78,7 +78,8 @@ def competition_rank(df: DataFrame, partition: Sequence[str], score: str, out: s
     every non-NULL score (all tied), like ``rank()`` with NULLS LAST."""
     r = rank_bounds(df, partition, score, descending=True)
     n_nonnull = df.where(F.col(score).isNotNull()).groupBy(*partition).agg(F.count(F.lit(1)).alias("__nn"))
-    r = r.join(n_nonnull, list(partition), "left")
+    # one row per group: a shuffle by group would put a group's rows in one task
+    r = r.join(F.broadcast(n_nonnull), list(partition), "left")
     rank = F.coalesce(F.col("__lo"), F.coalesce(F.col("__nn"), F.lit(0)) + F.lit(1))
     return r.withColumn(out, rank.cast("int")).drop("__lo", "__hi", "__n", "__nn")
 

@@ -1,12 +1,12 @@
 """Wiring of the layers over one set of raw tables.
 
 ``Layers`` builds each layer lazily from the raw views (by default the
-fixture bindings over the driver tables). With ``materialize=True`` the marts
-(universe, metrics, rankings) are written as Parquet into the shared folder once
+fixture bindings over the driver tables). With ``materialize=True`` the staged quotes
+and the marts (universe, metrics, rankings) are written as Parquet into the shared folder once
 per application, input folder and settings, and all queries of the application
 read them back: serving queries scan a stored mart with pruning and pushdown
 instead of staging everything anew, and a lost executor only recomputes from the
-last stored mart. The staged quotes stay a plan.
+last stored mart. The universe, the metrics and the checks all read the quotes, which are cleaned once.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import shared_path
+from ..session import shared_path, stored
 from ..settings import Settings, fixture_settings
 from ..sources import bindings as B
 from . import metrics as M
@@ -54,12 +54,15 @@ class Layers:
             _MARTS[key] = path
         return self.spark.read.schema(df.schema).parquet(_MARTS[key])
 
+    def _written(self, df: DataFrame) -> DataFrame:
+        return stored(df, "tidemark-marts", "percentiles")
+
     def raw(self, name: str) -> DataFrame:
         return self._get(name, lambda: B.BINDINGS[name](self.spark, self.sf_dir), layer=False)
 
     # staging
     def quotes(self) -> DataFrame:
-        return self._get("quotes", lambda: S.clean_quotes(self.raw("fx_inf_diario")), layer=False)
+        return self._get("quotes", lambda: S.clean_quotes(self.raw("fx_inf_diario")))
 
     def registry(self) -> DataFrame:
         return self._get("registry", lambda: S.stage_registry(self.raw("fx_registro_classe"), self.raw("fx_registro_subclasse")),
@@ -84,4 +87,5 @@ class Layers:
         return self._get("metrics", lambda: M.build_metrics(self.quotes(), self.universe(), self.cdi(), self.settings))
 
     def rankings(self) -> DataFrame:
-        return self._get("rankings", lambda: R.build_rankings(self.metrics(), self.settings))
+        return self._get("rankings", lambda: R.build_rankings(
+            self.metrics(), self.settings, self._written if self.materialize else lambda df: df))
