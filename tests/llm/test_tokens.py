@@ -40,3 +40,22 @@ def test_what_most_slices_had_is_kept(monkeypatch):
     assert {"often", "usual"} <= set(encoder.place) and "once0y" not in encoder.place
     encoder._forget()
     assert len(encoder.place) <= 4 and encoder.known == len(encoder.place)
+
+
+def test_latin_words_go_to_the_model_at_once(monkeypatch):
+    letters = [chr(c) for c in range(0x41, 0x180) if chr(c).isalpha()]
+    words = [a + b + c for a, b, c in zip(letters * 3, letters[7:] + letters * 2, letters[40:] + letters * 2)]
+    _same([" ".join(words), *words])
+    encoder = tokens.Encoder(tokens.VOCABULARY)
+    seen = []
+
+    class Watched:
+        model = encoder.model.model
+
+        def encode(self, chunks, **kinds):
+            seen.extend(chunks)
+            return library.encode(chunks, **kinds)
+
+    library, encoder.model = encoder.model, Watched()
+    encoder.encode(pa.array(["été Straße maçã ǆo x1 ab,"]))
+    assert sorted(seen) == sorted([",", "x1", "ǆo"])

@@ -3,7 +3,8 @@
 The public word-level BPE vocabulary drops white space and splits words from punctuation before it merges, so the
 ids of a text are the ids of its white-space chunks one after the other. Every distinct chunk is encoded by the
 library and remembered by the worker; beyond ``CACHE`` chunks it forgets those that few slices of text had. The rest is Arrow
-and numpy. Chunks of plain ASCII letters go to the library's model at once, as its normalizer and splitters leave them as they are. ASCII letters are lower-cased first and a mark after a plain letter is set apart, which the vocabulary's
+and numpy. Chunks of letters up to U+00FF go to the library's model at once: its normalizer only makes them small, its splitters
+leave them whole and its byte level writes their UTF-8 bytes as characters, which Python does for many at a time. ASCII letters are lower-cased first and a mark after a plain letter is set apart, which the vocabulary's
 own normalizer and splitter do as well. Texts holding ``<|`` could name a special token and are encoded whole.
 """
 
@@ -17,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import slices, texts
+from .common import slices, strings, texts
 
 VOCABULARY = "word_bpe_49k.json"
 CACHE = 1_000_000
@@ -26,6 +27,11 @@ LONGEST_KEPT = 64
 #: Text encoded together; more of it repeats more chunks.
 ENCODED_BYTES = 12 << 20
 
+#: Byte-level vocabularies write these bytes of letters' UTF-8 as other characters.
+_BYTES = np.arange(256, dtype="<u4")
+_BYTES[0x7F:0xA1] += 0x100 + 33 - 0x7F
+_BYTES[0xAD] = 0x143
+
 _encoders: dict[str, "Encoder"] = {}
 
 
@@ -71,8 +77,11 @@ class Encoder:
 
     def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the chunks one after the other, and how many each has."""
-        plain = np.array([w.isascii() and w.isalpha() for w in chunks], bool)
-        tokens = [[t.id for t in self.model.model.tokenize(w)] for w, p in zip(chunks, plain) if p]
+        plain = np.array([w.isalpha() and (w.isascii() or max(w) <= "\xff") for w in chunks], bool)
+        letters = "\n".join(w for w, p in zip(chunks, plain) if p)
+        if not letters.isascii():  # small letters as their UTF-8 bytes, each written as the vocabulary writes it
+            letters = _BYTES[np.frombuffer(letters.lower().encode(), np.uint8)].tobytes().decode("utf-32-le")
+        tokens = [[t.id for t in self.model.model.tokenize(w)] for w in letters.split("\n")] if letters else []
         got = self.model.encode([w for w, p in zip(chunks, plain) if not p], is_pretokenized=True, add_special_tokens=False)
         sizes = np.zeros(len(chunks), np.int64)
         sizes[plain] = list(map(len, tokens))
@@ -110,7 +119,7 @@ class Encoder:
         bounds = bounds - bounds[0]
         coded = lists.flatten().dictionary_encode()
         del lists
-        words = coded.dictionary.to_pylist()
+        words = strings(coded.dictionary)
         if self.known > CACHE:
             self._forget()
         place = list(map(self.place.get, words))
