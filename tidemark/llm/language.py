@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, slices, stored, texts
+from .common import map_arrow, slices, stored, strings, texts
 
 WORDS = 100_000
 GRAMS = 100_000
@@ -31,6 +31,8 @@ UNKNOWN = "und"
 #: Length from which an n-gram, its word edges counted, is evidence that a word's letters are no chance.
 EVIDENCE_GRAM = 4
 CACHE = 150_000
+#: Bits of a code point.
+LETTER_BITS = 21
 
 
 def held_out(doc_id: Column) -> Column:
@@ -102,6 +104,7 @@ class WordFirst:
         for k in np.unique(sizes):
             at = np.flatnonzero(sizes == k)
             self.grams |= self._logs([grams[0][i] for i in at], grams[1][at], grams[1][at].sum(0))
+        self.levels = _levels(self.grams)
 
     def _logs(self, keys: list[str], counts: np.ndarray, total: np.ndarray) -> dict[str, int]:
         """Places of the keys' rows in ``logs``."""
@@ -110,30 +113,66 @@ class WordFirst:
         self.logs = np.concatenate([self.logs, (logs - logs.mean(1, keepdims=True)).astype(np.float32)])
         return dict(zip(keys, range(first, first + len(keys))))
 
-    def score(self, word: str) -> np.ndarray:
-        """A word's evidence for each language; the mean over languages is 0."""
-        if word in self.words:
-            return self.logs[self.words[word]]
-        edged, out, seen = f" {word} ", np.zeros(len(self.languages), np.float32), 0
-        for i in range(len(edged)):
-            for k in range(min(LONGEST_GRAM, len(edged) - i), 0, -1):
-                if (found := self.grams.get(edged[i : i + k])) is not None:
-                    out, seen = out + self.logs[found], seen + 1
-                    break
-        return out / max(1, seen)
-
-
-    def known(self, word: str) -> bool:
-        """Whether the word is known, or known n-grams of ``EVIDENCE_GRAM`` or more cover over half of its letters."""
-        if word in self.words:
-            return True
-        edged = f" {word} "
-        covered = [False] * len(edged)
-        for k in range(EVIDENCE_GRAM, LONGEST_GRAM + 1):
-            for i in range(len(edged) - k + 1):
-                if edged[i : i + k] in self.grams:
-                    covered[i : i + k] = [True] * k
-        return 2 * sum(covered[1:-1]) > len(word)
+    def evidence(self, words: list[str]) -> np.ndarray:
+        """A row per word: its evidence for each language, whose mean is 0, and 1 if its letters are no chance.
+
+        A known word has its own evidence. Any other has the mean of the longest known n-grams from each of its places, and
+        its letters are no chance if known n-grams of ``EVIDENCE_GRAM`` or more cover over half of them.
+        """
+        at = list(map(self.words.get, words))
+        out = np.zeros((len(words), len(self.languages) + 1), np.float32)
+        known = np.array([i is not None for i in at], bool)
+        out[known, :-1], out[known, -1] = self.logs[[i for i in at if i is not None]], 1
+        unseen = np.flatnonzero(~known)
+        if not len(unseen):
+            return out
+        edged = [f" {words[i]} " for i in unseen]
+        letters = np.frombuffer("".join(edged).encode("utf-32-le"), "<u4").astype(np.int64)
+        sizes = np.array(list(map(len, edged)), np.int64)
+        ends = np.cumsum(sizes)
+        of = np.repeat(np.arange(len(unseen)), sizes)
+        found, length = self._longest(letters, ends[of])
+        change = np.zeros(len(letters) + 1, np.int64)
+        some = np.flatnonzero(length >= EVIDENCE_GRAM)  # none reaches beyond its word
+        change[some] += 1
+        np.subtract.at(change, some + length[some], 1)
+        covered = np.cumsum(change[:-1]) > 0
+        covered[ends - 1] = covered[ends - sizes] = False
+        out[unseen, -1] = 2 * np.add.reduceat(covered, ends - sizes, dtype=np.int64) > sizes - 2
+        hit = np.flatnonzero(found >= 0)
+        seen, logs = np.bincount(of[hit], minlength=len(unseen)), self.logs[found[hit]]
+        for j in range(len(self.languages)):
+            total = np.zeros(len(unseen), np.float32)
+            np.add.at(total, of[hit], logs[:, j])
+            out[unseen, j] = total / np.maximum(seen, 1).astype(np.float32)
+        return out
+
+    def _longest(self, letters: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The row in ``logs`` (or -1) and length of the longest known n-gram from every place that ends by its word's end."""
+        found, length = np.full(len(letters), -1), np.zeros(len(letters), np.int64)
+        at, node = np.arange(len(letters)), np.zeros(len(letters), np.int64)
+        for k, (keys, rows) in enumerate(self.levels, 1):
+            inside = at + k <= ends[at]
+            at, node = at[inside], node[inside]
+            key = (node << LETTER_BITS) | letters[at + k - 1]
+            node = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            there = keys[node] == key
+            at, node = at[there], node[there]
+            named = rows[node] >= 0
+            found[at[named]], length[at[named]] = rows[node[named]], k
+        return found, length
+
+
+def _levels(grams: dict[str, int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """A trie of the n-grams: for each length the sorted keys (number of the node one letter less, letter) and their rows, -1 for mere beginnings."""
+    out, node = [], {"": 0}
+    for k in range(1, max(map(len, grams), default=0) + 1):
+        parts = list({g[:k] for g in grams if len(g) >= k})
+        keys = np.array([(node[g[:-1]] << LETTER_BITS) | ord(g[-1]) for g in parts], np.int64)
+        order = np.argsort(keys)
+        node = {parts[i]: n for n, i in enumerate(order.tolist())}
+        out.append((keys[order], np.array([grams.get(parts[i], -1) for i in order], np.int64)))
+    return out
 
 
 #: A Python worker's scorer of the model it last used.
@@ -149,7 +188,16 @@ class _Scorer:
 
     def _clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.rows = np.zeros((1 << 12, len(self.model.languages) + 1), np.float32)
+        self.rows = np.zeros((0, len(self.model.languages) + 1), np.float32)
+
+    def _evidence(self, words: list[str]) -> np.ndarray:
+        """The model's rows of the words, of which it is asked only those that are not remembered."""
+        if len(self.place) > CACHE:
+            self._clear()
+        new = [w for w in words if w not in self.place]
+        self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
+        self.rows = np.concatenate([self.rows, self.model.evidence(new)])
+        return self.rows[[self.place[w] for w in words]]
 
     def __call__(self, column: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, score and share of known words of every text."""
@@ -157,23 +205,15 @@ class _Scorer:
         # a leading or trailing separator leaves an empty part; parts of length 0 are no words
         bounds = lists.offsets.to_numpy().astype(np.int64)
         coded = lists.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
-        if len(self.place) > CACHE:
-            self._clear()
-        for w in words:
-            if w not in self.place:
-                at = self.place[w] = len(self.place)
-                if at == len(self.rows):
-                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                if w:
-                    self.rows[at, :-1], self.rows[at, -1] = self.model.score(w), self.model.known(w)
-                else:
-                    self.rows[at] = 0
-        codes = np.fromiter((self.place[w] for w in words), np.int64, len(words))[coded.indices.to_numpy(zero_copy_only=False)] if words else np.zeros(0, np.int64)
-        real = np.array([bool(w) for w in words], bool)[coded.indices.to_numpy(zero_copy_only=False)] if words else np.zeros(0, bool)
+        words = strings(coded.dictionary)
+        indices = coded.indices.to_numpy(zero_copy_only=False)
+        rows = self._evidence(words)
+        real = np.array([bool(w) for w in words], bool)
+        rows[~real] = 0
+        real = real[indices]
         doc = np.repeat(np.arange(len(column)), np.diff(bounds))
         n = np.bincount(doc, weights=real, minlength=len(column))
-        total = np.stack([np.bincount(doc, weights=self.rows[codes, j], minlength=len(column)) for j in range(self.rows.shape[1])], 1)
+        total = np.stack([np.bincount(doc, weights=rows[indices, j], minlength=len(column)) for j in range(rows.shape[1])], 1)
         total, known = total[:, :-1], total[:, -1] / np.maximum(n, 1)
         scaled = total * (np.minimum(n, SCORE_WORDS) / np.maximum(n, 1))[:, None]
         share = np.exp(scaled - scaled.max(1, keepdims=True))
