@@ -42,8 +42,8 @@ GROUP = 1 << 19
 #: Fragments sorted together; whole groups only, so a larger group is taken alone.
 BATCH = 1 << 17
 NO_ID = 2**63 - 1
-#: Text looked at together; some twenty arrays of eight bytes for each of its bytes are alive at once.
-SLICE_BYTES = 1 << 20
+#: Text looked at together; some twenty arrays of eight bytes for each of its bytes are alive at once, few of which fit a core's cache.
+SLICE_BYTES = 1 << 18
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _powers: dict[int, np.ndarray] = {}
@@ -288,6 +288,13 @@ def _merge_large(fragments: DataFrame) -> DataFrame:
     return late.groupBy("m.t", "m.place").agg(F.expr("bit_or(shiftleft(1L, distance))").alias("mask")).select("t", "place", "mask")
 
 
+def in_windows(base: np.ndarray, mask: np.ndarray, n: int) -> np.ndarray:
+    """Which of n bytes lie in a window that starts as many bytes left of its place as a bit of the place's mask says."""
+    starts = np.concatenate([base[(mask >> np.uint64(left)) & np.uint64(1) > 0] - left for left in range(SPAN)])
+    change = np.bincount(starts, minlength=n + 1) - np.bincount(starts + LENGTH, minlength=n + 1)
+    return np.cumsum(change[:n]) > 0
+
+
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
@@ -326,12 +333,7 @@ def remove_repeats(docs: DataFrame, group: int = GROUP) -> DataFrame:
                 items = lists.flatten()
                 base = np.repeat(offsets[:-1], np.diff(ends)) + items.field("place").to_numpy(zero_copy_only=False)
                 mask = items.field("mask").to_numpy(zero_copy_only=False).view(np.uint64)
-                change = np.zeros(len(data) + LENGTH + 1, np.int64)
-                for left in range(SPAN):
-                    start = base[(mask >> np.uint64(left)) & np.uint64(1) > 0] - left
-                    change[: len(data) + 1] += np.bincount(start, minlength=len(data) + 1)[: len(data) + 1]
-                    change[: len(data) + 1] -= np.bincount(start + LENGTH, minlength=len(data) + 1)[: len(data) + 1]
-                gone = np.cumsum(change[: len(data)]) > 0
+                gone = in_windows(base, mask, len(data))
                 rows = []
                 for i in range(b - a):
                     own_gone, text = gone[offsets[i] : offsets[i + 1]], data[offsets[i] : offsets[i + 1]]
