@@ -59,3 +59,11 @@ def test_latin_words_go_to_the_model_at_once(monkeypatch):
     library, encoder.model = encoder.model, Watched()
     encoder.encode(pa.array(["été Straße maçã ǆo x1 ab,"]))
     assert sorted(seen) == sorted([",", "x1", "ǆo"])
+
+
+def test_any_mark_after_a_letter_is_a_chunk_of_its_own():
+    marks = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum()]
+    _same([f"été{m}{m} a{m}b x{m}'s {m}c{n}d é{m}̸ 1{m}" for m, n in zip(marks, marks[5:] + marks)])
+    encoder = tokens.Encoder(tokens.VOCABULARY)
+    encoder.encode(pa.array(["Maß### maß$$$ maß"]))
+    assert set(encoder.place) == {"maß", "###", "$$$"}

@@ -58,6 +58,7 @@ class _Model:
         self.hits = np.tile(np.array([1, 1, 2], np.int64), (32, 1))
         self._frequencies()
         self._shares()
+        self._guesses()
 
     def _frequencies(self) -> None:
         room, total = (1 << FREQ_BITS) - self.size, max(1, int(self.counts.sum()))
@@ -72,29 +73,38 @@ class _Model:
         room = (1 << SHARE_BITS) - 3
         share = 1 + self.hits * room // self.hits.sum(1, keepdims=True)
         share[:, 2] += (1 << SHARE_BITS) - share.sum(1)
-        self.share = share.astype(np.uint64)
-        self.share_at = (np.cumsum(share, 1) - share).astype(np.uint64)
+        at = (np.cumsum(share, 1) - share).astype(np.uint64)
+        self.share, self.share_at = share.astype(np.uint64).ravel(), at.ravel()  # by context * 3 + zone
+        self.first, self.second = at[:, 1].copy(), at[:, 2].copy()
+
+    def _guesses(self) -> None:
+        """Prediction and its confidence side by side, so that one look-up gets both."""
+        self.order1, self.order2 = ((guess << np.uint32(2)) | sure.astype(np.uint32) for guess, sure in ((self.next1, self.sure1), (self.next2, self.sure2)))
 
     def predict(self, last: np.ndarray, before: np.ndarray):
         """Slot of order 2, the two predicted ids, and the mixing context."""
         slot = ((before * np.uint32(0x9E3779B1)) ^ (last * np.uint32(0x85EBCA77))) * np.uint32(0xC2B2AE3D) >> np.uint32(32 - SLOT_BITS)
-        two, one = self.next2[slot], self.next1[last]
-        context = (self.sure2[slot] << 3) + (self.sure1[last] << 1) + (two == one)
-        return slot, two, one, context
-
-    def adapt(self, ids, last, slot, two, one, context, zone) -> None:
+        two, one = self.order2.take(slot), self.order1.take(last)
+        context = ((two & np.uint32(3)) << np.uint32(3)) | ((one & np.uint32(3)) << np.uint32(1))
+        two >>= np.uint32(2)
+        one >>= np.uint32(2)
+        context |= two == one
+        return slot, two, one, context.astype(np.int64)
+
+    def adapt(self, ids, last, slot, two, one, chosen) -> None:
         self.counts += 32 * np.bincount(ids, minlength=self.size)
         if self.counts.sum() > 1 << 28:
             self.counts >>= 1
         for key, seen, guess, sure in ((last, one, self.next1, self.sure1), (slot, two, self.next2, self.sure2)):
             np.add.at(sure, key, np.where(seen == ids, np.int32(1), np.int32(-1)))
-            lost = np.flatnonzero(sure[key] < 0)
+            lost = np.flatnonzero((sure < 0).take(key))
             guess[key[lost]] = ids[lost]  # of several, the last id counts
             np.clip(sure, 0, 3, out=sure)
-        self.hits += np.bincount(context * 3 + zone, minlength=96).reshape(32, 3)
+        self.hits += np.bincount(chosen, minlength=96).reshape(32, 3)
         self.hits = np.where(self.hits.sum(1, keepdims=True) > 1 << 16, (self.hits + 1) >> 1, self.hits)
         self._frequencies()
         self._shares()
+        self._guesses()
 
 
 def _settle(low, span, emit) -> None:
@@ -142,10 +152,10 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[int, bytes]:
         cur, last, before = grid[a:b], history[a + 1 : b + 1], history[a:b]
         slot, two, one, context = model.predict(last, before)
         zone = np.where(cur == two, 0, np.where(cur == one, 1, 2))
-        share, share_at = model.share[context, zone], model.share_at[context, zone]
-        plain = zone == 2
-        freq = np.where(plain, model.freq[cur], np.uint64(1 << FREQ_BITS))
-        cum = np.where(plain, model.cum[cur], np.uint64(0))
+        chosen, plain = context * 3 + zone, zone == 2
+        share, share_at = model.share.take(chosen), model.share_at.take(chosen)
+        freq = np.where(plain, model.freq.take(cur), np.uint64(1 << FREQ_BITS))
+        cum = np.where(plain, model.cum.take(cur), np.uint64(0))
         for k, m in enumerate(live):
             lo, sp = low[:m], span[:m]
             part = sp >> np.uint64(SHARE_BITS)
@@ -154,7 +164,7 @@ def encode_ids(ids: np.ndarray, alphabet: int) -> tuple[int, bytes]:
             lo += cum[k, :m] * part
             sp[:] = freq[k, :m] * part
             _settle(lo, sp, emit)
-        step = (cur, last, slot, two, one, context, zone)
+        step = (cur, last, slot, two, one, chosen)
         if live[0] == live[-1]:  # all but the run in which a lane ends
             model.adapt(*(x[:, : live[0]].ravel() for x in step))
         else:
@@ -188,7 +198,7 @@ def decode_ids(body: bytes, lanes: int, n: int, alphabet: int) -> np.ndarray:
     history = np.zeros((steps + 2, lanes), np.uint32)
     top = np.uint64((1 << FREQ_BITS) - 1)
     for a, b in _chunks(steps):
-        seen, first, second = [], model.share_at[:, 1].copy(), model.share_at[:, 2].copy()
+        seen = []
         for s in range(a, b):
             m = -(-(n - s) // steps) if n > s else 0
             last, before = history[s + 1, :m], history[s, :m]
@@ -196,20 +206,20 @@ def decode_ids(body: bytes, lanes: int, n: int, alphabet: int) -> np.ndarray:
             lo, sp = low[:m], span[:m]
             part = sp >> np.uint64(SHARE_BITS)
             value = (code[:m] - lo) // part
-            plain = value >= second[context]
-            zone = (value >= first[context]).astype(np.int64) + plain
-            lo += model.share_at[context, zone] * part
-            part = model.share[context, zone] * part >> np.uint64(FREQ_BITS)
-            ids = np.where(zone == 0, two, one)
+            plain, guessed = value >= model.second.take(context), value < model.first.take(context)
+            chosen = context * 3 + 1 - guessed + plain
+            lo += model.share_at.take(chosen) * part
+            part = model.share.take(chosen) * part >> np.uint64(FREQ_BITS)
+            ids = np.where(guessed, two, one)
             sp[:] = part << np.uint64(FREQ_BITS)
             at = np.flatnonzero(plain)
             small, base = part[at], lo[at]
-            ids[at] = coded = model.symbol[np.minimum((code[at] - base) // small, top)]
-            lo[at] = base + model.cum[coded] * small
-            sp[at] = model.freq[coded] * small
+            ids[at] = coded = model.symbol.take(np.minimum((code[at] - base) // small, top).view(np.int64))
+            lo[at] = base + model.cum.take(coded) * small
+            sp[at] = model.freq.take(coded) * small
             _settle(lo, sp, emit)
             history[s + 2, :m] = ids
-            seen.append((ids, last, slot, two, one, context, zone))
+            seen.append((ids, last, slot, two, one, chosen))
         model.adapt(*(np.concatenate(x) for x in zip(*seen)))
     return history[2:].T.ravel()[:n]
 

@@ -12,13 +12,13 @@ from __future__ import annotations
 
 import os
 import zlib
-from itertools import chain
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import slices, strings, texts
+from .common import joined, slices, strings, texts
 
 VOCABULARY = "word_bpe_49k.json"
 CACHE = 1_000_000
@@ -27,6 +27,13 @@ LONGEST_KEPT = 64
 #: Text encoded together; more of it repeats more chunks.
 ENCODED_BYTES = 12 << 20
 
+#: Chunks handed to the library at once.
+LEARNED = 4_000
+#: Chunks of letters up to U+00FF.
+LETTERS = "^[A-Za-z\u00AA\u00B5\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+$"
+#: A plain letter and a mark; not the apostrophe, which the vocabulary keeps with the letters of a contraction.
+MARKS = r"([a-zß-öø-ÿ])([!-&(-/:-@\[-`{-~])"
+
 #: Byte-level vocabularies write these bytes of letters' UTF-8 as other characters.
 _BYTES = np.arange(256, dtype="<u4")
 _BYTES[0x7F:0xA1] += 0x100 + 33 - 0x7F
@@ -35,6 +42,11 @@ _BYTES[0xAD] = 0x143
 _encoders: dict[str, "Encoder"] = {}
 
 
+def _written(letters: str) -> str:
+    """Small letters as their UTF-8 bytes, each written as the vocabulary writes it; blanks stay."""
+    return letters if letters.isascii() else _BYTES[np.frombuffer(letters.lower().encode(), np.uint8)].tobytes().decode("utf-32-le")
+
+
 def encoder(name: str = VOCABULARY) -> "Encoder":
     """The worker's encoder of a vocabulary file, given by its public name or by a path."""
     if name not in _encoders:
@@ -51,9 +63,15 @@ class Encoder:
     def __init__(self, name: str) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import public_tokenizers
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.model = Tokenizer.from_file(name if os.path.sep in name else public_tokenizers.path(name))
+        #: The model alone, for chunks written as it has them.
+        self.letters = Tokenizer(self.model.model)
+        self.letters.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+        #: Ids that end a word.
+        self.last = np.zeros(self.model.get_vocab_size(), bool)
+        self.last[[i for token, i in self.model.get_vocab().items() if token.endswith(self.model.model.end_of_word_suffix)]] = True
         self.place: dict[str, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
@@ -75,36 +93,34 @@ class Encoder:
         self.starts = np.concatenate([[0], np.cumsum(lengths[kept])])
         self.seen = seen[kept] >> 1
 
-    def _encoded(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encoded(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the chunks one after the other, and how many each has."""
-        plain = np.array([w.isalpha() and (w.isascii() or max(w) <= "\xff") for w in chunks], bool)
-        letters = "\n".join(w for w, p in zip(chunks, plain) if p)
-        if not letters.isascii():  # small letters as their UTF-8 bytes, each written as the vocabulary writes it
-            letters = _BYTES[np.frombuffer(letters.lower().encode(), np.uint8)].tobytes().decode("utf-32-le")
-        tokens = [[t.id for t in self.model.model.tokenize(w)] for w in letters.split("\n")] if letters else []
-        got = self.model.encode([w for w, p in zip(chunks, plain) if not p], is_pretokenized=True, add_special_tokens=False)
+        plain = pc.match_substring_regex(chunks, LETTERS)
+        letters = self.letters.encode_batch_fast([_written(joined(chunks.filter(plain)))], add_special_tokens=False)[0].ids
+        rest = self.model.encode(strings(chunks.filter(pc.invert(plain))), is_pretokenized=True, add_special_tokens=False)
+        letters, plain = np.array(letters, np.uint32), plain.to_numpy(zero_copy_only=False)
         sizes = np.zeros(len(chunks), np.int64)
-        sizes[plain] = list(map(len, tokens))
-        sizes[~plain] = np.bincount(np.array(got.word_ids, np.int64), minlength=len(chunks) - len(tokens))
+        sizes[plain] = np.diff(np.flatnonzero(self.last[letters]), prepend=-1)
+        sizes[~plain] = np.bincount(np.array(rest.word_ids, np.int64), minlength=np.count_nonzero(~plain))
         flat, of_plain = np.zeros(int(sizes.sum()), np.uint32), np.repeat(plain, sizes)
-        flat[of_plain] = list(chain.from_iterable(tokens))
-        flat[~of_plain] = got.ids
+        flat[of_plain], flat[~of_plain] = letters, rest.ids
         return flat, sizes
 
-    def _learn(self, chunks: list[str]) -> None:
-        for at in range(0, len(chunks), 50_000):
-            part = chunks[at : at + 50_000]
-            flat, sizes = self._encoded(part)
+    def _learn(self, chunks: pa.Array, words: list[str]) -> None:
+        """Encode and remember chunks, given as an array and as a list."""
+        for at in range(0, len(words), LEARNED):
+            flat, sizes = self._encoded(chunks[at : at + LEARNED])
+            n = len(sizes)
             ends = np.cumsum(sizes)
             self.ids = _room(self.ids, self.used + len(flat))
-            self.starts = _room(self.starts, self.known + len(part) + 1)
-            self.seen = _room(self.seen, self.known + len(part))
+            self.starts = _room(self.starts, self.known + n + 1)
+            self.seen = _room(self.seen, self.known + n)
             self.ids[self.used : self.used + len(flat)] = flat
-            self.starts[self.known + 1 : self.known + 1 + len(part)] = self.used + ends
-            self.seen[self.known : self.known + len(part)] = 0
-            self.place.update(zip(part, range(self.known, self.known + len(part))))
+            self.starts[self.known + 1 : self.known + 1 + n] = self.used + ends
+            self.seen[self.known : self.known + n] = 0
+            self.place.update(zip(words[at : at + LEARNED], range(self.known, self.known + n)))
             self.used += len(flat)
-            self.known += len(part)
+            self.known += n
 
     def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all texts one after the other, and n + 1 offsets of the texts."""
@@ -112,7 +128,7 @@ class Encoder:
         special = pc.match_substring(column, "<|")
         odd = np.flatnonzero(special.to_numpy(zero_copy_only=False))
         plain = pc.if_else(special, "", column) if len(odd) else column
-        plain = pc.replace_substring_regex(pc.ascii_lower(plain), r"([a-zß-öø-ÿ])([.,;:!?])", r"\1 \2")
+        plain = pc.replace_substring_regex(pc.ascii_lower(plain), MARKS, r"\1 \2")
         lists = pc.ascii_split_whitespace(plain)
         del plain
         bounds = lists.offsets.to_numpy().astype(np.int64)
@@ -122,19 +138,16 @@ class Encoder:
         words = strings(coded.dictionary)
         if self.known > CACHE:
             self._forget()
-        place = list(map(self.place.get, words))
-        unknown = [i for i, p in enumerate(place) if p is None]
-        if unknown:
-            new = [words[i] for i in unknown]
-            first_new = self.known
-            self._learn(new)
-            for i, p in zip(unknown, range(first_new, self.known)):
-                place[i] = p
-            for w in new:
-                if len(w) > LONGEST_KEPT:
-                    del self.place[w]
-        at = np.array(place, np.int64)
-        self.seen[at] += 1  # every chunk of a slice is in ``place`` once
+        at = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(at < 0)
+        if len(unknown):
+            new = coded.dictionary.take(pa.array(unknown))
+            names = strings(new)
+            at[unknown] = np.arange(self.known, self.known + len(unknown))
+            self._learn(new, names)
+            for w in [w for w in names if len(w) > LONGEST_KEPT]:
+                del self.place[w]
+        self.seen[at] += 1  # every chunk of a slice is in ``at`` once
         indices = coded.indices.to_numpy(zero_copy_only=False)
         first = self.starts[at]
         lengths = (self.starts[at + 1] - first)[indices]
