@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from tidemark.llm import language, stages
+from tidemark.llm import common, language, near_copies, stages, tokens
 
 SMALL = "/root/testdata/sf0.01"
 
@@ -43,3 +44,12 @@ def test_every_held_out_text_and_every_labelled_text_counts(spark):
     assert stages.usual_known(docs, model) == pytest.approx((n - 1) / n, abs=1e-9)
     one = docs.where(~language.held_out(F.col("doc_id"))).withColumn("text", F.concat(F.lit("w"), F.translate(F.col("doc_id").cast("string"), "0123456789", "abcdefghij")))
     assert len(language.train(one).words) == one.count()
+
+
+def test_a_worker_forgets_what_other_steps_left():
+    tokens.encoder()
+    assert set(common._remembered) == {"tokens"} and tokens.encoder() is tokens.encoder()
+    near_copies.word_hashes(pa.array(["the cat sat"], pa.large_string()))
+    assert set(common._remembered) == {"word powers"}
+    common.remembered("language")["model"] = 1
+    assert common._remembered == {"language": {"model": 1}} and common.remembered("language") == {"model": 1}

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, slices, stored, strings, texts
+from .common import map_arrow, remembered, slices, stored, strings, texts
 
 WORDS = 100_000
 GRAMS = 100_000
@@ -175,10 +175,6 @@ def _levels(grams: dict[str, int]) -> list[tuple[np.ndarray, np.ndarray]]:
     return out
 
 
-#: A Python worker's scorer of the model it last used.
-_scorers: dict[str, "_Scorer"] = {}
-
-
 class _Scorer:
     """Scores whole Arrow columns; every distinct word of a task is scored once and remembered."""
 
@@ -233,10 +229,11 @@ def predict(docs: DataFrame, model: WordFirst, keep: tuple[str, ...], text: str
     key, languages = uuid.uuid4().hex, bool(model.languages)
 
     def scored(batches):
-        scorer = _scorers.get(key)
-        if scorer is None:
-            _scorers.clear()
-            scorer = _scorers[key] = _Scorer(sent.value)
+        held = remembered("language")  # the scorer of the model last used
+        if key not in held:
+            held.clear()
+            held[key] = _Scorer(sent.value)
+        scorer = held[key]
         for batch in batches:
             column = texts(batch.column(batch.schema.get_field_index(text)))
             names, scores, shares = [], [], []
@@ -252,6 +249,7 @@ def predict(docs: DataFrame, model: WordFirst, keep: tuple[str, ...], text: str
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[: len(keep)], pa.array(names, pa.string()), *[pa.array(np.concatenate(x) if x else [], pa.float64()) for x in (scores, shares)]],
                 [*keep, "lang_pred", "score", "known"])
+            del batch, column  # before the next batch is read
         scorer._clear()  # an idle worker should not keep them
 
     # a text that is kept is sent once

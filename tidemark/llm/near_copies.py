@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, mix64, raw_bytes, release, slices, stored, texts
+from .common import map_arrow, mix64, raw_bytes, release, remembered, slices, stored, texts
 from .links import linked
 
 COORDINATES, MATCHES = 32, 16
@@ -41,15 +41,15 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
-_powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
 
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
     """The first n powers of an odd base modulo 2**64, kept between calls."""
-    if len(_powers[name]) < n:
+    powers = remembered("word powers")
+    if len(powers.get(name, ())) < n:
         size = max(n, 1 << 20)
-        _powers[name] = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64))])
-    return _powers[name][:n]
+        powers[name] = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64))])
+    return powers[name][:n]
 
 
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))

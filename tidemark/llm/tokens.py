@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from .common import joined, slices, strings, texts
+from .common import joined, remembered, slices, strings, texts
 
 VOCABULARY = "word_bpe_49k.json"
 CACHE = 1_000_000
@@ -39,9 +39,6 @@ _BYTES = np.arange(256, dtype="<u4")
 _BYTES[0x7F:0xA1] += 0x100 + 33 - 0x7F
 _BYTES[0xAD] = 0x143
 
-_encoders: dict[str, "Encoder"] = {}
-
-
 def _written(letters: str) -> str:
     """Small letters as their UTF-8 bytes, each written as the vocabulary writes it; blanks stay."""
     return letters if letters.isascii() else _BYTES[np.frombuffer(letters.lower().encode(), np.uint8)].tobytes().decode("utf-32-le")
@@ -49,9 +46,10 @@ def _written(letters: str) -> str:
 
 def encoder(name: str = VOCABULARY) -> "Encoder":
     """The worker's encoder of a vocabulary file, given by its public name or by a path."""
-    if name not in _encoders:
-        _encoders[name] = Encoder(name)
-    return _encoders[name]
+    held = remembered("tokens")
+    if name not in held:
+        held[name] = Encoder(name)
+    return held[name]
 
 
 def _room(array: np.ndarray, n: int) -> np.ndarray:
