@@ -6,9 +6,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm import brute
 from tidemark.llm import jaccard_product, queries
+from tidemark.llm.common import stored
 
 
 def plain_join(rows, n: int = 4, similarity: int = 85) -> list[tuple]:
@@ -87,3 +89,14 @@ def test_join_on_awkward_documents(spark, tmp_path, seed):
 def test_no_rows(spark):
     assert jaccard_product.jaccard_join(spark.createDataFrame([], brute.DOCS)).count() == 0
     assert found(jaccard_product.jaccard_join(spark.createDataFrame([(4, " \t "), (None, None)], "doc_id long, text string"))) == [(4, 0, 4), (None, 0, None)]
+
+
+def test_rows_that_repeat_are_read_as_one(spark):
+    rows = [(1, "a b c d e"), (1, "a b c d e"), (1, "another text of this id"), (None, "a b c d"), (None, "a b c d"), (0, "a b c d"), (2, None), (2, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = stored(docs.distinct().select(F.monotonically_increasing_id().alias("id"), "doc_id", F.xxhash64("text").alias("text_hash")), "classes")
+    got = jaccard_product._with_texts(docs, classes).join(classes, "id").select("doc_id", "text")
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(set(rows), key=str)
+    made = jaccard_product.incidence(docs, classes, 4)
+    assert made.count() == len(set(rows))
+    assert made._jdf.queryExecution().executedPlan().toString().count("Exchange") == 2  # none but the join's

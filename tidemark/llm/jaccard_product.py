@@ -138,10 +138,13 @@ def block_keys(sets: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _with_texts(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """id and text of classes (id, doc_id, text_hash); rows that repeat are there more than once."""
-    held = docs.select(F.col("doc_id").cast("long").alias("own_id"), F.xxhash64("text").alias("own_hash"), "text")
-    # a merge join at every size: what is small here would be large on more data
-    return held.join(classes.hint("merge"), held.own_id.eqNullSafe(classes.doc_id) & (held.own_hash == classes.text_hash)).select("id", "text")
+    """id and text of classes (id, doc_id, text_hash), each once also where rows repeat."""
+    doc_id = F.col("doc_id").cast("long")
+    named = [F.coalesce(doc_id, F.lit(0)).alias("named"), doc_id.isNull().alias("unnamed")]
+    held = docs.select(*named, F.xxhash64("text").alias("text_hash"), "text")
+    # a merge join at every size: what is small here would be large on more data; rows of equal keys lie together after it
+    keys = ["named", "unnamed", "text_hash"]
+    return held.join(classes.select(*named, "text_hash", "id").hint("merge"), keys).dropDuplicates(keys).select("id", "text")
 
 
 def blocks_of(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
@@ -178,7 +181,7 @@ def incidence(docs: DataFrame, classes: DataFrame, n: int) -> DataFrame:
                 odd = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1) * WORDS, pa.int32()), pa.array(odd.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), rows, odd], ["id", "columns", "odd"])
 
-    return map_arrow(_with_texts(docs, classes), one, "id long, columns array<long>, odd array<long>").dropDuplicates(["id"])
+    return map_arrow(_with_texts(docs, classes), one, "id long, columns array<long>, odd array<long>")
 
 
 def product(center: np.ndarray, columns: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -201,14 +204,15 @@ def product(center: np.ndarray, columns: np.ndarray, ends: np.ndarray) -> np.nda
     return np.where(alive, counts, -1)
 
 
-def overlaps(pairs: DataFrame, matrix: DataFrame) -> DataFrame:
-    """one, other, linked of every pair (one, other)."""
+def overlaps(pairs: DataFrame, matrix: DataFrame, many: bool) -> DataFrame:
+    """one, other, linked of every pair (one, other); ``many`` if most rows take part."""
     sizes = pairs.groupBy("one").agg(F.count("*").alias("others"))
     share = F.pmod(F.xxhash64("other"), F.ceil(F.col("others") / TILE).cast("long"))
     tiles = stored(pairs.join(sizes, "one").select("one", share.alias("share"), "other"), "tiles")
     routes = tiles.select("one", "share", "other").unionByName(tiles.select("one", "share", F.col("one").alias("other")).distinct())
     tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # small in bytes, but not in work
-    carried = routes.join(matrix.select(F.col("id").alias("other"), "columns"), "other").select("one", "share", "other", "columns")
+    rows = matrix.select(F.col("id").alias("other"), "columns")
+    carried = routes.join(rows.hint("merge") if many else rows, "other").select("one", "share", "other", "columns")
     carried = carried.repartition(tasks, "one", "share").sortWithinPartitions("one", "share", F.col("one") != F.col("other"))
 
     def judge(batches):
@@ -236,8 +240,8 @@ def bounded(open_: DataFrame, matrix: DataFrame) -> DataFrame:
     """The open posts (key, id, n ...) with the parities of their rows and ``common``, the number of columns that another open
     row has as well; without rows that share too few to link with any."""
     rows = stored(matrix.join(open_.select("id").distinct(), "id"), "open-rows")
-    columns = rows.select("id", F.explode("columns").alias("column")).groupBy("column").agg(F.min("id").alias("id"), F.max("id").alias("high"))
-    alone = columns.where(F.col("id") == F.col("high")).groupBy("id").agg(F.count("*").alias("alone"))
+    columns = rows.select("id", F.explode("columns").alias("column")).groupBy("column").agg(F.min("id").alias("id"), F.count("*").alias("rows"))
+    alone = columns.where(F.col("rows") == 1).groupBy("id").agg(F.count("*").alias("alone"))
     few = F.array(*[F.expr(" ^ ".join(f"get(odd, {i})" for i in range(k, WORDS, FEW))) for k in range(FEW)])
     held = open_.join(rows.select("id", "odd", few.alias("few")), "id").join(alone, "id", "left")
     held = held.withColumn("common", F.col("n") - F.coalesce("alone", F.lit(0))).drop("alone")
@@ -263,7 +267,7 @@ def joined(posts: DataFrame, matrix: DataFrame) -> DataFrame:
         pairs = pairs.select("one", F.col("id").alias("other")).distinct()
         if judged is not None:
             pairs = pairs.join(judged.select("one", "other"), ["one", "other"], "left_anti")
-        new = stored(overlaps(stored(pairs, "pairs"), matrix), "judged")
+        new = stored(overlaps(stored(pairs, "pairs"), matrix, many=judged is None), "judged")
         judged = new if judged is None else judged.unionByName(new)
         if not new.where("linked").isEmpty():
             found = components(judged.where("linked").select(F.col("one").alias("a"), F.col("other").alias("b")))
@@ -284,7 +288,7 @@ def jaccard_join(docs: DataFrame, n: int = 4) -> DataFrame:
     classes = stored(classes.select(F.monotonically_increasing_id().alias("id"), "print", "n_shingles", "first.doc_id", "first.text_hash"), "classes")
     posts = stored(blocks_of(docs, stored(classes.select("id", "doc_id", "text_hash"), "class-rows"), n), "posts")
     release(docs.sparkSession)
-    shared = stored(posts.groupBy("key").agg(F.min("id").alias("low"), F.max("id").alias("high")).where(F.col("low") != F.col("high")).select("key"), "shared-keys")
+    shared = stored(posts.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("key"), "shared-keys")
     release(docs.sparkSession)
     live = stored(posts.join(shared, "key").join(classes.select("id", F.col("n_shingles").alias("n")), "id").distinct(), "live-posts")
     discard(posts)
