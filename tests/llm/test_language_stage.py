@@ -53,3 +53,9 @@ def test_a_worker_forgets_what_other_steps_left():
     assert set(common._remembered) == {"word powers"}
     common.remembered("language")["model"] = 1
     assert common._remembered == {"language": {"model": 1}} and common.remembered("language") == {"model": 1}
+
+
+def test_texts_without_a_byte_may_be_a_workers_first():
+    common._remembered.clear()
+    hashes, offsets = near_copies.word_hashes(pa.array(["", ""], pa.large_string()))
+    assert not len(hashes) and offsets.tolist() == [0, 0, 0]

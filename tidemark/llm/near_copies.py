@@ -46,7 +46,7 @@ _LOWER[65:91] += 32
 def _power(name: str, base: np.uint64, n: int) -> np.ndarray:
     """The first n powers of an odd base modulo 2**64, kept between calls."""
     powers = remembered("word powers")
-    if len(powers.get(name, ())) < n:
+    if name not in powers or len(powers[name]) < n:
         size = max(n, 1 << 20)
         powers[name] = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(size - 1, base, np.uint64))])
     return powers[name][:n]
