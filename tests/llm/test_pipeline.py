@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 import corpus_pipeline as P
 from tests.llm import brute
 from tidemark.llm import queries
 from tidemark.llm.common import stored
 from tidemark.llm.tokens import encoder
+from tidemark.session import shared_path
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -89,3 +92,20 @@ def test_run(spark):
 def test_every_operator_is_registered_once():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE) <= set(queries.QUERIES)
+
+
+def test_stages_leave_little_behind_and_move_texts_once(spark):
+    docs = stored(spark.createDataFrame(brute.awkward(5), brute.DOCS), "test")
+    left = lambda: {f.rsplit("-", 1)[0] for f in os.listdir(shared_path(spark, "tidemark-llm").removeprefix("file:")) if f not in before}
+    for name, kept in (("line_dedup", {"gone"}), ("near_dedup", {"ids-of-several-texts", "kept"}), ("source_mixing", {"mix-plan"})):
+        before: set = set()
+        before = set(os.listdir(shared_path(spark, "tidemark-llm").removeprefix("file:")))
+        out = dict(P.STAGES)[name](spark, docs, SMALL)
+        assert left() == kept, name
+        out.collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = dict(P.STAGES)["source_mixing"](spark, docs, SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 2, plan  # the texts and the plan of the mix
