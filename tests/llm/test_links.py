@@ -47,3 +47,20 @@ def test_leftover_pairs_are_told_apart_where_they_meet(spark):
     want = grouped([(a, b) for a in values for b in values if a < b and near(a, b)])
     assert {r.id: r.component for r in found.collect()} == want
     assert given and all(near(a, b) for a, b in given)
+
+
+def test_the_join_of_leftover_pairs_is_compiled(spark, monkeypatch):
+    key, seen = "spark.sql.codegen.hugeMethodLimit", {}
+    before = spark.conf.get(key)
+    kept = links.stored
+
+    def noted(df, label, *more):
+        seen[label] = spark.conf.get(key)
+        return kept(df, label, *more)
+
+    monkeypatch.setattr(links, "stored", noted)
+    posts = kept(spark.createDataFrame([(7, v, 0, (v,)) for v in range(5)], "key long, id long, weight int, item struct<n:long>"), "posts")
+    linked = lambda pairs, gaps: pairs.select("a", "b", (F.col("a") + F.col("b") == 6).alias("linked"), F.lit(None).cast("boolean").alias("gap"))
+    found = links.linked(posts, lambda x, y: x.n != y.n, linked)
+    assert {r.id: r.component for r in found.collect()} == {2: 2, 4: 2}
+    assert int(seen["rest"]) == 8000 and seen["star"] == before == spark.conf.get(key)
